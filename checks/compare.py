@@ -49,8 +49,17 @@ def difference(result: DataFrame, expected: duckdb.DuckDBPyConnection, sql: str)
         pd.testing.assert_frame_equal(got, want, check_dtype=False, check_exact=True)
     except AssertionError as error:
         return str(error).replace("\n", " ")[:400]
-    types = [f"{n}: {got[n].dtype} != {want[n].dtype}" for n in got if got[n].dtype != want[n].dtype]
-    return "types " + ", ".join(types) if types else None
+    return None
+
+
+def type_difference(result: DataFrame, expected: duckdb.DuckDBPyConnection, sql: str) -> str | None:
+    """Which column types differ, or None."""
+    names = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+    want = dict(d[:2] for d in expected.execute(f"select * from ({sql}) limit 0").description)
+    got = {f.name: names.get(f.dataType.simpleString(), f.dataType.simpleString().upper())
+           for f in result.schema}
+    wrong = [f"{n}: {got[n]} != {want[n]}" for n in got if got[n] != str(want[n])]
+    return "types " + ", ".join(wrong) if wrong else None
 
 
 def main(folder: str, names: list[str]) -> int:
@@ -72,6 +81,7 @@ def main(folder: str, names: list[str]) -> int:
         result = query(spark, folder)
         if name in sql:
             found = difference(result, tables, sql[name])
+            found = found or type_difference(result, tables, sql[name])
         else:
             found = None if result.count() else "no rows"
         wrong += found is not None

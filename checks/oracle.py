@@ -211,7 +211,9 @@ def all_sql() -> dict[str, str]:
         ),
         "feed_detailed_unknown_posts": orders(
             "select user_id, post_id, feed_score, coalesce(topic, 'Unknown') as topic, "
-            "creator_id, timestamp from feed left join catalogue using (post_id)",
+            "coalesce(cast(creator_id as varchar), 'Unknown') as creator_id, "
+            "coalesce(cast(timestamp as varchar), 'Unknown') as timestamp "
+            "from feed left join catalogue using (post_id)",
             catalogue=_EVENT_POSTS,
         ),
         "feed_cards": orders(

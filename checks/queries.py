@@ -13,7 +13,7 @@ from rankflow.operators import neighbours as neighbour_ops
 from rankflow.operators import recommend, scoring, serving, signals, similarity, trending
 from rankflow.plans.jobs import FeedRun
 from rankflow.sources import files, schemas
-from rankflow.sources.mappings import Inputs, events_inputs, orders_inputs
+from rankflow.sources.mappings import EventsInputs, Inputs, OrdersInputs
 from rankflow.sources.workspace import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,14 +39,14 @@ def _run(inputs: Inputs, **options) -> FeedRun:
 
 
 def _orders_scores(spark: SparkSession, folder: str) -> DataFrame:
-    i = orders_inputs(spark, folder)
+    i = OrdersInputs(spark, folder)
     return scoring.user_post_scores(i.interactions, i.config.action_weights)
 
 
 def _orders_pairs(spark: SparkSession, folder: str) -> DataFrame:
     scores = Workspace(spark).keep(_orders_scores(spark, folder), "scores")
     return similarity.pair_dot_products(
-        scores, orders_inputs(spark, folder).config.heavy_post_users
+        scores, OrdersInputs(spark, folder).config.heavy_post_users
     )
 
 
@@ -63,7 +63,7 @@ def scan_csv_roundtrip(spark, folder):
 @_query
 def scan_csv_inferred(spark, folder):
     path = Workspace(spark).path("trending_csv")
-    files.write_csv(_run(orders_inputs(spark, folder)).trending, path, single_file=True)
+    files.write_csv(_run(OrdersInputs(spark, folder)).trending, path, single_file=True)
     return schemas.conform(files.scan_csv(spark, path), schemas.TRENDING_POSTS)
 
 
@@ -84,7 +84,7 @@ def result_freshness(spark, folder):
 
 @_query
 def action_scores(spark, folder):
-    i = orders_inputs(spark, folder)
+    i = OrdersInputs(spark, folder)
     return scoring.action_scores(i.interactions, i.config.action_weights)
 
 
@@ -95,7 +95,7 @@ def user_post_scores(spark, folder):
 
 @_query
 def user_post_scores_events(spark, folder):
-    i = events_inputs(spark, folder)
+    i = EventsInputs(spark, folder)
     return scoring.user_post_scores(i.interactions, i.config.action_weights)
 
 
@@ -129,7 +129,7 @@ def user_similarity(spark, folder):
 
 @_query
 def user_similarity_events(spark, folder):
-    i = events_inputs(spark, folder)
+    i = EventsInputs(spark, folder)
     scores = scoring.user_post_scores(i.interactions, i.config.action_weights)
     kept = Workspace(spark).keep(scores, "scores")
     pairs = similarity.pair_dot_products(kept, _FEW_USERS["heavy_post_users"])
@@ -143,33 +143,33 @@ def similarity_bidirectional(spark, folder):
 
 @_query
 def most_similar_pairs(spark, folder):
-    return similarity.most_similar_pairs(_run(orders_inputs(spark, folder)).neighbours, 10)
+    return similarity.most_similar_pairs(_run(OrdersInputs(spark, folder)).neighbours, 10)
 
 
 @_query
 def top_similar_users(spark, folder):
-    return _run(orders_inputs(spark, folder)).neighbours
+    return _run(OrdersInputs(spark, folder)).neighbours
 
 
 @_query
 def top_similar_users_events(spark, folder):
-    return _run(events_inputs(spark, folder)).neighbours
+    return _run(EventsInputs(spark, folder)).neighbours
 
 
 @_query
 def top_similar_users_heavy_posts(spark, folder):
-    return _run(orders_inputs(spark, folder), changes=_FEW_USERS).neighbours
+    return _run(OrdersInputs(spark, folder), changes=_FEW_USERS).neighbours
 
 
 @_query
 def top_similar_users_heavy_posts_events(spark, folder):
-    return _run(events_inputs(spark, folder), changes=_FEW_USERS).neighbours
+    return _run(EventsInputs(spark, folder), changes=_FEW_USERS).neighbours
 
 
 @_query
 def top_similar_users_of_table(spark, folder):
     table = similarity.user_similarity(_orders_pairs(spark, folder))
-    return neighbour_ops.top_similar_users(table, orders_inputs(spark, folder).config.neighbours)
+    return neighbour_ops.top_similar_users(table, OrdersInputs(spark, folder).config.neighbours)
 
 
 # --- recommendations -------------------------------------------------------
@@ -177,13 +177,13 @@ def top_similar_users_of_table(spark, folder):
 
 @_query
 def neighbour_candidates(spark, folder):
-    run = _run(orders_inputs(spark, folder))
+    run = _run(OrdersInputs(spark, folder))
     return recommend.neighbour_candidates(run.neighbours, run.scores)
 
 
 @_query
 def unseen_candidates(spark, folder):
-    run = _run(orders_inputs(spark, folder))
+    run = _run(OrdersInputs(spark, folder))
     return recommend.unseen(
         recommend.neighbour_candidates(run.neighbours, run.scores), run.scores
     )
@@ -191,12 +191,12 @@ def unseen_candidates(spark, folder):
 
 @_query
 def recommendations(spark, folder):
-    return _run(orders_inputs(spark, folder)).recommendations
+    return _run(OrdersInputs(spark, folder)).recommendations
 
 
 @_query
 def recommendations_events(spark, folder):
-    return _run(events_inputs(spark, folder)).recommendations
+    return _run(EventsInputs(spark, folder)).recommendations
 
 
 # --- trending --------------------------------------------------------------
@@ -204,12 +204,12 @@ def recommendations_events(spark, folder):
 
 @_query
 def post_counts(spark, folder):
-    return trending.post_counts(orders_inputs(spark, folder).interactions)
+    return trending.post_counts(OrdersInputs(spark, folder).interactions)
 
 
 @_query
 def trending_counts(spark, folder):
-    i = orders_inputs(spark, folder)
+    i = OrdersInputs(spark, folder)
     return trending.trending_counts(
         scoring.pair_activity(i.interactions, i.config.action_weights, i.config.like_action)
     )
@@ -223,30 +223,30 @@ def _trending(inputs: Inputs, posts: DataFrame) -> DataFrame:
 
 @_query
 def trending_posts(spark, folder):
-    i = orders_inputs(spark, folder)
+    i = OrdersInputs(spark, folder)
     return _trending(i, i.posts)
 
 
 @_query
 def trending_posts_events(spark, folder):
-    i = events_inputs(spark, folder)
+    i = EventsInputs(spark, folder)
     return _trending(i, i.posts)
 
 
 @_query
 def trending_partial_catalogue(spark, folder):
-    return _trending(orders_inputs(spark, folder), events_inputs(spark, folder).posts)
+    return _trending(OrdersInputs(spark, folder), EventsInputs(spark, folder).posts)
 
 
 @_query
 def trending_top20(spark, folder):
-    i = orders_inputs(spark, folder)
+    i = OrdersInputs(spark, folder)
     return trending.trending_top(_trending(i, i.posts), i.config.trending_length)
 
 
 @_query
 def trending_cards(spark, folder):
-    i = orders_inputs(spark, folder)
+    i = OrdersInputs(spark, folder)
     return trending.trending_cards(_trending(i, i.posts), i.config.trending_length)
 
 
@@ -255,25 +255,25 @@ def trending_cards(spark, folder):
 
 @_query
 def popularity_scores(spark, folder):
-    i = orders_inputs(spark, folder)
+    i = OrdersInputs(spark, folder)
     return signals.popularity_scores(trending.post_counts(i.interactions), i.config.decimals)
 
 
 @_query
 def recency_scores(spark, folder):
-    i = orders_inputs(spark, folder)
+    i = OrdersInputs(spark, folder)
     return signals.recency_scores(i.posts, i.config.recency_date, i.config.decimals)
 
 
 @_query
 def recency_scores_events(spark, folder):
-    i = events_inputs(spark, folder)
+    i = EventsInputs(spark, folder)
     return signals.recency_scores(i.posts, i.config.recency_date, i.config.decimals)
 
 
 @_query
 def interaction_scores(spark, folder):
-    i = orders_inputs(spark, folder)
+    i = OrdersInputs(spark, folder)
     return signals.interaction_scores(_orders_scores(spark, folder), i.config.decimals)
 
 
@@ -282,28 +282,28 @@ def interaction_scores(spark, folder):
 
 @_query
 def feed_candidates(spark, folder):
-    return _run(orders_inputs(spark, folder)).candidates
+    return _run(OrdersInputs(spark, folder)).candidates
 
 
 @_query
 def feed_scores(spark, folder):
-    return _run(orders_inputs(spark, folder)).scored
+    return _run(OrdersInputs(spark, folder)).scored
 
 
 @_query
 def feed_best_scores(spark, folder):
-    return feed_ops.best_scores(_run(orders_inputs(spark, folder)).scored)
+    return feed_ops.best_scores(_run(OrdersInputs(spark, folder)).scored)
 
 
 @_query
 def feed_from_raw(spark, folder):
-    return _run(orders_inputs(spark, folder)).feed
+    return _run(OrdersInputs(spark, folder)).feed
 
 
 @_query
 def user_feed(spark, folder):
     """From saved scores and saved recommendations."""
-    i, saved = orders_inputs(spark, folder), Workspace(spark)
+    i, saved = OrdersInputs(spark, folder), Workspace(spark)
     first = _run(i)
     scores = saved.keep(first.scores, "user_post_scores")
     recommended = saved.keep(first.recommendations, "recommendations")
@@ -312,12 +312,12 @@ def user_feed(spark, folder):
 
 @_query
 def user_feed_events(spark, folder):
-    return _run(events_inputs(spark, folder)).feed
+    return _run(EventsInputs(spark, folder)).feed
 
 
 @_query
 def feed_without_recs(spark, folder):
-    return _run(orders_inputs(spark, folder), with_recommendations=False).feed
+    return _run(OrdersInputs(spark, folder), with_recommendations=False).feed
 
 
 @_query
@@ -327,13 +327,13 @@ def feed_missing_signals(spark, folder):
     Most of them name posts without popularity or date, and some name posts that
     the user has touched.
     """
-    foreign = _run(orders_inputs(spark, folder)).recommendations
-    return _run(events_inputs(spark, folder), recommended=foreign).feed
+    foreign = _run(OrdersInputs(spark, folder)).recommendations
+    return _run(EventsInputs(spark, folder), recommended=foreign).feed
 
 
 @_query
 def feed_for_users(spark, folder):
-    stored = Workspace(spark).keep(_run(orders_inputs(spark, folder)).feed, "feed")
+    stored = Workspace(spark).keep(_run(OrdersInputs(spark, folder)).feed, "feed")
     return feed_ops.feed_for_users(stored, [1, 2, 3])
 
 
@@ -346,13 +346,13 @@ def _stored_feed(spark: SparkSession, run: FeedRun) -> DataFrame:
 
 @_query
 def feed_coverage(spark, folder):
-    return serving.feed_coverage(_run(orders_inputs(spark, folder)).feed)
+    return serving.feed_coverage(_run(OrdersInputs(spark, folder)).feed)
 
 
 @_query
 def feed_lists(spark, folder):
     """The arrays as text, for comparison with SQL."""
-    i = orders_inputs(spark, folder)
+    i = OrdersInputs(spark, folder)
     lists = serving.feed_lists(i.users, _run(i).feed)
     posts = F.transform("feed", lambda e: e["post_id"].cast("string"))
     return lists.select(
@@ -365,7 +365,7 @@ def feed_lists(spark, folder):
 @_query
 def feed_detailed(spark, folder):
     """The user struct as columns, for comparison with SQL."""
-    i = orders_inputs(spark, folder)
+    i = OrdersInputs(spark, folder)
     return serving.feed_detailed(_run(i).feed, i.posts, i.users).select(
         "user_id",
         F.col("user_info.location").alias("location"),
@@ -380,25 +380,30 @@ def feed_detailed(spark, folder):
 
 @_query
 def feed_detailed_unknown_posts(spark, folder):
-    i, catalogue = orders_inputs(spark, folder), events_inputs(spark, folder).posts
+    """As served, with ``Unknown`` for whatever a missing post lacks."""
+    i, catalogue = OrdersInputs(spark, folder), EventsInputs(spark, folder).posts
     detailed = serving.feed_detailed(_run(i).feed, catalogue, i.users)
-    return detailed.drop("user_info")
+    served = {
+        name: F.coalesce(F.col(name).cast("string"), F.lit("Unknown"))
+        for name in ("creator_id", "timestamp")
+    }
+    return detailed.drop("user_info").withColumns(served)
 
 
 @_query
 def feed_cards(spark, folder):
-    return serving.feed_cards(_run(orders_inputs(spark, folder)).feed)
+    return serving.feed_cards(_run(OrdersInputs(spark, folder)).feed)
 
 
 @_query
 def action_histogram(spark, folder):
-    return serving.action_histogram(orders_inputs(spark, folder).interactions)
+    return serving.action_histogram(OrdersInputs(spark, folder).interactions)
 
 
 @_query
 def system_stats(spark, folder):
     """The map as text, for comparison with SQL."""
-    i = orders_inputs(spark, folder)
+    i = OrdersInputs(spark, folder)
     run = _run(i)
     stats = serving.system_stats(
         i.users, _stored_feed(spark, run), run.trending, i.interactions
@@ -412,7 +417,7 @@ def system_stats(spark, folder):
 
 @_query
 def user_directory(spark, folder):
-    return schemas.one_row_per_key(orders_inputs(spark, folder).users, "user_id").drop("age")
+    return schemas.one_row_per_key(OrdersInputs(spark, folder).users, "user_id").drop("age")
 
 
 @_query
@@ -424,7 +429,7 @@ def duplicate_posts(spark, folder):
 
 @_query
 def run_counts(spark, folder):
-    run = _run(orders_inputs(spark, folder))
+    run = _run(OrdersInputs(spark, folder))
     kept = Workspace(spark).keep(run.neighbours, "neighbours")
     recommended = recommend.recommendations(kept, run.scores, run.config.decimals)
     return serving.run_counts(run.pairs, kept, recommended)

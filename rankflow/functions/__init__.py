@@ -4,6 +4,7 @@ from rankflow.functions.columns import (
     action_weight,
     cosine,
     min_max,
+    spread,
     top_per_group,
     unit_ratio,
     weighted_feed_score,
@@ -13,6 +14,7 @@ __all__ = [
     "action_weight",
     "cosine",
     "min_max",
+    "spread",
     "top_per_group",
     "unit_ratio",
     "weighted_feed_score",

@@ -65,3 +65,13 @@ def top_per_group(
     """
     place = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
     return df.withColumn("_place", place).where(F.col("_place") <= limit).drop("_place")
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` hash-partitioned by ``keys`` over all shuffle partitions.
+
+    For the input of a join whose output is far longer than its input: sized by its
+    bytes, the input would be packed into too few tasks.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(partitions, *keys)

@@ -26,16 +26,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankflow.functions import cosine, top_per_group
+from rankflow.functions import cosine, spread, top_per_group
+from rankflow.functions.blocks import cell_neighbours
 from rankflow.operators.similarity import bidirectional, heavy_posts, with_norms
 
+# Room for the last bits in which a floor and a cosine are rounded differently.
+_ROUNDING_SLACK = 1.0 - 1e-9
 _CANDIDATES = "user_id bigint, similar_user bigint, cosine_similarity double"
-_COLUMNS_AT_ONCE = 1024
 
 
 def closest_first() -> list:
@@ -65,13 +65,16 @@ def nearest_users(
     # A user without length has no similarity to anybody.
     rows = with_norms(scores).where("norm2 > 0")
     if heavy is None:
-        return top_similar_users(_pair_cosines(_light_dots(rows)), k)
+        return top_per_group(_light_edges(rows, k), ["user_id"], closest_first(), k)
 
     heavy = heavy.select("post_id")
     vectors = keep(_heavy_vectors(rows.join(heavy, "post_id", "left_semi")), "heavy_vectors")
-    has_vector = vectors.select("user_id", F.lit(True).alias("has_vector"))
-    light = rows.join(heavy, "post_id", "left_anti").join(has_vector, "user_id", "left")
-    by_light = top_similar_users(_light_cosines(light, vectors), k)
+    by_light = top_per_group(
+        _light_edges(rows.join(heavy, "post_id", "left_anti"), k, vectors),
+        ["user_id"],
+        closest_first(),
+        k,
+    )
     by_heavy = _blockwise_neighbours(vectors, k, block_users)
     merged = (
         by_light.unionByName(by_heavy)
@@ -92,41 +95,67 @@ def nearest_users_any(
 # --- light posts -----------------------------------------------------------
 
 
-def _light_dots(rows: DataFrame, *carried: str) -> DataFrame:
-    """Dot product per pair over posts of bounded audience."""
+def _with_floors(rows: DataFrame, k: int) -> DataFrame:
+    """Rows with a value that the user's K-th best cosine cannot be below.
+
+    The share of one post in a cosine is the product of two unit weights, and the
+    rest of the sum is not negative.  So if the (K + 1)-th largest unit weight on a
+    post is ``m``, each user of the post with unit weight ``w`` has K neighbours at
+    ``w * m`` or above; the best of its posts gives the floor.  A task meets only
+    some pairs of a user, often fewer than K, and could drop nothing without it.
+    """
+    unit = F.col("total_score") / F.sqrt("norm2")
+    audience = Window.partitionBy("post_id").orderBy(F.desc("unit_weight"))
+    whole = audience.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    floors = (
+        rows.select("user_id", "post_id", unit.alias("unit_weight"))
+        .withColumn("follower", F.nth_value("unit_weight", k + 1).over(whole))
+        .groupBy("user_id")
+        .agg(F.max(F.col("unit_weight") * F.col("follower")).alias("floor"))
+        .select("user_id", (F.coalesce("floor", F.lit(0.0)) * _ROUNDING_SLACK).alias("floor"))
+    )
+    return rows.join(floors, "user_id")
+
+
+def _light_dots(rows: DataFrame, carried: list[str]) -> DataFrame:
+    """Dot product per pair over posts of bounded audience.
+
+    Both sides of the self-join read the same shuffle on the post.  What is known
+    about a user travels with it, so the pair table joins nothing.
+    """
+    rows = spread(rows, "post_id")
 
     def side(s: str) -> DataFrame:
-        names = ("user_id", "total_score", "norm2", *carried)
+        names = ("user_id", "total_score", *carried)
         return rows.select("post_id", *(F.col(n).alias(f"{n}_{s}") for n in names))
 
-    per_pair = [f"{n}_{s}" for n in ("user_id", "norm2", *carried) for s in "ab"]
     return (
         side("a")
         .join(side("b"), "post_id")
         .where("user_id_a < user_id_b")
-        .groupBy(*per_pair)
+        .groupBy(*(f"{n}_{s}" for n in ("user_id", *carried) for s in "ab"))
         .agg(F.sum(F.col("total_score_a") * F.col("total_score_b")).alias("dot"))
     )
 
 
-def _pair_cosines(dots: DataFrame) -> DataFrame:
-    return dots.select(
-        F.col("user_id_a").alias("user_a"),
-        F.col("user_id_b").alias("user_b"),
-        cosine(F.col("dot"), F.col("norm2_a"), F.col("norm2_b")).alias("cosine_similarity"),
-    )
-
+def _light_edges(rows: DataFrame, k: int, vectors: DataFrame | None = None) -> DataFrame:
+    """Edges over light posts that may be among a user's K best, cosines exact.
 
-def _light_cosines(light: DataFrame, vectors: DataFrame) -> DataFrame:
-    """Exact cosines of pairs with a light post in common.
-
-    Only where both users have a heavy vector is there anything to add, so only
-    those pairs join the vectors.
+    With ``vectors``, what a pair has in common in heavy posts is added.  Only where
+    both users have a vector is there anything to add, so only those pairs join.
     """
-    dots = _light_dots(light, "has_vector")
-    both = F.coalesce("has_vector_a", F.lit(False)) & F.coalesce("has_vector_b", F.lit(False))
-    vector = F.map_from_arrays("posts", "weights")
-    of_a = vectors.select(F.col("user_id").alias("user_id_a"), vector.alias("vector_a"))
+    rows, carried = _with_floors(rows, k), ["norm2", "floor"]
+    if vectors is None:
+        return _edges_above_floor(_light_dots(rows, carried))
+
+    has_vector = vectors.select("user_id", F.lit(True).alias("has_vector"))
+    rows = rows.join(has_vector, "user_id", "left").fillna(False, ["has_vector"])
+    dots = _light_dots(rows, [*carried, "has_vector"])
+    both = F.col("has_vector_a") & F.col("has_vector_b")
+    of_a = vectors.select(
+        F.col("user_id").alias("user_id_a"),
+        F.map_from_arrays("posts", "weights").alias("vector_a"),
+    )
     of_b = vectors.select(
         F.col("user_id").alias("user_id_b"), F.arrays_zip("posts", "weights").alias("vector_b")
     )
@@ -142,7 +171,27 @@ def _light_cosines(light: DataFrame, vectors: DataFrame) -> DataFrame:
         .join(of_b, "user_id_b")
         .withColumn("dot", F.col("dot") + heavy_dot)
     )
-    return _pair_cosines(dots.where(~both)).unionByName(_pair_cosines(completed))
+    return _edges_above_floor(dots.where(~both)).unionByName(_edges_above_floor(completed))
+
+
+def _edges_above_floor(dots: DataFrame) -> DataFrame:
+    """Cosine of each pair, from whichever ends it can matter to."""
+
+    def end(s: str, t: str):
+        return F.struct(
+            F.col(f"user_id_{s}").alias("user_id"),
+            F.col(f"user_id_{t}").alias("similar_user"),
+            F.col(f"floor_{s}").alias("floor"),
+        )
+
+    value = cosine(F.col("dot"), F.col("norm2_a"), F.col("norm2_b"))
+    return (
+        dots.withColumn("cosine_similarity", value)
+        .where(F.col("cosine_similarity") >= F.least("floor_a", "floor_b"))
+        .select("cosine_similarity", F.inline(F.array(end("a", "b"), end("b", "a"))))
+        .where(F.col("cosine_similarity") >= F.col("floor"))
+        .select("user_id", "similar_user", "cosine_similarity")
+    )
 
 
 # --- heavy posts -----------------------------------------------------------
@@ -194,77 +243,5 @@ def _blockwise_neighbours(vectors: DataFrame, k: int, block_users: int) -> DataF
     others = in_cells(chosen, "chosen_block", "user_block", n_chosen, n_users)
     cell = ["user_block", "chosen_block"]
     return users.groupBy(*cell).cogroup(others.groupBy(*cell)).applyInArrow(
-        _cell_neighbours(k), _CANDIDATES
+        cell_neighbours(k), _CANDIDATES
     )
-
-
-def _cell_neighbours(k: int):
-    def neighbours(users: pa.Table, others: pa.Table) -> pa.Table:
-        ids, norms, *entries = _unpack(users)
-        other_ids, other_norms, *other_entries = _unpack(others.sort_by("user_id"))
-        dot, shared = _products(len(ids), entries, len(other_ids), other_entries)
-        lengths = np.outer(np.sqrt(norms), np.sqrt(other_norms))
-        # Ranked out: users who share nothing, and the user itself.
-        shared &= ids[:, None] != other_ids[None, :]
-        value = np.where(shared, dot / lengths, -1.0)
-        row, column = _first_k(value, k)
-        return pa.table(
-            {
-                "user_id": ids[row],
-                "similar_user": other_ids[column],
-                "cosine_similarity": value[row, column],
-            }
-        )
-
-    return neighbours
-
-
-def _unpack(block: pa.Table):
-    """Ids, squared norms, and the entries of all vectors as (row, post, weight)."""
-    posts = block["posts"].combine_chunks()
-    row = np.repeat(np.arange(len(posts)), posts.value_lengths().to_numpy(zero_copy_only=False))
-    return (
-        block["user_id"].to_numpy(),
-        block["norm2"].to_numpy().astype(np.float64),
-        row,
-        posts.flatten().to_numpy(),
-        block["weights"].combine_chunks().flatten().to_numpy(),
-    )
-
-
-def _products(n_left: int, left, n_right: int, right):
-    """Dot products, and which pairs have a post in common.
-
-    Sums of integers below 2**53 are exact in floating point in any order.
-    """
-    dot = np.zeros((n_left, n_right))
-    common = np.intersect1d(left[1], right[1])
-    zero_scores = not (left[2].all() and right[2].all())
-    shared = np.zeros((n_left, n_right), dtype=bool)
-
-    def dense(n_rows, entries, posts, presence=False):
-        row, post, weight = entries
-        column = np.minimum(np.searchsorted(posts, post), len(posts) - 1)
-        hit = posts[column] == post
-        matrix = np.zeros((n_rows, len(posts)))
-        matrix[row[hit], column[hit]] = 1.0 if presence else weight[hit]
-        return matrix
-
-    for start in range(0, len(common), _COLUMNS_AT_ONCE):
-        posts = common[start : start + _COLUMNS_AT_ONCE]
-        dot += dense(n_left, left, posts) @ dense(n_right, right, posts).T
-        if zero_scores:
-            shared |= (dense(n_left, left, posts, True) @ dense(n_right, right, posts, True).T) > 0
-    return dot, (shared if zero_scores else dot > 0)
-
-
-def _first_k(value: np.ndarray, k: int):
-    """Positions of each row's K largest values >= 0; of equal values the leftmost."""
-    width = value.shape[1]
-    if width <= k:
-        return np.nonzero(value >= 0)
-    last = np.partition(value, width - k, axis=1)[:, width - k, None]
-    above = value > last
-    at = (value == last) & (value >= 0)
-    room = k - above.sum(axis=1, keepdims=True)
-    return np.nonzero(above | (at & (np.cumsum(at, axis=1) <= room)))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankflow.functions import cosine
+from rankflow.functions import cosine, spread
 
 
 def user_norms(scores: DataFrame) -> DataFrame:
@@ -81,8 +81,10 @@ def pair_dot_products(scores: DataFrame, heavy_post_users: int) -> DataFrame:
         F.col("total_score").alias("score_b"),
         F.col("norm2").alias("norm2_b"),
     )
+    tile = ["post_id", "tile_a", "tile_b"]
     return (
-        a.join(b, ["post_id", "tile_a", "tile_b"])
+        spread(a, *tile)
+        .join(spread(b, *tile), tile)
         .where("user_a < user_b")
         .groupBy("user_a", "user_b", "norm2_a", "norm2_b")
         .agg(

@@ -66,8 +66,7 @@ class FeedRun:
         none of the steps for them.
         """
         heavy = similarity.heavy_posts(self.scores, self.config.heavy_post_users)
-        stored = self._workspace.keep(heavy, "heavy_posts")
-        return None if stored.isEmpty() else stored
+        return None if heavy.isEmpty() else self._workspace.keep(heavy, "heavy_posts")
 
     @cached_property
     def neighbours(self) -> DataFrame:
