@@ -42,7 +42,7 @@ class FeedConfig:
     recency_date: date = DEFAULT_RECENCY_DATE
     decimals: int = DEFAULT_DECIMALS
     trending_length: int = DEFAULT_TRENDING_LENGTH
-    heavy_post_users: int = 1000
+    heavy_post_users: int = 500
     block_users: int = 2048
 
     def but(self, **changes) -> FeedConfig:

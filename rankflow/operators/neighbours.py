@@ -75,7 +75,8 @@ def nearest_users(
         closest_first(),
         k,
     )
-    by_heavy = _blockwise_neighbours(vectors, k, block_users)
+    chosen = keep(_representatives(vectors, k), "representatives")
+    by_heavy = _blockwise_neighbours(vectors, chosen, k, block_users)
     merged = (
         by_light.unionByName(by_heavy)
         .groupBy("user_id", "similar_user")
@@ -223,9 +224,10 @@ def _representatives(vectors: DataFrame, k: int) -> DataFrame:
     return by_norm.unionByName(by_id).dropDuplicates(["user_id"])
 
 
-def _blockwise_neighbours(vectors: DataFrame, k: int, block_users: int) -> DataFrame:
+def _blockwise_neighbours(
+    vectors: DataFrame, chosen: DataFrame, k: int, block_users: int
+) -> DataFrame:
     """K candidates per user and block of representatives."""
-    chosen = _representatives(vectors, k)
 
     def n_blocks(df: DataFrame):
         count = df.agg(F.count(F.lit(1))).scalar()
@@ -233,7 +235,7 @@ def _blockwise_neighbours(vectors: DataFrame, k: int, block_users: int) -> DataF
 
     def in_cells(df: DataFrame, own: str, other: str, n_own, n_other) -> DataFrame:
         return df.select(
-            "*",
+            *(F.col(name).alias(name) for name in df.columns),
             F.pmod(F.xxhash64("user_id"), n_own).cast("int").alias(own),
             F.explode(F.sequence(F.lit(0), n_other - 1)).alias(other),
         )

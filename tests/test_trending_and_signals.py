@@ -1,0 +1,86 @@
+from datetime import date
+
+from conftest import rows
+
+from rankflow.config import DEFAULT_ACTION_WEIGHTS as WEIGHTS
+from rankflow.operators import scoring, signals, trending
+from rankflow.sources.schemas import INTERACTIONS, POSTS, USER_POST_SCORES
+
+REFERENCE = date(2025, 12, 31)
+
+
+def counts_of(table, log):
+    return trending.trending_counts(
+        scoring.pair_activity(table(log, INTERACTIONS), WEIGHTS, "like")
+    )
+
+
+def test_trending_counts(table):
+    log = [(1, 7, "like"), (1, 7, "view"), (2, 7, "like"), (None, 7, "view"), (2, 8, "zzz")]
+    assert rows(counts_of(table, log)) == [(7, 4, 2, 2), (8, 1, 1, 0)]
+
+
+def test_post_counts(table):
+    log = table([(1, 7, "like"), (1, 7, "view"), (2, 8, None)], INTERACTIONS)
+    assert rows(trending.post_counts(log)) == [(7, 2), (8, 1)]
+
+
+def test_trending_keeps_only_posts_known_on_both_sides(table):
+    counts = counts_of(table, [(1, 7, "like"), (1, 8, "view")])
+    posts = table([(7, "AI", 3, REFERENCE), (9, "Food", 4, REFERENCE)], POSTS)
+    assert rows(trending.trending_posts(counts, posts)) == [(7, 1, 1, 1, "AI", 3, REFERENCE)]
+
+
+def test_top_and_cards_break_ties_by_post(table):
+    log = [(u, p, "view") for p, n in ((5, 2), (3, 4), (4, 2), (6, 1)) for u in range(n)]
+    posts = table([(p, "AI", 1, REFERENCE) for p in (3, 4, 5, 6)], POSTS)
+    trend = trending.trending_posts(counts_of(table, log), posts)
+    assert [r.post_id for r in trending.trending_top(trend, 3).collect()] == [3, 4, 5]
+    cards = trending.trending_cards(trend, 3)
+    assert rows(cards, "place", "post_id", "relative_activity") == [
+        (1, 3, 100.0), (2, 4, 50.0), (3, 5, 50.0),
+    ]
+
+
+def popularity(table, values):
+    counts = table([(i, n) for i, n in enumerate(values)], "post_id bigint, n_interactions bigint")
+    return rows(signals.popularity_scores(counts, 4), "post_id", "popularity_score")
+
+
+def test_popularity_spans_zero_to_one(table):
+    assert popularity(table, [1, 3, 5]) == [(0, 0.0), (1, 0.5), (2, 1.0)]
+
+
+def test_equal_popularity_is_zero(table):
+    assert popularity(table, [4, 4]) == [(0, 0.0), (1, 0.0)]
+    assert popularity(table, [4]) == [(0, 0.0)]
+    assert popularity(table, []) == []
+
+
+def recency(table, days):
+    posts = table([(i, "AI", 1, d) for i, d in enumerate(days)], POSTS)
+    return rows(signals.recency_scores(posts, REFERENCE, 4), "post_id", "recency_score")
+
+
+def test_recency_spans_newest_to_oldest(table):
+    days = [date(2025, 12, 31), date(2025, 12, 21), date(2025, 12, 11)]
+    assert recency(table, days) == [(0, 1.0), (1, 0.5), (2, 0.0)]
+
+
+def test_recency_of_equal_or_later_dates(table):
+    assert recency(table, [REFERENCE, REFERENCE]) == [(0, 1.0), (1, 1.0)]
+    assert recency(table, [date(2026, 1, 10), REFERENCE]) == [(0, 1.0), (1, 0.0)]
+    assert recency(table, []) == []
+
+
+def test_interaction_score_is_relative_to_the_best(table):
+    scores = table([(1, 1, 3), (1, 2, 9), (2, 1, 0), (2, 2, 0)], USER_POST_SCORES)
+    assert rows(signals.interaction_scores(scores, 4)) == [
+        (1, 1, 0.3333), (1, 2, 1.0), (2, 1, 0.0), (2, 2, 0.0),
+    ]
+
+
+def test_signals_keep_posts_of_either_side(table):
+    pop = table([(1, 0.5)], "post_id bigint, popularity_score double")
+    new = table([(2, 0.25)], "post_id bigint, recency_score double")
+    assert rows(signals.post_signals(pop, new)) == [(1, 0.5, None), (2, None, 0.25)]
