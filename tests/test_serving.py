@@ -1,0 +1,86 @@
+from datetime import date
+
+from conftest import rows
+
+from rankflow.operators import serving
+from rankflow.sources.schemas import (
+    INTERACTIONS,
+    POSTS,
+    RECOMMENDATIONS,
+    TRENDING_POSTS,
+    USER_FEED,
+    USERS,
+)
+
+DAY = date(2025, 6, 1)
+
+
+def users(table):
+    return table([(1, 25, "India", "AI"), (2, 35, "UK", "Food")], USERS)
+
+
+def the_feed(table):
+    return table([(1, 7, 0.25), (1, 9, 0.5), (1, 8, 0.25), (3, 7, 0.0)], USER_FEED)
+
+
+def test_lists_are_ordered_and_empty_where_there_is_no_feed(table):
+    got = {r.user_id: [tuple(e) for e in r.feed]
+           for r in serving.feed_lists(users(table), the_feed(table)).collect()}
+    assert got == {1: [(9, 0.5), (7, 0.25), (8, 0.25)], 2: [], 3: [(7, 0.0)]}
+
+
+def test_details_of_known_and_unknown_posts_and_users(table):
+    posts = table([(7, "AI", 4, DAY)], POSTS)
+    got = rows(
+        serving.feed_detailed(the_feed(table), posts, users(table)),
+        "user_id", "post_id", "user_info.location", "topic", "creator_id", "timestamp",
+    )
+    assert got == [
+        (1, 7, "India", "AI", 4, DAY),
+        (1, 8, "India", "Unknown", None, None),
+        (1, 9, "India", "Unknown", None, None),
+        (3, 7, None, "AI", 4, DAY),
+    ]
+
+
+def test_cards(table):
+    got = rows(serving.feed_cards(the_feed(table)))
+    assert got == [
+        (1, 1, 9, 0.5, 100.0), (1, 2, 7, 0.25, 50.0), (1, 3, 8, 0.25, 50.0), (3, 1, 7, 0.0, 0.0),
+    ]
+
+
+def test_coverage(table):
+    assert rows(serving.feed_coverage(the_feed(table))) == [(4, 2)]
+    assert rows(serving.feed_coverage(table([], USER_FEED))) == [(0, 0)]
+
+
+def test_histogram_and_stats(table):
+    log = table([(1, 7, "view"), (1, 8, "view"), (2, 7, None)], INTERACTIONS)
+    assert rows(serving.action_histogram(log)) == [("view", 2), (None, 1)]
+    trending = table([(7, 2, 2, 0, "AI", 4, DAY)], TRENDING_POSTS)
+    stats = serving.system_stats(users(table), the_feed(table), trending, log).first()
+    assert stats.asDict() == {
+        "total_users": 2,
+        "users_with_feeds": 2,
+        "total_trending_posts": 1,
+        "total_interactions": 3,
+        "actions": {"": 1, "view": 2},
+    }
+
+
+def test_stats_of_nothing(table):
+    stats = serving.system_stats(
+        table([], USERS), table([], USER_FEED), table([], TRENDING_POSTS), table([], INTERACTIONS)
+    ).first()
+    assert tuple(stats) == (0, 0, 0, 0, {})
+
+
+def test_run_counts(table):
+    pairs = table([(1, 7, 3, 2, 0), (2, 7, 1, 1, 0)],
+                  "user_id bigint, post_id bigint, total_score bigint, "
+                  "n_interactions bigint, n_likes bigint")
+    near = table([(1, 2, 0.5), (2, 1, 0.5)],
+                 "user_id bigint, similar_user bigint, cosine_similarity double")
+    recs = table([(1, 9, 0.5, 3)], RECOMMENDATIONS)
+    assert rows(serving.run_counts(pairs, near, recs)) == [(3, 2, 2, 1)]

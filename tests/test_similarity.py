@@ -122,7 +122,7 @@ def test_many_users_with_one_vector(table, limit):
 
 
 @settings(
-    max_examples=12,
+    max_examples=8,
     deadline=None,
     suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow],
 )
