@@ -430,6 +430,4 @@ def duplicate_posts(spark, folder):
 @_query
 def run_counts(spark, folder):
     run = _run(OrdersInputs(spark, folder))
-    kept = Workspace(spark).keep(run.neighbours, "neighbours")
-    recommended = recommend.recommendations(kept, run.scores, run.config.decimals)
-    return serving.run_counts(run.pairs, kept, recommended)
+    return serving.run_counts(run.pairs, run.neighbours, run.recommendations)

@@ -4,32 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankflow.functions import top_per_group, weighted_feed_score
 
 
-def feed_candidates(
-    interaction: DataFrame,
-    recommended: DataFrame | None,
-    signals: DataFrame,
-    base_score: float,
-) -> DataFrame:
-    """Touched and recommended posts of each user with their three signals.
+def touched(interaction: DataFrame) -> DataFrame:
+    """Posts of the user's own history, with their interaction score."""
+    return interaction.select("user_id", "post_id", "interaction_score")
 
-    Both kinds are put together first, so that the post signals are joined once.
-    A post without a signal gets 0 for it.
-    """
-    rows = interaction.select("user_id", "post_id", "interaction_score")
-    if recommended is not None:
-        rows = rows.unionByName(
-            recommended.select(
-                "user_id",
-                F.col("recommended_post_id").alias("post_id"),
-                F.lit(base_score).alias("interaction_score"),
-            )
-        )
+
+def recommended(recommendations: DataFrame, base_score: float) -> DataFrame:
+    """Recommended posts, all with the same interaction score."""
+    return recommendations.select(
+        "user_id",
+        F.col("recommended_post_id").alias("post_id"),
+        F.lit(base_score).alias("interaction_score"),
+    )
+
+
+def feed_candidates(rows: DataFrame, signals: DataFrame) -> DataFrame:
+    """Touched or recommended posts with their post signals; 0 where there is none."""
     nothing = F.lit(0.0)
     return rows.join(signals, "post_id", "left").select(
         "user_id",
@@ -64,18 +60,35 @@ def best_first() -> list:
     return [F.desc("feed_score"), F.asc("post_id")]
 
 
-def user_feed(scored: DataFrame, length: int) -> DataFrame:
-    """Each user's best posts.
+def ranked(scored: DataFrame, length: int) -> DataFrame:
+    """Each user's best posts from scored candidates of any origin."""
+    return top_per_group(best_scores(scored), ["user_id"], best_first(), length)
+
+
+def user_feed(
+    touched_scored: DataFrame, recommended_scored: DataFrame | None, length: int
+) -> DataFrame:
+    """Each user's best posts, touched (one row per user and post) or recommended.
 
-    A post can come twice, once touched and once recommended, hence with two
-    scores at most.  The first ``2 * length`` distinct (score, post) places of a
-    user therefore contain its ``length`` best posts with their best scores.
-    Cutting there first leaves a short table to remove duplicates from, partitioned
-    by user already, in place of a shuffle of all candidates.
+    A user with ``length`` touched posts cannot have a feed that ends below the last
+    of them.  Recommendations below that score, most of them as a rule, go before
+    they are shuffled, compared with touched posts, or sorted.
     """
-    place = F.dense_rank().over(Window.partitionBy("user_id").orderBy(*best_first()))
-    ahead = scored.withColumn("_place", place).where(F.col("_place") <= 2 * length)
-    return top_per_group(best_scores(ahead), ["user_id"], best_first(), length)
+    own = top_per_group(touched_scored, ["user_id"], best_first(), length)
+    if recommended_scored is None:
+        return own
+    last = (
+        own.groupBy("user_id")
+        .agg(F.min("feed_score").alias("last_score"), F.count(F.lit(1)).alias("n_posts"))
+        .where(F.col("n_posts") >= length)
+        .select("user_id", "last_score")
+    )
+    in_reach = (
+        recommended_scored.join(last, "user_id", "left")
+        .where(F.col("last_score").isNull() | (F.col("feed_score") >= F.col("last_score")))
+        .drop("last_score")
+    )
+    return ranked(own.unionByName(in_reach), length)
 
 
 def feed_for_users(feed: DataFrame, user_ids: Sequence[int]) -> DataFrame:

@@ -63,19 +63,19 @@ def nearest_users(
     more than once.
     """
     # A user without length has no similarity to anybody.
-    rows = with_norms(scores).where("norm2 > 0")
+    normed = with_norms(scores).where("norm2 > 0")
     if heavy is None:
-        return top_per_group(_light_edges(rows, k), ["user_id"], closest_first(), k)
+        users = keep(_light_users(normed, k), "light_users")
+        return top_per_group(_light_edges(scores, users), ["user_id"], closest_first(), k)
 
     heavy = heavy.select("post_id")
-    vectors = keep(_heavy_vectors(rows.join(heavy, "post_id", "left_semi")), "heavy_vectors")
+    vectors = keep(_heavy_vectors(normed.join(heavy, "post_id", "left_semi")), "heavy_vectors")
+    chosen = keep(_representatives(vectors, k), "representatives")
+    users = keep(_light_users(normed.join(heavy, "post_id", "left_anti"), k), "light_users")
+    light_scores = scores.join(heavy, "post_id", "left_anti")
     by_light = top_per_group(
-        _light_edges(rows.join(heavy, "post_id", "left_anti"), k, vectors),
-        ["user_id"],
-        closest_first(),
-        k,
+        _light_edges(light_scores, users, vectors), ["user_id"], closest_first(), k
     )
-    chosen = keep(_representatives(vectors, k), "representatives")
     by_heavy = _blockwise_neighbours(vectors, chosen, k, block_users)
     merged = (
         by_light.unionByName(by_heavy)
@@ -96,8 +96,8 @@ def nearest_users_any(
 # --- light posts -----------------------------------------------------------
 
 
-def _with_floors(rows: DataFrame, k: int) -> DataFrame:
-    """Rows with a value that the user's K-th best cosine cannot be below.
+def _light_users(rows: DataFrame, k: int) -> DataFrame:
+    """Users with their squared norm and a value their K-th best cosine cannot be below.
 
     The share of one post in a cosine is the product of two unit weights, and the
     rest of the sum is not negative.  So if the (K + 1)-th largest unit weight on a
@@ -108,14 +108,13 @@ def _with_floors(rows: DataFrame, k: int) -> DataFrame:
     unit = F.col("total_score") / F.sqrt("norm2")
     audience = Window.partitionBy("post_id").orderBy(F.desc("unit_weight"))
     whole = audience.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    floors = (
-        rows.select("user_id", "post_id", unit.alias("unit_weight"))
+    best = F.max(F.col("unit_weight") * F.col("follower"))
+    return (
+        rows.select("user_id", "norm2", "post_id", unit.alias("unit_weight"))
         .withColumn("follower", F.nth_value("unit_weight", k + 1).over(whole))
-        .groupBy("user_id")
-        .agg(F.max(F.col("unit_weight") * F.col("follower")).alias("floor"))
-        .select("user_id", (F.coalesce("floor", F.lit(0.0)) * _ROUNDING_SLACK).alias("floor"))
+        .groupBy("user_id", "norm2")
+        .agg((F.coalesce(best, F.lit(0.0)) * _ROUNDING_SLACK).alias("floor"))
     )
-    return rows.join(floors, "user_id")
 
 
 def _light_dots(rows: DataFrame, carried: list[str]) -> DataFrame:
@@ -139,13 +138,16 @@ def _light_dots(rows: DataFrame, carried: list[str]) -> DataFrame:
     )
 
 
-def _light_edges(rows: DataFrame, k: int, vectors: DataFrame | None = None) -> DataFrame:
+def _light_edges(
+    scores: DataFrame, users: DataFrame, vectors: DataFrame | None = None
+) -> DataFrame:
     """Edges over light posts that may be among a user's K best, cosines exact.
 
     With ``vectors``, what a pair has in common in heavy posts is added.  Only where
     both users have a vector is there anything to add, so only those pairs join.
     """
-    rows, carried = _with_floors(rows, k), ["norm2", "floor"]
+    rows = scores.select("user_id", "post_id", "total_score").join(users, "user_id")
+    carried = ["norm2", "floor"]
     if vectors is None:
         return _edges_above_floor(_light_dots(rows, carried))
 

@@ -70,14 +70,15 @@ class FeedRun:
 
     @cached_property
     def neighbours(self) -> DataFrame:
-        """Closest users per user."""
-        return neighbour_ops.nearest_users(
+        """Closest users per user, stored: the costly step, with a short result."""
+        nearest = neighbour_ops.nearest_users(
             self.scores,
             self.config.neighbours,
             heavy=self.heavy_posts,
             block_users=self.config.block_users,
             keep=self._workspace.keep,
         )
+        return self._workspace.keep(nearest, "neighbours")
 
     @cached_property
     def recommendations(self) -> DataFrame:
@@ -109,24 +110,49 @@ class FeedRun:
         """Interaction signal."""
         return signals.interaction_scores(self.scores, self.config.decimals)
 
+    @cached_property
+    def post_signals(self) -> DataFrame:
+        """Popularity and recency of each post, stored: one row per post."""
+        both = signals.post_signals(self.popularity, self.recency)
+        return self._workspace.keep(both, "post_signals")
+
+    @cached_property
+    def _touched(self) -> DataFrame:
+        return feed_ops.touched(self.interaction_scores)
+
+    @cached_property
+    def _recommended_rows(self) -> DataFrame | None:
+        if not self._with_recommendations:
+            return None
+        return feed_ops.recommended(self.recommendations, self.config.recommended_base_score)
+
+    def _score(self, rows: DataFrame) -> DataFrame:
+        c = self.config
+        weights = (c.interaction_weight, c.popularity_weight, c.recency_weight)
+        candidates = feed_ops.feed_candidates(rows, self.post_signals)
+        return feed_ops.feed_scores(candidates, weights, c.decimals)
+
+    @cached_property
+    def _candidate_rows(self) -> DataFrame:
+        extra = self._recommended_rows
+        return self._touched if extra is None else self._touched.unionByName(extra)
+
     @cached_property
     def candidates(self) -> DataFrame:
         """All candidates of all users with their signals."""
-        return feed_ops.feed_candidates(
-            self.interaction_scores,
-            self.recommendations if self._with_recommendations else None,
-            signals.post_signals(self.popularity, self.recency),
-            self.config.recommended_base_score,
-        )
+        return feed_ops.feed_candidates(self._candidate_rows, self.post_signals)
 
     @cached_property
     def scored(self) -> DataFrame:
-        """Candidates with their blended score."""
-        c = self.config
-        weights = (c.interaction_weight, c.popularity_weight, c.recency_weight)
-        return feed_ops.feed_scores(self.candidates, weights, c.decimals)
+        """All candidates with their blended score."""
+        return self._score(self._candidate_rows)
 
     @cached_property
     def feed(self) -> DataFrame:
         """The ranked feed."""
-        return feed_ops.user_feed(self.scored, self.config.feed_length)
+        extra = self._recommended_rows
+        return feed_ops.user_feed(
+            self._score(self._touched),
+            None if extra is None else self._score(extra),
+            self.config.feed_length,
+        )

@@ -45,12 +45,16 @@ def test_dropping_seen_posts_before_or_after_the_merge_is_the_same(table):
     assert rows(before) == rows(recommend.recommendations(near, scores, 4))
 
 
+def score(rows_, signals):
+    return feed.feed_scores(feed.feed_candidates(rows_, signals), WEIGHTS, 4)
+
+
 def scored(table, interaction, recommended, signals):
-    recs = None if recommended is None else table(recommended, RECOMMENDATIONS)
-    candidates = feed.feed_candidates(
-        table(interaction, INTERACTION), recs, table(signals, SIGNALS), 0.5
-    )
-    return feed.feed_scores(candidates, WEIGHTS, 4)
+    candidates = feed.touched(table(interaction, INTERACTION))
+    if recommended is not None:
+        extra = feed.recommended(table(recommended, RECOMMENDATIONS), 0.5)
+        candidates = candidates.unionByName(extra)
+    return score(candidates, table(signals, SIGNALS))
 
 
 def test_feed_score_by_hand(table):
@@ -68,33 +72,38 @@ def test_recommended_posts_get_the_base_score(table):
 
 
 def test_a_post_from_both_sources_keeps_its_higher_score(table):
-    both = scored(table, [(1, 1, 1.0), (2, 1, 0.1)], [(1, 1, 0.5, 1), (2, 1, 0.5, 1)], [])
-    assert rows(feed.best_scores(both)) == [(1, 1, 0.5), (2, 1, 0.25)]
-    assert rows(feed.user_feed(both, 10)) == [(1, 1, 0.5), (2, 1, 0.25)]
+    own = table([(1, 1, 0.5), (2, 1, 0.05)], USER_FEED)
+    extra = table([(1, 1, 0.25), (2, 1, 0.25)], USER_FEED)
+    expected = [(1, 1, 0.5), (2, 1, 0.25)]
+    assert rows(feed.best_scores(own.unionByName(extra))) == expected
+    for length in (1, 10):
+        assert rows(feed.user_feed(own, extra, length)) == expected
 
 
 def test_equal_scores_go_by_post(table):
     tied = table([(1, p, 0.5) for p in range(112, 100, -1)], USER_FEED)
-    assert [r[1] for r in rows(feed.user_feed(tied, 10))] == list(range(101, 111))
+    for feeds in (feed.ranked(tied, 10), feed.user_feed(tied, None, 10)):
+        assert [r[1] for r in rows(feeds)] == list(range(101, 111))
 
 
-def test_early_cut_loses_nothing(table):
+def test_recommendations_dropped_early_change_nothing(table):
     draw = random.Random(4)
-    values = [
-        (u, p, draw.choice([0.1, 0.2, 0.3, 0.4]))
-        for u in range(20)
-        for p in range(30)
-        for _ in range(draw.randint(0, 2))
+    values = [0.1, 0.2, 0.3, 0.4]
+    own = [(u, p, draw.choice(values)) for u in range(20) for p in range(u)]
+    extra = [
+        (u, draw.randint(0, 30), draw.choice(values)) for u in range(25) for _ in range(12)
     ]
-    all_rows = table(values, USER_FEED)
     best = {}
-    for u, p, s in values:
+    for u, p, s in own + extra:
         best[u, p] = max(s, best.get((u, p), 0.0))
     expected = []
-    for user in range(20):
+    for user in range(25):
         mine = sorted((-s, p) for (u, p), s in best.items() if u == user)[:4]
         expected += [(user, p, -s) for s, p in mine]
-    assert rows(feed.user_feed(all_rows, 4)) == sorted(expected, key=repr)
+    expected.sort(key=repr)
+    own, extra = table(own, USER_FEED), table(extra, USER_FEED)
+    assert rows(feed.user_feed(own, extra, 4)) == expected
+    assert rows(feed.ranked(own.unionByName(extra), 4)) == expected
 
 
 def test_feed_of_chosen_users(table):

@@ -61,7 +61,9 @@ def test_floors_cut_edges_but_no_neighbour(table):
         USER_POST_SCORES,
     )
     similar = similarity.user_similarity(similarity.pair_dot_products(scores, 1000)).cache()
-    edges = neighbours._light_edges(similarity.with_norms(scores), 2)
+    edges = neighbours._light_edges(
+        scores, neighbours._light_users(similarity.with_norms(scores), 2)
+    )
     assert edges.count() < similarity.bidirectional(similar).count() / 2
     assert rows(neighbours.nearest_users(scores, 2, heavy=None)) == rows(
         neighbours.top_similar_users(similar, 2)
