@@ -65,30 +65,64 @@ def ranked(scored: DataFrame, length: int) -> DataFrame:
     return top_per_group(best_scores(scored), ["user_id"], best_first(), length)
 
 
-def user_feed(
-    touched_scored: DataFrame, recommended_scored: DataFrame | None, length: int
-) -> DataFrame:
-    """Each user's best posts, touched (one row per user and post) or recommended.
+def touched_feed(touched_scored: DataFrame, length: int) -> DataFrame:
+    """Each user's best touched posts, given one row per user and post."""
+    return top_per_group(touched_scored, ["user_id"], best_first(), length)
+
+
+def last_scores(own: DataFrame, length: int) -> DataFrame:
+    """What a post needs to enter a feed whose touched posts alone fill it.
 
     A user with ``length`` touched posts cannot have a feed that ends below the last
-    of them.  Recommendations below that score, most of them as a rule, go before
-    they are shuffled, compared with touched posts, or sorted.
+    of them.
     """
-    own = top_per_group(touched_scored, ["user_id"], best_first(), length)
-    if recommended_scored is None:
-        return own
-    last = (
+    return (
         own.groupBy("user_id")
         .agg(F.min("feed_score").alias("last_score"), F.count(F.lit(1)).alias("n_posts"))
         .where(F.col("n_posts") >= length)
         .select("user_id", "last_score")
     )
-    in_reach = (
-        recommended_scored.join(last, "user_id", "left")
-        .where(F.col("last_score").isNull() | (F.col("feed_score") >= F.col("last_score")))
-        .drop("last_score")
+
+
+def in_reach(scored: DataFrame) -> DataFrame:
+    """Rows that can enter the feed of their user, from those with a ``last_score``."""
+    last = F.col("last_score")
+    return scored.where(last.isNull() | (F.col("feed_score") >= last)).drop("last_score")
+
+
+def user_feed(own: DataFrame, recommended_scored: DataFrame, length: int) -> DataFrame:
+    """Each user's best posts: those of ``touched_feed``, or recommended.
+
+    Recommendations out of reach, most of them as a rule, go before they are
+    compared with touched posts or sorted.
+    """
+    extra = in_reach(recommended_scored.join(last_scores(own, length), "user_id", "left"))
+    return ranked(own.unionByName(extra), length)
+
+
+def user_feed_of_neighbours(
+    own: DataFrame,
+    neighbours: DataFrame,
+    liked_scored: DataFrame,
+    scores: DataFrame,
+    length: int,
+) -> DataFrame:
+    """:func:`user_feed` without a table of recommendations.
+
+    A recommended post scores the same for everybody, so it is scored where it is
+    liked (``liked_scored``), and what it needs comes with the short list of
+    neighbours.  Candidates out of reach end in the task that pairs the two; only
+    the others are shuffled to drop those already seen.
+    """
+    liked = liked_scored.select(
+        F.col("user_id").alias("similar_user"), "post_id", "feed_score"
+    )
+    asking = neighbours.select("user_id", "similar_user").join(
+        last_scores(own, length), "user_id", "left"
     )
-    return ranked(own.unionByName(in_reach), length)
+    extra = in_reach(asking.join(liked, "similar_user").drop("similar_user"))
+    unseen = extra.join(scores.select("user_id", "post_id"), ["user_id", "post_id"], "left_anti")
+    return ranked(own.unionByName(unseen), length)
 
 
 def feed_for_users(feed: DataFrame, user_ids: Sequence[int]) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from rankflow.config import FeedConfig
 from rankflow.operators import feed as feed_ops
@@ -147,12 +148,23 @@ class FeedRun:
         """All candidates with their blended score."""
         return self._score(self._candidate_rows)
 
+    @cached_property
+    def touched_feed(self) -> DataFrame:
+        """The ranked feed of touched posts, stored."""
+        own = feed_ops.touched_feed(self._score(self._touched), self.config.feed_length)
+        return self._workspace.keep(own, "touched_feed")
+
     @cached_property
     def feed(self) -> DataFrame:
         """The ranked feed."""
-        extra = self._recommended_rows
-        return feed_ops.user_feed(
-            self._score(self._touched),
-            None if extra is None else self._score(extra),
-            self.config.feed_length,
+        length = self.config.feed_length
+        if not self._with_recommendations:
+            return self.touched_feed
+        if self._recommended is not None:
+            extra = self._score(self._recommended_rows)
+            return feed_ops.user_feed(self.touched_feed, extra, length)
+        base = F.lit(self.config.recommended_base_score).alias("interaction_score")
+        liked = self._score(self.scores.select("user_id", "post_id", base))
+        return feed_ops.user_feed_of_neighbours(
+            self.touched_feed, self.neighbours, liked, self.scores, length
         )

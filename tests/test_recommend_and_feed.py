@@ -77,12 +77,12 @@ def test_a_post_from_both_sources_keeps_its_higher_score(table):
     expected = [(1, 1, 0.5), (2, 1, 0.25)]
     assert rows(feed.best_scores(own.unionByName(extra))) == expected
     for length in (1, 10):
-        assert rows(feed.user_feed(own, extra, length)) == expected
+        assert rows(feed.user_feed(feed.touched_feed(own, length), extra, length)) == expected
 
 
 def test_equal_scores_go_by_post(table):
     tied = table([(1, p, 0.5) for p in range(112, 100, -1)], USER_FEED)
-    for feeds in (feed.ranked(tied, 10), feed.user_feed(tied, None, 10)):
+    for feeds in (feed.ranked(tied, 10), feed.touched_feed(tied, 10)):
         assert [r[1] for r in rows(feeds)] == list(range(101, 111))
 
 
@@ -102,10 +102,32 @@ def test_recommendations_dropped_early_change_nothing(table):
         expected += [(user, p, -s) for s, p in mine]
     expected.sort(key=repr)
     own, extra = table(own, USER_FEED), table(extra, USER_FEED)
-    assert rows(feed.user_feed(own, extra, 4)) == expected
+    assert rows(feed.user_feed(feed.touched_feed(own, 4), extra, 4)) == expected
     assert rows(feed.ranked(own.unionByName(extra), 4)) == expected
 
 
+def test_feed_from_neighbours_equals_feed_from_recommendations(table):
+    draw = random.Random(9)
+    matrix = [
+        (u, p, draw.randint(0, 5)) for u in range(25) for p in range(40) if draw.random() < 0.2
+    ]
+    scores = table(matrix, USER_POST_SCORES)
+    near = table(
+        [(u, v, draw.random()) for u in range(25) for v in draw.sample(range(25), 4) if u != v],
+        NEIGHBOURS,
+    )
+    signals = table([(p, draw.random(), draw.random()) for p in range(35)], SIGNALS)
+    own = score(
+        table([(u, p, s / 5) for u, p, s in matrix], INTERACTION), signals
+    )
+    extra = score(feed.recommended(recommend.recommendations(near, scores, 4), 0.5), signals)
+    liked = score(table([(u, p, 0.5) for u, p, _ in matrix], INTERACTION), signals)
+    expected = rows(feed.ranked(own.unionByName(extra), 6))
+    best_own = feed.touched_feed(own, 6)
+    assert rows(feed.user_feed(best_own, extra, 6)) == expected
+    assert rows(feed.user_feed_of_neighbours(best_own, near, liked, scores, 6)) == expected
+
+
 def test_feed_of_chosen_users(table):
     all_feeds = table([(u, 1, 0.5) for u in range(5)], USER_FEED)
     assert [r[0] for r in rows(feed.feed_for_users(all_feeds, [1, 3]))] == [1, 3]
