@@ -73,3 +73,14 @@ def test_workspace_uses_the_folder_of_the_session(spark, table):
     assert kept.schema == schemas.POSTS
     assert rows(kept) == sorted(POSTS, key=repr)
     assert all(work.path("posts") in f for f in kept.inputFiles())
+
+
+def test_workspace_without_a_shared_folder_persists(spark, table, monkeypatch):
+    monkeypatch.setattr("rankflow.sources.workspace.shared_folder", lambda spark: None)
+    work = Workspace(spark)
+    kept = work.keep(table(POSTS, schemas.POSTS), "posts")
+    assert kept.storageLevel.useDisk and not kept.storageLevel.useMemory
+    assert rows(kept) == sorted(POSTS, key=repr)
+    kept.unpersist()
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        work.path("posts")
