@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_TRENDING_ORDER = (F.desc, "total_interactions"), (F.asc, "post_id")
-
 
 def _by_trend() -> list:
-    return [direction(name) for direction, name in _TRENDING_ORDER]
+    return [F.desc("total_interactions"), F.asc("post_id")]
 
 
 def post_counts(interactions: DataFrame) -> DataFrame:
