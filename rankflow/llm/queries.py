@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from rankflow.llm.quality_rules import op2_quality_rules
+from rankflow.llm.toxicity import op5_toxicity
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_quality_rules,)}
+    return {f.__name__: f for f in (op2_quality_rules, op5_toxicity)}
 
 
 def llm_sql() -> dict[str, str]:
