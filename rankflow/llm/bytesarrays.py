@@ -19,6 +19,10 @@ PIECE_BYTES = 2_000_000
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
+#: ASCII letters and digits, and all bytes of other characters, make the words of a normalised text.
+BREAK = np.ones(256, bool)
+BREAK[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
+
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers that spreads every input bit over the output."""

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankflow.llm.bytesarrays import Texts, pieces, span_hashes
+from rankflow.llm.bytesarrays import BREAK, Texts, pieces, span_hashes
 from rankflow.llm.labelled import labelled_sample
 
 #: Labelled documents that the model is fitted on, at most.
@@ -31,15 +31,11 @@ GRADES = 3
 #: A document is rejected where grade 1 or above has at least this probability.
 REJECT_FROM = 0.5
 
-#: ASCII letters and digits, and all bytes of other characters, make words.
-_BREAK = np.ones(256, bool)
-_BREAK[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
-
 
 def word_counts(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """Text number, column and count of every distinct hashed word, sorted by text."""
     flat = Texts.of(pc.utf8_lower(texts))
-    starts, ends, of = flat.spans(_BREAK[flat.data])
+    starts, ends, of = flat.spans(BREAK[flat.data])
     long = ends - starts > STEM
     stems = span_hashes(flat.data, starts[long], starts[long] + STEM) * np.uint64(3)
     column = np.concatenate([span_hashes(flat.data, starts, ends), stems]) >> np.uint64(64 - BITS)
