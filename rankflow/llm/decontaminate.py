@@ -135,7 +135,9 @@ def matches(texts: pa.Array, index: list[Items], similarity: float, radius: int)
 
 
 def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    first = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.zeros(0, int)
+    if not len(values):
+        return values, values, values
+    first = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
     return values[first], first, np.append(first[1:], len(values))
 
 
