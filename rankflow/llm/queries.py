@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rankflow.llm.decontaminate import op3_decontaminate
 from rankflow.llm.quality_rules import op2_quality_rules
+from rankflow.llm.sentencepieces import op10_sentencepiece
 from rankflow.llm.simhash_dedup import op8_simhash_dedup
 from rankflow.llm.surrogates import op9_pii_surrogates
 from rankflow.llm.toxicity import op5_toxicity
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_quality_rules, op3_decontaminate, op5_toxicity, op8_simhash_dedup, op9_pii_surrogates)}
+    return {f.__name__: f for f in (op2_quality_rules, op3_decontaminate, op5_toxicity, op8_simhash_dedup, op9_pii_surrogates, op10_sentencepiece)}
 
 
 def llm_sql() -> dict[str, str]:
