@@ -7,17 +7,32 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from rankflow.llm.decontaminate import op3_decontaminate
+from rankflow.llm.pairwise_quality import op4_pairwise_quality
 from rankflow.llm.quality_rules import op2_quality_rules
 from rankflow.llm.sentencepieces import op10_sentencepiece
+from rankflow.llm.sharding import OP7_SQL, op7_sharding
 from rankflow.llm.simhash_dedup import op8_simhash_dedup
 from rankflow.llm.surrogates import op9_pii_surrogates
+from rankflow.llm.token_counts import op1_token_counts
 from rankflow.llm.toxicity import op5_toxicity
 
+_QUERIES = (
+    op1_token_counts,
+    op2_quality_rules,
+    op3_decontaminate,
+    op4_pairwise_quality,
+    op5_toxicity,
+    op7_sharding,
+    op8_simhash_dedup,
+    op9_pii_surrogates,
+    op10_sentencepiece,
+)
+
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_quality_rules, op3_decontaminate, op5_toxicity, op8_simhash_dedup, op9_pii_surrogates, op10_sentencepiece)}
+    return {f.__name__: f for f in _QUERIES}
 
 
 def llm_sql() -> dict[str, str]:
     """SQL counterparts, where SQL can express the operator."""
-    return {}
+    return {"op7_sharding": OP7_SQL}
