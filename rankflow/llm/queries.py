@@ -12,6 +12,7 @@ from rankflow.llm.quality_rules import op2_quality_rules
 from rankflow.llm.sentencepieces import op10_sentencepiece
 from rankflow.llm.sharding import OP7_SQL, op7_sharding
 from rankflow.llm.simhash_dedup import op8_simhash_dedup
+from rankflow.llm.suffix_dedup import op6_suffix_dedup
 from rankflow.llm.surrogates import op9_pii_surrogates
 from rankflow.llm.token_counts import op1_token_counts
 from rankflow.llm.toxicity import op5_toxicity
@@ -22,6 +23,7 @@ _QUERIES = (
     op3_decontaminate,
     op4_pairwise_quality,
     op5_toxicity,
+    op6_suffix_dedup,
     op7_sharding,
     op8_simhash_dedup,
     op9_pii_surrogates,
