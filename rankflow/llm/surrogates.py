@@ -203,12 +203,11 @@ def replace_entities(documents: DataFrame, key: str = KEY, work: Workspace | Non
     per_row = new.groupBy("_id", "_h1", "_h2").agg(F.array_sort(F.collect_set("_new")).alias("_new"))
 
     columns = [c for c in documents.columns if c != "n_entities"]
-    text = F.array_join(
-        F.transform(F.split("text", MENTION, -1), lambda part, i: F.concat(part, F.coalesce(F.get(F.col("_new"), i)["value"], F.lit("")))), ""
-    )
-    held = documents.where(has).select(*columns, *(c.alias(f"{n}") for c, n in zip(row_key, ("_k0", "_k1", "_k2"), strict=True)))
+    old = F.col("_row.text")
+    text = F.array_join(F.transform(F.split(old, MENTION, -1), lambda part, i: F.concat(part, F.coalesce(F.get(F.col("_new"), i)["value"], F.lit("")))), "")
+    held = documents.where(has).select(F.struct(*columns).alias("_row"), *(c.alias(n) for c, n in zip(row_key, ("_k0", "_k1", "_k2"), strict=True)))
     same = F.col("_k0").eqNullSafe(F.col("_id")) & (F.col("_k1") == F.col("_h1")) & (F.col("_k2") == F.col("_h2"))
-    changed = held.join(per_row, same).select(*(text.alias(c) if c == "text" else F.col(c) for c in columns), F.size("_new").alias("n_entities"))
+    changed = held.join(per_row, same).select(*((text if c == "text" else F.col("_row")[c]).alias(c) for c in columns), F.size("_new").alias("n_entities"))
     return documents.where(~has).select(*columns, F.lit(0).alias("n_entities")).union(changed)
 
 

@@ -1,0 +1,63 @@
+import re
+
+from rankflow.llm import surrogates as sur
+from rankflow.sources.workspace import Workspace
+
+LETTER = "Dear Mr. John Smith and Mrs Anna Lee, Mr John Smith; Госпожа Анна Петрова. Call +1 (017) 555-7713 or +1-017-555-7713, card 4111 1111 1111 1111 or 4111111111111111, ip 10.0.0.1, ssn 123-45-6789, A.B@C.ORG a.b@c.org key = \"04dbebab91ab85687d33eeaaf9ac699e1188f962\"."
+
+
+def test_surrogates_keep_kind_format_gender_script_and_coreference(docs):
+    text = sur.replace_entities(docs([(1, LETTER)])).first().text
+    for real in ("Smith", "Anna Lee", "Анна Петрова", "017", "4111", "10.0.0.1", "123-45", "a.b@", "04dbeb"):
+        assert real not in text
+    shape = r'Dear Mr\. (\w+ \w+) and Mrs (\w+ \w+), Mr (\w+ \w+); Госпожа ([А-Яа-я]+ [А-Яа-я]+)\. Call \+1 \((\d{3})\) (\d{3}-\d{4}) or \+1-(\d{3})-(\d{3}-\d{4}), card (\d{4} \d{4} \d{4} \d{4}) or (\d{16}), ip (\d+\.\d+\.\d+\.\d+), ssn \d{3}-\d{2}-\d{4}, ([A-Z]\.[A-Z]@[A-Z]\.ORG) ([a-z]\.[a-z]@[a-z]\.org) key = "([0-9a-f]{40})"\.'
+    m = re.fullmatch(shape, text)
+    assert m, text
+    assert m[1] == m[3] and m[5] + m[6] == m[7] + m[8] and m[9].replace(" ", "") == m[10] and m[12].lower() == m[13]
+    assert m[1].split()[0] in sur._FIRST_NAMES["latin", "m"] and m[2].split()[0] in sur._FIRST_NAMES["latin", "f"]
+    assert m[4].split()[0] in sur._FIRST_NAMES["cyrillic", "f"]
+
+
+def test_a_key_decides(docs):
+    one, two = (sur.replace_entities(docs([(1, LETTER)]), key).first().text for key in ("a", "b"))
+    assert one != two and one == sur.replace_entities(docs([(9, LETTER)]), "a").first().text
+
+
+def test_collisions_are_drawn_again(spark):
+    """Ten-letter format spaces of 100 values hold 90 entities, none of whose surrogates is real or shared."""
+    entities = spark.createDataFrame([("ssn", f"{i:02d}") for i in range(0, 90)], "kind string, normal string")
+    got = sur.assign_surrogates(entities, "k", Workspace(spark)).collect()
+    assert len(got) == 90 and len({r.surrogate for r in got}) == 90
+    assert not {r.surrogate for r in got} & {f"{i:02d}" for i in range(90)}
+
+
+def test_distinct_entities_stay_distinct(docs):
+    rows = [(i, f"write to user{i % 50}.{i % 100:02d}@mail{i % 7}.example.com from 10.{i % 256}.0.{i % 200}") for i in range(400)]
+    out = {r.doc_id: r.text for r in sur.replace_entities(docs(rows)).collect()}
+    for pattern in (r"\S+@\S+", r"\d+\.\d+\.\d+\.\d+"):
+        before, after = ([re.search(pattern, t)[0] for t in (dict(rows)[i], out[i])] for i in range(0)) if False else zip(*[(re.search(pattern, t)[0], re.search(pattern, out[i])[0]) for i, t in rows], strict=True)
+        assert len(set(zip(before, after, strict=True))) == len(set(before)) == len(set(after))
+        assert not set(before) & set(after)
+
+
+def test_clean_and_odd_rows_pass_unchanged(odd, docs):
+    clean = [(1, "1984 and 2020, 3.14, v1.2.3, 12:30:45, a@b, Mr smith, 555-12, 1,000,000,000,000"), (2, "x" * 50 + "@" + "y" * 50)]
+    assert {r.doc_id: (r.text, r.n_entities) for r in sur.replace_entities(docs(clean)).collect()} == {i: (t, 0) for i, t in clean}
+    same = sur.replace_entities(odd)
+    columns = [c for c in odd.columns if c != "n_entities"]
+    key = lambda rows: sorted((tuple(map(str, r)) for r in rows))
+    assert key(same.select(columns).collect()) == key(odd.select(columns).collect())
+    assert sur.replace_entities(docs([])).count() == 0
+
+
+def test_repeated_rows_and_null_ids_are_replaced_alike(docs):
+    text = "mail to some.one@mail1.example.com, twice some.one@mail1.example.com"
+    out = sur.replace_entities(docs([(1, text), (1, text), (None, text), (2, text + " x" * 100_000)])).collect()
+    assert len(out) == 4 and all(r.n_entities == 2 for r in out)
+    assert len({r.text[:60] for r in out}) == 1 and "some.one" not in out[0].text
+
+
+def test_no_python_in_the_plan(docs):
+    frame = sur.replace_entities(docs([(1, LETTER)]))
+    text = frame._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", text)
