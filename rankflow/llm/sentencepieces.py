@@ -14,20 +14,23 @@ import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from sentencepiece import sentencepiece_model_pb2
-from tokenizers import Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
+from tokenizers import Tokenizer, decoders, models, normalizers
 
 from rankflow.llm.bytesarrays import pieces
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Distinct units whose ids a task keeps from batch to batch.
-CACHE_UNITS = 100_000
+CACHE_UNITS = 300_000
 THREADS = 2
+#: Units in one string handed to the tokenizer.
+_JOINED = 64
 
 # Fixed values of the model format: the marker of a space, model types, piece types.
 _MARK = "▁"
@@ -46,7 +49,10 @@ class Rebuilt:
     charsmap: normalizers.Normalizer | None
     whole: bool
     reference: sentencepiece.SentencePieceProcessor
-    known: dict[str, tuple[tuple[int, ...], bool, bool]] = field(default_factory=dict)
+    sizes: np.ndarray | None
+    known: dict[str, bytes] = field(default_factory=dict)
+    unlike: set[str] = field(default_factory=set)
+    lost: set[str] = field(default_factory=set)
 
     @classmethod
     def of(cls, model: bytes) -> Rebuilt:
@@ -70,12 +76,11 @@ class Rebuilt:
         tokenizer = Tokenizer(core)
         spans = any(_MARK in p.piece.lstrip(_MARK) for p in proto.pieces if p.type == _NORMAL)
         whole = spans or (rule.remove_extra_whitespaces and not rule.add_dummy_prefix)
-        if not whole:
-            tokenizer.pre_tokenizer = pre_tokenizers.Split(Regex(_UNIT), "isolated")
+        sizes = np.array([1 if p.type == 6 else len(p.piece.encode()) for p in proto.pieces])
         strip = [decoders.Strip(" ", 1, 0)] if rule.add_dummy_prefix else []
         tokenizer.decoder = decoders.Sequence([decoders.Replace(_MARK, " "), decoders.ByteFallback(), decoders.Fuse(), *strip])
         charsmap = normalizers.Precompiled(rule.precompiled_charsmap) if rule.precompiled_charsmap else None
-        return cls(model, tokenizer, rule.add_dummy_prefix, rule.remove_extra_whitespaces, charsmap, whole, sentencepiece.SentencePieceProcessor(model_proto=model))
+        return cls(model, tokenizer, rule.add_dummy_prefix, rule.remove_extra_whitespaces, charsmap, whole, sentencepiece.SentencePieceProcessor(model_proto=model), sizes if fallback and not whole else None)
 
     def normalise(self, text: str) -> str:
         """The text as the model sees it, with markers for spaces; empty stays empty."""
@@ -92,38 +97,64 @@ class Rebuilt:
         return ([plain] if plain else []) if self.whole else _FIND_UNITS(plain)
 
     def learn(self, units: list[str]) -> None:
-        """Encode units not known yet, compare with the reference, and decode."""
+        """Encode units not known yet, compare with the reference, and decode.
+
+        Units that begin with a marker and go on are joined, some dozens to a string: nothing
+        merges across their edges, and the bytes of the pieces tell where each unit ends.
+        """
         if len(self.known) > CACHE_UNITS:
             self.known.clear()
+            self.unlike.clear()
+            self.lost.clear()
         new = [u for u in dict.fromkeys(units) if u not in self.known]
-        for i in range(0, len(new), 20_000):
-            part = new[i : i + 20_000]
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-            plain = [u.removeprefix(_MARK) if self.prefix else u for u in part]
-            plain = [p.replace(_MARK, " ") for p in plain]
+        joins = [u for u in new if self.sizes is not None and u[0] == _MARK and u[-1] != _MARK]
+        self._learn([joins[i : i + _JOINED] for i in range(0, len(joins), _JOINED)])
+        self._learn([[u] for u in new if u not in self.known])
+
+    def _learn(self, groups: list[list[str]]) -> None:
+        for i in range(0, len(groups), 2_000):
+            part = groups[i : i + 2_000]
+            whole = ["".join(g) for g in part]
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)]
+            plain = [(u.removeprefix(_MARK) if self.prefix else u).replace(_MARK, " ") for u in whole]
             own = self.reference.encode(plain, num_threads=THREADS)
+            if self.prefix and _MARK in whole:  # a last space by itself: the reference adds a prefix to a word only
+                own[whole.index(_MARK)] = self.reference.encode("a ")[len(self.reference.encode("a")) :]
             back = self.tokenizer.decode_batch(found, skip_special_tokens=False)
-            for u, ids, ref, p, b in zip(part, found, own, plain, back, strict=True):
-                self.known[u] = (tuple(ids), ids == ref, p == b)
+            flat = np.fromiter(chain.from_iterable(found), "<i4")
+            if len(part[0]) > 1:
+                reach = np.cumsum(self.sizes[flat])
+                ends = 4 * (np.searchsorted(reach, np.cumsum([len(u.encode()) for g in part for u in g])) + 1)
+            else:
+                ends = 4 * np.cumsum([len(f) for f in found])
+            raw, at = flat.tobytes(), 0
+            for u, end in zip(chain.from_iterable(part), ends.tolist(), strict=True):
+                self.known[u] = raw[at:end]
+                at = end
+            odd = [g for g, a, b, p, d in zip(part, found, own, plain, back, strict=True) if a != b or p != d]
+            for group in odd:
+                if len(group) > 1:
+                    self._learn([[u] for u in group])
+                else:
+                    k = part.index(group)
+                    self.unlike.update(group if found[k] != own[k] else ())
+                    self.lost.update(group if plain[k] != back[k] else ())
+
+    def survives(self, text: str) -> bool:
+        """Whether normalising, with the marker for the space, can be undone."""
+        if not self.charsmap and not self.squeeze:
+            return _MARK not in text
+        return self.normalise(text).replace(_MARK, " ").removeprefix(" " if self.prefix else "") == text
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[bool], list[bool]]:
         """Offsets and ids of all texts, and per text the parity and the round trip."""
         cut = [self.units(t) for t in texts]
         self.learn([u for own in cut for u in own])
-        ids: list[int] = []
-        ends, parity, trip = [0], [], []
-        for own, text in zip(cut, texts, strict=True):
-            try:
-                rows = [self.known[u] for u in own]
-            except KeyError:  # dropped from a full cache
-                self.learn(own)
-                rows = [self.known[u] for u in own]
-            for r in rows:
-                ids.extend(r[0])
-            ends.append(len(ids))
-            parity.append(all(r[1] for r in rows))
-            trip.append(all(r[2] for r in rows) and self.normalise(text).replace(_MARK, " ").removeprefix(" " if self.prefix else "") == text)
-        return np.array(ends, np.int32), np.array(ids, np.int32), parity, trip
+        parts = [b"".join(map(self.known.__getitem__, own)) for own in cut]
+        ends = np.cumsum([0] + [len(p) // 4 for p in parts])
+        parity = [not self.unlike or self.unlike.isdisjoint(own) for own in cut]
+        trip = [(not self.lost or self.lost.isdisjoint(own)) and self.survives(t) for own, t in zip(cut, texts, strict=True)]
+        return ends.astype(np.int32), np.frombuffer(b"".join(parts), "<i4"), parity, trip
 
 
 #: A run of markers with what follows it up to the next marker.

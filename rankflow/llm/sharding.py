@@ -66,9 +66,9 @@ def assign_shards(documents: DataFrame, key: str = "doc_id", limit: int = SHARD_
 
 
 def write_shards(documents: DataFrame, path: str, key: str = "doc_id", limit: int = SHARD_BYTES) -> None:
-    """The rows as parquet under ``path``, one folder per shard; keys must be unique and not null."""
-    shards = assign_shards(documents, key, limit).select(key, F.concat(F.lit("b"), "shard").alias("shard"))
-    documents.join(shards, key).repartition("shard").write.partitionBy("shard").parquet(path)
+    """The rows as parquet under ``path``, one folder ``_shard=b<bits>`` per shard; keys must be unique and not null."""
+    shards = assign_shards(documents, key, limit).select(key, F.concat(F.lit("b"), "shard").alias("_shard"))
+    documents.join(shards, key).repartition("_shard").write.partitionBy("_shard").parquet(path)
 
 
 def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
