@@ -2,9 +2,9 @@
 
 ``BENCH_SF_DIR`` names the tables, ``BENCH_CPUS`` the cores.  A time covers building
 the query, all tables it stores on the way, and computing every row of the result
-from the raw tables.  Each query runs once on the smallest tables first, so that
-compilation in a fresh JVM is not measured, then ``BENCH_RUNS`` times (1 by
-default), of which the fastest counts.
+from the raw tables.  Each query runs ``BENCH_RUNS`` times (2 by default) on those very
+tables, and the fastest counts: steps that smaller tables never reach, and the
+compilation of their code, fall to the first run.
 """
 
 from __future__ import annotations
@@ -45,7 +45,7 @@ def _compute(query, spark: SparkSession, folder: str) -> float:
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count() or 8))
-    runs = int(os.environ.get("BENCH_RUNS", "1"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     chosen = os.environ.get("BENCH_QUERIES", "")
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -59,12 +59,9 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     queries = all_queries()
-    warm_up = os.path.join(os.path.dirname(folder.rstrip("/")), "sf0.001")
 
     seconds: dict[str, float] = {}
     for name in chosen.split(",") if chosen else _HEADLINE:
-        if os.path.isdir(warm_up):
-            _compute(queries[name], spark, warm_up)
         seconds[name] = round(
             min(_compute(queries[name], spark, folder) for _ in range(runs)), 3
         )

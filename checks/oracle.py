@@ -121,9 +121,26 @@ _EVENT_LOG = (
     "event_type as action, ts from events"
 )
 _EVENT_POSTS = (
-    "select e.post_id, p_type as topic, creator_id, timestamp from "
+    "select p_partkey as post_id, p_type as topic, creator_id, timestamp from part left join "
     "(select post_id, min(user_id) as creator_id, cast(min(ts) as date) as timestamp "
-    f"from ({_EVENT_LOG}) group by post_id) e join part on p_partkey = e.post_id"
+    f"from ({_EVENT_LOG}) group by post_id) e on p_partkey = e.post_id"
+)
+_SEEN_POSTS = f"select * from ({_EVENT_POSTS}) where timestamp is not null"
+_REPEATED_POSTS = (
+    "select post_id, topic, creator_id, timestamp from "
+    "(select p_partkey as post_id, p_type as topic, l_suppkey as creator_id, "
+    "cast(l_shipdate as date) as timestamp from part join lineitem on l_partkey = p_partkey)"
+)
+_POST_DIRECTORY = (
+    "select post_id, topic, creator_id, timestamp from (select * from first_posts "
+    f"union all {_REPEATED_POSTS}) qualify row_number() over (partition by post_id order by "
+    "topic desc nulls last, creator_id desc nulls last, timestamp desc nulls last) = 1"
+)
+_USER_DIRECTORY = (
+    "select user_id, location, interest from (select * from users union all "
+    "select user_id, location, o_orderpriority from users join orders on o_custkey = user_id) "
+    "qualify row_number() over (partition by user_id order by location desc nulls last, "
+    "interest desc nulls last) = 1"
 )
 _EVENTS = _Mapping(
     interactions=_EVENT_LOG,
@@ -138,6 +155,12 @@ _EVENTS = _Mapping(
 def all_sql() -> dict[str, str]:
     """SQL by query name."""
     orders, events = _ORDERS.sql, _EVENTS.sql
+
+    def directory(final: str) -> str:
+        first = {"first_posts": _ORDERS.parts["posts"]}
+        parts = first | _ORDERS.parts | {"posts": _POST_DIRECTORY}
+        return "with " + ",\n".join(f"{n} as ({q})" for n, q in parts.items()) + f"\n{final}"
+
     top_of = "order by total_interactions desc, post_id"
     neighbours = "select * from neighbours"
     foreign = _ORDERS.sql("select user_id, recommended_post_id from recommended")
@@ -175,7 +198,7 @@ def all_sql() -> dict[str, str]:
         "trending_counts": orders("select * from counts"),
         "trending_posts": orders("select * from trending"),
         "trending_posts_events": events("select * from trending"),
-        "trending_partial_catalogue": orders("select * from trending", posts=_EVENT_POSTS),
+        "trending_partial_catalogue": orders("select * from trending", posts=_SEEN_POSTS),
         "trending_top20": orders("select * from top20"),
         "trending_cards": orders(
             f"select cast(row_number() over ({top_of}) as integer) as place, post_id, topic, "
@@ -214,7 +237,7 @@ def all_sql() -> dict[str, str]:
             "coalesce(cast(creator_id as varchar), 'Unknown') as creator_id, "
             "coalesce(cast(timestamp as varchar), 'Unknown') as timestamp "
             "from feed left join catalogue using (post_id)",
-            catalogue=_EVENT_POSTS,
+            catalogue=_SEEN_POSTS,
         ),
         "feed_cards": orders(
             "select user_id, cast(row_number() over (partition by user_id "
@@ -235,9 +258,19 @@ def all_sql() -> dict[str, str]:
             "from (select coalesce(action, '') as action, count(*) as n "
             "from interactions group by 1)"
         ),
-        "user_directory": orders("select * from users"),
+        "user_directory": orders(_USER_DIRECTORY),
         "duplicate_posts": orders(
-            "select post_id, count(*) as n_rows from scores group by post_id having count(*) > 1"
+            f"select post_id, count(*) as n_rows from (select * from posts union all "
+            f"{_REPEATED_POSTS}) group by post_id having count(*) > 1"
+        ),
+        "post_directory": directory("select * from posts"),
+        "feed_duplicate_posts": directory("select * from feed"),
+        "neighbour_products": orders(
+            "select p.user_a, p.user_b, dot_product, shared_posts, cosine_similarity "
+            "from pairs p join similarity s on p.user_a = s.user_a and p.user_b = s.user_b "
+            "where exists (select 1 from neighbours n where "
+            "(n.user_id = p.user_a and n.similar_user = p.user_b) or "
+            "(n.user_id = p.user_b and n.similar_user = p.user_a))"
         ),
         "run_counts": orders(
             "select (select count(*) from interactions) as n_interactions, "

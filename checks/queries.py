@@ -235,7 +235,7 @@ def trending_posts_events(spark, folder):
 
 @_query
 def trending_partial_catalogue(spark, folder):
-    return _trending(OrdersInputs(spark, folder), EventsInputs(spark, folder).posts)
+    return _trending(OrdersInputs(spark, folder), EventsInputs(spark, folder).seen_posts)
 
 
 @_query
@@ -366,7 +366,8 @@ def feed_lists(spark, folder):
 def feed_detailed(spark, folder):
     """The user struct as columns, for comparison with SQL."""
     i = OrdersInputs(spark, folder)
-    return serving.feed_detailed(_run(i).feed, i.posts, i.users).select(
+    feed = _stored_feed(spark, _run(i))
+    return serving.feed_detailed(feed, i.posts, i.users).select(
         "user_id",
         F.col("user_info.location").alias("location"),
         F.col("user_info.interest").alias("interest"),
@@ -381,8 +382,8 @@ def feed_detailed(spark, folder):
 @_query
 def feed_detailed_unknown_posts(spark, folder):
     """As served, with ``Unknown`` for whatever a missing post lacks."""
-    i, catalogue = OrdersInputs(spark, folder), EventsInputs(spark, folder).posts
-    detailed = serving.feed_detailed(_run(i).feed, catalogue, i.users)
+    i, catalogue = OrdersInputs(spark, folder), EventsInputs(spark, folder).seen_posts
+    detailed = serving.feed_detailed(_stored_feed(spark, _run(i)), catalogue, i.users)
     served = {
         name: F.coalesce(F.col(name).cast("string"), F.lit("Unknown"))
         for name in ("creator_id", "timestamp")
@@ -415,16 +416,65 @@ def system_stats(spark, folder):
     return stats.withColumn("actions", F.array_join(F.array_sort(named), ";"))
 
 
+def _repeated_users(spark: SparkSession, folder: str) -> DataFrame:
+    """The customers, and again for each order, with its priority as interest."""
+    i = OrdersInputs(spark, folder)
+    orders = spark.read.parquet(f"{folder}/orders.parquet")
+    again = i.users.join(orders, F.col("user_id") == F.col("o_custkey")).select(
+        "user_id", "age", "location", F.col("o_orderpriority").alias("interest")
+    )
+    return i.users.unionByName(again)
+
+
+def _repeated_posts(spark: SparkSession, folder: str) -> DataFrame:
+    """The parts, and again for each order line, with its supplier and day."""
+    i = OrdersInputs(spark, folder)
+    lines = spark.read.parquet(f"{folder}/lineitem.parquet")
+    again = i.posts.select("post_id", "topic").join(
+        lines, F.col("post_id") == F.col("l_partkey")
+    )
+    return i.posts.unionByName(
+        again.select(
+            "post_id",
+            "topic",
+            F.col("l_suppkey").alias("creator_id"),
+            F.to_date("l_shipdate").alias("timestamp"),
+        )
+    )
+
+
 @_query
 def user_directory(spark, folder):
-    return schemas.one_row_per_key(OrdersInputs(spark, folder).users, "user_id").drop("age")
+    return schemas.one_row_per_key(_repeated_users(spark, folder), "user_id").drop("age")
 
 
 @_query
 def duplicate_posts(spark, folder):
-    """Posts that a user's order lines name more than once, by pair count."""
-    pairs = _orders_scores(spark, folder)
-    return schemas.duplicate_keys(pairs, "post_id")
+    """Posts listed more than once in a catalogue."""
+    return schemas.duplicate_keys(_repeated_posts(spark, folder), "post_id")
+
+
+@_query
+def post_directory(spark, folder):
+    return schemas.one_row_per_key(_repeated_posts(spark, folder), "post_id")
+
+
+@_query
+def feed_duplicate_posts(spark, folder):
+    """A feed whose catalogue lists posts many times."""
+    i = OrdersInputs(spark, folder)
+    return FeedRun(i.interactions, _repeated_posts(spark, folder), i.config).feed
+
+
+@_query
+def neighbour_products(spark, folder):
+    """What each user has in common with its closest users."""
+    run = _run(OrdersInputs(spark, folder))
+    edges = run.neighbours.select(
+        F.least("user_id", "similar_user").alias("user_a"),
+        F.greatest("user_id", "similar_user").alias("user_b"),
+    )
+    return similarity.edge_products(edges, run.scores)
 
 
 @_query

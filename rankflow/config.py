@@ -25,7 +25,7 @@ class FeedConfig:
     """Parameters shared by the jobs in :mod:`rankflow.plans`.
 
     ``heavy_post_users`` and ``block_users`` steer only how work is split, never
-    the result: posts touched by more users than ``heavy_post_users`` leave the
+    the result, whatever the signs and types of the scores: posts touched by more users than ``heavy_post_users`` leave the
     post-by-post self-join and are compared in blocks of ``block_users`` users.
     """
 

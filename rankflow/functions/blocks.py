@@ -27,7 +27,7 @@ def cell_neighbours(k: int):
         lengths = np.outer(np.sqrt(norms), np.sqrt(other_norms))
         # Ranked out: users who share nothing, and the user itself.
         shared &= ids[:, None] != other_ids[None, :]
-        value = np.where(shared, dot / lengths, -1.0)
+        value = np.where(shared, dot / lengths, -np.inf)
         row, column = _first_k(value, k)
         return pa.table(
             {
@@ -60,7 +60,7 @@ def _products(n_left: int, left, n_right: int, right):
     """
     dot = np.zeros((n_left, n_right))
     common = np.intersect1d(left[1], right[1])
-    zero_scores = not (left[2].all() and right[2].all())
+    positive = (left[2] > 0).all() and (right[2] > 0).all()
     shared = np.zeros((n_left, n_right), dtype=bool)
 
     def dense(n_rows, entries, posts, presence=False):
@@ -74,18 +74,18 @@ def _products(n_left: int, left, n_right: int, right):
     for start in range(0, len(common), _COLUMNS_AT_ONCE):
         posts = common[start : start + _COLUMNS_AT_ONCE]
         dot += dense(n_left, left, posts) @ dense(n_right, right, posts).T
-        if zero_scores:
+        if not positive:
             shared |= (dense(n_left, left, posts, True) @ dense(n_right, right, posts, True).T) > 0
-    return dot, (shared if zero_scores else dot > 0)
+    return dot, (dot > 0 if positive else shared)
 
 
 def _first_k(value: np.ndarray, k: int):
-    """Positions of each row's K largest values >= 0; of equal values the leftmost."""
+    """Positions of each row's K largest finite values; of equal values the leftmost."""
     width = value.shape[1]
     if width <= k:
-        return np.nonzero(value >= 0)
+        return np.nonzero(np.isfinite(value))
     last = np.partition(value, width - k, axis=1)[:, width - k, None]
     above = value > last
-    at = (value == last) & (value >= 0)
+    at = (value == last) & np.isfinite(value)
     room = k - above.sum(axis=1, keepdims=True)
     return np.nonzero(above | (at & (np.cumsum(at, axis=1) <= room)))

@@ -66,8 +66,8 @@ def ranked(scored: DataFrame, length: int) -> DataFrame:
 
 
 def touched_feed(touched_scored: DataFrame, length: int) -> DataFrame:
-    """Each user's best touched posts, given one row per user and post."""
-    return top_per_group(touched_scored, ["user_id"], best_first(), length)
+    """Each user's best touched posts."""
+    return ranked(touched_scored, length)
 
 
 def last_scores(own: DataFrame, length: int) -> DataFrame:

@@ -20,6 +20,10 @@ small without losing a neighbour:
 A pair with light and heavy posts in common is exact in the first class and too
 low in the second.  Taking the larger value repairs it: whoever outranks a
 neighbour by a value that is too low outranks it by the true one.
+
+That, and the floors of the first class, need products that are not negative.  So
+where any score is negative, all posts count as heavy: vectors are then whole and
+the second class is exact alone.
 """
 
 from __future__ import annotations
@@ -31,7 +35,7 @@ from pyspark.sql import functions as F
 
 from rankflow.functions import cosine, spread, top_per_group
 from rankflow.functions.blocks import cell_neighbours
-from rankflow.operators.similarity import bidirectional, heavy_posts, with_norms
+from rankflow.operators.similarity import bidirectional, post_audience, with_norms
 
 # Room for the last bits in which a floor and a cosine are rounded differently.
 _ROUNDING_SLACK = 1.0 - 1e-9
@@ -48,26 +52,29 @@ def top_similar_users(similarity: DataFrame, k: int) -> DataFrame:
     return top_per_group(bidirectional(similarity), ["user_id"], closest_first(), k)
 
 
+def vector_posts(scores: DataFrame, heavy_post_users: int) -> DataFrame:
+    """Posts of more than ``heavy_post_users`` users; all of them where a score is negative."""
+    signed = scores.agg((F.min("total_score") < 0).alias("signed")).scalar()
+    large = F.col("n_users") > heavy_post_users
+    return post_audience(scores).where(large | F.coalesce(signed, F.lit(False)))
+
+
 def nearest_users(
     scores: DataFrame,
     k: int,
     *,
-    heavy: DataFrame | None,
+    heavy: DataFrame,
     block_users: int = 2048,
     keep: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
 ) -> DataFrame:
     """The K closest users per user, straight from the score matrix.
 
-    ``heavy`` lists the posts to treat as vectors, by ``post_id``; ``None`` says
-    that there are none.  ``keep`` may store an intermediate table that is read
-    more than once.
+    ``heavy`` lists the posts to treat as vectors, by ``post_id``, as
+    :func:`vector_posts` finds them.  ``keep`` may store an intermediate table that
+    is read more than once.
     """
     # A user without length has no similarity to anybody.
     normed = with_norms(scores).where("norm2 > 0")
-    if heavy is None:
-        users = keep(_light_users(normed, k), "light_users")
-        return top_per_group(_light_edges(scores, users), ["user_id"], closest_first(), k)
-
     heavy = heavy.select("post_id")
     vectors = keep(_heavy_vectors(normed.join(heavy, "post_id", "left_semi")), "heavy_vectors")
     chosen = keep(_representatives(vectors, k), "representatives")
@@ -89,7 +96,7 @@ def nearest_users_any(
     scores: DataFrame, k: int, *, heavy_post_users: int, block_users: int = 2048
 ) -> DataFrame:
     """:func:`nearest_users` with the heavy posts found in the same lazy plan."""
-    heavy = heavy_posts(scores, heavy_post_users)
+    heavy = vector_posts(scores, heavy_post_users)
     return nearest_users(scores, k, heavy=heavy, block_users=block_users)
 
 
@@ -139,18 +146,15 @@ def _light_dots(rows: DataFrame, carried: list[str]) -> DataFrame:
 
 
 def _light_edges(
-    scores: DataFrame, users: DataFrame, vectors: DataFrame | None = None
+    scores: DataFrame, users: DataFrame, vectors: DataFrame
 ) -> DataFrame:
     """Edges over light posts that may be among a user's K best, cosines exact.
 
-    With ``vectors``, what a pair has in common in heavy posts is added.  Only where
-    both users have a vector is there anything to add, so only those pairs join.
+    What a pair has in common in heavy posts is added.  Only where both users have a
+    vector is there anything to add, so only those pairs join.
     """
     rows = scores.select("user_id", "post_id", "total_score").join(users, "user_id")
     carried = ["norm2", "floor"]
-    if vectors is None:
-        return _edges_above_floor(_light_dots(rows, carried))
-
     has_vector = vectors.select("user_id", F.lit(True).alias("has_vector"))
     rows = rows.join(has_vector, "user_id", "left").fillna(False, ["has_vector"])
     dots = _light_dots(rows, [*carried, "has_vector"])
@@ -164,7 +168,7 @@ def _light_edges(
     )
     heavy_dot = F.aggregate(
         "vector_b",
-        F.lit(0).cast("bigint"),
+        F.lit(0).cast(dots.schema["dot"].dataType),
         lambda total, e: total
         + e["weights"] * F.coalesce(F.try_element_at("vector_a", e["posts"]), F.lit(0)),
     )

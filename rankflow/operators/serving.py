@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankflow.operators.feed import best_first
+from rankflow.sources.schemas import one_row_per_key
 
 _ENTRIES = "array<struct<post_id: bigint, feed_score: double>>"
 
@@ -32,13 +33,17 @@ def feed_lists(users: DataFrame, feed: DataFrame) -> DataFrame:
 def feed_detailed(feed: DataFrame, posts: DataFrame, users: DataFrame) -> DataFrame:
     """The feed with post metadata and a struct of user attributes.
 
+    A post or user listed more than once counts once, so the feed keeps its rows.
     Unknown topics read ``Unknown``; the typed columns of an unknown post are NULL,
     as is the struct of an unknown user.
     """
-    info = users.select(
+    listed = one_row_per_key(users.select("user_id", "age", "location", "interest"), "user_id")
+    info = listed.select(
         "user_id", F.struct("user_id", "age", "location", "interest").alias("user_info")
     )
-    catalogue = posts.select("post_id", "topic", "creator_id", "timestamp")
+    catalogue = one_row_per_key(
+        posts.select("post_id", "topic", "creator_id", "timestamp"), "post_id"
+    )
     return (
         feed.join(catalogue, "post_id", "left")
         .join(info, "user_id", "left")

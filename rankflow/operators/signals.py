@@ -42,10 +42,13 @@ def interaction_scores(scores: DataFrame, decimals: int) -> DataFrame:
     """Score relative to the user's best; 0.0 for a user whose best is 0.
 
     The best is an aggregate joined back rather than a window, because a window
-    would hold all rows of a user in one task; a skewed join can be split.
+    would hold all rows of a user in one task; a skewed join can be split.  Rows
+    without user are those of one unknown user.
     """
-    best = scores.groupBy("user_id").agg(F.max("total_score").alias("best_score"))
-    return scores.join(best, "user_id").select(
+    best = scores.groupBy(F.col("user_id").alias("_user")).agg(
+        F.max("total_score").alias("best_score")
+    )
+    return scores.join(best, F.col("user_id").eqNullSafe(F.col("_user"))).select(
         "user_id",
         "post_id",
         unit_ratio(F.col("total_score"), F.col("best_score"), decimals).alias(

@@ -94,6 +94,35 @@ def pair_dot_products(scores: DataFrame, heavy_post_users: int) -> DataFrame:
     )
 
 
+def edge_products(edges: DataFrame, scores: DataFrame) -> DataFrame:
+    """Dot product, number of shared posts and cosine of the given pairs only.
+
+    ``edges`` has ``user_a`` and ``user_b``.  Rows of scores are joined, never whole
+    vectors, and the result is as long as ``edges``: pairs without a common post, or
+    with a user of no length, are left out.
+    """
+    normed = with_norms(scores)
+
+    def side(s: str) -> DataFrame:
+        names = (("user_id", "user"), ("total_score", "score"), ("norm2", "norm2"))
+        return normed.select("post_id", *(F.col(n).alias(f"{m}_{s}") for n, m in names))
+
+    shared = (
+        edges.select("user_a", "user_b")
+        .distinct()
+        .join(side("a"), "user_a")
+        .join(side("b"), ["user_b", "post_id"])
+    )
+    dots = shared.groupBy("user_a", "user_b", "norm2_a", "norm2_b").agg(
+        F.sum(F.col("score_a") * F.col("score_b")).alias("dot_product"),
+        F.count(F.lit(1)).alias("shared_posts"),
+    )
+    value = cosine(F.col("dot_product"), F.col("norm2_a"), F.col("norm2_b"))
+    return dots.select(
+        "user_a", "user_b", "dot_product", "shared_posts", value.alias("cosine_similarity")
+    ).where(F.col("cosine_similarity").isNotNull())
+
+
 def user_similarity(pairs: DataFrame) -> DataFrame:
     """Cosine per pair from ``pair_dot_products``.
 

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from rankflow.config import FeedConfig
 from rankflow.operators import feed as feed_ops
 from rankflow.operators import neighbours as neighbour_ops
-from rankflow.operators import recommend, scoring, signals, similarity, trending
+from rankflow.operators import recommend, scoring, signals, trending
+from rankflow.sources import schemas
 from rankflow.sources.workspace import Workspace
 
 
@@ -24,7 +25,10 @@ class FeedRun:
     Every property is a DataFrame, built at first use.  ``pairs`` is written once
     and feeds all the rest, so the log is scanned and shuffled a single time.
     Saved ``scores`` or ``recommended`` tables may be passed in place of being
-    computed; ``with_recommendations=False`` ranks touched posts only.
+    computed; ``with_recommendations=False`` ranks touched posts only.  Tables are
+    checked on entry: a missing column or a type that would lose values raises
+    before any job starts.  A post listed more than once counts once, and of several
+    saved scores of one pair the greatest.
     """
 
     def __init__(
@@ -38,11 +42,16 @@ class FeedRun:
         with_recommendations: bool = True,
         workspace: Workspace | None = None,
     ):
-        self.interactions = interactions
-        self.posts = posts
+        self.interactions = schemas.require(interactions, schemas.INTERACTIONS)
+        self.posts = schemas.one_row_per_key(schemas.require(posts, schemas.POSTS), "post_id")
         self.config = config
         self._scores = scores
+        if scores is not None:
+            self._scores = schemas.require(scores, schemas.USER_POST_SCORES)
         self._recommended = recommended
+        if recommended is not None:
+            pair = ("user_id", "recommended_post_id")
+            self._recommended = schemas.require(recommended, schemas.RECOMMENDATIONS, pair)
         self._with_recommendations = with_recommendations
         self._workspace = workspace or Workspace(interactions.sparkSession)
 
@@ -56,18 +65,18 @@ class FeedRun:
     @cached_property
     def scores(self) -> DataFrame:
         """Score matrix: the given one, or that of the log."""
-        matrix = self.pairs if self._scores is None else self._scores
-        return matrix.select("user_id", "post_id", "total_score")
+        if self._scores is None:
+            return self.pairs.select("user_id", "post_id", "total_score")
+        merged = self._scores.groupBy("user_id", "post_id").agg(
+            F.max("total_score").alias("total_score")
+        )
+        return self._workspace.keep(merged, "scores")
 
     @cached_property
-    def heavy_posts(self) -> DataFrame | None:
-        """Posts with a large audience, stored; ``None`` if there are none.
-
-        The one look at data that steers a plan: a log without heavy posts needs
-        none of the steps for them.
-        """
-        heavy = similarity.heavy_posts(self.scores, self.config.heavy_post_users)
-        return None if heavy.isEmpty() else self._workspace.keep(heavy, "heavy_posts")
+    def heavy_posts(self) -> DataFrame:
+        """Posts compared as vectors, stored."""
+        heavy = neighbour_ops.vector_posts(self.scores, self.config.heavy_post_users)
+        return self._workspace.keep(heavy, "heavy_posts")
 
     @cached_property
     def neighbours(self) -> DataFrame:

@@ -113,14 +113,19 @@ class EventsInputs(Inputs):
 
     @cached_property
     def posts(self) -> DataFrame:
-        """Every part with an event, created by its lowest user on its first day."""
+        """Every part, created by its lowest user on the day of its first event, if any."""
         first_seen = self._events.groupBy("post_id").agg(
             F.min("user_id").alias("creator_id"), F.to_date(F.min("ts")).alias("timestamp")
         )
-        return first_seen.join(self._topics(), "post_id").select(
+        return self._topics().join(first_seen, "post_id", "left").select(
             "post_id", "topic", "creator_id", "timestamp"
         )
 
+    @cached_property
+    def seen_posts(self) -> DataFrame:
+        """The parts that an event names: a catalogue that lacks most posts."""
+        return self.posts.where(F.col("timestamp").isNotNull())
+
     @cached_property
     def users(self) -> DataFrame:
         """Every user with an event; nothing else is known."""

@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DateType,
     DoubleType,
     IntegerType,
+    IntegralType,
     LongType,
+    NullType,
+    NumericType,
     StringType,
     StructField,
     StructType,
+    TimestampNTZType,
+    TimestampType,
 )
 
 
@@ -50,18 +57,61 @@ TRENDING_POSTS = _table(
 USER_FEED = _table(("user_id", _ID), ("post_id", _ID), ("feed_score", DoubleType()))
 
 
+#: Columns that rows are joined on; losing one would lose rows.
+KEYS = {"user_id", "post_id", "recommended_post_id", "user_a", "user_b"}
+
+
+def _present(df: DataFrame, names: Sequence[str]) -> None:
+    absent = [name for name in names if name not in df.columns]
+    if absent:
+        raise ValueError(f"missing columns {absent}; found {df.columns}")
+
+
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Select the columns of ``schema`` in order, with its types.
 
-    A missing column is an error; a value that cannot be read as its type becomes
-    NULL, so that one bad date cannot stop a job.
+    A missing column is an error.  A value that cannot be read as its type becomes
+    NULL, so that one bad date cannot stop a job; but a key that cannot be read
+    stops it, as the rows would be lost in joins without a trace.
     """
-    absent = [name for name in schema.names if name not in df.columns]
-    if absent:
-        raise ValueError(f"missing columns {absent}; found {df.columns}")
-    return df.select(
-        *(F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields)
-    )
+    _present(df, schema.names)
+
+    def typed(field: StructField):
+        value = F.col(field.name).try_cast(field.dataType)
+        if field.name not in KEYS:
+            return value.alias(field.name)
+        text = F.col(field.name).cast("string")
+        bad = F.raise_error(F.concat(F.lit(f"unreadable {field.name}: "), text))
+        kept = F.when(value.isNull() & text.isNotNull(), bad.cast(field.dataType))
+        return kept.otherwise(value).alias(field.name)
+
+    return df.select(*map(typed, schema.fields))
+
+
+def require(
+    df: DataFrame, schema: StructType, columns: Sequence[str] | None = None
+) -> DataFrame:
+    """The columns of ``schema`` (or those named), if their types lose nothing.
+
+    Narrower integers widen.  A score may be fractional and stays so.  Anything else
+    of another type raises ``TypeError`` before a job starts.
+    """
+    names = list(columns or schema.names)
+    _present(df, names)
+
+    def checked(name: str):
+        found, wanted = df.schema[name].dataType, schema[name].dataType
+        if found == wanted or isinstance(found, NullType):
+            return F.col(name).cast(wanted).alias(name)
+        if isinstance(wanted, LongType) and isinstance(found, IntegralType):
+            return F.col(name).cast(wanted).alias(name)
+        if name == "total_score" and isinstance(found, NumericType):
+            return F.col(name).cast("double").alias(name)
+        if isinstance(wanted, DateType) and isinstance(found, (TimestampType, TimestampNTZType)):
+            return F.to_date(name).alias(name)
+        raise TypeError(f"{name} is {found.simpleString()}, not {wanted.simpleString()}")
+
+    return df.select(*map(checked, names))
 
 
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:

@@ -8,7 +8,6 @@ only when the files say it is small.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark import StorageLevel
@@ -20,23 +19,44 @@ _SETTING = "spark.checkpoint.dir"
 def shared_folder(spark: SparkSession) -> str | None:
     """The folder named by ``spark.checkpoint.dir``.
 
-    Where it is unset, a local-mode session gets a temporary folder; a cluster
-    session gets ``None``, since a folder of one machine is useless to the rest.
+    Where it is unset, a local-mode session, whose one machine holds all executors,
+    gets the session's warehouse folder, or Java's own if that cannot be made; a
+    cluster session gets ``None``, since a folder of one machine is useless to the
+    rest.
     """
     folder = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
     if not folder and spark.sparkContext.master.split("[")[0] == "local":
-        folder = tempfile.mkdtemp(prefix="rankflow-")
-        spark.sparkContext.setCheckpointDir(folder)
+        folder = spark.conf.get("spark.sql.warehouse.dir")
+        if not _can_make(spark, folder):
+            folder = "file://" + spark._jvm.java.lang.System.getProperty("java.io.tmpdir")
     return folder or None
 
 
+def _path_and_system(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _can_make(spark: SparkSession, folder: str) -> bool:
+    path, system = _path_and_system(spark, folder)
+    try:
+        return system.mkdirs(path)
+    except Exception:  # any refusal of the file system, as Java reports it
+        return False
+
+
 class Workspace:
-    """A fresh subfolder of the shared folder for the tables of one job run."""
+    """A fresh subfolder of the shared folder for the tables of one job run.
+
+    ``close()``, or the end of a ``with`` block, removes that subfolder and nothing
+    else; tables kept there cannot be read afterwards.
+    """
 
     def __init__(self, spark: SparkSession, folder: str | None = None):
         base = folder or shared_folder(spark)
         self._spark = spark
         self._root = f"{base.rstrip('/')}/rankflow/{uuid.uuid4().hex}" if base else None
+        self._persisted: list[DataFrame] = []
 
     def path(self, name: str) -> str:
         """Where the table ``name`` lives."""
@@ -47,6 +67,22 @@ class Workspace:
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         """``df`` written out and read back; persisted if there is no folder."""
         if self._root is None:
-            return df.persist(StorageLevel.DISK_ONLY)
+            self._persisted.append(df.persist(StorageLevel.DISK_ONLY))
+            return self._persisted[-1]
         df.write.parquet(self.path(name))
         return self._spark.read.schema(df.schema).parquet(self.path(name))
+
+    def close(self) -> None:
+        """Drop all tables of this run."""
+        for df in self._persisted:
+            df.unpersist()
+        self._persisted = []
+        if self._root is not None:
+            path, system = _path_and_system(self._spark, self._root)
+            system.delete(path, True)
+
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(self, *error: object) -> None:
+        self.close()

@@ -128,7 +128,7 @@ def test_many_users_with_one_vector(table, limit):
 )
 @given(
     triples=st.dictionaries(
-        st.tuples(st.integers(0, 9), st.integers(0, 5)), st.integers(0, 4), max_size=40
+        st.tuples(st.integers(0, 9), st.integers(0, 5)), st.integers(-3, 4), max_size=40
     ),
     limit=st.integers(1, 6),
     k=st.integers(1, 4),
@@ -141,6 +141,45 @@ def test_any_matrix_any_limit(table, triples, limit, k):
     assert rows(near) == brute_neighbours(triples, k)
 
 
+SIGNED = [(1, 0, 5), (1, 1, 5), (1, 2, 1), (2, 0, 5), (2, 1, -5), (3, 2, 1), (3, 3, 3)]
+
+
+@pytest.mark.parametrize("limit", [1, 2, 20, 500])
+@pytest.mark.parametrize("k", [1, 2, 5])
+def test_signed_scores_at_any_limit(table, limit, k):
+    draw = random.Random(11)
+    dense = [(u, p, draw.randint(-4, 4)) for u in range(30) for p in draw.sample(range(12), 6)]
+    for triples in (SIGNED, dense):
+        near = neighbours.nearest_users_any(
+            table(triples, USER_POST_SCORES), k, heavy_post_users=limit, block_users=8
+        )
+        assert rows(near) == brute_neighbours(triples, k)
+
+
+@pytest.mark.parametrize("limit", [1, 3, 500])
+@pytest.mark.parametrize("low", [0, -3])
+def test_fractional_scores_at_any_limit(table, limit, low):
+    draw = random.Random(12)
+    triples = [
+        (u, p, draw.uniform(low, 3)) for u in range(25) for p in draw.sample(range(15), 5)
+    ]
+    schema = "user_id bigint, post_id bigint, total_score double"
+    near = rows(neighbours.nearest_users_any(table(triples, schema), 3, heavy_post_users=limit))
+    expected = brute_neighbours(triples, 3)
+    assert [r[:2] for r in near] == [r[:2] for r in expected]
+    assert [r[2] for r in near] == pytest.approx([r[2] for r in expected])
+
+
+def test_products_of_given_pairs_only(table):
+    triples = random_triples(9, 20, 10, 0.4)
+    edges = table([(1, 2), (3, 4), (3, 4), (5, 19), (0, 99)], "user_a bigint, user_b bigint")
+    got = similarity.edge_products(edges, table(triples, USER_POST_SCORES))
+    every = brute_force(triples)
+    assert rows(got, "user_a", "user_b", "cosine_similarity") == sorted(
+        ((a, b, every[a, b]) for a, b in [(1, 2), (3, 4), (5, 19)] if (a, b) in every), key=repr
+    )
+
+
 def test_order_and_partitioning_of_input_change_nothing(table):
     triples = random_triples(5, 40, 15, 0.3)
     shuffled = triples[:]
