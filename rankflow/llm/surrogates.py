@@ -45,15 +45,18 @@ _PHONE = r"(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}|\(\d{
 _CARD = r"(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{1,7})(?![\p{L}\p{N}])"
 _SSN = r"\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}])"
 _SECRET = r"(?:[0-9a-f]{32,128}|[0-9A-F]{32,128}|AKIA[0-9A-Z]{16}|sk-[0-9A-Za-z]{20,128})(?![\p{L}\p{N}])"
+_LABEL = r"(?i:password|passwd|pwd|secret|token|api[_-]?key)\s{0,2}[=:]\s{0,2}[\"']?"
+_LABELLED = rf"{_LABEL}(?=[^\s\"']{{0,127}}\d)[A-Za-z0-9_/+=!@#$%^&*-]{{6,128}}(?![\p{{L}}\p{{N}}])"
 _TITLE = "|".join(sorted((t for own in _TITLES.values() for t in own), key=len, reverse=True))
 _NAME = rf"(?:{_TITLE})\.?[  ](?:\p{{Lu}}\p{{Ll}}{{1,40}})(?:[ -]\p{{Lu}}\p{{Ll}}{{1,40}}){{0,2}}"
-MENTION = rf"(?<![\p{{L}}\p{{N}}_])(?:{_EMAIL}|{_IP}|{_PHONE}|{_CARD}|{_SSN}|{_SECRET}|{_NAME})"
+MENTION = rf"(?<![\p{{L}}\p{{N}}_])(?:{_LABELLED}|{_EMAIL}|{_IP}|{_PHONE}|{_CARD}|{_SSN}|{_SECRET}|{_NAME})"
 
 
 def kind_of(mention: Column) -> Column:
     """The kind of a mention, by its shape."""
     return (
-        F.when(mention.contains("@"), "email")
+        F.when(mention.rlike(f"^{_LABEL}"), "secret")
+        .when(mention.contains("@"), "email")
         .when(mention.rlike(f"^(?:{_NAME})$"), "name")
         .when(mention.rlike(f"^(?:{_IP})$"), "ip")
         .when(mention.rlike(f"^(?:{_SSN})$"), "ssn")
@@ -71,7 +74,7 @@ def normal_of(mention: Column, kind: Column) -> Column:
         F.when(kind == "email", F.lower(mention))
         .when(kind.isin("phone", "card", "ssn"), F.regexp_replace(mention, r"[^0-9+]", ""))
         .when(kind == "name", F.concat(gender, F.lit(":"), F.regexp_replace(mention, rf"^(?:{_TITLE})\.?[  ]", "")))
-        .otherwise(mention)
+        .otherwise(F.regexp_replace(mention, f"^{_LABEL}", ""))
     )
 
 
@@ -177,10 +180,12 @@ def rendered(mention: Column, kind: Column, surrogate: Column) -> Column:
     laid = F.array_join(F.transform(F.filter(F.split(mention, ""), lambda c: c != ""), digit), "")
     rest = F.substring(digits, F.length(F.regexp_replace(mention, r"[^0-9]", "")) + 1, F.length(digits))
     title = F.regexp_extract(mention, rf"^(?:{_TITLE})\.?[  ]", 0)
+    label = F.regexp_extract(mention, f"^{_LABEL}", 0)
     return (
         F.when(kind.isin("phone", "card", "ssn"), F.concat(laid, rest))
         .when(kind == "name", F.concat(title, F.substring(surrogate, F.lit(3), F.length(surrogate))))
         .when((kind == "email") & (mention == F.upper(mention)), F.upper(surrogate))
+        .when(kind == "secret", F.concat(label, surrogate))
         .otherwise(surrogate)
     )
 
