@@ -16,12 +16,14 @@ A byte goes where it lies in a string of ``LENGTH`` bytes that starts anywhere e
 4. What was found goes back by run to the texts, where spans are joined and cut out.
 
 Only distinct units travel.  Their places stay with the run, so a passage that fills
-a third of the corpus costs one unit per run.
+a third of the corpus costs one unit per run.  Texts travel once, packed; those without a repeated
+anchor stop there, and their digest is taken where they are read.
 """
 
 from __future__ import annotations
 
 import hashlib
+import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
 
@@ -30,12 +32,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankflow.llm.bytesarrays import Texts, mix, pieces
+from rankflow.llm.bytesarrays import PIECE_BYTES, Texts, mix, pieces
 from rankflow.sources.workspace import Workspace
 
 LENGTH = 400
 #: Bytes of an anchor; a power of two.
-GRAM = 128
+GRAM = 64
 STEP = 64
 #: Bytes of units in one run, and in one part of the merge.
 RUN_BYTES = 16_000_000
@@ -84,17 +86,28 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: i
 
 
 def anchor_rows(texts: DataFrame, length: int, gram: int) -> DataFrame:
-    """``h, k, n, p, lo, hi`` for every anchor of every text."""
+    """``h, k``: the hash of every anchor, with the hash of its text."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch):
                 flat = Texts.of(piece.column("text"))
-                of, h, p, lo, hi = anchors(flat.data, flat.offsets, length, gram)
-                names = [piece.column(c).to_numpy()[of] for c in ("k", "n")]
-                yield pa.record_batch([pa.array(h.view(np.int64)), *map(pa.array, names), *(pa.array(x.astype(np.int32)) for x in (p, lo, hi))], ["h", "k", "n", "p", "lo", "hi"])
+                of, h, *_ = anchors(flat.data, flat.offsets, length, gram)
+                yield pa.record_batch([pa.array(h.view(np.int64)), pa.array(piece.column("k").to_numpy()[of])], ["h", "k"])
 
-    return texts.mapInArrow(rows, "h long, k long, n int, p int, lo int, hi int")
+    return texts.mapInArrow(rows, "h long, k long")
+
+
+def packed(texts: DataFrame) -> DataFrame:
+    """``k, n, z``: the texts compressed, to be shuffled."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch):
+                z = [zlib.compress(t.as_buffer(), 1) for t in piece.column("text").cast(pa.binary())]
+                yield pa.record_batch([piece.column("k"), piece.column("n"), pa.array(z, pa.binary())], ["k", "n", "z"])
+
+    return texts.mapInArrow(rows, "k long, n int, z binary")
 
 
 def units_of(text: bytes, hits: list[tuple[int, int, int]], length: int, step: int) -> Iterator[tuple[bytes, bytes, int]]:
@@ -122,12 +135,16 @@ def shared_prefixes(rows: list[bytes], width: int) -> np.ndarray:
     return out
 
 
-_RUN_SCHEMA = "run string, part int, shared binary, tails binary, tail_sizes binary, lefts binary, left_sizes binary, many binary, occ_unit binary, occ_k binary, occ_n binary, occ_q binary"
+#: A row is a run's part, or with part -1 the packed text ``z`` of a text with repeated anchors.
+_RUN_SCHEMA = "run string, part int, k long, n int, z binary, shared binary, tails binary, tail_sizes binary, lefts binary, left_sizes binary, many binary, occ_unit binary, occ_k binary, occ_n binary, occ_q binary"
 
 
-def front_coded_runs(candidates: DataFrame, splitters: list[bytes], length: int, step: int, run_bytes: int) -> DataFrame:
+def front_coded_runs(candidates: DataFrame, splitters: list[bytes], length: int, gram: int, step: int, run_bytes: int) -> DataFrame:
     """Sorted, front-coded runs of units, one row for each run and part; ``occ_*`` list the units' places."""
-    names = [f.split()[0] for f in _RUN_SCHEMA.split(", ")]
+    names, types = zip(*((f.split()[0], {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}[f.split()[1]]) for f in _RUN_SCHEMA.split(", ")), strict=True)
+
+    def row(**values: object) -> pa.RecordBatch:
+        return pa.record_batch([pa.array([values.get(c)], t) for c, t in zip(names, types, strict=True)], list(names))
 
     def emit(run: str, units: dict, places: list) -> Iterator[pa.RecordBatch]:
         order = sorted(units)
@@ -140,39 +157,69 @@ def front_coded_runs(candidates: DataFrame, splitters: list[bytes], length: int,
         shared = shared_prefixes([u[0] for u in order], length)
         by = np.argsort(unit, kind="stable")
         unit, k, n, q = unit[by], k[by], n[by], q[by]
-        for a, b in zip(first := np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])), np.append(first[1:], len(order)), strict=True):
+        first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+        for a, b in zip(first, np.append(first[1:], len(order)), strict=True):
             own, lcp = order[a:b], shared[a:b].copy()
             lcp[0] = 0
             lo, hi = np.searchsorted(unit, [a, b])
             tails = [u[0][c:] for u, c in zip(own, lcp.tolist(), strict=True)]
-            values = [
-                run, int(part[a]), lcp.astype("<u2").tobytes(), b"".join(tails), np.array([len(t) for t in tails], "<u2").tobytes(),
-                b"".join(u[1] for u in own), np.array([len(u[1]) for u in own], np.uint8).tobytes(), (count[a:b] > 1).tobytes(),
-                (unit[lo:hi] - a).astype("<i4").tobytes(), k[lo:hi].astype("<i8").tobytes(), n[lo:hi].astype("<i4").tobytes(), q[lo:hi].astype("<i4").tobytes(),
-            ]
-            yield pa.record_batch([pa.array([v], pa.string() if i == 0 else pa.int32() if i == 1 else pa.binary()) for i, v in enumerate(values)], names)
+            yield row(
+                run=run,
+                part=int(part[a]),
+                shared=lcp.astype("<u2").tobytes(),
+                tails=zlib.compress(b"".join(tails), 1),
+                tail_sizes=np.array([len(t) for t in tails], "<u2").tobytes(),
+                lefts=zlib.compress(b"".join(u[1] for u in own), 1),
+                left_sizes=np.array([len(u[1]) for u in own], np.uint8).tobytes(),
+                many=(count[a:b] > 1).tobytes(),
+                occ_unit=(unit[lo:hi] - a).astype("<i4").tobytes(),
+                occ_k=k[lo:hi].astype("<i8").tobytes(),
+                occ_n=n[lo:hi].astype("<i4").tobytes(),
+                occ_q=q[lo:hi].astype("<i4").tobytes(),
+            )
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units: dict[tuple[bytes, bytes], int] = {}
         places: list[tuple[int, int, int, int]] = []
-        size, name, turn = 0, None, 0
+        texts: dict[tuple[int, int], bytes] = {}
+        held: list[tuple[bytes, int, int, set[int]]] = []
+        size, waiting, name, turn = 0, 0, None, 0
+
+        def take() -> int:
+            """Units of the held texts; the bytes of those that are new."""
+            flat = Texts.of(pa.array([t for t, *_ in held], pa.binary()))
+            of, h, p, lo, hi = anchors(flat.data, flat.offsets, length, gram)
+            cuts, added = np.searchsorted(of, np.arange(len(held) + 1)).tolist(), 0
+            signed = h.view(np.int64).tolist()
+            for i, (text, k, n, again) in enumerate(held):
+                own = [j for j in range(cuts[i], cuts[i + 1]) if signed[j] in again]
+                for suffix, left, q in units_of(text, [(int(p[j]), int(lo[j]), int(hi[j])) for j in own], length, step):
+                    before = len(units)
+                    places.append((units.setdefault((suffix, left), before), k, n, q))
+                    added += (len(suffix) + len(left)) * (len(units) - before) + 16
+            held.clear()
+            return added
+
         for batch in batches:
             for i in range(batch.num_rows):
                 name = name if name is not None else batch.column("task")[i].as_py()
-                text, k, n = batch.column("text")[i].as_py().encode(), batch.column("k")[i].as_py(), batch.column("n")[i].as_py()
-                hits = [(h["p"], h["lo"], h["hi"]) for h in batch.column("hits")[i].as_py()]
-                for suffix, left, q in units_of(text, hits, length, step):
-                    at = units.setdefault((suffix, left), len(units))
-                    if at == len(units) - 1:
-                        size += len(suffix) + len(left)
-                    places.append((at, k, n, q))
-                if size + 16 * len(places) >= run_bytes:
+                z, k, n = batch.column("z")[i].as_py(), batch.column("k")[i].as_py(), batch.column("n")[i].as_py()
+                texts[k, n] = z
+                held.append((zlib.decompress(z), k, n, set(batch.column("hits")[i].as_py())))
+                waiting += n
+                if waiting >= PIECE_BYTES:
+                    size, waiting = size + take(), 0
+                if size >= run_bytes:
                     yield from emit(f"{name}-{turn}", units, places)
                     units, places, size, turn = {}, [], 0, turn + 1
+                    yield from (row(part=-1, k=k, n=n, z=z) for (k, n), z in texts.items())
+                    texts.clear()
+        take()
         if places:
             yield from emit(f"{name}-{turn}", units, places)
+        yield from (row(part=-1, k=k, n=n, z=z) for (k, n), z in texts.items())
 
-    return candidates.select("k", "n", "text", "hits", F.spark_partition_id().alias("task")).mapInArrow(rows, _RUN_SCHEMA)
+    return candidates.select("k", "n", "z", "hits", F.spark_partition_id().alias("task")).mapInArrow(rows, _RUN_SCHEMA)
 
 
 def _beyond(a: bytes, b: bytes, at: int) -> int:
@@ -276,10 +323,12 @@ def merged_masks(runs: DataFrame, length: int, step: int) -> DataFrame:
         coded, lefts, many = [], [], []
         for r in rows:
             ends = np.cumsum(np.frombuffer(r["tail_sizes"], "<u2").astype(np.int64)).tolist()
-            tails = [r["tails"][a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+            raw = zlib.decompress(r["tails"])
+            tails = [raw[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
             coded.append(list(zip(np.frombuffer(r["shared"], "<u2").tolist(), tails, strict=True)))
             ends = np.cumsum(np.frombuffer(r["left_sizes"], np.uint8).astype(np.int64)).tolist()
-            lefts.append([r["lefts"][a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)])
+            raw = zlib.decompress(r["lefts"])
+            lefts.append([raw[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)])
             many.append(np.frombuffer(r["many"], bool))
         run, index, shared = (np.array(c, np.int64) for c in zip(*merge_runs(coded), strict=True))
         sizes = [np.array([c + len(t) for c, t in own]) for own in coded]
@@ -292,7 +341,7 @@ def merged_masks(runs: DataFrame, length: int, step: int) -> DataFrame:
             {"run": [r["run"] for r in rows], "part": pa.array([r["part"] for r in rows], pa.int32()), "masks": [back[start[i] : start[i + 1]].tobytes() for i in range(len(rows))]}
         )
 
-    return runs.select("run", "part", "shared", "tails", "tail_sizes", "lefts", "left_sizes", "many").groupBy("part").applyInArrow(merge, "run string, part int, masks binary")
+    return runs.where("part >= 0").select("run", "part", "shared", "tails", "tail_sizes", "lefts", "left_sizes", "many").groupBy("part").applyInArrow(merge, "run string, part int, masks binary")
 
 
 def joined_spans(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -328,32 +377,61 @@ def found_spans(runs: DataFrame, masks: DataFrame, length: int, step: int) -> Da
                     lists.append(np.stack(spans, axis=1).astype("<i4").tobytes())
                 yield pa.record_batch([*map(pa.array, names), pa.array(lists, pa.binary())], ["k", "n", "spans"])
 
-    occ = runs.select("run", "part", "occ_unit", "occ_k", "occ_n", "occ_q")
+    occ = runs.where("part >= 0").select("run", "part", "occ_unit", "occ_k", "occ_n", "occ_q")
     return occ.join(masks, ["run", "part"]).mapInArrow(rows, "k long, n int, spans binary")
 
 
-def repeated_spans(documents: DataFrame, length: int = LENGTH, work: Workspace | None = None, gram: int = GRAM, step: int = STEP, run_bytes: int = RUN_BYTES) -> DataFrame:
-    """``k, n, spans``: per distinct text, named by hash and size, the spans to remove (lists of start and end, int32)."""
-    work = work or Workspace(documents.sparkSession)
-    keyed = documents.where(F.octet_length("text") >= length).select(F.xxhash64("text").alias("k"), F.octet_length("text").alias("n"), "text")
+def _keyed(documents: DataFrame, *columns: str) -> DataFrame:
+    return documents.select(*columns, F.xxhash64("text").alias("k"), F.coalesce(F.octet_length("text"), F.lit(0)).alias("n"), "text")
+
+
+def repeated_spans(documents: DataFrame, length: int, work: Workspace, gram: int = GRAM, step: int = STEP, run_bytes: int = RUN_BYTES) -> tuple[DataFrame, DataFrame]:
+    """Of the distinct texts, named by hash and size, those with repeated anchors: ``k, n, z``, packed,
+    and ``k, n, spans``: what to remove from them (lists of start and end, int32)."""
+    keyed = _keyed(documents.where(F.octet_length("text") >= length))
     found = work.keep(anchor_rows(keyed, length, gram), "anchors")
     again = found.groupBy("h").count().where(F.col("count") > 1).select("h")
-    hits = work.keep(found.join(again, "h", "left_semi").groupBy("k", "n").agg(F.collect_set(F.struct("p", "lo", "hi")).alias("hits")), "hits")
+    hits = work.keep(found.join(again, "h", "left_semi").groupBy("k").agg(F.collect_set("h").alias("hits")), "hits")
 
-    wide = F.aggregate("hits", F.lit(0).cast("long"), lambda total, h: total + F.ceil((h["hi"] - h["lo"] + 1) / step) * (length + step))
-    parts = max(1, -(-(hits.agg(F.sum(wide).alias("b")).first().b or 0) // PART_BYTES))
+    n_hits = hits.agg(F.sum(F.size("hits")).alias("n")).first().n or 0
+    parts = max(1, n_hits * (length // 2 // step + 1) * (length + step) // PART_BYTES)
     raw = F.encode("text", "utf-8")
     place = lambda i: F.pmod(F.xxhash64("text", i), F.octet_length("text") - SPLIT_BYTES).cast("int") + 1
     sample = keyed.select("k", F.transform(F.sequence(F.lit(1), F.lit(SAMPLE_PLACES)), lambda i: F.substring(raw, place(i), F.lit(SPLIT_BYTES))).alias("s"))
     keys = sorted(bytes(s) for r in sample.orderBy("k").limit(SAMPLE_TEXTS).collect() for s in r.s)
     splitters = sorted({keys[len(keys) * i // parts] for i in range(1, parts)}) if keys else []
 
-    runs = work.keep(front_coded_runs(keyed.join(hits, ["k", "n"]), splitters, length, step, run_bytes), "runs")
-    return found_spans(runs, merged_masks(runs, length, step), length, step).groupBy("k", "n").agg(F.collect_set("spans").alias("spans"))
+    candidates = packed(keyed).join(hits, "k")
+    runs = work.keep(front_coded_runs(candidates, splitters, length, gram, step, run_bytes), "runs")
+    spans = found_spans(runs, merged_masks(runs, length, step), length, step).groupBy("k", "n").agg(F.collect_set("spans").alias("spans"))
+    texts = runs.where("part = -1").groupBy("k", "n").agg(F.first("z").alias("z"))
+    return texts, spans
+
+
+def cut_out(text: bytes, spans: list[bytes]) -> tuple[bytes, int]:
+    """What remains of a text, and the number of runs removed."""
+    pairs = np.concatenate([np.frombuffer(s, "<i4").reshape(-1, 2) for s in spans]).astype(np.int64)
+    starts, ends = joined_spans(pairs[:, 0], pairs[:, 1])
+    return b"".join(text[a:b] for a, b in zip([0, *ends.tolist()], [*starts.tolist(), len(text)], strict=True)), len(starts)
+
+
+def kept_bytes(documents: DataFrame, length: int = LENGTH, work: Workspace | None = None, **sizes: int) -> DataFrame:
+    """``doc_id, kept``: the bytes that remain of every document; a null text is empty."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch):
+                texts = piece.column("text").cast(pa.binary()).fill_null(b"").to_pylist()
+                kept = [cut_out(t, s)[0] if s else t for t, s in zip(texts, piece.column("spans").to_pylist(), strict=True)]
+                yield pa.record_batch([piece.column("doc_id"), pa.array(kept, pa.binary())], ["doc_id", "kept"])
+
+    _, spans = repeated_spans(documents, length, work or Workspace(documents.sparkSession), **sizes)
+    kind = documents.schema["doc_id"].dataType.simpleString()
+    return _keyed(documents, "doc_id").join(spans, ["k", "n"], "left").select("doc_id", "text", "spans").mapInArrow(rows, f"doc_id {kind}, kept binary")
 
 
 def remove_repeats(documents: DataFrame, length: int = LENGTH, work: Workspace | None = None, **sizes: int) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept`` of every document; ``kept`` holds the remaining bytes.
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` of every document.
 
     A null text is empty.  Texts under ``length`` bytes lose nothing.  Of equal texts every copy
     loses all it has, as each also starts in another; so do repeated rows.  Columns other than
@@ -362,31 +440,25 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, work: Workspace |
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch):
-                size, gone, count, digest, kept = [], [], [], [], []
-                texts = piece.column("text").cast(pa.binary()).fill_null(b"")
-                for raw, spans in zip(texts, piece.column("spans").to_pylist(), strict=True):
-                    text = raw.as_py()
-                    size.append(len(text))
-                    if spans:
-                        pairs = np.concatenate([np.frombuffer(s, "<i4").reshape(-1, 2) for s in spans]).astype(np.int64)
-                        starts, ends = joined_spans(pairs[:, 0], pairs[:, 1])
-                        rest = b"".join(text[a:b] for a, b in zip([0, *ends.tolist()], [*starts.tolist(), len(text)], strict=True))
-                    else:
-                        starts, rest = np.zeros(0), text
-                    gone.append(len(text) - len(rest))
-                    count.append(len(starts))
-                    digest.append(hashlib.sha256(rest).hexdigest())
-                    kept.append(rest)
-                yield pa.record_batch([piece.column("doc_id"), *(pa.array(c, pa.int64()) for c in (size, gone, count)), pa.array(digest, pa.string()), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
-
-    spans = repeated_spans(documents, length, work, **sizes)
-    keyed = documents.select("doc_id", "text", F.xxhash64("text").alias("k"), F.coalesce(F.octet_length("text"), F.lit(0)).alias("n"))
-    kind = documents.schema["doc_id"].dataType.simpleString()
-    joined = keyed.join(spans, ["k", "n"], "left").select("doc_id", "text", "spans")
-    return joined.mapInArrow(rows, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+            for i in range(batch.num_rows):
+                text = zlib.decompress(batch.column("z")[i].as_py())
+                rest, count = cut_out(text, batch.column("spans")[i].as_py())
+                values = [len(text) - len(rest), count, hashlib.sha256(rest).hexdigest()]
+                yield pa.record_batch([batch.column("k").slice(i, 1), batch.column("n").slice(i, 1), *(pa.array([v]) for v in values)], ["k", "n", "removed", "spans", "digest"])
+
+    texts, spans = repeated_spans(documents, length, work or Workspace(documents.sparkSession), **sizes)
+    changed = texts.join(spans, ["k", "n"]).mapInArrow(rows, "k long, n int, removed long, spans long, digest string")
+    own = _keyed(documents, "doc_id").select("doc_id", "k", "n", F.sha2(F.coalesce("text", F.lit("")), 256).alias("whole"))
+    nothing = F.lit(0).cast("long")
+    return own.join(changed, ["k", "n"], "left").select(
+        "doc_id",
+        F.col("n").cast("long").alias("n_bytes"),
+        F.coalesce("removed", nothing).alias("n_removed"),
+        F.coalesce("spans", nothing).alias("n_spans"),
+        F.coalesce("digest", "whole").alias("kept_sha256"),
+    )
 
 
 def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """What every document of the table loses, and the digest of what remains."""
-    return remove_repeats(spark.read.parquet(f"{folder}/documents.parquet")).drop("kept")
+    return remove_repeats(spark.read.parquet(f"{folder}/documents.parquet"))
