@@ -52,8 +52,9 @@ def assign_shards(documents: DataFrame, key: str = "doc_id", limit: int = SHARD_
         whole = buckets.where(fits).withColumn("parent", F.expr("substring(shard, 1, depth - 1)"))
         root = whole.where(F.col("depth") == top) if turn == 0 else whole.where("false")
         shards = whole.where(F.col("depth") > top).join(split, ["depth", "parent"], "left_semi").unionByName(root)
-        placed = above.select("cell", "depth", "shard").join(shards.select("depth", "shard", "shard_bytes"), ["depth", "shard"])
-        parts.append(rows.withColumn("cell", cell).join(placed, "cell").select(key, "shard", F.col("depth").cast("int").alias("depth"), "shard_bytes", (F.col("shard_bytes") > limit).alias("oversized")))
+        # Merge joins: Spark takes the size of cells times their depths for that of the cells, and would broadcast it.
+        placed = above.select("cell", "depth", "shard").join(shards.select("depth", "shard", "shard_bytes").hint("merge"), ["depth", "shard"])
+        parts.append(rows.withColumn("cell", cell).join(placed.hint("merge"), "cell").select(key, "shard", F.col("depth").cast("int").alias("depth"), "shard_bytes", (F.col("shard_bytes") > limit).alias("oversized")))
         over = cells.where((F.col("bytes") > limit) & (F.col("n") > 1))
         if depth == deepest or over.isEmpty():
             break
