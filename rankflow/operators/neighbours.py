@@ -15,7 +15,8 @@ small without losing a neighbour:
    can be among K neighbours; these *representatives* stand for the group.
 2. Blocks of users are multiplied with blocks of representatives inside a task,
    which hands on K rows per user.  No row per pair, let alone per pair and post,
-   is ever built.
+   is ever built.  Users whose light posts promise more than their heavy posts can
+   give are not compared at all.
 
 A pair with light and heavy posts in common is exact in the first class and too
 low in the second.  Taking the larger value repairs it: whoever outranks a
@@ -83,7 +84,7 @@ def nearest_users(
     by_light = top_per_group(
         _light_edges(light_scores, users, vectors), ["user_id"], closest_first(), k
     )
-    by_heavy = _blockwise_neighbours(vectors, chosen, k, block_users)
+    by_heavy = _blockwise_neighbours(_asking(vectors, users), chosen, k, block_users)
     merged = (
         by_light.unionByName(by_heavy)
         .groupBy("user_id", "similar_user")
@@ -212,16 +213,33 @@ def _heavy_vectors(rows: DataFrame) -> DataFrame:
     entries = F.array_sort(F.collect_list(F.struct("post_id", "total_score")))
     return (
         rows.groupBy("user_id", "norm2")
-        .agg(entries.alias("entries"))
+        .agg(
+            entries.alias("entries"),
+            F.sum(F.col("total_score") * F.col("total_score")).alias("heavy_norm2"),
+        )
         .select(
             "user_id",
             "norm2",
+            "heavy_norm2",
             F.col("entries.post_id").alias("posts"),
             F.col("entries.total_score").alias("weights"),
         )
     )
 
 
+def _asking(vectors: DataFrame, users: DataFrame) -> DataFrame:
+    """The vectors of users that heavy posts alone can give a neighbour.
+
+    By Cauchy and Schwarz such a neighbour has a cosine of at most the length of the
+    user's heavy part over that of the whole.  Whose floor from light posts lies above
+    that needs no comparison of vectors.
+    """
+    floors = users.select("user_id", "floor")
+    reach = F.sqrt(F.col("heavy_norm2") / F.col("norm2"))
+    known = vectors.join(floors, "user_id", "left")
+    return known.where(F.col("floor").isNull() | (reach >= F.col("floor"))).drop("floor")
+
+
 def _representatives(vectors: DataFrame, k: int) -> DataFrame:
     """The users that can be a neighbour by heavy posts alone."""
     same_vector = ["posts", "weights"]

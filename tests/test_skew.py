@@ -54,6 +54,23 @@ def test_a_hot_user_is_one_more_user(table):
     assert near.where("user_id = 0 or similar_user = 0").count() > 0
 
 
+def test_users_with_close_neighbours_skip_the_vectors(table):
+    """Pairs with a strong tie of their own, and one popular post that all have touched lightly."""
+    scores = table(
+        [(u, 0, 1) for u in range(120)]
+        + [(u, 1 + u // 4, 5) for u in range(0, 80)]
+        + [(u, 500 + u, 5) for u in range(80, 100)],
+        USER_POST_SCORES,
+    )
+    near = neighbours.nearest_users_any(scores, 3, heavy_post_users=50)
+    assert rows(near) == rows(neighbours.nearest_users_any(scores, 3, heavy_post_users=1000))
+    heavy = neighbours.vector_posts(scores, 50).select("post_id")
+    normed = similarity.with_norms(scores)
+    users = neighbours._light_users(normed.join(heavy, "post_id", "left_anti"), 3)
+    asking = neighbours._asking(vectors_of(scores, 50), users)
+    assert {r.user_id for r in asking.collect()} == set(range(80, 120))
+
+
 def test_floors_cut_edges_but_no_neighbour(table):
     draw = random.Random(8)
     scores = table(
