@@ -36,6 +36,7 @@ FEATURES = {
     "punctuation_per_word": 0,
     "pipes_per_word": -1,
     "words_per_line": 0,
+    "doubled_word_share": -1,
 }
 
 _COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -72,6 +73,7 @@ def statistics(texts: Texts) -> tuple[dict[str, np.ndarray], np.ndarray]:
         covered[again + i] = True
     n_repeat = np.bincount(of[covered[: len(of)]], minlength=n)
 
+    doubled = (hashes[1:] == hashes[:-1]) & (of[1:] == of[:-1])
     n_symbols = texts.sums(_SYMBOL[data])
     words = np.maximum(n_words, 1)
     chars = np.maximum(word_chars, 1)
@@ -89,6 +91,7 @@ def statistics(texts: Texts) -> tuple[dict[str, np.ndarray], np.ndarray]:
             texts.sums(_PUNCTUATION[data]) / words,
             texts.sums(data == 0x7C) / words,
             n_words / np.maximum(n_lines, 1),
+            np.bincount(of[1:][doubled], minlength=n) / words,
         ],
         axis=1,
     )
