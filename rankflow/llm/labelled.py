@@ -11,6 +11,15 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
 
 
+def lowest_share(hashed: Column, most: int, rows: int) -> Column:
+    """Whether a 64-bit hash is so low that about twice ``most`` of ``rows`` rows are: what a sample of the lowest is taken from.
+
+    Without this every task would send its own lowest ``most`` to one place.
+    """
+    bound = min(2 * most + 100, rows) * 2**64 // max(rows, 1) - 2**63
+    return F.lit(True) if bound >= 2**63 else hashed <= bound
+
+
 def labelled_sample(
     documents: DataFrame, labels: DataFrame, label: str, most: int, where: Column | None = None
 ) -> DataFrame:
@@ -22,6 +31,7 @@ def labelled_sample(
     rows = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull())
     if where is not None:
         rows = rows.where(where)
+    rows = rows.where(lowest_share(F.xxhash64("doc_id"), most, labels.count()))
     picked = (
         rows.groupBy("doc_id")
         .agg(F.min(label).alias("label"))

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from rankflow.llm.bytesarrays import pieces
 from rankflow.llm.components import star_roots
+from rankflow.llm.labelled import lowest_share
 from rankflow.sources.workspace import Workspace
 
 SHINGLE = 4
@@ -241,8 +242,10 @@ def near_duplicates(documents: DataFrame, size: int = SHINGLE, radius: int = RAD
     work = work or Workspace(documents.sparkSession)
     signed = work.keep(fingerprints(documents, size), "fingerprints")
     prints = work.keep(signed.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "prints")
-    sample = prints.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).select("fp").collect()
-    plan = plan_partitions(np.array([r.fp for r in sample], np.int64).view(np.uint64), prints.count(), radius)
+    n = prints.count()
+    low = prints.where(lowest_share(F.xxhash64("fp"), SAMPLE, n))
+    sample = low.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).select("fp").collect()
+    plan = plan_partitions(np.array([r.fp for r in sample], np.int64).view(np.uint64), n, radius)
     roots = star_roots(links(prints, plan, radius), work, "links")
     classes = prints.join(roots, prints.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root"), "first_id")
     ids = classes.groupBy("root").agg(F.min("first_id").alias("component_id"))
