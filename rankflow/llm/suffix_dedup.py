@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankflow.llm.bytesarrays import PIECE_BYTES, Texts, mix, pieces
+from rankflow.llm.labelled import lowest_share
 from rankflow.sources.workspace import Workspace
 
 LENGTH = 400
@@ -390,7 +391,8 @@ def repeated_spans(documents: DataFrame, length: int, work: Workspace, gram: int
     and ``k, n, spans``: what to remove from them (lists of start and end, int32)."""
     keyed = _keyed(documents.where(F.octet_length("text") >= length))
     found = work.keep(anchor_rows(keyed, length, gram), "anchors")
-    again = found.groupBy("h").count().where(F.col("count") > 1).select("h")
+    # Stored, so that the join below reads plain shuffles, of which Spark splits that of a hot anchor.
+    again = work.keep(found.groupBy("h").count().where(F.col("count") > 1).select("h"), "repeated")
     hits = work.keep(found.join(again, "h", "left_semi").groupBy("k").agg(F.collect_set("h").alias("hits")), "hits")
 
     n_hits = hits.agg(F.sum(F.size("hits")).alias("n")).first().n or 0
@@ -398,7 +400,8 @@ def repeated_spans(documents: DataFrame, length: int, work: Workspace, gram: int
     raw = F.encode("text", "utf-8")
     place = lambda i: F.pmod(F.xxhash64("text", i), F.octet_length("text") - SPLIT_BYTES).cast("int") + 1
     sample = keyed.select("k", F.transform(F.sequence(F.lit(1), F.lit(SAMPLE_PLACES)), lambda i: F.substring(raw, place(i), F.lit(SPLIT_BYTES))).alias("s"))
-    keys = sorted(bytes(s) for r in sample.orderBy("k").limit(SAMPLE_TEXTS).collect() for s in r.s)
+    few = sample.where(lowest_share(F.col("k"), SAMPLE_TEXTS, documents.count())).dropDuplicates(["k"])
+    keys = sorted(bytes(s) for r in few.orderBy("k").limit(SAMPLE_TEXTS).collect() for s in r.s)
     splitters = sorted({keys[len(keys) * i // parts] for i in range(1, parts)}) if keys else []
 
     candidates = packed(keyed).join(hits, "k")
