@@ -3,11 +3,12 @@
 Items are the stated query set: they reach the tasks in blocks of bounded size, and every
 block is held against all documents in one pass without a shuffle.  A window of as many
 words as the item that shares none of its shingles has similarity 0, so windows are laid
-around shared shingles only.  A window's fingerprint (the sign of the summed bits of its
+around shared shingles only.  A text of fewer words than the item is one window as a whole.  A window's fingerprint (the sign of the summed bits of its
 shingles) is a candidate where some block of bits is within its share of the radius, as it
 must be for any fingerprint within the radius, and all bits together are within it.
 Candidates are then compared exactly: weighted Jaccard over shingles, the weight of a
-shingle being its number of occurrences.
+shingle being its number of occurrences.  Whole texts are few, one for an item, so they
+are compared exactly without asking fingerprints.
 """
 
 from __future__ import annotations
@@ -128,12 +129,33 @@ def matches(texts: pa.Array, index: list[Items], similarity: float, radius: int)
             first = np.maximum(first, begin[of[p]])
             last = np.minimum(p, begin[of[p] + 1] - (size + items.shingle - 1))
             lengths = np.maximum(last - first + 1, 0)
+            yield from _whole(shingles, begin, of[p], items, i, similarity)
             start = np.repeat(first - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
             for j in range(0, len(start), _AT_ONCE):
                 s = start[j : j + _AT_ONCE]
                 yield from _verified(shingles, of, begin, s, own, items.prints[i], items.ids[i], similarity, radius)
 
 
+def _whole(shingles, begin, texts, items, i, similarity):  # noqa: ANN001, ANN202
+    """Texts of fewer words than the item; one too short to reach the similarity is not looked at."""
+    own = items.hashes[i]
+    count = begin[texts + 1] - begin[texts] - items.shingle + 1
+    short = (count < len(own)) & (count >= (similarity - 1e-12) * len(own))
+    if not short.any():
+        return
+    known, weight = np.unique(own, return_counts=True)
+    for text in np.unique(texts[short]).tolist():
+        rows = shingles[begin[text] : begin[text + 1] - items.shingle + 1]
+        names, times = np.unique(rows, return_counts=True)
+        _, a, b = np.intersect1d(names, known, assume_unique=True, return_indices=True)
+        common = np.minimum(times[a], weight[b]).sum()
+        alike = float(common / (len(rows) + len(own) - common))
+        if alike >= similarity - 1e-12:
+            bits = int(np.bitwise_count(window_prints(rows[None, :])[0] ^ items.prints[i]))
+            for name in items.ids[i]:
+                yield text, name, alike, 0, bits
+
+
 def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if not len(values):
         return values, values, values
@@ -178,7 +200,8 @@ def item_blocks(benchmark: DataFrame) -> Iterator[list[Items]]:
 def contamination(documents: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
     """``doc_id, item_id, similarity, first_word, bits_apart``: the best window of each document for each item it holds.
 
-    Null and empty texts hold nothing, and items without words are held by nothing; an item
+    A window has as many words as the item, or is a whole text of fewer words; the radius
+    bounds the former only.  Null and empty texts hold nothing, and items without words are held by nothing; an item
     of fewer than five words is one shingle.  Items with one text are all reported, and so are
     repeated documents.  Columns other than the ids and the texts are not read.
     """

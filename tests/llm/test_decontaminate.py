@@ -80,3 +80,25 @@ def test_odd_rows_and_items(odd, docs, items):
     kept = dec.drop_contaminated(odd, own)
     assert kept.schema == odd.schema
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(["1", "2", "2", "None", "3", "5"])
+
+
+def test_texts_shorter_than_the_item_are_compared_whole(docs, items):
+    draw = random.Random(5)
+    own = [[f"w{draw.randrange(400)}" for _ in range(n)] for n in (60, 60, 33, 14, 9, 6, 5, 4)]
+    own.append(["a", "b", "c"] * 8)
+    rows = []
+    for item in own:
+        for cut in range(12):
+            rows += [item[: len(item) - cut], item[cut:], item[: len(item) // 2] + item[len(item) // 2 + cut :]]
+        rows.append([*item[:7], "else", *item[8 : len(item) - 1]])
+
+    def alike(a, b):
+        size = min(5, len(b))
+        x, y = (collections.Counter(tuple(w[j : j + size]) for j in range(len(w) - size + 1)) for w in (a, b))
+        return (x & y).total() / (x | y).total()
+
+    documents, benchmark = docs([(i, " ".join(r)) for i, r in enumerate(rows)]), items([(j, " ".join(b)) for j, b in enumerate(own)])
+    want = {(i, j): round(x, 9) for i, r in enumerate(rows) for j, b in enumerate(own) if (x := alike(r, b) if len(r) < len(b) else best(" ".join(r), " ".join(b))) >= 0.8}
+    short = {k for k in want if len(rows[k[0]]) < len(own[k[1]])}
+    assert len(short) > 50 and found(documents, benchmark) == want
+    assert dec.drop_contaminated(documents, benchmark).count() == len(rows) - len({i for i, _ in want})
