@@ -26,15 +26,15 @@ def labelled_sample(
     """``doc_id, text, label`` of at most ``most`` labelled ids, those with the least hashed id.
 
     The sample of ids is bounded by ``most``, so it may be broadcast.  Labels other than
-    0 and 1 and rows without id do not count; an id with several labels takes the least.
+    0 and 1, rows without id and ids without a document do not count, for the share
+    sampled from neither; an id with several labels takes the least.
     """
     rows = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull())
     if where is not None:
         rows = rows.where(where)
-    rows = rows.where(lowest_share(F.xxhash64("doc_id"), most, labels.count()))
+    ids = rows.groupBy("doc_id").agg(F.min(label).alias("label")).join(documents.select("doc_id"), "doc_id", "left_semi")
     picked = (
-        rows.groupBy("doc_id")
-        .agg(F.min(label).alias("label"))
+        ids.where(lowest_share(F.xxhash64("doc_id"), most, ids.count()))
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(most)
     )

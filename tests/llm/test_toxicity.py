@@ -2,6 +2,7 @@ import numpy as np
 from conftest import SMALL
 
 from rankflow.llm import toxicity
+from rankflow.llm.labelled import labelled_sample
 
 
 def test_thresholds_share_weights_and_keep_their_order():
@@ -44,3 +45,12 @@ def test_odd_rows(odd, docs, labels):
         assert all(r.expected_severity == 0 and not r.rejected for r in got if r.doc_id in (1, 2, 5))
         assert toxicity.drop_toxic(documents, model).schema == documents.schema
         assert toxicity.drop_toxic(documents, model).count() == sum(not r.rejected for r in got)
+
+
+def test_labels_that_are_null_or_of_other_documents_do_not_shrink_the_sample(docs, labels):
+    documents = docs((i, f"text {i}") for i in range(200))
+    rows = [(i, None, i % 2 if i < 400 and i % 2 == 0 or i < 100 else None) for i in range(20_000)]
+    own = {i for i, _, toxic in rows if toxic is not None and i < 200}
+    for most, want in ((20, 20), (1_000, len(own))):
+        got = {r.doc_id for r in labelled_sample(documents, labels(rows), "toxic", most).collect()}
+        assert len(got) == want and got <= own
