@@ -44,9 +44,13 @@ _IP = rf"{_OCTET}(?:\.{_OCTET}){{3}}(?![\p{{L}}\p{{N}}]|\.\d)"
 _PHONE = r"(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}|\(\d{3}\) ?\d{3}[.-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\p{L}\p{N}])"
 _CARD = r"(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{1,7})(?![\p{L}\p{N}])"
 _SSN = r"\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}])"
-_SECRET = r"(?:[0-9a-f]{32,128}|[0-9A-F]{32,128}|AKIA[0-9A-Z]{16}|sk-[0-9A-Za-z]{20,128})(?![\p{L}\p{N}])"
+# Quantifiers of secrets are open-ended and possessive: a long one is taken whole, without stack or retries.
+_SK = r"sk-(?:(?=[A-Za-z_-]*+\d)|(?=[A-Za-z0-9]{20}))[0-9A-Za-z_-]{20,}+"
+_SECRET = rf"(?:[0-9a-f]{{32,}}+|[0-9A-F]{{32,}}+|AKIA[0-9A-Z]{{16}}|{_SK})(?![\p{{L}}\p{{N}}])"
 _LABEL = r"(?i:password|passwd|pwd|secret|token|api[_-]?key)\s{0,2}[=:]\s{0,2}[\"']?"
-_LABELLED = rf"{_LABEL}(?=[^\s\"']{{0,127}}\d)[A-Za-z0-9_/+=!@#$%^&*-]{{6,128}}(?![\p{{L}}\p{{N}}])"
+# A dot belongs to a secret where more of it follows, as in a JWT, and not at the end of a sentence.
+_TOKEN = r"[A-Za-z0-9_/+=!@#$%^&*-]"
+_LABELLED = rf"{_LABEL}(?=[^\s\"'\d]*+\d)(?={_TOKEN}(?:{_TOKEN}|\.(?=\.*+{_TOKEN})){{5}}){_TOKEN}++(?:\.++{_TOKEN}++)*+(?![\p{{L}}\p{{N}}])"
 _TITLE = "|".join(sorted((t for own in _TITLES.values() for t in own), key=len, reverse=True))
 _NAME = rf"(?:{_TITLE})\.?[  ](?:\p{{Lu}}\p{{Ll}}{{1,40}})(?:[ -]\p{{Lu}}\p{{Ll}}{{1,40}}){{0,2}}"
 MENTION = rf"(?<![\p{{L}}\p{{N}}_])(?:{_LABELLED}|{_EMAIL}|{_IP}|{_PHONE}|{_CARD}|{_SSN}|{_SECRET}|{_NAME})"

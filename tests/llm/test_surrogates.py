@@ -26,6 +26,22 @@ def test_labelled_secrets_keep_their_label(docs):
     assert not {m[1], m[2], m[3], m[4]} & set(re.findall(r"[\w!]+", text))
 
 
+def test_long_hyphenated_and_dotted_secrets_go_whole(docs):
+    hexed, plain, parted = "0123456789abcdef" * 10, "sk-" + "aB3" * 60, "sk-proj-" + "Zx9_q-" * 30 + "end"
+    jwt, chain = ".".join(("eyJhbGciOiJIUzI1NiJ9", "eyJzdWIiOiIxMjM0NTY3ODkwIn0" * 8, "SflKxwRJSMeKKF2QT4_fwpMeJf36")), "a1." * 5_000 + "z"
+    secrets = [hexed, hexed.upper() * 3, plain, parted, "f" * 20_000, jwt, "x" * 300 + "7", "ab.c1.d", chain]
+    text = "keys {}, {}; {} and {} or {}. token={}. password: {}, secret = {}. api_key='{}'"
+    out = sur.replace_entities(docs([(1, text.format(*secrets))])).first()
+    shape = re.escape(text).replace(r"\{\}", "([A-Za-z0-9._-]+?)")
+    m = re.fullmatch(shape, out.text)
+    assert m and out.n_entities == len(secrets)
+    for old, new in zip(secrets, m.groups(), strict=True):
+        assert len(old) == len(new) and [c in ".-_" for c in old] == [c in ".-_" for c in new]
+        assert old != new and not any(len(p) > 6 and p in new for p in old.split("."))
+    clean = "sk-learn-and-other-well-known-names, deadbeef, password: required. token: ab.c1"
+    assert sur.replace_entities(docs([(1, clean)])).first().text == clean
+
+
 def test_a_key_decides(docs):
     one, two = (sur.replace_entities(docs([(1, LETTER)]), key).first().text for key in ("a", "b"))
     assert one != two and one == sur.replace_entities(docs([(9, LETTER)]), "a").first().text
