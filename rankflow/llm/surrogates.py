@@ -5,6 +5,10 @@ Each entity gets one surrogate of its kind (so all mentions of it stay coreferen
 from a secret key; before use, surrogates are checked against each other and against the
 real values of the corpus, and an entity whose surrogate is taken draws again.  A mention
 is rendered in its own format: separators, letter case and title stay.
+
+A name is found after a title.  Its full form and its surname are then found without one in
+the same text too.  A surname has one surrogate, which all full names with it end in, so that
+"Mr John Smith", "Mr Smith", "John Smith" and "Smith" stay one person's names.
 """
 
 from __future__ import annotations
@@ -21,8 +25,9 @@ LENGTHEN_FROM = 8
 
 # Titles by gender, then first names and syllables of surnames by script.
 _TITLES = {
-    "m": ("Mr", "Herr", "Monsieur", "Señor", "Sr", "Господин", "Κύριος"),
-    "f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Госпожа", "Κυρία"),
+    "m": ("Mr", "Mister", "Sir", "Lord", "Herr", "Monsieur", "Señor", "Sr", "Signor", "Господин", "Κύριος"),
+    "f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Mademoiselle", "Mlle", "Señora", "Sra", "Señorita", "Signora", "Lady", "Dame", "Госпожа", "Κυρία"),
+    "n": ("Mx", "Dr", "Doctor", "Prof", "Professor", "Rev", "Reverend", "Доктор", "Профессор", "Δρ"),
 }
 _FIRST_NAMES = {
     ("latin", "m"): ("Adam", "Boris", "Carl", "David", "Emil", "Frank", "Hugo", "Ivan", "Jonas", "Leon", "Oscar", "Paul"),
@@ -52,32 +57,72 @@ _LABEL = r"(?i:password|passwd|pwd|secret|token|api[_-]?key)\s{0,2}[=:]\s{0,2}[\
 _TOKEN = r"[A-Za-z0-9_/+=!@#$%^&*-]"
 _LABELLED = rf"{_LABEL}(?=[^\s\"'\d]*+\d)(?={_TOKEN}(?:{_TOKEN}|\.(?=\.*+{_TOKEN})){{5}}){_TOKEN}++(?:\.++{_TOKEN}++)*+(?![\p{{L}}\p{{N}}])"
 _TITLE = "|".join(sorted((t for own in _TITLES.values() for t in own), key=len, reverse=True))
-_NAME = rf"(?:{_TITLE})\.?[  ](?:\p{{Lu}}\p{{Ll}}{{1,40}})(?:[ -]\p{{Lu}}\p{{Ll}}{{1,40}}){{0,2}}"
+_GAP = r"[ \u00a0]"
+# A word of a name has a small letter, and may have inner capitals and apostrophes.
+_WORD = r"\p{Lu}(?=[\p{Lu}'’]*+\p{Ll})(?:[\p{L}\p{M}]|['’](?=\p{Lu})){1,40}+"
+_BARE = rf"(?:\p{{Lu}}\.{_GAP}){{0,3}}{_WORD}(?:(?:-|{_GAP}(?:\p{{Lu}}\.{_GAP})?){_WORD}){{0,2}}(?![\p{{L}}\p{{M}}])"
+_TITLED = rf"(?:(?:{_TITLE})\.?{_GAP}){{1,3}}"
+_NAME = rf"{_TITLED}{_BARE}"
 MENTION = rf"(?<![\p{{L}}\p{{N}}_])(?:{_LABELLED}|{_EMAIL}|{_IP}|{_PHONE}|{_CARD}|{_SSN}|{_SECRET}|{_NAME})"
 
 
+_LEFT, _RIGHT = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{M}\p{N}_])"
+
+
+def _gender(title: Column) -> Column:
+    """f, m, or n where no title tells."""
+    word = lambda sex: rf"{_LEFT}(?:{'|'.join(_TITLES[sex])}){_RIGHT}"
+    return F.when(title.rlike(word("f")), "f").when(title.rlike(word("m")), "m").otherwise("n")
+
+
+def _bare(mention: Column) -> Column:
+    """A name without its titles, its words one space apart."""
+    return F.regexp_replace(F.regexp_replace(mention, f"^{_TITLED}", ""), r"[\s\u00a0]+", " ")
+
+
+def titled_names(text: Column) -> Column:
+    """The (name, gender) pairs that have titles in the text."""
+    own = F.transform(F.regexp_extract_all(text, F.lit(_LEFT + _NAME), F.lit(0)), lambda m: F.struct(_bare(m).alias("name"), _gender(F.regexp_extract(m, f"^{_TITLED}", 0)).alias("gender")))
+    return F.array_distinct(own)
+
+
+def pattern_of(names: Column) -> Column:
+    """The pattern of the mentions of one text: those that show themselves, and its titled names and their surnames, longer ones first."""
+    forms = F.array_distinct(F.flatten(F.transform(names, lambda x: F.array(x["name"], F.substring_index(x["name"], " ", -1)))))
+    longest = F.transform(F.reverse(F.array_sort(F.transform(forms, lambda x: F.struct(F.length(x).alias("n"), x.alias("x"))))), lambda x: x["x"])
+    quoted = F.transform(longest, lambda x: F.concat(F.lit(r"\Q"), F.replace(x, F.lit(" "), F.lit(r"\E[\s\u00a0]+\Q")), F.lit(r"\E")))
+    return F.when(F.size(names) == 0, MENTION).otherwise(F.concat(F.lit(f"{MENTION}|{_LEFT}(?:"), F.array_join(quoted, "|"), F.lit(f"){_RIGHT}")))
+
+
 def kind_of(mention: Column) -> Column:
-    """The kind of a mention, by its shape."""
+    """The kind of a mention, by its shape; a name without a space is a surname."""
+    name = F.when(_bare(mention).contains(" "), "name").otherwise("surname")
     return (
         F.when(mention.rlike(f"^{_LABEL}"), "secret")
         .when(mention.contains("@"), "email")
-        .when(mention.rlike(f"^(?:{_NAME})$"), "name")
+        .when(mention.rlike(f"^(?:{_NAME})$"), name)
         .when(mention.rlike(f"^(?:{_IP})$"), "ip")
         .when(mention.rlike(f"^(?:{_SSN})$"), "ssn")
         .when(mention.rlike(f"^(?:{_PHONE})$"), "phone")
         .when(mention.rlike(f"^(?:{_CARD})$"), "card")
-        .otherwise("secret")
+        .when(mention.rlike(f"^(?:{_SECRET})$"), "secret")
+        .otherwise(name)
     )
 
 
-def normal_of(mention: Column, kind: Column) -> Column:
-    """What makes two mentions the same entity: digits of numbers, lower case of addresses, gender and name."""
-    title = F.regexp_extract(mention, rf"^({_TITLE})", 1)
-    gender = F.when(title.isin(*_TITLES["f"]), "f").otherwise("m")
+def normal_of(mention: Column, kind: Column, names: Column) -> Column:
+    """What makes two mentions the same entity: digits of numbers, lower case of addresses, gender and full name, surname.
+
+    A mention whose title tells no gender takes that of the same name in its text.
+    """
+    name = _bare(mention)
+    own = _gender(F.regexp_extract(mention, f"^{_TITLED}", 0))
+    told = F.array_min(F.transform(F.filter(names, lambda x: x["name"] == name), lambda x: x["gender"]))
     return (
         F.when(kind == "email", F.lower(mention))
         .when(kind.isin("phone", "card", "ssn"), F.regexp_replace(mention, r"[^0-9+]", ""))
-        .when(kind == "name", F.concat(gender, F.lit(":"), F.regexp_replace(mention, rf"^(?:{_TITLE})\.?[  ]", "")))
+        .when(kind == "name", F.concat(F.when(own == "n", F.coalesce(told, own)).otherwise(own), F.lit(":"), name))
+        .when(kind == "surname", name)
         .otherwise(F.regexp_replace(mention, f"^{_LABEL}", ""))
     )
 
@@ -113,7 +158,7 @@ def _surname(script: str, digest: Column, syllables: Column) -> Column:
 
 
 def surrogate_of(kind: Column, normal: Column, key: str, draw: Column) -> Column:
-    """The surrogate in normal form that an entity gets at its n-th draw."""
+    """The surrogate in normal form that an entity gets at its n-th draw; a full name's has the real surname, whose own surrogate takes its place."""
     salt = F.sha2(F.concat(F.lit(key), F.lit("|"), kind), 256)
     digest = F.sha2(F.concat_ws("|", salt, draw.cast("string"), F.sha2(F.concat_ws("|", salt, normal), 256)), 256)
     longer = draw >= LENGTHEN_FROM
@@ -134,19 +179,23 @@ def surrogate_of(kind: Column, normal: Column, key: str, draw: Column) -> Column
     prefix = F.regexp_extract(normal, "^(AKIA|sk-)", 1)
     secret = F.coalesce(hexed, F.concat(prefix, _chars(F.substring(normal, F.length(prefix) + 1, F.length(normal)), digest)))
 
-    gender, name = F.substring(normal, 1, 1), F.substring(normal, F.lit(3), F.length(normal))
+    gender, name = F.substring(normal, 1, 1), F.when(kind == "surname", normal).otherwise(F.substring(normal, F.lit(3), F.length(normal)))
     script = F.when(name.rlike(r"^\p{IsCyrillic}"), "cyrillic").when(name.rlike(r"^\p{IsGreek}"), "greek").otherwise("latin")
-    full = F.lit(None).cast("string")
-    for (alphabet, sex), firsts in _FIRST_NAMES.items():
-        given = F.element_at(F.array(*map(F.lit, firsts)), F.pmod(_nibble(digest, F.lit(0)), F.lit(len(firsts))) + 1)
-        last = _surname(alphabet, digest, F.when(longer, 8).otherwise(5))
-        single = ~name.rlike("[ -]")
-        full = F.when((script == alphabet) & (gender == sex), F.when(single, last).otherwise(F.concat_ws(" ", given, last))).otherwise(full)
+    given, surname = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for alphabet in _SYLLABLES:
+        sexes = {sex: _FIRST_NAMES[alphabet, sex] for sex in "mf"}
+        for sex, firsts in (sexes | {"n": sexes["m"] + sexes["f"]}).items():
+            first = F.element_at(F.array(*map(F.lit, firsts)), F.pmod(_nibble(digest, F.lit(0)), F.lit(len(firsts))) + 1)
+            # Many full names share a surname, so given names get longer than the list.
+            first = F.when(longer, F.concat(first, F.lit("-"), _surname(alphabet, digest, F.lit(4)))).otherwise(first)
+            given = F.when((script == alphabet) & (gender == sex), first).otherwise(given)
+        surname = F.when(script == alphabet, _surname(alphabet, digest, F.when(longer, 8).otherwise(5))).otherwise(surname)
     return (
         F.when(kind == "email", email)
         .when(kind == "ip", F.concat_ws(".", octets))
         .when(kind.isin("phone", "card", "ssn"), F.concat(number, F.when(longer, F.regexp_replace(F.substring(digest, 40, 4), "[a-f]", "7")).otherwise("")))
-        .when(kind == "name", F.concat(gender, F.lit(":"), full))
+        .when(kind == "name", F.concat(gender, F.lit(":"), given, F.lit(" "), F.substring_index(name, " ", -1)))
+        .when(kind == "surname", surname)
         .otherwise(secret)
     )
 
@@ -173,8 +222,8 @@ def assign_surrogates(entities: DataFrame, key: str, work: Workspace) -> DataFra
             return taken.select("kind", "normal", "surrogate")
 
 
-def rendered(mention: Column, kind: Column, surrogate: Column) -> Column:
-    """The surrogate in the format of the mention that it replaces."""
+def rendered(mention: Column, kind: Column, surrogate: Column, surname: Column) -> Column:
+    """The surrogate in the format of the mention that it replaces; ``surname`` is the surrogate of a full name's."""
     digits = F.regexp_replace(surrogate, r"[^0-9]", "")
 
     def digit(c: Column, i: Column) -> Column:
@@ -183,11 +232,12 @@ def rendered(mention: Column, kind: Column, surrogate: Column) -> Column:
 
     laid = F.array_join(F.transform(F.filter(F.split(mention, ""), lambda c: c != ""), digit), "")
     rest = F.substring(digits, F.length(F.regexp_replace(mention, r"[^0-9]", "")) + 1, F.length(digits))
-    title = F.regexp_extract(mention, rf"^(?:{_TITLE})\.?[  ]", 0)
+    title = F.regexp_extract(mention, f"^{_TITLED}", 0)
     label = F.regexp_extract(mention, f"^{_LABEL}", 0)
     return (
         F.when(kind.isin("phone", "card", "ssn"), F.concat(laid, rest))
-        .when(kind == "name", F.concat(title, F.substring(surrogate, F.lit(3), F.length(surrogate))))
+        .when(kind == "name", F.concat(title, F.substring_index(F.substring(surrogate, F.lit(3), F.length(surrogate)), " ", 1), F.lit(" "), surname))
+        .when(kind == "surname", F.concat(title, surrogate))
         .when((kind == "email") & (mention == F.upper(mention)), F.upper(surrogate))
         .when(kind == "secret", F.concat(label, surrogate))
         .otherwise(surrogate)
@@ -204,17 +254,25 @@ def replace_entities(documents: DataFrame, key: str = KEY, work: Workspace | Non
     work = work or Workspace(documents.sparkSession)
     has = F.coalesce(F.col("text").rlike(MENTION), F.lit(False))
     row_key = [F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_h1"), F.hash("text", F.lit(1)).alias("_h2")]
-    found = documents.where(has).select(*row_key, F.posexplode(F.regexp_extract_all("text", F.lit(MENTION), F.lit(0))).alias("_at", "_mention"))
-    kind = kind_of(F.col("_mention"))
-    mentions = work.keep(found.withColumn("kind", kind).withColumn("normal", normal_of(F.col("_mention"), F.col("kind"))), "mentions")
-    chosen = assign_surrogates(work.keep(mentions.select("kind", "normal").distinct(), "entities"), key, work)
-    new = mentions.join(chosen, ["kind", "normal"]).select("_id", "_h1", "_h2", F.struct("_at", rendered(F.col("_mention"), F.col("kind"), F.col("surrogate")).alias("value")).alias("_new"))
+    names = F.col("_names")
+    named = documents.where(has).select(*row_key, "text", titled_names(F.col("text")).alias("_names"))
+    found = named.select("_id", "_h1", "_h2", "_names", F.posexplode(F.regexp_extract_all("text", pattern_of(names), F.lit(0))).alias("_at", "_mention"))
+    found = found.withColumn("kind", kind_of(F.col("_mention"))).withColumn("normal", normal_of(F.col("_mention"), F.col("kind"), names))
+    last = F.when(F.col("kind") == "name", F.substring_index("normal", " ", -1))
+    mentions = work.keep(found.withColumn("_last", last).drop("_names"), "mentions")
+    own = mentions.select("kind", "normal")
+    surnames = mentions.where("_last is not null").select(F.lit("surname").alias("kind"), F.col("_last").alias("normal"))
+    chosen = work.keep(assign_surrogates(work.keep(own.union(surnames).distinct(), "entities"), key, work), "chosen")
+    lasts = chosen.where("kind = 'surname'").select(F.col("normal").alias("_last"), F.col("surrogate").alias("_surname"))
+    new = mentions.join(chosen, ["kind", "normal"]).join(lasts, "_last", "left")
+    value = rendered(F.col("_mention"), F.col("kind"), F.col("surrogate"), F.col("_surname"))
+    new = new.select("_id", "_h1", "_h2", F.struct("_at", value.alias("value")).alias("_new"))
     per_row = new.groupBy("_id", "_h1", "_h2").agg(F.array_sort(F.collect_set("_new")).alias("_new"))
 
     columns = [c for c in documents.columns if c != "n_entities"]
     old = F.col("_row.text")
-    text = F.array_join(F.transform(F.split(old, MENTION, -1), lambda part, i: F.concat(part, F.coalesce(F.get(F.col("_new"), i)["value"], F.lit("")))), "")
-    held = documents.where(has).select(F.struct(*columns).alias("_row"), *(c.alias(n) for c, n in zip(row_key, ("_k0", "_k1", "_k2"), strict=True)))
+    text = F.array_join(F.transform(F.split(old, pattern_of(names), -1), lambda part, i: F.concat(part, F.coalesce(F.get(F.col("_new"), i)["value"], F.lit("")))), "")
+    held = documents.where(has).select(F.struct(*columns).alias("_row"), titled_names(F.col("text")).alias("_names"), *(c.alias(n) for c, n in zip(row_key, ("_k0", "_k1", "_k2"), strict=True)))
     same = F.col("_k0").eqNullSafe(F.col("_id")) & (F.col("_k1") == F.col("_h1")) & (F.col("_k2") == F.col("_h2"))
     changed = held.join(per_row, same).select(*((text if c == "text" else F.col("_row")[c]).alias(c) for c in columns), F.size("_new").alias("n_entities"))
     return documents.where(~has).select(*columns, F.lit(0).alias("n_entities")).union(changed)

@@ -42,6 +42,27 @@ def test_long_hyphenated_and_dotted_secrets_go_whole(docs):
     assert sur.replace_entities(docs([(1, clean)])).first().text == clean
 
 
+def test_names_stay_one_persons_with_and_without_title(docs):
+    text = "Mr John Smith met Dr Anna Lee. John Smith agreed, Smith's son and Mr Smith too; Lee, Anna\nLee and Prof. Dr. Anna Lee left. Mr McDonald, Mr O'Brien and Mrs. J. D’Arcy saw McDonald, O'Brien, Smithson, Leeds."
+    out = sur.replace_entities(docs([(1, text), (2, "Smith and Lee met Mr Adams.")]))
+    rows = {r.doc_id: r for r in out.collect()}
+    w = r"(\w+)"
+    shape = rf"Mr {w} {w} met Dr {w} {w}\. {w} {w} agreed, {w}'s son and Mr {w} too; {w}, {w} {w} and Prof\. Dr\. {w} {w} left\. Mr {w}, Mr {w} and Mrs\. {w} {w} saw {w}, {w}, Smithson, Leeds\."
+    m = re.fullmatch(shape, rows[1].text)
+    assert m, rows[1].text
+    assert m[1] == m[5] and m[2] == m[6] == m[7] == m[8] and m[3] == m[10] == m[12] and m[4] == m[9] == m[11] == m[13]
+    assert m[14] == m[18] and m[15] == m[19] and len({m[2], m[4], m[14], m[15], m[17]}) == 5
+    assert not {"John", "Smith", "Lee", "McDonald", "Donald", "Brien", "Arcy"} & set(re.findall(r"\w+", rows[1].text))
+    assert rows[1].n_entities == 13 and rows[2].text.startswith("Smith and Lee met Mr ") and "Adams" not in rows[2].text
+
+
+def test_many_given_names_of_one_surname_stay_distinct(docs):
+    given = [a + b for a in ("Jo", "Ka", "Li", "Mo", "Ne") for b in ("bel", "dan", "fin", "gor", "hul", "jik", "kes", "lum")]
+    text = ", ".join(f"Mr {g} Smith" for g in given)
+    parts = sur.replace_entities(docs([(1, text)])).first().text.split(", ")
+    assert len(set(parts)) == len(given) and len({p.split()[-1] for p in parts}) == 1
+
+
 def test_a_key_decides(docs):
     one, two = (sur.replace_entities(docs([(1, LETTER)]), key).first().text for key in ("a", "b"))
     assert one != two and one == sur.replace_entities(docs([(9, LETTER)]), "a").first().text
