@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rankflow.llm.byte_pairs import op12_byte_pairs
+from rankflow.llm.conversation_repair import op13_conversation_repair
 from rankflow.llm.decontaminate import op3_decontaminate
 from rankflow.llm.pairwise_quality import op4_pairwise_quality
 from rankflow.llm.quality_rules import op2_quality_rules
 from rankflow.llm.sentencepieces import op10_sentencepiece
 from rankflow.llm.sharding import OP7_SQL, op7_sharding
 from rankflow.llm.simhash_dedup import op8_simhash_dedup
+from rankflow.llm.spelling_variants import op11_spelling_variants
 from rankflow.llm.suffix_dedup import op6_suffix_dedup
 from rankflow.llm.surrogates import op9_pii_surrogates
 from rankflow.llm.token_counts import op1_token_counts
@@ -28,6 +31,9 @@ _QUERIES = (
     op8_simhash_dedup,
     op9_pii_surrogates,
     op10_sentencepiece,
+    op11_spelling_variants,
+    op12_byte_pairs,
+    op13_conversation_repair,
 )
 
 
