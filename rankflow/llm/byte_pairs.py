@@ -20,7 +20,10 @@ bytes, tells after every token how many bytes of an open character are pending.
 from __future__ import annotations
 
 import base64
+import gc
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+from os.path import commonprefix
 
 import numpy as np
 import public_tokenizers
@@ -34,6 +37,8 @@ from rankflow.llm.bytesarrays import pieces
 #: Deterministic states, and bytes of remembered matches, that a task holds before it starts afresh.
 MOST_STATES = 200_000
 MOST_KNOWN_BYTES = 64_000_000
+_BYTES = [bytes([b]) for b in range(256)]
+_MEMBERS = -1
 #: Matches of more bytes than this are not remembered.
 LONGEST_KNOWN = 64
 
@@ -44,37 +49,68 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class Merges:
-    """The merges that a table of ranks stands for: parts join while their bytes together have a rank, least rank first."""
+    """The merges that a table of ranks stands for: parts join while their bytes together have a rank, least rank first, leftmost of equal ones.
+
+    Whether one token may follow another is read off two short histories: the parts that stand at
+    the left token's right end, and at the right one's left end, while each is merged by itself, with
+    the greatest rank used so far.  The tokens stay apart if at no moment the two parts that
+    face each other have a lesser rank together than what either side does next.
+    """
 
     def __init__(self, ranks: dict[bytes, int]):
         if missing := [b for b in range(256) if bytes([b]) not in ranks]:
             raise ValueError(f"{len(missing)} single bytes have no rank, so some texts cannot be encoded")
         self.ranks = ranks
+        self._histories: dict[bytes, tuple[list, list] | None] = {}
         self._follows: dict[tuple[bytes, bytes], bool] = {}
 
-    def apply(self, data: bytes) -> list[bytes]:
-        """The parts left of ``data``, by the definition; used on two tokens at a time."""
-        parts = [data[i : i + 1] for i in range(len(data))]
-        rank = self.ranks.get
+    def history(self, token: bytes) -> tuple[list, list] | None:
+        """Left and right end part of ``token`` over time, each as (part, greatest rank used until it goes); ``None`` if merges don't make it."""
+        if token not in self._histories:
+            self._histories[token] = self._traced(token)
+        return self._histories[token]
+
+    def _traced(self, token: bytes) -> tuple[list, list] | None:
+        parts, rank, latest = [token[i : i + 1] for i in range(len(token))], self.ranks.get, -1
+        left, right = [], []
         while len(parts) > 1:
-            best, at = None, 0
-            for i in range(len(parts) - 1):
-                r = rank(parts[i] + parts[i + 1])
-                if r is not None and (best is None or r < best):
-                    best, at = r, i
+            best, at = min(((r, i) for i in range(len(parts) - 1) if (r := rank(parts[i] + parts[i + 1])) is not None), default=(None, 0))
             if best is None:
-                break
+                return None
+            latest = max(latest, best)
+            if at == 0:
+                left.append((parts[0], latest))
+            if at == len(parts) - 2:
+                right.append((parts[-1], latest))
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return parts
+        end = (token, float("inf"))
+        return [*left, end], [*right, end]
 
     def may_follow(self, left: bytes, right: bytes) -> bool:
         """Whether ``right`` can stand after ``left``; after nothing, whether it can stand at all."""
         key = (left, right)
         known = self._follows.get(key)
         if known is None:
-            known = self._follows[key] = self.apply(left + right) == ([left, right] if left else [right])
+            known = self._follows[key] = self._apart(left, right)
         return known
 
+    def _apart(self, left: bytes, right: bytes) -> bool:
+        after = self.history(right)
+        if after is None or not left:
+            return after is not None
+        ends, starts, rank, i, j = self.history(left)[1], after[0], self.ranks.get, 0, 0
+        while True:
+            (u, until), (v, till) = ends[i], starts[j]
+            together = rank(u + v)
+            if together is not None and together < until and together <= till:
+                return False
+            if until <= till:
+                i += 1
+                if i == len(ends):
+                    return True
+            else:
+                j += 1
+
     def forget(self) -> None:
         self._follows.clear()
 
@@ -82,74 +118,64 @@ class Merges:
 class Transducer:
     """Tokens of byte strings, by a deterministic machine built on demand.
 
-    A state is ``(members, steps)``.  A member is ``(last, pending, read)``: the last token of a
-    sequence, those of its tokens not yet emitted, and the bytes read since its end.  ``steps``
-    maps a byte to the next state and the tokens emitted on the way.
+    A state is a dictionary from a byte to the next state and the ids emitted on the way; under
+    ``_MEMBERS`` it holds its members, three values each: the last token of a sequence, the packed
+    ids of those of its tokens not yet emitted, and the bytes read since its end.
     """
 
     def __init__(self, ranks: dict[bytes, int], most_states: int = MOST_STATES):
         self._merges = Merges(ranks)
-        self._ranks = ranks
-        self._open = {token[:i] for token in ranks for i in range(1, len(token))}
+        self._ids = {token: i.to_bytes(4, "little") for token, i in ranks.items()}
+        self._begun = {token[:i] for token in ranks for i in range(1, len(token))}
         self._most = most_states
-        self.lookahead = 0
         self._fresh()
 
     def _fresh(self) -> None:
         self._states: dict[tuple, dict] = {}
         self._merges.forget()
-        self._start = self._state(((b"", (), b""),))
+        gc.collect()  # states refer to each other
+        self._start = self._state((b"", b"", b""))
 
     def _state(self, members: tuple) -> dict:
         state = self._states.get(members)
         if state is None:
-            state = self._states[members] = {-1: members}
+            state = self._states[members] = {_MEMBERS: members}
         return state
 
     def _step(self, state: dict, byte: int) -> tuple[dict, bytes]:
         """Take and store the step of ``state`` on ``byte``."""
+        members = state[_MEMBERS]
         if len(self._states) > self._most:
-            members = state[-1]
             self._fresh()
             state = self._state(members)
-        following, ended, ranks, may_follow = [], None, self._ranks, self._merges.may_follow
-        add = bytes([byte])
-        for last, pending, read in state[-1]:
+        add, after, ended, begun, ids = _BYTES[byte], (), None, self._begun, self._ids
+        for k in range(0, len(members), 3):
+            last, pending, read = members[k : k + 3]
             read += add
-            if ended is None and read in ranks and may_follow(last, read):
-                ended = (read, (*pending, ranks[read]), b"")
-            if read in self._open:
-                following.append((last, pending, read))
+            if ended is None and read in ids and self._merges.may_follow(last, read):
+                ended = (read, pending + ids[read], b"")
+            if read in begun:
+                after += (last, pending, read)
         if ended is None:
             raise ValueError("the ranks leave a text without a tokenisation")
-        following.append(ended)
-        first, agreed = following[0][1], 0
-        if first:
-            ways = [pending for _, pending, _ in following]
-            while agreed < len(first) and all(way[agreed : agreed + 1] == first[agreed : agreed + 1] for way in ways):
-                agreed += 1
-        self.lookahead = max(self.lookahead, len(following[0][2]))
-        if not agreed:
-            state[byte] = (self._state(tuple(following)), b"")
-            return state[byte]
-        emitted = first[:agreed]
-        after = self._state(tuple((last, pending[agreed:], read) for last, pending, read in following))
-        state[byte] = (after, np.array(emitted, "<u4").tobytes())
-        return state[byte]
+        after += ended
+        out = after[1] and commonprefix(after[1::3])
+        if out:
+            out = out[: len(out) // 4 * 4]
+            after = tuple(x[len(out) :] if k % 3 == 1 else x for k, x in enumerate(after))
+        state[byte] = step = (self._state(after), out)
+        return step
 
     def encode(self, data: bytes) -> bytes:
         """Ids of ``data`` as little-endian unsigned 32-bit integers; bytes that are one token as they stand are that token."""
-        if data in self._ranks:
-            return self._ranks[data].to_bytes(4, "little")
+        if data in self._ids:
+            return self._ids[data]
         state, out = self._start, []
         for byte in data:
-            step = state.get(byte) or self._step(state, byte)
-            state = step[0]
-            if step[1]:
-                out.append(step[1])
-        for _, pending, read in state[-1]:
-            if not read:
-                out.append(np.array(pending, "<u4").tobytes())
+            state, ids = state.get(byte) or self._step(state, byte)
+            if ids:
+                out.append(ids)
+        out.append(state[_MEMBERS][-2])
         return b"".join(out)
 
 
@@ -210,6 +236,9 @@ class Decoder:
     def __init__(self, ranks: dict[bytes, int]):
         self.tokens = {i: token for token, i in ranks.items()}
         self._after: dict[tuple, tuple] = {}
+        self._whole = np.zeros(max(self.tokens) + 1, bool)
+        for i in self.tokens:
+            self._whole[i] = self._read(BETWEEN, i)[0] == BETWEEN
 
     def _read(self, state: tuple | int, i: int) -> tuple:
         """State after token ``i``, and how many of its bytes end a character."""
@@ -246,6 +275,23 @@ class Decoder:
         if held:
             yield held
 
+    def decode(self, ids: np.ndarray) -> bytes:
+        """All bytes of ``ids``: runs of tokens that are whole characters at once, the rest through the stream."""
+        values = ids.tolist()
+        if not len(ids) or int(ids.max()) >= len(self._whole) or self._whole[ids].all():
+            return b"".join(map(self.tokens.__getitem__, values))
+        return b"".join(self.stream(values))
+
+
+@contextmanager
+def _no_collector() -> Iterator[None]:
+    """The states are many small objects that live long; the collector would walk them again and again."""
+    gc.disable()
+    try:
+        yield
+    finally:
+        gc.enable()
+
 
 def encode_documents(documents: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     """``doc_id, ids`` of every row; ids are little-endian unsigned 32-bit integers in one binary value.
@@ -259,7 +305,8 @@ def encode_documents(documents: DataFrame, ranks: dict[bytes, int], pattern: str
         encoder = Encoder(ranks, pattern)
         for batch in batches:
             for piece in pieces(batch):
-                ids = [encoder.encode(text) if text else b"" for text in piece.column("text").to_pylist()]
+                with _no_collector():
+                    ids = [encoder.encode(text) if text else b"" for text in piece.column("text").to_pylist()]
                 yield pa.record_batch([piece.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
     return documents.select("doc_id", F.col("text").cast("string")).mapInArrow(rows, f"doc_id {kind}, ids binary")
@@ -276,7 +323,7 @@ def decode_documents(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
         decoder = Decoder(ranks)
         for batch in batches:
             for piece in pieces(batch, "ids"):
-                texts = [b"".join(decoder.stream(np.frombuffer(ids or b"", "<u4").tolist())) for ids in piece.column("ids").to_pylist()]
+                texts = [decoder.decode(np.frombuffer(ids or b"", "<u4")) for ids in piece.column("ids").to_pylist()]
                 yield pa.record_batch([piece.column("doc_id"), piece.column("ids"), pa.array(texts, pa.binary())], ["doc_id", "ids", "decoded"])
 
     return encoded.select("doc_id", "ids").mapInArrow(rows, f"doc_id {kind}, ids binary, decoded binary")

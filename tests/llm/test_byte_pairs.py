@@ -77,17 +77,34 @@ def test_a_full_store_changes_nothing(ranks):
     assert len(small._states) <= 41 + 40
 
 
-def test_output_lags_by_less_than_a_token(ranks):
-    machine, rng = B.Transducer(ranks), random.Random(8)
+def test_output_lags_by_a_bounded_number_of_bytes(ranks):
+    machine, decoder, rng = B.Transducer(ranks), B.Decoder(ranks), random.Random(8)
+    longest = max(map(len, ranks))
     for _ in range(20):
-        state, read, emitted = machine._start, 0, 0
-        for byte in "".join(rng.choices("thequickbrown ", k=2_000)).encode():
+        raw = "".join(rng.choices("thequickbrown", k=2_000)).encode()
+        state, emitted = machine._start, 0
+        for read, byte in enumerate(raw, 1):
             state, ids = state.get(byte) or machine._step(state, byte)
-            read += 1
-            emitted += sum(len(B.Decoder(ranks).tokens[i]) for i in np.frombuffer(ids, "<u4").tolist()) if ids and read % 97 == 0 else 0
-        pending = max(len(p) for _, p, _ in state[-1])
-        assert pending <= machine.lookahead
-    assert machine.lookahead <= max(map(len, ranks))
+            emitted += len(decoder.decode(np.frombuffer(ids, "<u4")))
+            assert read - emitted <= 2 * longest
+
+
+def test_what_may_follow_is_what_merges_leave_apart(ranks):
+    rng, merges = random.Random(3), B.Merges(ranks)
+
+    def parts(data):
+        own = [data[i : i + 1] for i in range(len(data))]
+        while len(own) > 1:
+            rank, i = min((ranks.get(own[i] + own[i + 1], 10**9), i) for i in range(len(own) - 1))
+            if rank == 10**9:
+                break
+            own[i : i + 2] = [own[i] + own[i + 1]]
+        return own
+
+    tokens = [t for t in ranks if len(t) < 20]
+    pieces = [t for t in tokens if t.strip().isalpha() and len(t) < 5]
+    for a, b in [*(rng.choices(tokens, k=2) for _ in range(3_000)), *(rng.choices(pieces, k=2) for _ in range(20_000))]:
+        assert merges.may_follow(a, b) == (parts(a + b) == [a, b]), (a, b)
 
 
 def test_ranks_in_which_a_token_cannot_be_made():
