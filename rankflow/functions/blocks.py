@@ -1,7 +1,7 @@
-"""Comparing a block of users with another, in the Python worker of a task.
+"""Comparing users in the Python worker of a task.
 
 Spark decides which users meet and moves them; this is the arithmetic on one pair
-of blocks.  The module is pickled by value, so executors need not have the package.
+of blocks, or on one cell of an inverted index.  The module is pickled by value, so executors need not have the package.
 """
 
 from __future__ import annotations
@@ -89,3 +89,73 @@ def _first_k(value: np.ndarray, k: int):
     at = (value == last) & np.isfinite(value)
     room = k - above.sum(axis=1, keepdims=True)
     return np.nonzero(above | (at & (np.cumsum(at, axis=1) <= room)))
+
+
+def index_neighbours(k: int, at_once: int = 4_000_000):
+    """A function for ``applyInArrow``: the K closest users of every user that asks in a cell.
+
+    A row of the cell is a post: who ``asks`` there, and all ``others`` met.  Pairs in which both
+    have a heavy vector come out unranked, with their dot product as it stands.
+    """
+
+    def neighbours(cell: pa.Table) -> pa.Table:
+        asks, others = _entries(cell["asks"]), _entries(cell["others"])
+        users, asking = np.unique(asks["user_id"], return_index=True)
+        met, meeting = np.unique(others["user_id"], return_index=True)
+        pair, dot = _pair_sums(asks, others, users, met, at_once)
+        u, v = pair // max(len(met), 1), pair % max(len(met), 1)
+        apart = users[u] != met[v]
+        u, v, dot = u[apart], v[apart], dot[apart]
+        norm2, other_norm2 = asks["norm2"][asking][u], others["norm2"][meeting][v]
+        value = dot / (np.sqrt(norm2) * np.sqrt(other_norm2))
+        whole = ~(asks["has_vector"][asking][u] & others["has_vector"][meeting][v])
+        # Pairs are in order of user, then other user; a stable sort leaves ties so.
+        order = np.flatnonzero(whole)
+        order = order[np.lexsort((-value[order], u[order]))]
+        first = np.flatnonzero(np.diff(u[order], prepend=-1))
+        place = np.arange(len(order)) - np.repeat(first, np.diff(first, append=len(order)))
+        taken = np.concatenate([order[place < k], np.flatnonzero(~whole)])
+        columns = (users[u], met[v], value, norm2, other_norm2, dot, whole)
+        names = ("user_id", "similar_user", "cosine_similarity", "norm2", "similar_norm2", "dot", "whole")
+        return pa.table({n: c[taken] for n, c in zip(names, columns, strict=True)})
+
+    return neighbours
+
+
+def _entries(column: pa.ChunkedArray) -> dict[str, np.ndarray]:
+    """The entries of all lists end to end, and under ``lengths`` how many each list has."""
+    lists = column.combine_chunks()
+    flat = lists.flatten()
+    out = {"lengths": lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)}
+    for name in ("user_id", "total_score", "norm2", "has_vector"):
+        values = flat.field(name)
+        if pa.types.is_decimal(values.type):
+            values = values.cast(pa.float64())
+        out[name] = values.to_numpy(zero_copy_only=False)
+    out["norm2"] = out["norm2"].astype(np.float64)
+    return out
+
+
+def _pair_sums(asks, others, users, met, at_once):
+    """Sum of products for every pair that shares a post, as sorted pair numbers and sums."""
+    meets = np.repeat(others["lengths"], asks["lengths"])
+    begin = np.repeat(np.cumsum(others["lengths"]) - others["lengths"], asks["lengths"])
+    who = np.searchsorted(users, asks["user_id"]) * len(met)
+    whom = np.searchsorted(met, others["user_id"])
+    ends = np.cumsum(meets)
+    pair, total = np.zeros(0, np.int64), np.zeros(0, np.result_type(asks["total_score"]))
+    start = 0
+    while start < len(meets):
+        before = ends[start - 1] if start else 0
+        stop = max(int(np.searchsorted(ends, before + at_once, "right")), start + 1)
+        part = slice(start, stop)
+        number = np.repeat(np.arange(start, stop), meets[part])
+        entry = np.arange(len(number)) - np.repeat(ends[part] - meets[part] - before, meets[part]) + begin[number]
+        pairs = np.concatenate([pair, who[number] + whom[entry]])
+        sums = np.concatenate([total, asks["total_score"][number] * others["total_score"][entry]])
+        order = np.argsort(pairs, kind="stable")
+        pairs, sums = pairs[order], sums[order]
+        first = np.flatnonzero(np.diff(pairs, prepend=-1))
+        pair, total = pairs[first], np.add.reduceat(sums, first) if len(first) else sums
+        start = stop
+    return pair, total

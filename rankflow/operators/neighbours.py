@@ -2,9 +2,12 @@
 
 Posts fall into two classes by audience.
 
-*Light* posts (at most ``heavy_post_users`` users) go through a self-join on the
-post, whose groups are bounded, and give exact cosines of every pair that shares
-one of them.
+*Light* posts (at most ``heavy_post_users`` users) form an inverted index: one row per
+post with all its users.  Users are dealt into *cells*, and a post's row goes to each cell
+that has a user of it, so a cell holds every product of its users over light posts.  It sums
+them and hands on K rows per user; no row per pair of users is ever shuffled or sorted.
+Cells are as many as the products ask for, and a user with more than fit in one is
+compared part by part.
 
 *Heavy* posts are compared as short vectors, one per user.  Two facts keep that
 small without losing a neighbour:
@@ -23,8 +26,8 @@ low in the second.  Taking the larger value repairs it: whoever outranks a
 neighbour by a value that is too low outranks it by the true one.
 
 That, and the floors of the first class, need products that are not negative.  So
-where any score is negative, all posts count as heavy: vectors are then whole and
-the second class is exact alone.
+where any post is heavy and any score is negative, all posts count as heavy: vectors are
+then whole and the second class is exact alone.  Without heavy posts the first is.
 """
 
 from __future__ import annotations
@@ -33,13 +36,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
-from rankflow.functions import cosine, spread, top_per_group
-from rankflow.functions.blocks import cell_neighbours
+from rankflow.functions import cosine, top_per_group
+from rankflow.functions.blocks import cell_neighbours, index_neighbours
 from rankflow.operators.similarity import bidirectional, post_audience, with_norms
 
 # Room for the last bits in which a floor and a cosine are rounded differently.
 _ROUNDING_SLACK = 1.0 - 1e-9
+#: Products of two scores that a task sums at a time, about.
+CELL_PRODUCTS = 1_000_000
 _CANDIDATES = "user_id bigint, similar_user bigint, cosine_similarity double"
 
 
@@ -54,10 +60,12 @@ def top_similar_users(similarity: DataFrame, k: int) -> DataFrame:
 
 
 def vector_posts(scores: DataFrame, heavy_post_users: int) -> DataFrame:
-    """Posts of more than ``heavy_post_users`` users; all of them where a score is negative."""
+    """Posts of more than ``heavy_post_users`` users; all of them where there are such and a score is negative."""
     signed = scores.agg((F.min("total_score") < 0).alias("signed")).scalar()
+    audience = post_audience(scores)
+    any_large = audience.agg((F.max("n_users") > heavy_post_users).alias("large")).scalar()
     large = F.col("n_users") > heavy_post_users
-    return post_audience(scores).where(large | F.coalesce(signed, F.lit(False)))
+    return audience.where(large | (F.coalesce(signed, F.lit(False)) & any_large))
 
 
 def nearest_users(
@@ -66,6 +74,7 @@ def nearest_users(
     *,
     heavy: DataFrame,
     block_users: int = 2048,
+    cell_products: int = CELL_PRODUCTS,
     keep: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
 ) -> DataFrame:
     """The K closest users per user, straight from the score matrix.
@@ -79,10 +88,10 @@ def nearest_users(
     heavy = heavy.select("post_id")
     vectors = keep(_heavy_vectors(normed.join(heavy, "post_id", "left_semi")), "heavy_vectors")
     chosen = keep(_representatives(vectors, k), "representatives")
-    users = keep(_light_users(normed.join(heavy, "post_id", "left_anti"), k), "light_users")
-    light_scores = scores.join(heavy, "post_id", "left_anti")
+    light = normed.join(heavy, "post_id", "left_anti")
+    users = keep(_light_users(_near_vectors(light, vectors), k), "light_users")
     by_light = top_per_group(
-        _light_edges(light_scores, users, vectors), ["user_id"], closest_first(), k
+        _light_edges(light, users, vectors, k, keep, cell_products), ["user_id"], closest_first(), k
     )
     by_heavy = _blockwise_neighbours(_asking(vectors, users), chosen, k, block_users)
     merged = (
@@ -94,16 +103,27 @@ def nearest_users(
 
 
 def nearest_users_any(
-    scores: DataFrame, k: int, *, heavy_post_users: int, block_users: int = 2048
+    scores: DataFrame,
+    k: int,
+    *,
+    heavy_post_users: int,
+    block_users: int = 2048,
+    cell_products: int = CELL_PRODUCTS,
 ) -> DataFrame:
     """:func:`nearest_users` with the heavy posts found in the same lazy plan."""
     heavy = vector_posts(scores, heavy_post_users)
-    return nearest_users(scores, k, heavy=heavy, block_users=block_users)
+    return nearest_users(scores, k, heavy=heavy, block_users=block_users, cell_products=cell_products)
 
 
 # --- light posts -----------------------------------------------------------
 
 
+def _near_vectors(rows: DataFrame, vectors: DataFrame) -> DataFrame:
+    """The light scores of all users of posts that a user with a heavy vector has touched: what floors need."""
+    posts = rows.join(vectors.select("user_id"), "user_id", "left_semi").select("post_id").distinct()
+    return rows.join(posts, "post_id", "left_semi")
+
+
 def _light_users(rows: DataFrame, k: int) -> DataFrame:
     """Users with their squared norm and a value their K-th best cosine cannot be below.
 
@@ -125,81 +145,92 @@ def _light_users(rows: DataFrame, k: int) -> DataFrame:
     )
 
 
-def _light_dots(rows: DataFrame, carried: list[str]) -> DataFrame:
-    """Dot product per pair over posts of bounded audience.
+def _index(rows: DataFrame) -> DataFrame:
+    """One row per light post: its users with score, squared norm, number of light posts, and whether they have a heavy vector."""
+    counts = rows.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_posts"))
+    entry = F.struct("user_id", "total_score", "norm2", "n_posts", "has_vector")
+    return (
+        rows.join(counts, "user_id")
+        .groupBy("post_id")
+        .agg(F.collect_list(entry).alias("found"))
+        .withColumn("n_users", F.size("found").cast("bigint"))
+    )
 
-    Both sides of the self-join read the same shuffle on the post.  What is known
-    about a user travels with it, so the pair table joins nothing.
-    """
-    rows = spread(rows, "post_id")
 
-    def side(s: str) -> DataFrame:
-        names = ("user_id", "total_score", *carried)
-        return rows.select("post_id", *(F.col(n).alias(f"{n}_{s}") for n in names))
+def _cells(index: DataFrame, cell_products: int) -> DataFrame:
+    """``cell, part, asks, others``: for each post and cell, the users of the cell and whom they meet.
 
-    return (
-        side("a")
-        .join(side("b"), "post_id")
-        .where("user_id_a < user_id_b")
-        .groupBy(*(f"{n}_{s}" for n in ("user_id", *carried) for s in "ab"))
-        .agg(F.sum(F.col("total_score_a") * F.col("total_score_b")).alias("dot"))
-    )
+    A user whose posts may give more than ``cell_products`` products has cells of its own, which
+    deal whom it meets by hash.
+    """
+    total = index.agg(F.sum(F.col("n_users") * F.col("n_users"))).scalar()
+    largest = index.agg(F.max("n_users")).scalar()
+    n_cells = F.greatest(F.ceil(total / cell_products), F.lit(1)).cast("bigint")
+    sized = index.withColumns({"n_cells": n_cells, "largest": largest})
+
+    def placed(e):
+        parts = F.ceil(e["n_posts"] * F.col("largest") / cell_products).cast("int")
+        home = F.pmod(F.xxhash64(e["user_id"]), F.col("n_cells"))
+        own = F.col("n_cells") + F.pmod(F.xxhash64(e["user_id"], F.lit(1)), F.lit(2**60))
+        return F.struct(
+            F.when(parts > 1, own).otherwise(home).alias("cell"),
+            F.greatest(parts, F.lit(1)).alias("parts"),
+        )
+
+    fields = ("user_id", "total_score", "norm2", "has_vector")
+    entry = lambda e: F.struct(*(e[f].alias(f) for f in fields))
+    keyed = sized.select(F.transform("found", entry).alias("found"), F.transform("found", placed).alias("places"))
+    each = keyed.select("*", F.explode(F.array_distinct("places")).alias("at"))
+    parted = each.select("*", F.explode(F.sequence(F.lit(0), F.col("at.parts") - 1)).alias("part"))
+    asks = F.filter("found", lambda e, i: F.get("places", i) == F.col("at"))
+    met = F.filter("found", lambda e: F.pmod(F.xxhash64(e["user_id"]), F.col("at.parts")) == F.col("part"))
+    others = F.when(F.col("at.parts") == 1, F.col("found")).otherwise(met)
+    return parted.select(F.col("at.cell").alias("cell"), "part", asks.alias("asks"), others.alias("others"))
 
 
 def _light_edges(
-    scores: DataFrame, users: DataFrame, vectors: DataFrame
+    rows: DataFrame,
+    floors: DataFrame,
+    vectors: DataFrame,
+    k: int,
+    keep: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
+    cell_products: int = CELL_PRODUCTS,
 ) -> DataFrame:
     """Edges over light posts that may be among a user's K best, cosines exact.
 
-    What a pair has in common in heavy posts is added.  Only where both users have a
-    vector is there anything to add, so only those pairs join.
+    ``rows`` are light scores with ``norm2``.  What a pair has in common in heavy posts is added.
+    Only where both users have a vector is there anything to add, so only those pairs leave
+    their cell before they are ranked, and only from the user's floor on.
     """
-    rows = scores.select("user_id", "post_id", "total_score").join(users, "user_id")
-    carried = ["norm2", "floor"]
     has_vector = vectors.select("user_id", F.lit(True).alias("has_vector"))
-    rows = rows.join(has_vector, "user_id", "left").fillna(False, ["has_vector"])
-    dots = _light_dots(rows, [*carried, "has_vector"])
-    both = F.col("has_vector_a") & F.col("has_vector_b")
-    of_a = vectors.select(
-        F.col("user_id").alias("user_id_a"),
-        F.map_from_arrays("posts", "weights").alias("vector_a"),
-    )
-    of_b = vectors.select(
-        F.col("user_id").alias("user_id_b"), F.arrays_zip("posts", "weights").alias("vector_b")
+    marked = rows.join(has_vector, "user_id", "left").fillna(False, ["has_vector"])
+    kind = "bigint" if isinstance(rows.schema["total_score"].dataType, IntegralType) else "double"
+    schema = f"{_CANDIDATES}, norm2 double, similar_norm2 double, dot {kind}, whole boolean"
+    found = keep(
+        _cells(keep(_index(marked), "light_posts"), cell_products)
+        .groupBy("cell", "part")
+        .applyInArrow(index_neighbours(k), schema),
+        "light_edges",
     )
+    entries = F.arrays_zip("posts", "weights")
+    of_user = vectors.select("user_id", F.map_from_arrays("posts", "weights").alias("vector"))
+    of_other = vectors.select(F.col("user_id").alias("similar_user"), entries.alias("other"))
     heavy_dot = F.aggregate(
-        "vector_b",
-        F.lit(0).cast(dots.schema["dot"].dataType),
-        lambda total, e: total
-        + e["weights"] * F.coalesce(F.try_element_at("vector_a", e["posts"]), F.lit(0)),
+        "other",
+        F.lit(0).cast(kind),
+        lambda total, e: total + e["weights"] * F.coalesce(F.try_element_at("vector", e["posts"]), F.lit(0)),
     )
+    value = cosine(F.col("dot") + heavy_dot, F.col("norm2"), F.col("similar_norm2"))
     completed = (
-        dots.where(both)
-        .join(of_a, "user_id_a")
-        .join(of_b, "user_id_b")
-        .withColumn("dot", F.col("dot") + heavy_dot)
-    )
-    return _edges_above_floor(dots.where(~both)).unionByName(_edges_above_floor(completed))
-
-
-def _edges_above_floor(dots: DataFrame) -> DataFrame:
-    """Cosine of each pair, from whichever ends it can matter to."""
-
-    def end(s: str, t: str):
-        return F.struct(
-            F.col(f"user_id_{s}").alias("user_id"),
-            F.col(f"user_id_{t}").alias("similar_user"),
-            F.col(f"floor_{s}").alias("floor"),
-        )
-
-    value = cosine(F.col("dot"), F.col("norm2_a"), F.col("norm2_b"))
-    return (
-        dots.withColumn("cosine_similarity", value)
-        .where(F.col("cosine_similarity") >= F.least("floor_a", "floor_b"))
-        .select("cosine_similarity", F.inline(F.array(end("a", "b"), end("b", "a"))))
-        .where(F.col("cosine_similarity") >= F.col("floor"))
-        .select("user_id", "similar_user", "cosine_similarity")
+        found.where(~F.col("whole"))
+        .join(of_user, "user_id")
+        .join(of_other, "similar_user")
+        .join(floors.select("user_id", "floor"), "user_id", "left")
+        .withColumn("cosine_similarity", value)
+        .where(F.col("floor").isNull() | (F.col("cosine_similarity") >= F.col("floor")))
     )
+    edge = ["user_id", "similar_user", "cosine_similarity"]
+    return found.where("whole").select(*edge).unionByName(completed.select(*edge))
 
 
 # --- heavy posts -----------------------------------------------------------

@@ -5,6 +5,7 @@ import pytest
 from conftest import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from rankflow.operators import neighbours, similarity
 from rankflow.sources.schemas import SIMILARITY, USER_POST_SCORES
@@ -202,3 +203,25 @@ def test_most_similar_pairs_come_from_the_lists(table):
     best = sorted((-v, a, b) for (a, b), v in brute_force(triples).items())[:6]
     got = [tuple(r) for r in similarity.most_similar_pairs(near, 6).collect()]
     assert got == [(a, b, -v) for v, a, b in best]
+
+
+@pytest.mark.parametrize("products", [1, 50, 400, 10**6])
+@pytest.mark.parametrize("limit", [6, 1000])
+def test_cells_of_any_size_give_the_same_neighbours(table, products, limit):
+    """One user has touched everything, so small cells compare it part by part."""
+    triples = random_triples(13, 50, 20, 0.15, popular=1) + [(99, p, 1 + p % 3) for p in range(20)]
+    near = neighbours.nearest_users_any(
+        table(triples, USER_POST_SCORES), 4, heavy_post_users=limit, cell_products=products
+    )
+    assert rows(near) == brute_neighbours(triples, 4)
+
+
+def test_a_cell_holds_a_bounded_number_of_products(table):
+    triples = random_triples(14, 400, 100, 0.08) + [(999, p, 2) for p in range(100)]
+    scores = similarity.with_norms(table(triples, USER_POST_SCORES)).withColumn("has_vector", F.lit(False))
+    index = neighbours._index(scores)
+    cells = neighbours._cells(index, 4_000)
+    each = cells.groupBy("cell", "part").agg(F.sum(F.size("asks") * F.size("others")).alias("n"))
+    sizes = [r.n for r in each.collect()]
+    assert sum(sizes) == sum(r.n_users**2 for r in index.collect())
+    assert len(sizes) > 20 and max(sizes) < 4 * 4_000

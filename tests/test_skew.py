@@ -79,9 +79,10 @@ def test_floors_cut_edges_but_no_neighbour(table):
     )
     similar = similarity.user_similarity(similarity.pair_dot_products(scores, 1000)).cache()
     edges = neighbours._light_edges(
-        scores,
+        similarity.with_norms(scores),
         neighbours._light_users(similarity.with_norms(scores), 2),
         vectors_of(scores, 1000),
+        2,
     )
     assert edges.count() < similarity.bidirectional(similar).count() / 2
     assert rows(neighbours.nearest_users_any(scores, 2, heavy_post_users=1000)) == rows(
