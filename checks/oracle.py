@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from checks.queries import WEIGHT_PERIODS
+
 
 def _r4(x: str) -> str:
     # Rounds the shortest decimal text half up, as Spark does.
@@ -152,6 +154,16 @@ _EVENTS = _Mapping(
 )
 
 
+_SIMILAR_PAIRS = (
+    "select user_a, user_b, dot_product, shared_posts, cosine_similarity from pairs "
+    "join similarity using (user_a, user_b) where cosine_similarity >= {}::double"
+)
+_PERIODS = ", ".join(
+    f"('{a}', {w}, date '{f or '0001-01-01'}', date '{t or '9999-12-31'}')"
+    for a, f, t, w in WEIGHT_PERIODS
+)
+
+
 def all_sql() -> dict[str, str]:
     """SQL by query name."""
     orders, events = _ORDERS.sql, _EVENTS.sql
@@ -183,6 +195,11 @@ def all_sql() -> dict[str, str]:
         "most_similar_pairs": orders(
             "select * from similarity order by cosine_similarity desc, user_a, user_b limit 10"
         ),
+        "similar_pairs": orders(_SIMILAR_PAIRS.format(0.2)),
+        "similar_pairs_events": events(_SIMILAR_PAIRS.format(0.6)),
+        "pairs_sharing_posts": orders(
+            "select user_a, user_b, shared_posts from pairs where shared_posts >= 3"
+        ),
         "top_similar_users": orders(neighbours),
         "top_similar_users_events": events(neighbours),
         "top_similar_users_heavy_posts": orders(neighbours),
@@ -272,6 +289,26 @@ def all_sql() -> dict[str, str]:
             "(n.user_id = p.user_a and n.similar_user = p.user_b) or "
             "(n.user_id = p.user_b and n.similar_user = p.user_a))"
         ),
+        "action_scores_by_period": (
+            "select o_custkey as user_id, l_partkey as post_id, "
+            "cast(sum(coalesce(weight, 0)) as bigint) as total_score from lineitem "
+            "join orders on l_orderkey = o_orderkey "
+            f"left join (values {_PERIODS}) as w(action, weight, valid_from, valid_to) "
+            "on action = o_orderpriority and cast(o_orderdate as date) >= valid_from "
+            "and cast(o_orderdate as date) < valid_to group by o_custkey, l_partkey"
+        ),
+        "approximate_users": events(
+            "select post_id, total_interactions, unique_users, true as within_a_tenth from counts"
+        ),
+        "directory_last_wins": (
+            "select o_custkey as user_id, o_orderpriority as interest, o_orderkey from orders "
+            "qualify row_number() over (partition by o_custkey order by o_orderkey desc) = 1"
+        ),
+        "csv_rows_accepted": orders("select * from posts where post_id % 50 not in (3, 7, 11)"),
+        "csv_rows_rejected": orders(
+            "select case post_id % 50 when 7 then 'creator_id' else 'timestamp' end as reason, "
+            "count(*) as n_lines from posts where post_id % 50 in (3, 7, 11) group by 1"
+        ),
         "run_counts": orders(
             "select (select count(*) from interactions) as n_interactions, "
             "(select count(*) from scores) as n_pairs, "

@@ -19,6 +19,15 @@ from rankflow.sources.workspace import Workspace
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 
+# Weights of actions with the days on which they begin and end.
+WEIGHT_PERIODS = (
+    ("5-LOW", None, "1996-01-01", 1),
+    ("5-LOW", "1996-01-01", None, 2),
+    ("3-MEDIUM", None, None, 3),
+    ("2-HIGH", "1996-01-01", None, 4),
+    ("1-URGENT", "1993-06-01", "1997-06-01", 5),
+)
+
 # A low limit that makes most posts of the test tables heavy.
 _FEW_USERS = {"heavy_post_users": 20, "block_users": 500}
 
@@ -172,6 +181,27 @@ def top_similar_users_of_table(spark, folder):
     return neighbour_ops.top_similar_users(table, OrdersInputs(spark, folder).config.neighbours)
 
 
+@_query
+def similar_pairs(spark, folder):
+    """Pairs with a least cosine, from an index that leaves out what cannot reach it."""
+    scores = Workspace(spark).keep(_orders_scores(spark, folder), "scores")
+    return similarity.similar_pairs(scores, 0.2)
+
+
+@_query
+def similar_pairs_events(spark, folder):
+    i = EventsInputs(spark, folder)
+    scores = scoring.user_post_scores(i.interactions, i.config.action_weights)
+    kept = Workspace(spark).keep(scores, "scores")
+    return similarity.similar_pairs(kept, 0.6, _FEW_USERS["heavy_post_users"])
+
+
+@_query
+def pairs_sharing_posts(spark, folder):
+    scores = Workspace(spark).keep(_orders_scores(spark, folder), "scores")
+    return similarity.pairs_sharing(scores, 3)
+
+
 # --- recommendations -------------------------------------------------------
 
 
@@ -406,9 +436,7 @@ def system_stats(spark, folder):
     """The map as text, for comparison with SQL."""
     i = OrdersInputs(spark, folder)
     run = _run(i)
-    stats = serving.system_stats(
-        i.users, _stored_feed(spark, run), run.trending, i.interactions
-    )
+    stats = run.stats(i.users, _stored_feed(spark, run))
     named = F.transform(
         F.map_entries("actions"),
         lambda e: F.concat_ws("=", e["key"], e["value"].cast("string")),
@@ -479,5 +507,64 @@ def neighbour_products(spark, folder):
 
 @_query
 def run_counts(spark, folder):
-    run = _run(OrdersInputs(spark, folder))
-    return serving.run_counts(run.pairs, run.neighbours, run.recommendations)
+    return _run(OrdersInputs(spark, folder)).counts
+
+
+@_query
+def action_scores_by_period(spark, folder):
+    """Weights as a table: they changed at the turn of 1996, and one action had none before."""
+    rows = [(a, w, f, t) for a, f, t, w in WEIGHT_PERIODS]
+    weights = spark.createDataFrame(rows, "action string, weight int, valid_from string, valid_to string")
+    dated = weights.withColumns({c: F.col(c).cast("date") for c in ("valid_from", "valid_to")})
+    scored = scoring.action_scores_by_period(OrdersInputs(spark, folder).dated_interactions, dated)
+    return scored.groupBy("user_id", "post_id").agg(F.sum("score").alias("total_score"))
+
+
+@_query
+def approximate_users(spark, folder):
+    """Users per post from daily sketches, stored and merged, next to the exact number."""
+    i = EventsInputs(spark, folder)
+    daily = trending.user_sketches(i.dated_interactions, "day")
+    merged = trending.users_of_sketches(Workspace(spark).keep(daily, "user_sketches"))
+    exact = trending.trending_counts(
+        scoring.pair_activity(i.interactions, i.config.action_weights, i.config.like_action)
+    )
+    off = F.abs(F.col("approx_users") - F.col("unique_users"))
+    return merged.join(exact.select("post_id", "unique_users"), "post_id").select(
+        "post_id", "total_interactions", "unique_users", (off <= 0.1 * F.col("unique_users")).alias("within_a_tenth")
+    )
+
+
+@_query
+def directory_last_wins(spark, folder):
+    """The orders as a table of users listed again and again: the last row of the files counts."""
+    orders = files.scan_in_order(spark, f"{folder}/orders.parquet")
+    listed = orders.select(
+        F.col("o_custkey").alias("user_id"), F.col("o_orderpriority").alias("interest"), "o_orderkey", *files.POSITION
+    )
+    return schemas.last_row_per_key(listed, "user_id", files.POSITION)
+
+
+def _planted_csv(spark, folder):
+    """The posts as CSV, with a date that is none, or a creator that is none, in some lines."""
+    posts = OrdersInputs(spark, folder).posts
+    key = F.col("post_id") % 50
+    planted = posts.select(
+        "post_id",
+        "topic",
+        F.when(key == 7, "nobody").otherwise(F.col("creator_id").cast("string")).alias("creator_id"),
+        F.when(key == 3, "1995-02-30").when(key == 11, "soon").otherwise(F.col("timestamp").cast("string")).alias("timestamp"),
+    )
+    path = Workspace(spark).path("planted_csv")
+    files.write_csv(planted, path)
+    return files.scan_csv_checked(spark, path, schemas.POSTS)
+
+
+@_query
+def csv_rows_accepted(spark, folder):
+    return _planted_csv(spark, folder)[0]
+
+
+@_query
+def csv_rows_rejected(spark, folder):
+    return files.rejects_by_reason(_planted_csv(spark, folder)[1])

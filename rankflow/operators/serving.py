@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -95,16 +97,28 @@ def _count(df: DataFrame):
     return df.agg(F.count(F.lit(1))).scalar()
 
 
+def actions_of_pairs(pairs: DataFrame) -> DataFrame:
+    """Interactions per action, from the counts that ``pair_activity_by_action`` keeps."""
+    each = pairs.select(F.inline("actions"))
+    return each.groupBy("action").agg(F.sum("n").alias("n_interactions"))
+
+
 def system_stats(
     users: DataFrame, feed: DataFrame, trending: DataFrame, interactions: DataFrame
 ) -> DataFrame:
-    """Size of each table and the action histogram as a map, as one row.
+    """:func:`system_stats_of` with the histogram taken from the log."""
+    return system_stats_of(users, feed, trending, action_histogram(interactions))
+
+
+def system_stats_of(
+    users: DataFrame, feed: DataFrame, trending: DataFrame, histogram: DataFrame
+) -> DataFrame:
+    """Size of each table and the histogram of actions as a map, as one row.
 
     A missing action counts under the empty name.
     """
-    actions = action_histogram(
-        interactions.select(F.coalesce("action", F.lit("")).alias("action"))
-    )
+    named = F.coalesce("action", F.lit("")).alias("action")
+    actions = histogram.groupBy(named).agg(F.sum("n_interactions").alias("n_interactions"))
     entries = F.collect_list(F.struct("action", "n_interactions"))
     return actions.agg(
         F.coalesce(F.sum("n_interactions"), F.lit(0)).alias("total_interactions"),
@@ -118,12 +132,25 @@ def system_stats(
     )
 
 
-def run_counts(pairs: DataFrame, neighbours: DataFrame, recommended: DataFrame) -> DataFrame:
-    """How far each step reduces or expands the data, as one row."""
-    return pairs.agg(
-        F.coalesce(F.sum("n_interactions"), F.lit(0)).alias("n_interactions"),
-        F.count(F.lit(1)).alias("n_pairs"),
-    ).select(
+def run_counts(
+    pairs: DataFrame, neighbours: DataFrame, recommended: DataFrame, observed: Mapping[str, int] | None = None
+) -> DataFrame:
+    """How far each step reduces or expands the data, as one row.
+
+    ``observed`` gives what was counted when the pairs were written, by the names
+    ``n_interactions`` and ``rows``; without it they are read again.
+    """
+    if observed is None:
+        first = pairs.agg(
+            F.coalesce(F.sum("n_interactions"), F.lit(0)).alias("n_interactions"),
+            F.count(F.lit(1)).alias("n_pairs"),
+        )
+    else:
+        first = pairs.sparkSession.range(1).select(
+            F.lit(observed["n_interactions"] or 0).cast("bigint").alias("n_interactions"),
+            F.lit(observed["rows"]).cast("bigint").alias("n_pairs"),
+        )
+    return first.select(
         "n_interactions",
         "n_pairs",
         _count(neighbours.select("user_id").distinct()).alias("n_users_with_neighbours"),

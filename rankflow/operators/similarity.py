@@ -1,14 +1,19 @@
 """Cosine similarity of every pair of users that share a post.
 
-These operators return *all* similar pairs, which is quadratic in the users of a
-post because the result itself is.  They are for reports and checks; the
-recommendation job needs only the closest neighbours and takes them from
+``pair_dot_products`` and what is built on it return *all* similar pairs, which is
+quadratic in the users of a post because the result itself is.  They are for reports and
+checks; the recommendation job needs only the closest neighbours and takes them from
 :mod:`rankflow.operators.neighbours`, which never lists the pairs of a hot post.
+
+``similar_pairs`` and ``pairs_sharing`` ask for a least cosine or a least number of shared
+posts, and cost what such pairs cost.  A user's posts go from the least to the most
+popular, and only a beginning of them is indexed: what comes later is too light, or too
+little, to make a pair on its own.  Pairs that meet there are then computed in full.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankflow.functions import cosine, spread
@@ -52,45 +57,87 @@ def pair_dot_products(scores: DataFrame, heavy_post_users: int) -> DataFrame:
     no task meets more than one tile pair of a hot post at a time.  Pairs are
     combined in the task that finds them, before any shuffle.
     """
-    tiles = heavy_posts(scores, heavy_post_users).select(
-        "post_id", F.ceil(F.col("n_users") / heavy_post_users).cast("int").alias("n_tiles")
-    )
-    n_tiles = F.coalesce("n_tiles", F.lit(1))
-    rows = (
-        with_norms(scores)
-        .join(tiles, "post_id", "left")
-        .select(
-            "*",
-            F.pmod(F.xxhash64("user_id"), n_tiles).cast("int").alias("own"),
-            F.explode(F.sequence(F.lit(0), n_tiles - 1)).alias("other"),
+    return (
+        _meetings(with_norms(scores), heavy_post_users)
+        .groupBy("user_a", "user_b", F.col("norm2_a"), F.col("norm2_b"))
+        .agg(
+            F.sum(F.col("total_score_a") * F.col("total_score_b")).alias("dot_product"),
+            F.count(F.lit(1)).alias("shared_posts"),
         )
     )
-    a = rows.select(
-        "post_id",
-        F.col("own").alias("tile_a"),
-        F.col("other").alias("tile_b"),
-        F.col("user_id").alias("user_a"),
-        F.col("total_score").alias("score_a"),
-        F.col("norm2").alias("norm2_a"),
+
+
+def _meetings(rows: DataFrame, heavy_post_users: int) -> DataFrame:
+    """Two users of one post, ``user_a < user_b``, with all columns of ``rows`` for either, tile by tile."""
+    tiles = heavy_posts(rows, heavy_post_users).select(
+        "post_id", F.ceil(F.col("n_users") / heavy_post_users).cast("int").alias("n_tiles")
     )
-    b = rows.select(
-        "post_id",
-        F.col("other").alias("tile_a"),
-        F.col("own").alias("tile_b"),
-        F.col("user_id").alias("user_b"),
-        F.col("total_score").alias("score_b"),
-        F.col("norm2").alias("norm2_b"),
+    n_tiles = F.coalesce("n_tiles", F.lit(1))
+    tiled = rows.join(tiles, "post_id", "left").select(
+        *rows.columns,
+        F.pmod(F.xxhash64("user_id"), n_tiles).cast("int").alias("own"),
+        F.explode(F.sequence(F.lit(0), n_tiles - 1)).alias("other"),
     )
+
+    def side(s: str, tile_a: str, tile_b: str) -> DataFrame:
+        carried = [F.col(c).alias(f"{c}_{s}") for c in rows.columns if c not in ("user_id", "post_id")]
+        tile = (F.col(tile_a).alias("tile_a"), F.col(tile_b).alias("tile_b"))
+        return tiled.select("post_id", *tile, F.col("user_id").alias(f"user_{s}"), *carried)
+
     tile = ["post_id", "tile_a", "tile_b"]
+    a, b = side("a", "own", "other"), side("b", "other", "own")
+    return spread(a, *tile).join(spread(b, *tile), tile).where("user_a < user_b")
+
+
+# Room for the last bits of sums of squares and their roots.
+_SLACK = 1.0 - 1e-9
+
+
+def _rarest_first(rows: DataFrame) -> DataFrame:
+    """``rows`` with the number of users of their post, in whose order the ``place`` of a post among its user's is counted from the most popular."""
+    counted = rows.join(post_audience(rows), "post_id")
+    last_first = Window.partitionBy("user_id").orderBy(F.desc("n_users"), F.desc("post_id"))
+    return counted.withColumn("place", F.row_number().over(last_first))
+
+
+def similar_pairs(scores: DataFrame, min_cosine: float, heavy_post_users: int = 500) -> DataFrame:
+    """All pairs with a cosine of at least ``min_cosine``, a positive number.
+
+    At the rarest post that two users share, the cosine is at most the product of the shares of
+    their lengths from there on.  So a user is indexed under a post only while its share from
+    there on reaches the bound, and two users meet only where the product does.  A post with a
+    third of all users comes last and is reached by few.
+    """
+    if not min_cosine > 0:
+        raise ValueError("min_cosine must be positive; pair_dot_products lists all pairs")
+    ordered = _rarest_first(with_norms(scores).where("norm2 > 0"))
+    onward = Window.partitionBy("user_id").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    square = F.col("total_score").cast("double") * F.col("total_score")
+    reach = F.sqrt(F.sum(square).over(onward) / F.col("norm2"))
+    least = min_cosine * _SLACK
+    index = ordered.select("user_id", "post_id", reach.alias("reach")).where(F.col("reach") >= least)
+    met = _meetings(index, heavy_post_users).where(F.col("reach_a") * F.col("reach_b") >= least)
+    found = edge_products(met.select("user_a", "user_b"), scores)
+    return found.where(F.col("cosine_similarity") >= min_cosine)
+
+
+def pairs_sharing(scores: DataFrame, min_shared: int, heavy_post_users: int = 500) -> DataFrame:
+    """``user_a, user_b, shared_posts`` of all pairs with at least ``min_shared`` common posts.
+
+    Two users who share so many share one among all but the ``min_shared - 1`` most popular of either.
+    """
+    if min_shared < 1:
+        raise ValueError("min_shared must be at least 1")
+    rows = scores.select("user_id", "post_id")
+    index = _rarest_first(rows).where(F.col("place") >= min_shared).select("user_id", "post_id")
+    met = _meetings(index, heavy_post_users).select("user_a", "user_b").distinct()
+    of_a = rows.withColumnRenamed("user_id", "user_a")
+    of_b = rows.withColumnRenamed("user_id", "user_b")
+    shared = met.join(of_a, "user_a").join(of_b, ["user_b", "post_id"])
     return (
-        spread(a, *tile)
-        .join(spread(b, *tile), tile)
-        .where("user_a < user_b")
-        .groupBy("user_a", "user_b", "norm2_a", "norm2_b")
-        .agg(
-            F.sum(F.col("score_a") * F.col("score_b")).alias("dot_product"),
-            F.count(F.lit(1)).alias("shared_posts"),
-        )
+        shared.groupBy("user_a", "user_b")
+        .agg(F.count(F.lit(1)).alias("shared_posts"))
+        .where(F.col("shared_posts") >= min_shared)
     )
 
 

@@ -54,3 +54,25 @@ def trending_cards(trending: DataFrame, length: int) -> DataFrame:
         "total_interactions",
         F.when(most > 0, count / most * 100).otherwise(0.0).alias("relative_activity"),
     )
+
+
+def user_sketches(interactions: DataFrame, *by: str, log_size: int = 12) -> DataFrame:
+    """One mergeable sketch of the users of each post, for every combination of ``by``, such as a day.
+
+    A sketch has at most ``2 ** log_size`` registers whatever it counts, and is built before the
+    shuffle, so a hot post costs one sketch per task.  Rows without a user do not count.
+    """
+    return interactions.groupBy("post_id", *by).agg(
+        F.hll_sketch_agg("user_id", log_size).alias("users"), F.count(F.lit(1)).alias("n_interactions")
+    )
+
+
+def users_of_sketches(sketches: DataFrame) -> DataFrame:
+    """``post_id, total_interactions, approx_users`` of stored sketches, of any days, added up.
+
+    Sketches of one size merge without loss: days added up give what one sketch of all rows gives.
+    """
+    merged = sketches.groupBy("post_id").agg(
+        F.sum("n_interactions").alias("total_interactions"), F.hll_union_agg("users").alias("users")
+    )
+    return merged.select("post_id", "total_interactions", F.hll_sketch_estimate("users").alias("approx_users"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from rankflow.config import FeedConfig
 from rankflow.operators import feed as feed_ops
 from rankflow.operators import neighbours as neighbour_ops
-from rankflow.operators import recommend, scoring, signals, trending
+from rankflow.operators import recommend, scoring, serving, signals, trending
 from rankflow.sources import schemas
 from rankflow.sources.workspace import Workspace
 
@@ -57,10 +57,30 @@ class FeedRun:
 
     @cached_property
     def pairs(self) -> DataFrame:
-        """Activity per (user, post), stored."""
+        """Activity per (user, post), stored, and its size counted at the write."""
         c = self.config
-        pairs = scoring.pair_activity(self.interactions, c.action_weights, c.like_action)
-        return self._workspace.keep(pairs, "pairs")
+        pairs = scoring.pair_activity_by_action(self.interactions, c.action_weights, c.like_action)
+        return self._workspace.keep(pairs, "pairs", n_interactions=F.sum("n_interactions"))
+
+    @property
+    def observed(self) -> dict[str, dict[str, int]]:
+        """What was counted of the stored tables as they were written, by table."""
+        return self._workspace.observed
+
+    @cached_property
+    def action_histogram(self) -> DataFrame:
+        """Interactions per action, from the stored pairs."""
+        return serving.actions_of_pairs(self.pairs)
+
+    @cached_property
+    def counts(self) -> DataFrame:
+        """How far each step reduces or expands the data, as one row."""
+        pairs = self.pairs
+        return serving.run_counts(pairs, self.neighbours, self.recommendations, self.observed["pairs"])
+
+    def stats(self, users: DataFrame, feed: DataFrame) -> DataFrame:
+        """Size of the tables and the histogram of actions; the log is not read again."""
+        return serving.system_stats_of(users, feed, self.trending, self.action_histogram)
 
     @cached_property
     def scores(self) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 ColumnOrName = Column | str
@@ -28,6 +28,45 @@ def scan_parquet(spark: SparkSession, path: str, schema: StructType | None = Non
     return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
+#: Where a row stands in the files of a parquet table.
+POSITION = ("file_path", "row_index")
+
+
+def scan_in_order(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """A parquet file or directory with each row's ``file_path`` and ``row_index`` in that file.
+
+    Files go by name.  Both come from the file source, so reading stays parallel.
+    """
+    scanned = scan_parquet(spark, path, schema)
+    place = (F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.row_index").alias("row_index"))
+    return scanned.select("*", *place)
+
+
+def scan_csv_checked(spark: SparkSession, path: str, schema: StructType) -> tuple[DataFrame, DataFrame]:
+    """Headed CSV as (rows that read as ``schema``, rejected lines as ``line, reason``).
+
+    A line is rejected where a value does not read as its column's type, or where it has more or
+    fewer values than columns.  ``reason`` is ``number of values`` or else the first such column.
+    Either table is one parallel scan of the files; values are read as text and cast.
+    """
+    corrupt = "_corrupt_line"
+    text = [StructField(name, StringType()) for name in (*schema.names, corrupt)]
+    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
+    scanned = reader.option("columnNameOfCorruptRecord", corrupt).schema(StructType(text)).csv(path)
+    typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields}
+    unread = (F.when(F.col(n).isNotNull() & value.isNull(), n) for n, value in typed.items())
+    reason = F.coalesce(F.when(F.col(corrupt).isNotNull(), "number of values"), *unread)
+    judged = scanned.withColumn("_reason", reason)
+    good = judged.where(F.col("_reason").isNull()).select(*(v.alias(n) for n, v in typed.items()))
+    line = F.coalesce(F.col(corrupt), F.to_csv(F.struct(*schema.names)))
+    return good, judged.where(F.col("_reason").isNotNull()).select(line.alias("line"), F.col("_reason").alias("reason"))
+
+
+def rejects_by_reason(rejected: DataFrame) -> DataFrame:
+    """Number of rejected lines per reason."""
+    return rejected.groupBy("reason").agg(F.count(F.lit(1)).alias("n_lines"))
+
+
 def ordered(df: DataFrame, order_by: Sequence[ColumnOrName]) -> DataFrame:
     """Ranges of the order in successive partitions, each sorted; no task holds it all."""
     return df.repartitionByRange(*order_by).sortWithinPartitions(*order_by) if order_by else df

@@ -57,6 +57,18 @@ class OrdersInputs(Inputs):
             F.col("o_orderpriority").alias("action"),
         )
 
+    @cached_property
+    def dated_interactions(self) -> DataFrame:
+        """An interaction per order line, on the day of the order."""
+        orders = self._table("orders")
+        lines = self._table("lineitem")
+        return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+            F.col("o_custkey").alias("user_id"),
+            F.col("l_partkey").alias("post_id"),
+            F.col("o_orderpriority").alias("action"),
+            F.to_date("o_orderdate").alias("day"),
+        )
+
     @cached_property
     def posts(self) -> DataFrame:
         """Every part, created by its first supplier on the day it first shipped."""
@@ -111,6 +123,11 @@ class EventsInputs(Inputs):
         """Every event."""
         return self._events.drop("ts")
 
+    @cached_property
+    def dated_interactions(self) -> DataFrame:
+        """Every event with its day."""
+        return self._events.withColumn("day", F.to_date("ts")).drop("ts")
+
     @cached_property
     def posts(self) -> DataFrame:
         """Every part, created by its lowest user on the day of its first event, if any."""

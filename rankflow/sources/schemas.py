@@ -131,3 +131,19 @@ def one_row_per_key(df: DataFrame, key: str) -> DataFrame:
         .agg(F.max(F.struct(*rest)).alias("_row"))
         .select(*(F.col(n) if n == key else F.col(f"_row.{n}").alias(n) for n in df.columns))
     )
+
+
+def last_row_per_key(df: DataFrame, key: str, position: Sequence[str]) -> DataFrame:
+    """One row per key: the last one in the order of the columns ``position``, which are dropped.
+
+    With the columns that :func:`rankflow.sources.files.scan_in_order` adds, that is the last row
+    of the last file, as in a load that goes through the files row by row.
+    """
+    rest = [name for name in df.columns if name != key and name not in position]
+    last = F.max_by(F.struct(*rest), F.struct(*position)).alias("_row")
+    names = [name for name in df.columns if name not in position]
+    return (
+        df.groupBy(key)
+        .agg(last)
+        .select(*(F.col(n) if n == key else F.col(f"_row.{n}").alias(n) for n in names))
+    )

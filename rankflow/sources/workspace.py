@@ -11,7 +11,8 @@ from __future__ import annotations
 import uuid
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _SETTING = "spark.checkpoint.dir"
 
@@ -57,6 +58,8 @@ class Workspace:
         self._spark = spark
         self._root = f"{base.rstrip('/')}/rankflow/{uuid.uuid4().hex}" if base else None
         self._persisted: list[DataFrame] = []
+        #: What :meth:`keep` counted of each table.
+        self.observed: dict[str, dict[str, int]] = {}
 
     def path(self, name: str) -> str:
         """Where the table ``name`` lives."""
@@ -64,14 +67,30 @@ class Workspace:
             raise ValueError(f"set {_SETTING} to a folder all executors can reach")
         return f"{self._root}/{name}"
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
-        """``df`` written out and read back; persisted if there is no folder."""
+    def keep(self, df: DataFrame, name: str, **metrics: Column) -> DataFrame:
+        """``df`` written out and read back; persisted if there is no folder.
+
+        Aggregates given as ``metrics`` are computed on the rows as they are written, with their
+        number as ``rows``, and end up in ``observed[name]``: no job of their own counts them.
+        """
         if self._root is None:
             self._persisted.append(df.persist(StorageLevel.DISK_ONLY))
+            if metrics:
+                counted = self._persisted[-1].agg(*self._aliased(metrics)).first()
+                self.observed[name] = counted.asDict()
             return self._persisted[-1]
-        df.write.parquet(self.path(name))
+        if metrics:
+            seen = Observation()
+            df.observe(seen, *self._aliased(metrics)).write.parquet(self.path(name))
+            self.observed[name] = seen.get
+        else:
+            df.write.parquet(self.path(name))
         return self._spark.read.schema(df.schema).parquet(self.path(name))
 
+    @staticmethod
+    def _aliased(metrics: dict[str, Column]) -> list[Column]:
+        return [F.count(F.lit(1)).alias("rows"), *(column.alias(n) for n, column in metrics.items())]
+
     def close(self) -> None:
         """Drop all tables of this run."""
         for df in self._persisted:
