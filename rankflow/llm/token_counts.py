@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 import tiktoken
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -34,6 +35,29 @@ MANIFEST_IDS = 4_096
 _PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
+#: Blanks in a row from which on they are cut out by hand: the library's matcher keeps a place for each and runs out of them.
+LONG_RUN = 20_000
+_LONG_RUN = regex.compile(rf"\s{{{LONG_RUN},}}")
+
+
+def encode_text(encoding: tiktoken.Encoding, text: str) -> np.ndarray:
+    """Ids of ``text``, whatever it holds; special tokens are ordinary text.
+
+    A run of blanks before other text is one match without its last blank, which goes with what
+    follows or stands alone; at the end of the text it is one match.  So a long run is cut out
+    as such a match, and what is around it encoded by itself.
+    """
+    parts, at = [], 0
+    for run in _LONG_RUN.finditer(text):
+        end = run.end() - (run.end() < len(text))
+        parts.append(encoding.encode_to_numpy(text[at : run.start()], disallowed_special=()))
+        parts.append(np.array(encoding._encode_single_piece(text[run.start() : end]), np.uint32))
+        at = end
+    if not parts:
+        return encoding.encode_to_numpy(text, disallowed_special=())
+    return np.concatenate([*parts, encoding.encode_to_numpy(text[at:], disallowed_special=())])
+
+
 def read_ranks(path: str = RANKS) -> dict[bytes, int]:
     with open(path, "rb") as file:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
@@ -126,7 +150,7 @@ def tokenise(documents: DataFrame, ranks: dict[bytes, int], pattern: str = _PATT
                 part = batch.column("stream")[0].as_py()
             for piece in pieces(batch):
                 for name, text in zip(piece.column("doc_id").to_pylist(), piece.column("text").to_pylist(), strict=True):
-                    ids = encoding.encode_to_numpy(text, disallowed_special=()).astype("<u2") if text else stop[:0]
+                    ids = encode_text(encoding, text).astype("<u2") if text else stop[:0]
                     held += [ids, stop]
                     size += len(ids) + 1
                     names.append(name)

@@ -92,3 +92,21 @@ def test_written_shards(spark, docs, tmp_path):
     back = [spark.read.parquet(str(f)).agg({"n_chars": "sum", "doc_id": "count"}).first() for f in folders]
     assert len(back) > 3 and sum(r["count(doc_id)"] for r in back) == 40
     assert all(r["sum(n_chars)"] <= 1_000 for r in back)
+
+
+def test_long_runs_of_blanks_are_counted(docs):
+    """As the library counts them where it can, and piece by piece where its matcher gives up."""
+    encoding = tiktoken.Encoding("own", pat_str=tok._PATTERN, mergeable_ranks=tok.read_ranks(), special_tokens={})
+    rng = random.Random(1)
+    for blank in (" ", "\t", "\n", "\r\n", "  ", "\x1c 　"):
+        for n in (tok.LONG_RUN - 1, tok.LONG_RUN, 30_001):
+            run = (blank * n)[:n]
+            for text in (run, "a" + run, run + "b", f"it's{run}x 1{run}!? {run}", f"é{run}日本"):
+                assert tok.encode_text(encoding, text).tolist() == encoding.encode_ordinary(text), (blank, n, text[:5])
+    mixed = "".join(rng.choices(" \t\n", k=50_000))
+    assert tok.encode_text(encoding, f"a{mixed}b").tolist() == encoding.encode_ordinary(f"a{mixed}b")
+    huge = [(i, "a" + blank * 2_000_000 + "b") for i, blank in enumerate((" ", "\t", "\n"))]
+    counted = {r.doc_id: r.n_tokens for r in tok.document_token_counts(docs(huge), tok.read_ranks()).collect()}
+    for i, text in huge:
+        single = len(encoding._encode_single_piece(text[1 : 2_000_000]))
+        assert counted[i] == 1 + single + len(encoding.encode_ordinary(text[2_000_000:]))
