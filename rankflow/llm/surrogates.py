@@ -6,7 +6,8 @@ from a secret key; before use, surrogates are checked against each other and aga
 real values of the corpus, and an entity whose surrogate is taken draws again.  A mention
 is rendered in its own format: separators, letter case and title stay.
 
-A name is found after a title.  Its full form and its surname are then found without one in
+A name is found after a title, in Latin, Cyrillic, Greek or Armenian letters; a name in another
+script is left as it is, since a surrogate would change its script.  Its full form and its surname are then found without one in
 the same text too.  A surname has one surrogate, which all full names with it end in, so that
 "Mr John Smith", "Mr Smith", "John Smith" and "Smith" stay one person's names.
 """
@@ -22,12 +23,14 @@ from rankflow.sources.workspace import Workspace
 KEY = "rotate-this-key"
 #: From this draw on surrogates get longer, so that a crowded format runs out of collisions.
 LENGTHEN_FROM = 8
+#: No format is crowded at its greatest length; whoever gets here has a corpus of values that derive from the key.
+MOST_DRAWS = 64
 
 # Titles by gender, then first names and syllables of surnames by script.
 _TITLES = {
-    "m": ("Mr", "Mister", "Sir", "Lord", "Herr", "Monsieur", "Señor", "Sr", "Signor", "Господин", "Κύριος"),
-    "f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Mademoiselle", "Mlle", "Señora", "Sra", "Señorita", "Signora", "Lady", "Dame", "Госпожа", "Κυρία"),
-    "n": ("Mx", "Dr", "Doctor", "Prof", "Professor", "Rev", "Reverend", "Доктор", "Профессор", "Δρ"),
+    "m": ("Mr", "Mister", "Sir", "Lord", "Herr", "Monsieur", "Señor", "Sr", "Signor", "Господин", "Κύριος", "Պարոն"),
+    "f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Mademoiselle", "Mlle", "Señora", "Sra", "Señorita", "Signora", "Lady", "Dame", "Госпожа", "Κυρία", "Տիկին", "Օրիորդ"),
+    "n": ("Mx", "Dr", "Doctor", "Prof", "Professor", "Rev", "Reverend", "Доктор", "Профессор", "Δρ", "Դոկտոր"),
 }
 _FIRST_NAMES = {
     ("latin", "m"): ("Adam", "Boris", "Carl", "David", "Emil", "Frank", "Hugo", "Ivan", "Jonas", "Leon", "Oscar", "Paul"),
@@ -36,15 +39,19 @@ _FIRST_NAMES = {
     ("cyrillic", "f"): ("Анна", "Вера", "Галина", "Дарья", "Елена", "Зоя", "Ирина", "Ольга"),
     ("greek", "m"): ("Αλέξης", "Γιώργος", "Δημήτρης", "Κώστας", "Νίκος", "Πέτρος"),
     ("greek", "f"): ("Άννα", "Βασιλική", "Δέσποινα", "Ελένη", "Κατερίνα", "Μαρία"),
+    ("armenian", "m"): ("Արամ", "Դավիթ", "Հայկ", "Կարեն", "Տիգրան", "Վահե"),
+    ("armenian", "f"): ("Անահիտ", "Աննա", "Լուսինե", "Մարիամ", "Նարե", "Սոնա"),
 }
 _SYLLABLES = {
     "latin": ("ba", "do", "fe", "gi", "ka", "lo", "me", "ni", "pa", "ro", "se", "ti", "va", "zo", "ru", "le"),
     "cyrillic": ("ба", "до", "фе", "ги", "ка", "ло", "ме", "ни", "па", "ро", "се", "ти", "ва", "зо", "ру", "ле"),
+    "armenian": ("բա", "դո", "ֆե", "գի", "կա", "լո", "մե", "նի", "պա", "ռո", "սե", "տի", "վա", "զո", "ռա", "լե"),
     "greek": ("βα", "δο", "φε", "γι", "κα", "λο", "με", "νι", "πα", "ρο", "σε", "τι", "μα", "ζο", "ρυ", "λε"),
 }
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-_EMAIL = r"[\p{L}\p{N}._%+-]{1,64}+@(?:[\p{L}\p{N}-]{1,63}+\.){1,8}\p{L}{2,24}(?![\p{L}\p{N}])"
+# A host name has at most 127 labels, of 63 letters each.
+_EMAIL = r"[\p{L}\p{N}._%+-]++@(?:[\p{L}\p{N}-]{1,63}+\.){1,126}\p{L}{2,63}(?![\p{L}\p{N}])"
 _IP = rf"{_OCTET}(?:\.{_OCTET}){{3}}(?![\p{{L}}\p{{N}}]|\.\d)"
 _PHONE = r"(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}|\(\d{3}\) ?\d{3}[.-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\p{L}\p{N}])"
 _CARD = r"(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{1,7})(?![\p{L}\p{N}])"
@@ -58,9 +65,14 @@ _TOKEN = r"[A-Za-z0-9_/+=!@#$%^&*-]"
 _LABELLED = rf"{_LABEL}(?=[^\s\"'\d]*+\d)(?={_TOKEN}(?:{_TOKEN}|\.(?=\.*+{_TOKEN})){{5}}){_TOKEN}++(?:\.++{_TOKEN}++)*+(?![\p{{L}}\p{{N}}])"
 _TITLE = "|".join(sorted((t for own in _TITLES.values() for t in own), key=len, reverse=True))
 _GAP = r"[ \u00a0]"
-# A word of a name has a small letter, and may have inner capitals and apostrophes.
-_WORD = r"\p{Lu}(?=[\p{Lu}'’]*+\p{Ll})(?:[\p{L}\p{M}]|['’](?=\p{Lu})){1,40}+"
-_BARE = rf"(?:\p{{Lu}}\.{_GAP}){{0,3}}{_WORD}(?:(?:-|{_GAP}(?:\p{{Lu}}\.{_GAP})?){_WORD}){{0,2}}(?![\p{{L}}\p{{M}}])"
+# A word of a name has a small letter, and may have inner capitals and apostrophes.  Names in scripts without
+# surrogates of their own, or without capitals, are left alone: they would change script.
+_CAPITAL = r"[\p{Lu}&&[\p{IsLatin}\p{IsCyrillic}\p{IsGreek}\p{IsArmenian}]]"
+_WORD = rf"{_CAPITAL}(?=[\p{{Lu}}'’]*+\p{{Ll}})(?:[\p{{L}}\p{{M}}]++|['’](?=\p{{Lu}}))++"
+# Small words inside names.
+_PARTICLES = ("van", "von", "der", "den", "de", "del", "della", "di", "da", "dos", "das", "du", "la", "le", "el", "al", "bin", "ibn", "bint", "ten", "ter", "zu", "zur", "af", "av", "фон", "де")
+_PARTICLE = rf"(?:{'|'.join(_PARTICLES)}){_GAP}"
+_BARE = rf"(?:{_CAPITAL}\.{_GAP})*+(?:{_PARTICLE}){{0,3}}{_WORD}(?:(?:-|{_GAP}(?:{_CAPITAL}\.{_GAP})*+(?:{_PARTICLE}){{0,3}}){_WORD})*+(?![\p{{L}}\p{{M}}])"
 _TITLED = rf"(?:(?:{_TITLE})\.?{_GAP}){{1,3}}"
 _NAME = rf"{_TITLED}{_BARE}"
 MENTION = rf"(?<![\p{{L}}\p{{N}}_])(?:{_LABELLED}|{_EMAIL}|{_IP}|{_PHONE}|{_CARD}|{_SSN}|{_SECRET}|{_NAME})"
@@ -162,11 +174,13 @@ def surrogate_of(kind: Column, normal: Column, key: str, draw: Column) -> Column
     salt = F.sha2(F.concat(F.lit(key), F.lit("|"), kind), 256)
     digest = F.sha2(F.concat_ws("|", salt, draw.cast("string"), F.sha2(F.concat_ws("|", salt, normal), 256)), 256)
     longer = draw >= LENGTHEN_FROM
+    # Every format gets longer with the draws, so that it cannot run out of values.
+    more = F.substring(F.sha2(digest, 256), F.lit(1), F.greatest(F.lit(0), F.least(4 * (draw - (LENGTHEN_FROM - 1)), F.lit(64))))
 
     local, domain = F.substring_index(normal, "@", 1), F.substring_index(normal, "@", -1)
     host = F.regexp_replace(domain, r"\.[^.]*$", "")
     host = _chars(host, F.sha2(F.concat_ws("|", salt, host), 256))
-    email = F.concat(_chars(local, digest), F.when(longer, F.substring(digest, 50, 4)).otherwise(""), F.lit("@"), host, F.lit("."), F.substring_index(domain, ".", -1))
+    email = F.concat(_chars(local, digest), more, F.lit("@"), host, F.lit("."), F.substring_index(domain, ".", -1))
 
     octets = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: (F.pmod(_nibble(digest, i * 7), F.lit(254)) + 1).cast("string"))
     digits = F.regexp_replace(normal, r"\+", "")
@@ -177,23 +191,27 @@ def surrogate_of(kind: Column, normal: Column, key: str, draw: Column) -> Column
         normal.rlike("^[0-9A-F]+$"), _chars(normal, digest, F.lit("0123456789ABCDEF"))
     )
     prefix = F.regexp_extract(normal, "^(AKIA|sk-)", 1)
-    secret = F.coalesce(hexed, F.concat(prefix, _chars(F.substring(normal, F.length(prefix) + 1, F.length(normal)), digest)))
+    bare = F.coalesce(hexed, F.concat(prefix, _chars(F.substring(normal, F.length(prefix) + 1, F.length(normal)), digest)))
+    secret = F.concat(bare, F.when(bare.rlike("^[0-9A-Z]+$"), F.upper(more)).otherwise(more))
 
     gender, name = F.substring(normal, 1, 1), F.when(kind == "surname", normal).otherwise(F.substring(normal, F.lit(3), F.length(normal)))
-    script = F.when(name.rlike(r"^\p{IsCyrillic}"), "cyrillic").when(name.rlike(r"^\p{IsGreek}"), "greek").otherwise("latin")
+    last = F.substring_index(name, " ", -1)
+    script = F.lit("latin")
+    for other in ("Cyrillic", "Greek", "Armenian"):
+        script = F.when(last.rlike(rf"^\p{{Is{other}}}"), other.lower()).otherwise(script)
     given, surname = F.lit(None).cast("string"), F.lit(None).cast("string")
     for alphabet in _SYLLABLES:
         sexes = {sex: _FIRST_NAMES[alphabet, sex] for sex in "mf"}
         for sex, firsts in (sexes | {"n": sexes["m"] + sexes["f"]}).items():
             first = F.element_at(F.array(*map(F.lit, firsts)), F.pmod(_nibble(digest, F.lit(0)), F.lit(len(firsts))) + 1)
             # Many full names share a surname, so given names get longer than the list.
-            first = F.when(longer, F.concat(first, F.lit("-"), _surname(alphabet, digest, F.lit(4)))).otherwise(first)
+            first = F.when(longer, F.concat(first, F.lit("-"), _surname(alphabet, digest, F.greatest(F.lit(4), draw - 4)))).otherwise(first)
             given = F.when((script == alphabet) & (gender == sex), first).otherwise(given)
-        surname = F.when(script == alphabet, _surname(alphabet, digest, F.when(longer, 8).otherwise(5))).otherwise(surname)
+        surname = F.when(script == alphabet, _surname(alphabet, digest, F.when(longer, F.greatest(F.lit(8), draw)).otherwise(5))).otherwise(surname)
     return (
         F.when(kind == "email", email)
         .when(kind == "ip", F.concat_ws(".", octets))
-        .when(kind.isin("phone", "card", "ssn"), F.concat(number, F.when(longer, F.regexp_replace(F.substring(digest, 40, 4), "[a-f]", "7")).otherwise("")))
+        .when(kind.isin("phone", "card", "ssn"), F.concat(number, F.translate(more, "abcdef", "234567")))
         .when(kind == "name", F.concat(gender, F.lit(":"), given, F.lit(" "), F.substring_index(name, " ", -1)))
         .when(kind == "surname", surname)
         .otherwise(secret)
@@ -220,6 +238,8 @@ def assign_surrogates(entities: DataFrame, key: str, work: Workspace) -> DataFra
         draw += 1
         if pending.isEmpty():
             return taken.select("kind", "normal", "surrogate")
+        if draw == MOST_DRAWS:
+            raise RuntimeError(f"no free surrogate after {draw} draws; is the key public and the corpus its output?")
 
 
 def rendered(mention: Column, kind: Column, surrogate: Column, surname: Column) -> Column:

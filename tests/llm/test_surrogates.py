@@ -1,5 +1,8 @@
 import re
 
+import pytest
+from conftest import SMALL
+
 from rankflow.llm import surrogates as sur
 from rankflow.sources.workspace import Workspace
 
@@ -80,7 +83,7 @@ def test_distinct_entities_stay_distinct(docs):
     rows = [(i, f"write to user{i % 50}.{i % 100:02d}@mail{i % 7}.example.com from 10.{i % 256}.0.{i % 200}") for i in range(400)]
     out = {r.doc_id: r.text for r in sur.replace_entities(docs(rows)).collect()}
     for pattern in (r"\S+@\S+", r"\d+\.\d+\.\d+\.\d+"):
-        before, after = ([re.search(pattern, t)[0] for t in (dict(rows)[i], out[i])] for i in range(0)) if False else zip(*[(re.search(pattern, t)[0], re.search(pattern, out[i])[0]) for i, t in rows], strict=True)
+        before, after = zip(*[(re.search(pattern, t)[0], re.search(pattern, out[i])[0]) for i, t in rows], strict=True)
         assert len(set(zip(before, after, strict=True))) == len(set(before)) == len(set(after))
         assert not set(before) & set(after)
 
@@ -106,3 +109,78 @@ def test_no_python_in_the_plan(docs):
     frame = sur.replace_entities(docs([(1, LETTER)]))
     text = frame._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", text)
+
+
+def test_masked_secrets_end(docs):
+    """Ten values whose format has ten in all: every draw of that format is a real value."""
+    out = sur.replace_entities(docs([(i, f"password: *****{i}") for i in range(10)])).collect()
+    values = {r.text.removeprefix("password: ") for r in out}
+    assert len(values) == 10 and not values & {f"*****{i}" for i in range(10)}
+    assert all(re.fullmatch(r"password: \*{5}[0-9a-f]{2,}", r.text) for r in out)
+
+
+def test_crowded_formats_of_all_kinds_end(spark):
+    entities = [("secret", f"{i:01d}") for i in range(10)] + [("phone", f"+1{i}") for i in range(10)] + [("card", f"4{i}") for i in range(10)]
+    entities += [("surname", f"S{i}") for i in range(300)] + [("name", f"m:A{i} Smith") for i in range(400)] + [("email", f"{i}@a.b") for i in range(10)]
+    got = sur.assign_surrogates(spark.createDataFrame(entities, "kind string, normal string"), "k", Workspace(spark)).collect()
+    assert len(got) == len(entities) == len({(r.kind, r.surrogate) for r in got})
+    assert not {(r.kind, r.surrogate) for r in got} & set(entities)
+
+
+def test_a_key_without_free_values_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(sur, "MOST_DRAWS", 2)
+    entities = spark.createDataFrame([("ssn", str(i)) for i in range(10)], "kind string, normal string")
+    with pytest.raises(RuntimeError, match="no free surrogate"):
+        sur.assign_surrogates(entities, "k", Workspace(spark))
+
+
+def test_whole_names_of_any_length_and_with_small_words(docs):
+    names = {
+        "Mr Juan Carlos Garcia Lopez": "Juan Carlos Garcia Lopez",
+        "Mr Ludwig van Beethoven": "Ludwig van Beethoven",
+        "Mrs Maria de la Cruz": "Maria de la Cruz",
+        "Dr Ursula von der Leyen": "Ursula von der Leyen",
+        "Mr " + "A" + "b" * 60: "A" + "b" * 60,
+        "Prof Jean-Luc Édouard Marie d’Arc": "Jean-Luc Édouard Marie",
+    }
+    out = {r.doc_id: r.text for r in sur.replace_entities(docs([(i, f"then {t} spoke.") for i, t in enumerate(names)])).collect()}
+    for i, (titled, name) in enumerate(names.items()):
+        title = titled.split()[0]
+        assert re.match(rf"then {title} \w+( \w+)?( d’Arc)? spoke\.$", out[i]), out[i]
+        assert not {w for w in re.findall(r"\w+", name) if w[0].isupper()} & set(re.findall(r"\w+", out[i]))
+
+
+def test_names_keep_their_script_or_stay(docs):
+    rows = [(1, "Dr Արամ Խաչատրյան եկավ"), (2, "Տիկին Մարիամ Պետրոսյան եկավ"), (3, "Dr გიორგი ბერიძე მოვიდა"), (4, "Dr דוד כהן בא"), (5, "Dr 王小明 来了"), (6, "Доктор Иван Павлов пришёл")]
+    out = {r.doc_id: r.text for r in sur.replace_entities(docs(rows)).collect()}
+    assert re.fullmatch(r"Dr [Ա-և]+ [Ա-և]+ եկավ", out[1]) and "Խաչ" not in out[1]
+    assert re.fullmatch(r"Տիկին [Ա-և]+ [Ա-և]+ եկավ", out[2]) and out[2].split()[1] in sur._FIRST_NAMES["armenian", "f"]
+    assert re.fullmatch(r"Доктор [А-я]+ [А-я]+ пришёл", out[6]) and "Павлов" not in out[6]
+    assert all(out[i] == dict(rows)[i] for i in (3, 4, 5))
+
+
+def test_long_addresses_go_whole(docs):
+    local, host = "x" * 200, ".".join("abcdefghi") + ".example.com"
+    out = sur.replace_entities(docs([(1, f"to {local}@mail.example.com, a@{host}; ")])).first()
+    assert out.n_entities == 2 and local not in out.text and "example" not in out.text
+    assert re.fullmatch(r"to [a-z]{200}@[a-z]{4}\.[a-z]{7}\.com, [a-z]@(?:[a-z]\.){9}[a-z]{7}\.com; ", out.text)
+
+
+# What personal data looks like in the given documents, written down without regard to the operator's pattern.
+PLAIN = re.compile(
+    r"[\w.%+-]+@[\w-]+(?:\.[\w-]+)*\.[a-z]+|(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w.])|\+\d{1,3}[ -]?\(?\d{2,4}\)?(?:[ -]\d{2,4}){2,3}"
+    r"|(?<!\w)(?:AKIA[0-9A-Z]{16}|[0-9a-f]{32,}|sk-[\w-]{20,})(?!\w)"
+)
+
+
+def test_the_query_replaces_what_a_plain_search_finds(spark):
+    before = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    after = {r.doc_id: r.text or "" for r in sur.op9_pii_surrogates(spark, SMALL).collect()}
+    assert before.keys() == after.keys()
+    pairs = set()
+    for i, text in before.items():
+        real, new = PLAIN.findall(text), PLAIN.findall(after[i])
+        assert len(real) == len(new), (real, new)
+        pairs |= set(zip(real, new, strict=True))
+    assert len(pairs) > 5 and len({a for a, _ in pairs}) == len({b for _, b in pairs})
+    assert not {a for a, _ in pairs} & {b for _, b in pairs}
