@@ -3,12 +3,18 @@
 Items are the stated query set: they reach the tasks in blocks of bounded size, and every
 block is held against all documents in one pass without a shuffle.  A window of as many
 words as the item that shares none of its shingles has similarity 0, so windows are laid
-around shared shingles only.  A text of fewer words than the item is one window as a whole.  A window's fingerprint (the sign of the summed bits of its
-shingles) is a candidate where some block of bits is within its share of the radius, as it
-must be for any fingerprint within the radius, and all bits together are within it.
-Candidates are then compared exactly: weighted Jaccard over shingles, the weight of a
-shingle being its number of occurrences.  Whole texts are few, one for an item, so they
-are compared exactly without asking fingerprints.
+around shared shingles only.  A text of fewer words than the item is one window as a whole.
+
+Fingerprints (the signs of the summed bits of a window's shingles) are looked up in a
+multi-index: for every block of bits a table from the block's value to the items whose own
+block is within its share of the radius.  Two fingerprints within the radius agree so far in
+some block, so the tables hold all of them.  Candidates are then compared exactly: weighted
+Jaccard over shingles, the weight of a shingle being its number of occurrences.
+
+A radius alone cannot promise all windows of a similarity: repetitive ones, with few
+distinct shingles, may be alike and lie far apart.  So a window that the tables do not give
+is still compared if as many of its shingles are the item's as the similarity takes.  Whole
+texts are few, one for an item, and compared without asking fingerprints.
 """
 
 from __future__ import annotations
@@ -29,8 +35,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 #: At similarity 0.8 fingerprints differ by 9.7 bits on average, with a deviation of 2.9.
 RADIUS = 20
-#: Blocks of bits of the multi-index; two fingerprints within the radius are within a quarter of it in one.
-BIT_BLOCKS = 4
+#: Blocks of bits of the multi-index; two fingerprints within the radius are within an eighth of it in one.
+BIT_BLOCKS = 8
 #: Items and bytes of item text that one pass over the documents looks for, at most.
 BLOCK_ITEMS = 4_096
 BLOCK_BYTES = 8_000_000
@@ -56,15 +62,39 @@ def window_prints(hashes: np.ndarray) -> np.ndarray:
     return out
 
 
-def within(a: np.ndarray, b: np.ndarray, radius: int) -> np.ndarray:
-    """Whether fingerprints differ by ``radius`` bits or fewer, asked of blocks of bits first."""
-    apart = a ^ b
-    width = 64 // BIT_BLOCKS
-    share = np.zeros(len(apart), bool)
-    for i in range(BIT_BLOCKS):
-        block = (apart >> np.uint64(i * width)) & np.uint64(2**width - 1)
-        share |= np.bitwise_count(block) <= radius // BIT_BLOCKS
-    return share & (np.bitwise_count(apart) <= radius)
+class MultiIndex:
+    """Tables of item fingerprints, one for each block of bits, by the value of that block.
+
+    A table's row for a value lists, as a bit for each item, the items whose own value differs from
+    it in at most the block's share of the radius: 256 rows for blocks of eight bits.
+    """
+
+    def __init__(self, prints: np.ndarray, radius: int):
+        self.prints, self.radius = prints, radius
+        width = 64 // BIT_BLOCKS
+        self._mask, self._shifts = np.uint64(2**width - 1), [np.uint64(i * width) for i in range(BIT_BLOCKS)]
+        values = np.arange(2**width, dtype=np.uint64)
+        self._tables = [
+            np.packbits(np.bitwise_count(values[:, None] ^ ((prints >> shift) & self._mask)[None, :]) <= radius // BIT_BLOCKS, axis=1, bitorder="little")
+            for shift in self._shifts
+        ]
+
+    def probe(self, found: np.ndarray, item: int) -> np.ndarray:
+        """Which fingerprints have ``item`` in the row of one of their blocks and are within the radius of it."""
+        byte, bit = item // 8, np.uint8(1 << item % 8)
+        listed = np.zeros(len(found), bool)
+        for table, shift in zip(self._tables, self._shifts, strict=True):
+            listed |= (table[((found >> shift) & self._mask).astype(np.int64), byte] & bit) > 0
+        near = np.flatnonzero(listed)
+        listed[near] = np.bitwise_count(found[near] ^ self.prints[item]) <= self.radius
+        return listed
+
+    def listed(self, found: np.ndarray) -> np.ndarray:
+        """Number of items that the tables give for each fingerprint, before the distance is looked at."""
+        rows = np.zeros((len(found), -(-len(self.prints) // 8)), np.uint8)
+        for table, shift in zip(self._tables, self._shifts, strict=True):
+            rows |= table[((found >> shift) & self._mask).astype(np.int64)]
+        return np.bitwise_count(rows).sum(axis=1)
 
 
 @dataclass
@@ -78,17 +108,18 @@ class Items:
     known: np.ndarray
     first: np.ndarray
     owner: np.ndarray
+    index: MultiIndex
 
     @classmethod
-    def of(cls, shingle: int, hashes: list[np.ndarray], ids: list[list]) -> Items:
+    def of(cls, shingle: int, hashes: list[np.ndarray], ids: list[list], radius: int) -> Items:
         known, of = np.unique(np.concatenate(hashes), return_inverse=True)
         owner = np.repeat(np.arange(len(hashes)), [len(h) for h in hashes])
         pairs = np.unique(np.stack([of, owner]), axis=1)
         prints = np.array([window_prints(h[None, :])[0] for h in hashes], np.uint64)
-        return cls(shingle, ids, hashes, prints, known, np.searchsorted(pairs[0], np.arange(len(known) + 1)), pairs[1])
+        return cls(shingle, ids, hashes, prints, known, np.searchsorted(pairs[0], np.arange(len(known) + 1)), pairs[1], MultiIndex(prints, radius))
 
 
-def index_items(rows: list[tuple]) -> list[Items]:
+def index_items(rows: list[tuple], radius: int = RADIUS) -> list[Items]:
     """(id, text) pairs by shingle length; texts without words match nothing and are left out."""
     if not rows:
         return []
@@ -101,10 +132,10 @@ def index_items(rows: list[tuple]) -> list[Items]:
             size = min(SHINGLE, len(words))
             shingles, _ = windows(words, np.zeros(len(words), int), size)
             groups.setdefault(size, {}).setdefault(shingles.tobytes(), (shingles, []))[1].append(name)
-    return [Items.of(k, [s for s, _ in g.values()], [i for _, i in g.values()]) for k, g in groups.items()]
+    return [Items.of(k, [s for s, _ in g.values()], [i for _, i in g.values()], radius) for k, g in groups.items()]
 
 
-def matches(texts: pa.Array, index: list[Items], similarity: float, radius: int) -> Iterator[tuple[int, object, float, int, int]]:
+def matches(texts: pa.Array, index: list[Items], similarity: float) -> Iterator[tuple[int, object, float, int, int]]:
     """(text number, item id, similarity, first word, bits apart) of the best window of every text and item."""
     hashes, of, n = word_hashes(texts)
     begin = np.searchsorted(of, np.arange(n + 1))
@@ -133,7 +164,7 @@ def matches(texts: pa.Array, index: list[Items], similarity: float, radius: int)
             start = np.repeat(first - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
             for j in range(0, len(start), _AT_ONCE):
                 s = start[j : j + _AT_ONCE]
-                yield from _verified(shingles, of, begin, s, own, items.prints[i], items.ids[i], similarity, radius)
+                yield from _verified(shingles, of, begin, s, p, items, i, similarity)
 
 
 def _whole(shingles, begin, texts, items, i, similarity):  # noqa: ANN001, ANN202
@@ -163,13 +194,17 @@ def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return values[first], first, np.append(first[1:], len(values))
 
 
-def _verified(shingles, of, begin, start, own, own_print, ids, similarity, radius):  # noqa: ANN001, ANN202
+def _verified(shingles, of, begin, start, shared, items, i, similarity):  # noqa: ANN001, ANN202
+    own, own_print, ids = items.hashes[i], items.prints[i], items.ids[i]
     step = max(1, 16 * _AT_ONCE // len(own))
+    # Two sets of n shingles of similarity x have 2nx / (1 + x) in common.
+    least = 2 * len(own) * similarity / (1 + similarity) - 1e-6
     for j in range(0, len(start), step):
         s = start[j : j + step]
         rows = shingles[s[:, None] + np.arange(len(own))]
         found = window_prints(rows)
-        near = within(found, np.broadcast_to(own_print, found.shape), radius)
+        near = items.index.probe(found, i)
+        near |= np.searchsorted(shared, s + len(own)) - np.searchsorted(shared, s) >= least
         s, rows, found = s[near], rows[near], found[near]
         if not len(s):
             continue
@@ -187,21 +222,20 @@ def _verified(shingles, of, begin, start, own, own_print, ids, similarity, radiu
                 yield text, name, score, -minus - int(begin[text]), bits
 
 
-def item_blocks(benchmark: DataFrame) -> Iterator[list[Items]]:
+def item_blocks(benchmark: DataFrame, radius: int = RADIUS) -> Iterator[list[Items]]:
     """The items in blocks of bounded count and bytes; each block is one pass over the documents."""
     rows = benchmark.where(F.col("text").isNotNull()).select("item_id", "text")
     size = rows.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("b")).first()
     blocks = max(1, -(-size.n // BLOCK_ITEMS), -(-(size.b or 0) // BLOCK_BYTES))
     for b in range(blocks):
         own = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
-        yield index_items([(r.item_id, r.text) for r in own.orderBy("item_id", "text").collect()])
+        yield index_items([(r.item_id, r.text) for r in own.orderBy("item_id", "text").collect()], radius)
 
 
 def contamination(documents: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
     """``doc_id, item_id, similarity, first_word, bits_apart``: the best window of each document for each item it holds.
 
-    A window has as many words as the item, or is a whole text of fewer words; the radius
-    bounds the former only.  Null and empty texts hold nothing, and items without words are held by nothing; an item
+    A window has as many words as the item, or is a whole text of fewer words.  Null and empty texts hold nothing, and items without words are held by nothing; an item
     of fewer than five words is one shingle.  Items with one text are all reported, and so are
     repeated documents.  Columns other than the ids and the texts are not read.
     """
@@ -215,7 +249,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame, similarity: float
             for batch in batches:
                 for piece in pieces(batch):
                     best: dict = {}
-                    for text, name, score, at, bits in matches(piece.column("text"), index, similarity, radius):
+                    for text, name, score, at, bits in matches(piece.column("text"), index, similarity):
                         best[text, name] = max(best.get((text, name), (score, -at, bits)), (score, -at, bits))
                     if best:
                         docs = piece.column("doc_id").take(pa.array([k[0] for k in best]))
@@ -225,7 +259,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame, similarity: float
 
         return documents.select("doc_id", "text").mapInArrow(rows, schema)
 
-    found = [search(index) for index in item_blocks(benchmark)]
+    found = [search(index) for index in item_blocks(benchmark, radius)]
     out = found[0]
     for more in found[1:]:
         out = out.union(more)
@@ -240,12 +274,12 @@ def drop_contaminated(documents: DataFrame, benchmark: DataFrame, similarity: fl
             for batch in batches:
                 for piece in pieces(batch):
                     keep = np.ones(piece.num_rows, bool)
-                    keep[[m[0] for m in matches(piece.column("text"), index, similarity, radius)]] = False
+                    keep[[m[0] for m in matches(piece.column("text"), index, similarity)]] = False
                     yield piece.filter(pa.array(keep))
 
         return rows
 
-    for index in item_blocks(benchmark):
+    for index in item_blocks(benchmark, radius):
         documents = documents.mapInArrow(without(index), documents.schema)
     return documents
 

@@ -63,12 +63,42 @@ def test_blocks_of_items_change_nothing(docs, items, monkeypatch):
 
 def test_multi_index_loses_nothing_within_the_radius():
     draw = np.random.default_rng(0)
-    a = draw.integers(0, 2**64, 4000, dtype=np.uint64)
-    b = a.copy()
+    items = draw.integers(0, 2**64, 300, dtype=np.uint64)
+    of = draw.integers(0, 300, 4000)
+    found = items[of]
     for k in range(4000):
         for bit in draw.choice(64, k % 30, replace=False):
-            b[k] ^= np.uint64(1) << np.uint64(bit)
-    assert (dec.within(a, b, 20) == (np.bitwise_count(a ^ b) <= 20)).all()
+            found[k] ^= np.uint64(1) << np.uint64(bit)
+    index = dec.MultiIndex(items, 20)
+    for i in range(300):
+        apart = np.bitwise_count(found ^ items[i])
+        assert (index.probe(found, i) == (apart <= 20)).all()
+    listed = index.listed(found)
+    assert (listed >= [(np.bitwise_count(f ^ items) <= 20).sum() for f in found]).all()
+
+
+def test_the_tables_give_few_items_for_a_fingerprint():
+    draw = np.random.default_rng(1)
+    items, found = (draw.integers(0, 2**64, n, dtype=np.uint64) for n in (2000, 500))
+    share = dec.MultiIndex(items, 20).listed(found).mean() / 2000
+    blocks = 1 - (1 - 37 / 256) ** 8
+    assert abs(share - blocks) < 0.02 and dec.MultiIndex(items, 7).listed(found).mean() / 2000 < 0.05
+
+
+def test_repetitive_windows_far_apart_are_found(docs, items):
+    """Items of a short period, and texts that begin at another place of it: alike, with all signs free to differ."""
+    pairs = []
+    for k in range(60):
+        period = [f"p{k}x{j}" for j in range(2 + k % 4)]
+        long = period * 12
+        for size in (13, 17, 20):
+            pairs.append((" ".join(long[:size]), " ".join(long[1 : size + 1])))
+    documents, benchmark = docs([(i, d) for i, (_, d) in enumerate(pairs)]), items([(i, b) for i, (b, _) in enumerate(pairs)])
+    got = found(documents, benchmark)
+    want = {(i, i) for i, (b, d) in enumerate(pairs) if best(d, b) >= 0.8}
+    assert len(want) > 30 and want <= got.keys()
+    alone = dec.contamination(documents, benchmark).where("bits_apart > 20").count()
+    assert alone > 0
 
 
 def test_odd_rows_and_items(odd, docs, items):
