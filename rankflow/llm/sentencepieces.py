@@ -26,8 +26,9 @@ from tokenizers import Tokenizer, decoders, models, normalizers
 from rankflow.llm.bytesarrays import pieces
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-#: Distinct units whose ids a task keeps from batch to batch.
+#: Distinct units, and bytes of them and their ids, that a task keeps from batch to batch.
 CACHE_UNITS = 300_000
+CACHE_BYTES = 64_000_000
 THREADS = 2
 #: Units in one string handed to the tokenizer.
 _JOINED = 64
@@ -51,6 +52,7 @@ class Rebuilt:
     reference: sentencepiece.SentencePieceProcessor
     sizes: np.ndarray | None
     known: dict[str, bytes] = field(default_factory=dict)
+    held: int = 0
     unlike: set[str] = field(default_factory=set)
     lost: set[str] = field(default_factory=set)
 
@@ -102,8 +104,9 @@ class Rebuilt:
         Units that begin with a marker and go on are joined, some dozens to a string: nothing
         merges across their edges, and the bytes of the pieces tell where each unit ends.
         """
-        if len(self.known) > CACHE_UNITS:
+        if len(self.known) > CACHE_UNITS or self.held > CACHE_BYTES:
             self.known.clear()
+            self.held = 0
             self.unlike.clear()
             self.lost.clear()
         new = [u for u in dict.fromkeys(units) if u not in self.known]
@@ -130,6 +133,7 @@ class Rebuilt:
             raw, at = flat.tobytes(), 0
             for u, end in zip(chain.from_iterable(part), ends.tolist(), strict=True):
                 self.known[u] = raw[at:end]
+                self.held += len(u) + end - at
                 at = end
             odd = [g for g, a, b, p, d in zip(part, found, own, plain, back, strict=True) if a != b or p != d]
             for group in odd:

@@ -135,7 +135,9 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, most: int = FIT_ROWS)
 
     sample = labelled_sample(documents, labels, "toxic", most).select("doc_id", F.col("label").cast("int").alias("label"), "text")
     kind = f"doc_id {sample.schema['doc_id'].dataType.simpleString()}, label int, columns binary, counts binary"
-    got = sample.mapInArrow(rows, kind).dropDuplicates(["doc_id"]).orderBy("doc_id").collect()
+    # Of several texts with one id the least counts decide, whatever the order of rows.
+    one = F.min(F.struct("label", "columns", "counts")).alias("row")
+    got = sample.mapInArrow(rows, kind).groupBy("doc_id").agg(one).select("doc_id", "row.*").orderBy("doc_id").collect()
     return fit_ordinal([(r.label, np.frombuffer(r.columns, np.int32), np.frombuffer(r.counts, np.int32)) for r in got])
 
 

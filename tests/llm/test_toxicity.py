@@ -54,3 +54,10 @@ def test_labels_that_are_null_or_of_other_documents_do_not_shrink_the_sample(doc
     for most, want in ((20, 20), (1_000, len(own))):
         got = {r.doc_id for r in labelled_sample(documents, labels(rows), "toxic", most).collect()}
         assert len(got) == want and got <= own
+
+
+def test_repeated_ids_fit_alike_in_any_order(docs, labels):
+    rows = [(i % 40, f"{'vile awful' if i % 40 < 20 else 'calm kind'} words{i % 7} number{i}") for i in range(120)]
+    own = labels([(i, 0, int(i < 20)) for i in range(40)])
+    one, two = (toxicity.fit_toxicity(docs(r).repartition(n), own) for r, n in ((rows, 2), (rows[::-1], 5)))
+    assert len(one.columns) and (one.columns == two.columns).all() and (one.weights == two.weights).all()
