@@ -9,7 +9,9 @@ A byte goes where it lies in a string of ``LENGTH`` bytes that starts anywhere e
    A unit is the suffix that all its windows share the beginning of, and the bytes to its left.
    A task sorts its units into runs, each distinct one once, and front-codes them: the length
    of the prefix shared with the one before, and the rest.
-3. Runs are cut at splitters, exchanged and merged with a loser tree that keeps for
+3. Runs are cut at splitters, sampled from units, in a number that follows the bytes of all units.
+   Two suffixes with a window in common share more than the head that splitters are compared with, so
+   no cut parts them; a line that many texts hold is split by what follows it.  Runs are exchanged and merged with a loser tree that keeps for
    every run the prefix it shares with the last suffix put out, and compares bytes only beyond equal
    ones.  The merged order comes with all shared prefixes: windows at one place of their
    units are equal where the prefix reaches their end and the bytes to the left agree.
@@ -43,8 +45,8 @@ STEP = 64
 #: Bytes of units in one run, and in one part of the merge.
 RUN_BYTES = 16_000_000
 PART_BYTES = 8_000_000
-#: Texts, places in each, and leading bytes that splitters are sampled from.
-SAMPLE_TEXTS, SAMPLE_PLACES, SPLIT_BYTES = 4_096, 8, 24
+#: Units sampled for every part, from whole texts, of which there are at least so many.
+SAMPLE_UNITS, SAMPLE_TEXTS = 8, 256
 _SEGMENT = 1 << 20
 _PLACE_BITS = np.uint64(22)
 
@@ -140,10 +142,51 @@ def shared_prefixes(rows: list[bytes], width: int) -> np.ndarray:
 _RUN_SCHEMA = "run string, part int, k long, n int, z binary, shared binary, tails binary, tail_sizes binary, lefts binary, left_sizes binary, many binary, occ_unit binary, occ_k binary, occ_n binary, occ_q binary"
 
 
+def head_bytes(length: int, gram: int, step: int) -> int:
+    """Leading bytes that two suffixes with a window in common share at least: the window but for what lies left, or the anchor."""
+    return max(gram, length - step + 1)
+
+
+def unit_heads(texts: DataFrame, length: int, gram: int, step: int) -> DataFrame:
+    """``head``: the leading bytes of every unit of ``texts`` (``text``, and its repeated anchors ``hits``)."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text, hits in zip(batch.column("text"), batch.column("hits").to_pylist(), strict=True):
+                raw, again = text.as_py().encode(), set(hits)
+                flat = np.frombuffer(raw, np.uint8)
+                _, h, p, lo, hi = anchors(flat, np.array([0, len(raw)]), length, gram)
+                own = [j for j, x in enumerate(h.view(np.int64).tolist()) if x in again]
+                units = units_of(raw, [(int(p[j]), int(lo[j]), int(hi[j])) for j in own], length, step)
+                heads = {suffix[: head_bytes(length, gram, step)] for suffix, _, _ in units}
+                yield pa.record_batch([pa.array(list(heads), pa.binary())], ["head"])
+
+    return texts.select("text", "hits").mapInArrow(rows, "head binary")
+
+
+def chosen_splitters(keyed: DataFrame, hits: DataFrame, length: int, gram: int, step: int, part_bytes: int) -> list[bytes]:
+    """Heads that cut all units into parts of about ``part_bytes``, from a sample of texts that grows with the units.
+
+    What comes to the driver is some units for every part.
+    """
+    size = hits.agg(F.sum(F.size("hits")).alias("n"), F.count("*").alias("texts")).first()
+    units = (size.n or 0) * (length // 2 // step + 1)
+    parts = units * (length + step) // part_bytes
+    if parts < 2:
+        return []
+    need = max(SAMPLE_TEXTS, -(-SAMPLE_UNITS * parts * size.texts // units))
+    few = hits.where(lowest_share(F.col("k"), need, size.texts))
+    texts = keyed.join(few, "k").dropDuplicates(["k"])
+    heads = sorted(bytes(x.head) for x in unit_heads(texts, length, gram, step).distinct().collect())
+    return sorted({heads[len(heads) * i // parts] for i in range(1, parts)}) if heads else []
+
+
 def front_coded_runs(candidates: DataFrame, splitters: list[bytes], length: int, gram: int, step: int, run_bytes: int) -> DataFrame:
     """Sorted, front-coded runs of units, one row for each run and part; ``occ_*`` list the units' places."""
     names, types = zip(*((f.split()[0], {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}[f.split()[1]]) for f in _RUN_SCHEMA.split(", ")), strict=True)
 
+    head = head_bytes(length, gram, step)
+
     def row(**values: object) -> pa.RecordBatch:
         return pa.record_batch([pa.array([values.get(c)], t) for c, t in zip(names, types, strict=True)], list(names))
 
@@ -154,7 +197,7 @@ def front_coded_runs(candidates: DataFrame, splitters: list[bytes], length: int,
         unit, k, n, q = (np.array(c, np.int64) for c in zip(*places, strict=True))
         unit = rank[unit]
         count = np.bincount(unit, minlength=len(order))
-        part = np.array([bisect_right(splitters, u[0][:SPLIT_BYTES]) for u in order])
+        part = np.array([bisect_right(splitters, u[0][:head]) for u in order])
         shared = shared_prefixes([u[0] for u in order], length)
         by = np.argsort(unit, kind="stable")
         unit, k, n, q = unit[by], k[by], n[by], q[by]
@@ -386,7 +429,7 @@ def _keyed(documents: DataFrame, *columns: str) -> DataFrame:
     return documents.select(*columns, F.xxhash64("text").alias("k"), F.coalesce(F.octet_length("text"), F.lit(0)).alias("n"), "text")
 
 
-def repeated_spans(documents: DataFrame, length: int, work: Workspace, gram: int = GRAM, step: int = STEP, run_bytes: int = RUN_BYTES) -> tuple[DataFrame, DataFrame]:
+def repeated_spans(documents: DataFrame, length: int, work: Workspace, gram: int = GRAM, step: int = STEP, run_bytes: int = RUN_BYTES, part_bytes: int = PART_BYTES) -> tuple[DataFrame, DataFrame]:
     """Of the distinct texts, named by hash and size, those with repeated anchors: ``k, n, z``, packed,
     and ``k, n, spans``: what to remove from them (lists of start and end, int32)."""
     keyed = _keyed(documents.where(F.octet_length("text") >= length))
@@ -395,15 +438,7 @@ def repeated_spans(documents: DataFrame, length: int, work: Workspace, gram: int
     again = work.keep(found.groupBy("h").count().where(F.col("count") > 1).select("h"), "repeated")
     hits = work.keep(found.join(again, "h", "left_semi").groupBy("k").agg(F.collect_set("h").alias("hits")), "hits")
 
-    n_hits = hits.agg(F.sum(F.size("hits")).alias("n")).first().n or 0
-    parts = max(1, n_hits * (length // 2 // step + 1) * (length + step) // PART_BYTES)
-    raw = F.encode("text", "utf-8")
-    place = lambda i: F.pmod(F.xxhash64("text", i), F.octet_length("text") - SPLIT_BYTES).cast("int") + 1
-    sample = keyed.select("k", F.transform(F.sequence(F.lit(1), F.lit(SAMPLE_PLACES)), lambda i: F.substring(raw, place(i), F.lit(SPLIT_BYTES))).alias("s"))
-    few = sample.where(lowest_share(F.col("k"), SAMPLE_TEXTS, documents.count())).dropDuplicates(["k"])
-    keys = sorted(bytes(s) for r in few.orderBy("k").limit(SAMPLE_TEXTS).collect() for s in r.s)
-    splitters = sorted({keys[len(keys) * i // parts] for i in range(1, parts)}) if keys else []
-
+    splitters = chosen_splitters(keyed, hits, length, gram, step, part_bytes)
     candidates = packed(keyed).join(hits, "k")
     runs = work.keep(front_coded_runs(candidates, splitters, length, gram, step, run_bytes), "runs")
     spans = found_spans(runs, merged_masks(runs, length, step), length, step).groupBy("k", "n").agg(F.collect_set("spans").alias("spans"))

@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pytest
 from conftest import SMALL
+from pyspark.sql import functions as F
 
 from rankflow.llm import suffix_dedup as suf
 
@@ -87,3 +88,37 @@ def test_units_cover_every_window_once():
         starts += [q - t for t in range(near, far + 1)]
         assert suffix == text[q : q + len(suffix)] and left == text[q - far : q]
     assert sorted(starts) == list(range(2901))
+
+
+@pytest.mark.parametrize(("length", "gram", "step"), [(40, 16, 8), (40, 8, 64), (50, 16, 16)])
+def test_small_parts_change_nothing(docs, monkeypatch, length, gram, step):
+    monkeypatch.setattr(suf, "SAMPLE_TEXTS", 20)
+    draw = random.Random(length)
+    words = ["".join(draw.choice("abé") for _ in range(draw.randint(1, 6))) for _ in range(40)]
+    passages = [" ".join(draw.choice(words) for _ in range(draw.randint(20, 60))) for _ in range(6)]
+    texts = ["x" * 200, "ab" * 100]
+    for _ in range(60):
+        texts.append(" ".join(draw.choice([draw.choice(passages), draw.choice(passages)[draw.randint(0, 40) :], draw.choice(words)]) for _ in range(draw.randint(0, 5))))
+    want = sorted((str(i), *b) for i, b in enumerate(brute(texts, length)))
+    assert got(docs(enumerate(texts)).repartition(5), length, gram=gram, step=step, run_bytes=2000, part_bytes=600) == want
+
+
+def test_a_line_in_every_text_is_split_by_what_follows(docs, tmp_path, spark):
+    """One licence line of some 170 bytes: its units begin alike, and part after it."""
+    draw = random.Random(7)
+    word = lambda: "".join(draw.choice("abcdefghijklmnop") for _ in range(draw.randint(3, 8)))
+    line = " ".join(word() for _ in range(27))[:170]
+    part_bytes = 60_000
+    for n in (600, 1200):
+        texts = [(i, " ".join(word() for _ in range(70)) + f"\n{line}\n" + " ".join(word() for _ in range(70))) for i in range(n)]
+        keyed = suf._keyed(docs(texts))
+        found = suf.anchor_rows(keyed, 400, 64).cache()
+        again = found.groupBy("h").count().where("count > 1").select("h")
+        hits = found.join(again, "h", "left_semi").groupBy("k").agg(F.collect_set("h").alias("hits")).cache()
+        splitters = suf.chosen_splitters(keyed, hits, 400, 64, 64, part_bytes)
+        runs = suf.front_coded_runs(suf.packed(keyed).join(hits, "k"), splitters, 400, 64, 64, 10**6).where("part >= 0").collect()
+        sizes = collections.Counter()
+        for r in runs:
+            shared = np.frombuffer(r.shared, "<u2").astype(int).sum() + np.frombuffer(r.tail_sizes, "<u2").astype(int).sum()
+            sizes[r.part] += int(shared) + int(np.frombuffer(r.left_sizes, np.uint8).astype(int).sum())
+        assert len(sizes) > n // 600 * 4 and max(sizes.values()) < 2 * part_bytes, (n, len(splitters), sizes.most_common(3))
