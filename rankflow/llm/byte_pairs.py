@@ -144,13 +144,13 @@ class Transducer:
 
     def _step(self, state: dict, byte: int) -> tuple[dict, bytes]:
         """Take and store the step of ``state`` on ``byte``."""
-        members = state[_MEMBERS]
-        if len(self._states) > self._most:
+        members, states = state[_MEMBERS], self._states
+        if len(states) > self._most:
             self._fresh()
-            state = self._state(members)
-        add, after, ended, begun, ids = _BYTES[byte], (), None, self._begun, self._ids
-        for k in range(0, len(members), 3):
-            last, pending, read = members[k : k + 3]
+            state, states = self._state(members), self._states
+        add, after, ended, begun, ids = _BYTES[byte], [], None, self._begun, self._ids
+        each = iter(members)
+        for last, pending, read in zip(each, each, each, strict=True):
             read += add
             if ended is None and read in ids and self._merges.may_follow(last, read):
                 ended = (read, pending + ids[read], b"")
@@ -159,11 +159,17 @@ class Transducer:
         if ended is None:
             raise ValueError("the ranks leave a text without a tokenisation")
         after += ended
-        out = after[1] and commonprefix(after[1::3])
-        if out:
+        out = b""
+        if after[1]:
+            out = commonprefix(after[1::3])
             out = out[: len(out) // 4 * 4]
-            after = tuple(x[len(out) :] if k % 3 == 1 else x for k, x in enumerate(after))
-        state[byte] = step = (self._state(after), out)
+            if out:
+                after[1::3] = [pending[len(out) :] for pending in after[1::3]]
+        key = tuple(after)
+        following = states.get(key)
+        if following is None:
+            following = states[key] = {_MEMBERS: key}
+        state[byte] = step = (following, out)
         return step
 
     def encode(self, data: bytes) -> bytes:
@@ -237,6 +243,7 @@ class Decoder:
         self.tokens = {i: token for token, i in ranks.items()}
         self._after: dict[tuple, tuple] = {}
         self._whole = np.zeros(max(self.tokens) + 1, bool)
+        self._listed = [self.tokens.get(i) for i in range(len(self._whole))]
         for i in self.tokens:
             self._whole[i] = self._read(BETWEEN, i)[0] == BETWEEN
 
@@ -277,10 +284,21 @@ class Decoder:
 
     def decode(self, ids: np.ndarray) -> bytes:
         """All bytes of ``ids``: runs of tokens that are whole characters at once, the rest through the stream."""
-        values = ids.tolist()
-        if not len(ids) or int(ids.max()) >= len(self._whole) or self._whole[ids].all():
-            return b"".join(map(self.tokens.__getitem__, values))
-        return b"".join(self.stream(values))
+        values, token = ids.tolist(), self._listed.__getitem__
+        if not len(ids) or int(ids.max()) >= len(self._whole):
+            return b"".join(map(self.tokens.__getitem__, values))  # of an id without a token, the error says which
+        broken = np.flatnonzero(~self._whole[ids])
+        if not len(broken):
+            return b"".join(map(token, values))
+        first = np.flatnonzero(np.diff(broken, prepend=-2) > 1)
+        begin, end = broken[first].tolist(), (broken[np.append(first[1:], len(broken)) - 1] + 1).tolist()
+        out, at = [], 0
+        for a, b in zip(begin, end, strict=True):
+            out += map(token, values[at:a])
+            out += self.stream(values[a:b])
+            at = b
+        out += map(token, values[at:])
+        return b"".join(out)
 
 
 @contextmanager

@@ -150,3 +150,16 @@ def test_the_machine_of_bytes_knows_exactly_the_valid_texts():
 def test_ranks_are_read_as_written(tmp_path):
     (tmp_path / "r").write_bytes(b"".join(base64.b64encode(bytes([b])) + b" %d\n" % b for b in range(256)))
     assert B.read_ranks(tmp_path / "r") == {bytes([b]): b for b in range(256)}
+
+
+def test_decoding_at_once_is_decoding_by_the_stream(ranks):
+    rng, decoder = random.Random(5), B.Decoder(ranks)
+    encoder = B.Encoder(ranks, PATTERN)
+    for _ in range(300):
+        text = "".join(rng.choices("ab é日本🙂𝕏ßя \n", k=rng.randint(0, 60)))
+        ids = np.frombuffer(encoder.encode(text), "<u4")
+        assert decoder.decode(ids) == b"".join(decoder.stream(ids.tolist())) == text.encode()
+        loose = np.array(rng.choices(range(len(ranks)), k=rng.randint(0, 30)), "<u4")
+        assert decoder.decode(loose) == b"".join(decoder.stream(loose.tolist())) == b"".join(decoder.tokens[i] for i in loose.tolist())
+    with pytest.raises(KeyError):
+        decoder.decode(np.array([10**6], "<u4"))
