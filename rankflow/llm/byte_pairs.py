@@ -39,8 +39,6 @@ MOST_STATES = 200_000
 MOST_KNOWN_BYTES = 64_000_000
 _BYTES = [bytes([b]) for b in range(256)]
 _MEMBERS = -1
-#: Matches of more bytes than this are not remembered.
-LONGEST_KNOWN = 64
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -194,21 +192,20 @@ class Encoder:
         self._known: dict[str, bytes] = {}
         self._held = 0
 
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of every text.  New matches go in order, so that those which begin alike meet the same states in a row."""
+        known, cut = self._known, [self._find(text) for text in texts]
+        if self._held > MOST_KNOWN_BYTES:
+            known.clear()
+            self._held = 0
+        for match in sorted(set().union(*cut).difference(known)):
+            raw = match.encode()
+            ids = known[match] = self._transducer.encode(raw)
+            self._held += len(raw) + len(ids) + 150
+        return [b"".join(map(known.__getitem__, own)) for own in cut]
+
     def encode(self, text: str) -> bytes:
-        known, out = self._known, []
-        for match in self._find(text):
-            ids = known.get(match)
-            if ids is None:
-                raw = match.encode()
-                ids = self._transducer.encode(raw)
-                if len(raw) <= LONGEST_KNOWN:
-                    self._held += len(raw) + len(ids) + 150
-                    if self._held > MOST_KNOWN_BYTES:
-                        known.clear()
-                        self._held = len(raw) + len(ids) + 150
-                    known[match] = ids
-            out.append(ids)
-        return b"".join(out)
+        return self.encode_all([text])[0]
 
 
 #: The state after any byte that no character can go on from.
@@ -324,7 +321,7 @@ def encode_documents(documents: DataFrame, ranks: dict[bytes, int], pattern: str
         for batch in batches:
             for piece in pieces(batch):
                 with _no_collector():
-                    ids = [encoder.encode(text) if text else b"" for text in piece.column("text").to_pylist()]
+                    ids = encoder.encode_all([text or "" for text in piece.column("text").to_pylist()])
                 yield pa.record_batch([piece.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
     return documents.select("doc_id", F.col("text").cast("string")).mapInArrow(rows, f"doc_id {kind}, ids binary")
