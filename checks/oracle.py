@@ -235,6 +235,17 @@ def all_sql() -> dict[str, str]:
         "user_feed_events": events("select * from feed"),
         "feed_without_recs": orders("select * from feed", chosen="select * from interaction"),
         "feed_missing_signals": events("select * from feed", recommended=foreign),
+        "user_feed_bucketed": orders("select * from feed"),
+        "unseen_candidates_bucketed": orders("select * from unseen"),
+        "feed_of_user_table": orders(
+            "select * from feed where user_id in "
+            "(select c_custkey from customer where c_acctbal < -900)"
+        ),
+        "incremental_activity": events(
+            "select user_id, post_id, cast(sum(score) as bigint) as total_score, "
+            "count(*) as n_interactions, count(*) filter (where action = 'click') as n_likes "
+            "from scored group by user_id, post_id"
+        ),
         "feed_for_users": orders("select * from feed where user_id in (1, 2, 3)"),
         "feed_coverage": orders(
             "select count(*) as n_entries, count(distinct user_id) as n_users from feed"

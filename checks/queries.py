@@ -15,6 +15,7 @@ from rankflow.plans.jobs import FeedRun
 from rankflow.sources import files, schemas
 from rankflow.sources.mappings import EventsInputs, Inputs, OrdersInputs
 from rankflow.sources.workspace import Workspace
+from rankflow.streaming.activity import ActivityStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -28,6 +29,9 @@ WEIGHT_PERIODS = (
     ("1-URGENT", "1993-06-01", "1997-06-01", 5),
 )
 
+# Buckets of stored tables; a cluster takes as many as make files of some 100 MB.
+BUCKETS = 16
+
 # A low limit that makes most posts of the test tables heavy.
 _FEW_USERS = {"heavy_post_users": 20, "block_users": 500}
 
@@ -113,6 +117,21 @@ def matrix_dimensions(spark, folder):
     return scoring.matrix_dimensions(_orders_scores(spark, folder))
 
 
+@_query
+def incremental_activity(spark, folder):
+    """Pairs from a stream of the event log that arrives in two parts, merged one after the other."""
+    i, place = EventsInputs(spark, folder), Workspace(spark)
+    incoming = place.path("incoming")
+    store = ActivityStore(spark, place.path("activity"), BUCKETS)
+    for rest in (0, 1):
+        part = i.dated_interactions.where(F.day("day") % 2 == rest).drop("day")
+        part.write.mode("append").parquet(incoming)
+        log = spark.readStream.schema(part.schema).parquet(incoming)
+        store.absorb(log, i.config.action_weights, i.config.like_action)
+        store.merge()
+    return store.read()
+
+
 # --- similarity ------------------------------------------------------------
 
 
@@ -361,6 +380,38 @@ def feed_missing_signals(spark, folder):
     return _run(EventsInputs(spark, folder), recommended=foreign).feed
 
 
+@_query
+def user_feed_bucketed(spark, folder):
+    """From saved scores and saved recommendations, all in buckets of (user, post)."""
+    i, saved = OrdersInputs(spark, folder), Workspace(spark)
+    first = _run(i)
+    scores = saved.keep_bucketed(first.scores, "user_post_scores", ["user_id", "post_id"], BUCKETS)
+    pair = ["user_id", "recommended_post_id"]
+    recommended = saved.keep_bucketed(first.recommendations, "recommendations", pair, BUCKETS)
+    return _run(i, scores=scores, recommended=recommended, pair_buckets=BUCKETS).feed
+
+
+@_query
+def unseen_candidates_bucketed(spark, folder):
+    """Saved candidates without the posts of a saved matrix; neither is shuffled."""
+    run = _run(OrdersInputs(spark, folder), pair_buckets=BUCKETS)
+    candidates = recommend.neighbour_candidates(run.neighbours, run.scores)
+    pair = ["user_id", "recommended_post_id"]
+    stored = Workspace(spark).keep_bucketed(candidates, "candidates", pair, BUCKETS)
+    return recommend.unseen(stored, run.scores)
+
+
+@_query
+def feed_of_user_table(spark, folder):
+    """Feeds of the customers in debt, from a feed stored by bucket of the user."""
+    i, saved = OrdersInputs(spark, folder), Workspace(spark)
+    feed = feed_ops.in_user_buckets(_run(i).feed, BUCKETS)
+    stored = saved.keep_partitioned(feed, "feed", "user_bucket", BUCKETS)
+    customers = spark.read.parquet(f"{folder}/customer.parquet")
+    asked = customers.where("c_acctbal < -900").select(F.col("c_custkey").alias("user_id"))
+    return feed_ops.feeds_of_users(stored, asked, BUCKETS)
+
+
 @_query
 def feed_for_users(spark, folder):
     stored = Workspace(spark).keep(_run(OrdersInputs(spark, folder)).feed, "feed")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankflow.functions import top_per_group, weighted_feed_score
@@ -128,3 +128,29 @@ def user_feed_of_neighbours(
 def feed_for_users(feed: DataFrame, user_ids: Sequence[int]) -> DataFrame:
     """Feeds of the given users; on a stored feed the condition reaches the scan."""
     return feed.where(F.col("user_id").isin(list(user_ids)))
+
+
+def user_bucket(user_id: Column, buckets: int) -> Column:
+    """Which of ``buckets`` folders of a stored feed a user's posts are in."""
+    return F.pmod(F.xxhash64(user_id), F.lit(buckets)).cast("int")
+
+
+def in_user_buckets(feed: DataFrame, buckets: int) -> DataFrame:
+    """A feed with the ``user_bucket`` to store it by."""
+    return feed.withColumn("user_bucket", user_bucket(F.col("user_id"), buckets))
+
+
+def feeds_of_users(stored: DataFrame, users: DataFrame, buckets: int) -> DataFrame:
+    """Feeds of the users in a table, from a feed stored by ``user_bucket``.
+
+    No id passes the driver.  Where Spark broadcasts the users, being few, their buckets decide
+    which folders are read; where they are many, the two sides are joined as usual.  A user listed
+    twice counts once, and one without an id or a feed has no rows.
+    """
+    bucket = user_bucket(F.col("user_id"), buckets)
+    asked = users.select("user_id", bucket.alias("user_bucket"))
+    # Always true, but only a side with a comparison is considered for pruning.
+    asked = asked.where(F.col("user_bucket") >= 0)
+    return stored.join(asked, ["user_bucket", "user_id"], "left_semi").select(
+        "user_id", "post_id", "feed_score"
+    )

@@ -28,7 +28,8 @@ class FeedRun:
     computed; ``with_recommendations=False`` ranks touched posts only.  Tables are
     checked on entry: a missing column or a type that would lose values raises
     before any job starts.  A post listed more than once counts once, and of several
-    saved scores of one pair the greatest.
+    saved scores of one pair the greatest.  With ``pair_buckets`` the matrix is stored in
+    that many buckets of (user, post), so that no join with it on the pair shuffles it.
     """
 
     def __init__(
@@ -40,6 +41,7 @@ class FeedRun:
         scores: DataFrame | None = None,
         recommended: DataFrame | None = None,
         with_recommendations: bool = True,
+        pair_buckets: int | None = None,
         workspace: Workspace | None = None,
     ):
         self.interactions = schemas.require(interactions, schemas.INTERACTIONS)
@@ -53,6 +55,7 @@ class FeedRun:
             pair = ("user_id", "recommended_post_id")
             self._recommended = schemas.require(recommended, schemas.RECOMMENDATIONS, pair)
         self._with_recommendations = with_recommendations
+        self._pair_buckets = pair_buckets
         self._workspace = workspace or Workspace(interactions.sparkSession)
 
     @cached_property
@@ -85,12 +88,16 @@ class FeedRun:
     @cached_property
     def scores(self) -> DataFrame:
         """Score matrix: the given one, or that of the log."""
+        pair = ["user_id", "post_id"]
         if self._scores is None:
-            return self.pairs.select("user_id", "post_id", "total_score")
-        merged = self._scores.groupBy("user_id", "post_id").agg(
-            F.max("total_score").alias("total_score")
-        )
-        return self._workspace.keep(merged, "scores")
+            matrix = self.pairs.select(*pair, "total_score")
+            if self._pair_buckets is None:
+                return matrix
+        else:
+            matrix = self._scores.groupBy(*pair).agg(F.max("total_score").alias("total_score"))
+        if self._pair_buckets is None:
+            return self._workspace.keep(matrix, "scores")
+        return self._workspace.keep_bucketed(matrix, "scores", pair, self._pair_buckets)
 
     @cached_property
     def heavy_posts(self) -> DataFrame:

@@ -9,11 +9,14 @@ only when the files say it is small.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from rankflow.sources import layout
+
 _SETTING = "spark.checkpoint.dir"
 
 
@@ -58,6 +61,7 @@ class Workspace:
         self._spark = spark
         self._root = f"{base.rstrip('/')}/rankflow/{uuid.uuid4().hex}" if base else None
         self._persisted: list[DataFrame] = []
+        self._catalogued: list[str] = []
         #: What :meth:`keep` counted of each table.
         self.observed: dict[str, dict[str, int]] = {}
 
@@ -87,6 +91,24 @@ class Workspace:
             df.write.parquet(self.path(name))
         return self._spark.read.schema(df.schema).parquet(self.path(name))
 
+    def keep_bucketed(self, df: DataFrame, name: str, keys: Sequence[str], buckets: int) -> DataFrame:
+        """:meth:`keep` in ``buckets`` buckets of the hash of ``keys``.
+
+        See :func:`rankflow.sources.layout.write_bucketed` for what that saves.  Without a folder
+        the rows are dealt alike and persisted.
+        """
+        if self._root is None:
+            return self.keep(df.repartition(buckets, *keys), name)
+        self._catalogued.append(layout.write_bucketed(df, self.path(name), keys, buckets))
+        return self._spark.table(self._catalogued[-1])
+
+    def keep_partitioned(self, df: DataFrame, name: str, by: str, parts: int) -> DataFrame:
+        """:meth:`keep` with a folder per value of ``by``, so that a condition on it skips files."""
+        if self._root is None:
+            return self.keep(df.repartition(parts, by), name)
+        layout.write_partitioned(df, self.path(name), by, parts)
+        return self._spark.read.schema(df.schema).parquet(self.path(name))
+
     @staticmethod
     def _aliased(metrics: dict[str, Column]) -> list[Column]:
         return [F.count(F.lit(1)).alias("rows"), *(column.alias(n) for n, column in metrics.items())]
@@ -96,6 +118,9 @@ class Workspace:
         for df in self._persisted:
             df.unpersist()
         self._persisted = []
+        for table in self._catalogued:
+            layout.forget(self._spark, table)
+        self._catalogued = []
         if self._root is not None:
             path, system = _path_and_system(self._spark, self._root)
             system.delete(path, True)

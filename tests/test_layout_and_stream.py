@@ -1,0 +1,140 @@
+import pytest
+from conftest import SMALL, plan, rows
+from pyspark.sql import functions as F
+
+from checks.queries import all_queries
+from rankflow.config import FeedConfig
+from rankflow.operators import feed as feed_ops
+from rankflow.operators import recommend, scoring
+from rankflow.plans.jobs import FeedRun
+from rankflow.sources import layout, schemas
+from rankflow.sources.mappings import OrdersInputs
+from rankflow.sources.workspace import Workspace
+from rankflow.streaming.activity import ACTIVITY, ActivityStore
+
+PAIR = ["user_id", "post_id"]
+RECOMMENDED = ["user_id", "recommended_post_id"]
+CONFIG = FeedConfig()
+LOG = [(1, 1, "like"), (1, 1, "view"), (1, 2, None), (2, 1, "zzz"), (None, 1, "share"), (1, None, "like"), (None, None, "view")]
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_saved_tables_are_not_shuffled(spark, table, no_broadcast):
+    with Workspace(spark) as work:
+        kept = work.keep_bucketed(table([(1, 2, 3), (1, 3, 1), (2, 2, 0), (None, 2, 1)], schemas.USER_POST_SCORES), "scores", PAIR, 4)
+        found = table([(1, 2, 0.5, 3), (1, 9, 0.5, 3), (2, 2, 0.1, 1), (None, 2, 0.1, 1)], "user_id long, recommended_post_id long, cosine_similarity double, sim_user_score long")
+        candidates = work.keep_bucketed(found, "candidates", RECOMMENDED, 4)
+        unseen = recommend.unseen(candidates, kept)
+        merged = recommend.merge_candidates(unseen, 4)
+        again = kept.groupBy(*PAIR).agg(F.max("total_score"))
+        for df in (unseen, merged, again):
+            assert "Exchange" not in plan(df)
+        assert rows(unseen) == [(1, 9, 0.5, 3), (None, 2, 0.1, 1)]
+
+
+def test_a_run_on_bucketed_tables_is_the_same_run(spark, no_broadcast):
+    i = OrdersInputs(spark, SMALL)
+    plain = FeedRun(i.interactions, i.posts, i.config)
+    with Workspace(spark) as work:
+        saved = work.keep_bucketed(plain.scores, "given", PAIR, 4)
+        run = FeedRun(i.interactions, i.posts, i.config, scores=saved, pair_buckets=4, workspace=work)
+        assert "Exchange" not in plan(run.scores.groupBy(*PAIR).count())
+        assert rows(run.scores) == rows(plain.scores)
+        own = FeedRun(i.interactions, i.posts, i.config, pair_buckets=4)
+        assert rows(own.feed) == rows(plain.feed)
+
+
+def test_bucketed_table_opens_elsewhere(spark, table, tmp_path, no_broadcast):
+    path = f"{tmp_path}/it's here"
+    written = layout.write_bucketed(table([(u, p, u) for u in range(9) for p in range(5)], schemas.USER_POST_SCORES), path, PAIR, 3)
+    layout.forget(spark, written)
+    name = layout.register_bucketed(spark, path, schemas.USER_POST_SCORES, PAIR, 3)
+    opened = spark.table(name)
+    assert opened.count() == 45
+    assert "Exchange" not in plan(opened.groupBy(*PAIR).count())
+    layout.forget(spark, name)
+
+
+def test_closed_workspace_leaves_no_table(spark, table):
+    before = {t.name for t in spark.catalog.listTables()}
+    with Workspace(spark) as work:
+        work.keep_bucketed(table([], schemas.USER_FEED), "feed", PAIR, 2)
+        assert len(spark.catalog.listTables()) == len(before) + 1
+    assert {t.name for t in spark.catalog.listTables()} == before
+
+
+def test_users_in_a_table_prune_the_folders_of_a_feed(spark, table):
+    feed = table([(u, p, 1.0 / p) for u in range(200) for p in (1, 2, 3)], schemas.USER_FEED)
+    asked = table([(7, "a"), (7, "b"), (None, "c"), (999, "d")], "user_id long, post_id string")
+    with Workspace(spark) as work:
+        stored = work.keep_partitioned(feed_ops.in_user_buckets(feed, 8), "feed", "user_bucket", 8)
+        result = feed_ops.feeds_of_users(stored, asked, 8)
+        assert "dynamicpruning" in plan(result).lower()
+        assert rows(result) == [(7, p, 1.0 / p) for p in (1, 2, 3)]
+        assert result.schema == schemas.USER_FEED
+        assert feed_ops.feeds_of_users(stored, asked.limit(0), 8).isEmpty()
+
+
+def test_registered_look_up_prunes(spark):
+    assert "dynamicpruning" in plan(all_queries()["feed_of_user_table"](spark, SMALL)).lower()
+
+
+def _stream(spark, path):
+    return spark.readStream.schema(schemas.INTERACTIONS).parquet(path)
+
+
+def _activity(table, log):
+    return rows(scoring.pair_activity(table(log, schemas.INTERACTIONS), CONFIG.action_weights, "like"))
+
+
+def test_batches_merge_to_one_run(spark, table, tmp_path):
+    incoming, folder = f"{tmp_path}/in", f"{tmp_path}/store"
+    seen = []
+    for number, part in enumerate((LOG, LOG[2:] + [(5, 5, "like")], [], LOG * 3), 1):
+        seen += part
+        table(part, schemas.INTERACTIONS).write.mode("append").parquet(incoming)
+        store = ActivityStore(spark, folder, 4)  # a new one each time, as after a restart
+        store.absorb(_stream(spark, incoming), CONFIG.action_weights, "like")
+        store.merge()
+        assert rows(store.read()) == _activity(table, seen)
+        assert store.read().schema == ACTIVITY
+    before = store.version()
+    store.absorb(_stream(spark, incoming), CONFIG.action_weights, "like")
+    assert store.merge() == before
+    assert rows(store.read()) == _activity(table, seen)
+
+
+def test_a_merge_that_died_is_done_again(spark, table, tmp_path):
+    incoming, folder = f"{tmp_path}/in", f"{tmp_path}/store"
+    table(LOG, schemas.INTERACTIONS).write.parquet(incoming)
+    store = ActivityStore(spark, folder, 4)
+    store.absorb(_stream(spark, incoming), CONFIG.action_weights, "like")
+    # What a merge leaves behind that ends before its list of files does.
+    table([(1, 1, 99, 99, 99)], ACTIVITY).write.parquet(f"{folder}/activity/1")
+    table([("some",)], "value string").write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", False).text(f"{folder}/taken/1")
+    assert store.version() == 0 and store.read().isEmpty()
+    assert ActivityStore(spark, folder, 4).merge() == 1
+    assert rows(store.read()) == _activity(table, LOG)
+
+
+def test_the_stored_pairs_are_not_shuffled(spark, table, tmp_path, no_broadcast):
+    incoming, folder = f"{tmp_path}/in", f"{tmp_path}/store"
+    store = ActivityStore(spark, folder, 4)
+    for part in (LOG, LOG):
+        table(part, schemas.INTERACTIONS).write.mode("append").parquet(incoming)
+        store.absorb(_stream(spark, incoming), CONFIG.action_weights, "like")
+        store.merge()
+    text = plan(store.read().groupBy(*PAIR).agg(F.sum("total_score")))
+    assert "Exchange" not in text and "Bucketed: true" in text
+
+
+def test_an_empty_store(spark, table, tmp_path):
+    store = ActivityStore(spark, f"{tmp_path}/store", 2)
+    assert store.merge() == 0 and store.read().isEmpty()
