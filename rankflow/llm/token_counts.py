@@ -11,12 +11,14 @@ that span blocks are stitched.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import BinaryIO
 
 import numpy as np
 import pyarrow as pa
 import regex
 import tiktoken
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -28,6 +30,8 @@ RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The id that closes a document: the first one that the vocabulary leaves free.
 SEPARATOR = 50_256
 BLOCK_TOKENS = 65_536
+#: Bytes of a flat file that one task reads.
+RANGE_BYTES = 256_000_000
 #: Document ids in one row of a file's manifest.
 MANIFEST_IDS = 4_096
 
@@ -108,14 +112,48 @@ def stitch(scanned: DataFrame) -> DataFrame:
     return each.select("stream", (F.col("closed_before") + F.col("i")).alias("ordinal"), (F.col("end") - begin - 1).alias("n_tokens"), (F.col("i") < F.col("n")).alias("closed"))
 
 
-def read_blocks(spark: SparkSession, path: str, width: int = 2, tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """``stream, block, ids`` from flat files of ids of ``width`` bytes; a file has 2 GB at most, as Spark reads it whole."""
-    files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("stream"), "content", "length")
+def open_flat(uri: str) -> pa.NativeFile:
+    """A flat file open for reading at any place.
+
+    Local paths, and whatever pyarrow has a file system for (HDFS, S3 also as ``s3a``, GCS).
+    """
+    scheme, _, rest = uri.partition(":")
+    if scheme == "file":
+        return fs.LocalFileSystem().open_input_file("/" + rest.lstrip("/"))
+    system, name = fs.FileSystem.from_uri(f"{'s3' if scheme == 's3a' else scheme}:{rest}")
+    return system.open_input_file(name)
+
+
+def read_blocks(
+    spark: SparkSession, path: str, width: int = 2, tokens: int = BLOCK_TOKENS, range_bytes: int = RANGE_BYTES, opener: Callable[[str], BinaryIO | pa.NativeFile] = open_flat
+) -> DataFrame:
+    """``stream, block, ids`` from flat files of ids of ``width`` bytes, of any length.
+
+    Spark lists names and lengths only.  Ranges of some ``range_bytes`` are dealt over tasks, one
+    each; a task opens the file with ``opener``, reads its own range, and holds one block at a
+    time, so a file of terabytes is read by many tasks and a lost task reads one range again.  An
+    empty file, which Spark does not list, has no blocks.  A file that ends before its listed length is an error.
+    """
     size = width * tokens
-    count = F.greatest(F.ceil(F.col("length") / size), F.lit(1)).cast("long")
-    return files.select("stream", F.explode(F.sequence(F.lit(0).cast("long"), count - 1)).alias("block"), "content").select(
-        "stream", "block", F.substring("content", (F.col("block") * size + 1).cast("int"), F.lit(size)).alias("ids")
-    )
+    step = max(1, range_bytes // size)
+    files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("stream"), "length")
+    count = F.ceil(F.col("length") / size)
+    ranges = files.select("stream", "length", count.alias("stop"), F.explode(F.sequence(F.lit(0).cast("long"), count - 1, F.lit(step).cast("long"))).alias("first"))
+    parts = files.agg(F.sum(F.ceil(count / step))).first()[0]
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for own in batch.to_pylist():
+                with opener(own["stream"]) as file:
+                    file.seek(own["first"] * size)
+                    for block in range(own["first"], min(own["first"] + step, own["stop"])):
+                        wanted = min(size, own["length"] - block * size)
+                        ids = file.read(wanted)
+                        if len(ids) < wanted:
+                            raise OSError(f"{own['stream']} ends before its listed length of {own['length']} bytes")
+                        yield pa.record_batch([pa.array([own["stream"]]), pa.array([block], pa.int64()), pa.array([ids], pa.binary())], ["stream", "block", "ids"])
+
+    return ranges.repartition(max(1, int(parts or 0))).mapInArrow(rows, "stream string, block long, ids binary")
 
 
 def token_counts(blocks: DataFrame, separator: int = SEPARATOR, dtype: str = "<u2") -> DataFrame:

@@ -1,3 +1,4 @@
+import io
 import random
 
 import duckdb
@@ -48,6 +49,42 @@ def test_files_without_index(spark, tmp_path):
     assert sorted((r.stream.rsplit("/", 1)[1], r.ordinal, r.n_tokens, r.closed) for r in got) == brute(streams, 9)
 
 
+def test_ranges_of_files_read_alike(spark, tmp_path):
+    """However files are dealt to tasks, and where a name has blanks, the counts are the same."""
+    draw = np.random.default_rng(5)
+    flat = {"one file.bin": draw.integers(0, 12, 1_001), "empty.bin": draw.integers(0, 12, 0), "short.bin": draw.integers(0, 12, 3)}
+    for name, ids in flat.items():
+        (tmp_path / name).write_bytes(ids.astype("<u2").tobytes())
+    for range_bytes in (1, 16, 100, 10**9):
+        blocks = tok.read_blocks(spark, str(tmp_path), tokens=8, range_bytes=range_bytes)
+        assert {r.stream.rsplit("/", 1)[1] for r in blocks.select("stream").collect()} == set(flat) - {"empty.bin"}
+        got = tok.token_counts(blocks, 9).collect()
+        assert sorted((r.stream.rsplit("/", 1)[1], r.ordinal, r.n_tokens, r.closed) for r in got) == brute({n: i.tolist() for n, i in flat.items()}, 9)
+
+
+def test_a_file_beyond_2_gb(spark, tmp_path):
+    """A sparse file: separators near its begin, around 2 GB, and as its last id."""
+    size = (2**31 + 4_000_000) // 2
+    places = [5, 2**30 - 1, 2**30, 2**30 + 77, size - 1]
+    with open(tmp_path / "long.bin", "wb") as file:
+        file.truncate(2 * size)
+        for place in places:
+            file.seek(2 * place)
+            file.write(b"\x09\x00")
+    got = tok.token_counts(tok.read_blocks(spark, str(tmp_path), tokens=1 << 20), 9).orderBy("ordinal").collect()
+    assert [r.n_tokens for r in got] == [b - a - 1 for a, b in zip([-1, *places], places, strict=False)]
+    assert all(r.closed for r in got)
+
+
+def test_an_opener_and_a_file_shorter_than_listed(spark, tmp_path):
+    (tmp_path / "a.bin").write_bytes(b"\x01\x00" * 50)
+    whole = tok.read_blocks(spark, str(tmp_path), tokens=8, opener=lambda uri: io.BytesIO(b"\x09\x00" * 50))
+    assert tok.token_counts(whole, 9).count() == 50
+    short = tok.read_blocks(spark, str(tmp_path), tokens=8, opener=lambda uri: io.BytesIO(b"\x01\x00" * 20))
+    with pytest.raises(Exception, match="ends before its listed length"):
+        short.collect()
+
+
 def test_query_matches_the_tokenizer(spark):
     encoding = tiktoken.Encoding("own", pat_str=tok._PATTERN, mergeable_ranks=tok.read_ranks(), special_tokens={})
     want = {r.doc_id: len(encoding.encode_ordinary(r.text)) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
