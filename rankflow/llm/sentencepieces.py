@@ -5,7 +5,8 @@ pieces with their scores (unigram) or the merges that the scores stand for (BPE)
 fallback.  A normalised text is cut where a marker follows another character, which no piece
 of such a model spans, so every distinct unit of a batch is encoded once, many at a time
 on several threads.  Every unit's ids are compared with the sentencepiece library's own and
-decoded again, and so the parity and the round trip of a text are known in full.
+decoded again, and so the parity and the round trip of a text are known in full.  A model that
+rewrites characters or drops spaces is compared on whole texts, its normalising included.
 """
 
 from __future__ import annotations
@@ -156,7 +157,12 @@ class Rebuilt:
         self.learn([u for own in cut for u in own])
         parts = [b"".join(map(self.known.__getitem__, own)) for own in cut]
         ends = np.cumsum([0] + [len(p) // 4 for p in parts])
-        parity = [not self.unlike or self.unlike.isdisjoint(own) for own in cut]
+        if self.charsmap or self.squeeze:
+            # Units come after this class's own normalising, so only whole texts can tell whether that is right.
+            wanted = self.reference.encode(texts, num_threads=THREADS)
+            parity = [p == np.asarray(w, "<i4").tobytes() for p, w in zip(parts, wanted, strict=True)]
+        else:
+            parity = [not self.unlike or self.unlike.isdisjoint(own) for own in cut]
         trip = [(not self.lost or self.lost.isdisjoint(own)) and self.survives(t) for own, t in zip(cut, texts, strict=True)]
         return ends.astype(np.int32), np.frombuffer(b"".join(parts), "<i4"), parity, trip
 

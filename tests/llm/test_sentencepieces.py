@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import sentencepiece
 from conftest import SMALL
 from sentencepiece import sentencepiece_model_pb2 as pb
@@ -19,6 +20,21 @@ def unigram_model(prefix=True, squeeze=False, fallback=True):
     return model.SerializeToString()
 
 
+def charsmap(rules):
+    """The format's table of rewritten characters for rules of one ASCII letter each: a double-array trie, then the texts that take their place."""
+    units, texts = [0] * 1024, b""
+    base = 256
+    units[0] = base << 10
+    for i, (letter, new) in enumerate(sorted(rules.items())):
+        node = base ^ ord(letter)
+        leaf = 512 + 2 * i
+        units[node] = ((node ^ leaf) << 10) | (1 << 8) | ord(letter)
+        units[leaf] = (1 << 31) | len(texts)
+        texts += new.encode() + b"\x00"
+    trie = np.array(units, "<u4").tobytes()
+    return len(trie).to_bytes(4, "little") + trie + texts
+
+
 def odd_texts(letters, n=400):
     draw = random.Random(1)
     return ["", " ", "  a", "a  "] + ["".join(draw.choice(letters) for _ in range(draw.randint(0, 25))) for _ in range(n)]
@@ -50,6 +66,32 @@ def test_unigram_parity():
             assert all(parity) and (squeeze or all(trip))
 
 
+def rewriting_model(rules):
+    model = pb.ModelProto()
+    model.ParseFromString(unigram_model())
+    model.normalizer_spec.name, model.normalizer_spec.precompiled_charsmap = "own", charsmap(rules)
+    return model.SerializeToString()
+
+
+def test_a_model_that_rewrites_characters():
+    """Ids are the library's where the two agree on the rewriting, and ``parity`` says where."""
+    model = rewriting_model({"A": "a", "B": "bc", "T": "th"})
+    reference = sentencepiece.SentencePieceProcessor(model_proto=model)
+    assert reference.encode("AB The") == reference.encode("abc thhe")
+    texts = odd_texts(["A", "B", "T", "a", "b", "e", " ", "  ", "é"])
+    ends, ids, parity, _ = sp.Rebuilt.of(model).encode(texts)
+    assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:], strict=False)] == reference.encode(texts)
+    assert all(parity)
+
+
+def test_a_wrong_normaliser_is_seen():
+    """Each unit by itself agrees with the library; the text does not."""
+    rebuilt = sp.Rebuilt.of(rewriting_model({"A": "a"}))
+    rebuilt.charsmap = sp.normalizers.Replace("A", "b")
+    _, _, parity, _ = rebuilt.encode(["abc", "Abc", ""])
+    assert parity == [True, False, True] and not rebuilt.unlike
+
+
 def test_a_full_cache_changes_nothing(monkeypatch):
     monkeypatch.setattr(sp, "CACHE_UNITS", 3)
     rebuilt, texts = sp.Rebuilt.of(sp.read_model()), ["one two three four five", "six seven one two", "one two three"]
