@@ -11,7 +11,7 @@ from rankflow.llm.queries import llm_queries, llm_sql
 
 
 def test_registered():
-    assert {re.match(r"op(\d+)_", q)[1] for q in llm_queries()} == {str(i) for i in range(1, 11)}
+    assert {re.match(r"op(\d+)_", q)[1] for q in llm_queries()} == {str(i) for i in range(1, 14)}
     assert contract.queries().keys() >= llm_queries().keys() | {"pipeline"}
 
 
