@@ -258,15 +258,27 @@ def keep_first(documents: DataFrame, size: int = SHINGLE, radius: int = RADIUS)
     """One row of each component, with all its columns: that of the smallest ``doc_id``.
 
     A row without id stays only where no row of its component has one.  Of rows with the same
-    id the one of least text hash stays, then that of least hash over all columns.
+    id the one of least text hash stays, then that of least hash over all columns, as JSON.
+
+    What stays is decided on ids.  The rows that go are taken out of the table as it is read, so
+    Spark moves no text where their ids are few enough for it to broadcast.  Only rows that repeat
+    both id and text are grouped.
     """
     work = Workspace(documents.sparkSession)
     found = near_duplicates(documents, size, radius, work)
-    best = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("best"))
-    wanted = work.keep(best.select(F.col("best.doc_id").alias("_id"), F.col("best.text_hash").alias("_text")), "wanted")
+    ids = work.keep(found.groupBy("doc_id", "text_hash").agg(F.min("root").alias("root"), F.count("*").alias("n")), "ids")
+    best = ids.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "n")).alias("best"))
+    first = work.keep(best.select(F.col("best.doc_id").alias("_id"), F.col("best.text_hash").alias("_text"), F.col("best.n").alias("_n")), "first")
+    own = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_text"))
+    others = ids.join(first.where("_n = 1"), own, "left_anti")
+    gone = work.keep(others.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_text")), "gone")
+
     keyed = documents.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_doc"), F.xxhash64("text").alias("_hash"))
-    kept = keyed.join(wanted, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_text")), "left_semi")
-    return kept.groupBy("_doc", "_hash").agg(F.min_by("_row", F.xxhash64("_row")).alias("_row")).select("_row.*")
+    named = F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_text"))
+    alone = keyed.join(gone, named, "left_anti")
+    repeated = keyed.join(first.where("_n > 1"), named, "left_semi")
+    one = repeated.groupBy("_doc", "_hash").agg(F.min_by("_row", F.xxhash64(F.to_json("_row", {"ignoreNullFields": "false"}))).alias("_row"))
+    return alone.select("_row.*").unionByName(one.select("_row.*"))
 
 
 def op8_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:

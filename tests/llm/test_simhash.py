@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 import xxhash
-from conftest import SMALL
+from conftest import SMALL, plan
 
 from rankflow.llm import simhash_dedup as sim
 from rankflow.llm.components import star_roots
@@ -124,3 +124,28 @@ def test_one_of_each_group_stays(docs):
     for i, t in rows:
         want[up[fingerprint(t)]] = min(want.get(up[fingerprint(t)], i), i)
     assert kept == set(want.values())
+
+
+def test_rows_repeated_in_id_and_text_leave_one_whole_row(spark):
+    one = "a few words that make a text of their own, long enough"
+    rows = [(1, one, {"k": i % 3}, None if i == 2 else i) for i in range(6)] * 2
+    rows += [(None, one, {}, 9), (2, "another text with other words in each and every place", {"z": 1}, 1), (None, "nobody owns this one text of so many words", None, None)] * 2
+    table = spark.createDataFrame(rows, "doc_id long, text string, marks map<string,int>, _n int")
+    kept = [sim.keep_first(table.repartition(n)) for n in (1, 5)]
+    got = [sorted(map(repr, k.collect())) for k in kept]
+    assert got[0] == got[1] and kept[0].schema == table.schema
+    assert len(got[0]) == 3 and set(got[0]) <= {repr(r) for r in table.collect()}
+    assert sorted(str(r.doc_id) for r in kept[0].collect()) == ["1", "2", "None"]
+
+
+def test_few_rows_that_go_move_no_text(spark):
+    documents = spark.read.parquet(f"{SMALL}/documents.parquet")
+    kept = sim.keep_first(documents)
+    assert kept.count() == len(classes_of(documents))
+    steps = plan(kept)
+    assert "LeftAnti, BuildRight" in steps and "SortMergeJoin" not in steps
+    assert steps.count("hashpartitioning") == 1  # of rows that repeat both id and text
+
+
+def classes_of(documents):
+    return set(classes([fingerprint(r.text) for r in documents.collect()]).values())
