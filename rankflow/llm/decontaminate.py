@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from rankflow.llm.bytesarrays import BREAK, Texts, pieces, span_hashes, windows
+from rankflow.sources.workspace import Workspace
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -222,23 +224,25 @@ def _verified(shingles, of, begin, start, shared, items, i, similarity):  # noqa
                 yield text, name, score, -minus - int(begin[text]), bits
 
 
-def item_blocks(benchmark: DataFrame, radius: int = RADIUS) -> Iterator[list[Items]]:
-    """The items in blocks of bounded count and bytes; each block is one pass over the documents."""
+def item_blocks(benchmark: DataFrame, radius: int = RADIUS) -> Iterator[tuple[list[Items], bool]]:
+    """The items in blocks of bounded count and bytes, and whether a block is the last; each is one pass over the documents."""
     rows = benchmark.where(F.col("text").isNotNull()).select("item_id", "text")
     size = rows.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("b")).first()
     blocks = max(1, -(-size.n // BLOCK_ITEMS), -(-(size.b or 0) // BLOCK_BYTES))
     for b in range(blocks):
         own = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
-        yield index_items([(r.item_id, r.text) for r in own.orderBy("item_id", "text").collect()], radius)
+        yield index_items([(r.item_id, r.text) for r in own.orderBy("item_id", "text").collect()], radius), b == blocks - 1
 
 
-def contamination(documents: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
+def contamination(documents: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS, work: Workspace | None = None) -> DataFrame:
     """``doc_id, item_id, similarity, first_word, bits_apart``: the best window of each document for each item it holds.
 
     A window has as many words as the item, or is a whole text of fewer words.  Null and empty texts hold nothing, and items without words are held by nothing; an item
     of fewer than five words is one shingle.  Items with one text are all reported, and so are
-    repeated documents.  Columns other than the ids and the texts are not read.
+    repeated documents.  Columns other than the ids and the texts are not read.  What a block of
+    items finds is written before the next block is indexed, so the driver and the plan hold one.
     """
+    work = work or Workspace(documents.sparkSession)
     kinds = documents.schema["doc_id"].dataType.simpleString(), benchmark.schema["item_id"].dataType.simpleString()
     schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, similarity double, first_word long, bits_apart int"
 
@@ -259,15 +263,20 @@ def contamination(documents: DataFrame, benchmark: DataFrame, similarity: float
 
         return documents.select("doc_id", "text").mapInArrow(rows, schema)
 
-    found = [search(index) for index in item_blocks(benchmark, radius)]
-    out = found[0]
-    for more in found[1:]:
-        out = out.union(more)
-    return out
+    found: list[DataFrame] = []
+    for index, last in item_blocks(benchmark, radius):
+        found.append(search(index) if last else work.keep(search(index), f"matches_{len(found)}"))
+    return reduce(DataFrame.union, found)
+
 
+def drop_contaminated(
+    documents: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS, work: Workspace | None = None
+) -> DataFrame:
+    """The documents that hold no item, with all their columns; one pass for each block of items.
 
-def drop_contaminated(documents: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
-    """The documents that hold no item, with all their columns; one pass for each block of items."""
+    What a block leaves is written before the next block is indexed, so the driver and the plan hold one.
+    """
+    work = work or Workspace(documents.sparkSession)
 
     def without(index: list[Items]):  # noqa: ANN202
         def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,8 +288,9 @@ def drop_contaminated(documents: DataFrame, benchmark: DataFrame, similarity: fl
 
         return rows
 
-    for index in item_blocks(benchmark, radius):
+    for b, (index, last) in enumerate(item_blocks(benchmark, radius)):
         documents = documents.mapInArrow(without(index), documents.schema)
+        documents = documents if last else work.keep(documents, f"clean_{b}")
     return documents
 
 

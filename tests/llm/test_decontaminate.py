@@ -3,7 +3,7 @@ import random
 import re
 
 import numpy as np
-from conftest import SMALL
+from conftest import SMALL, plan
 
 from rankflow.llm import decontaminate as dec
 
@@ -61,6 +61,15 @@ def test_blocks_of_items_change_nothing(docs, items, monkeypatch):
     assert dec.drop_contaminated(docs(rows), items(own[:7])).count() == 13
 
 
+def test_a_plan_holds_one_block_of_items(docs, items, monkeypatch):
+    monkeypatch.setattr(dec, "BLOCK_ITEMS", 3)
+    own = items([(i, f"a{i} b c d e f g") for i in range(9)])
+    rows = docs([(i, f"a{i} b c d e f g h i") for i in range(12)])
+    assert plan(dec.contamination(rows, own)).count("MapInArrow") == 1
+    kept = dec.drop_contaminated(rows, own)
+    assert plan(kept).count("MapInArrow") == 1 and sorted(r.doc_id for r in kept.collect()) == [9, 10, 11]
+
+
 def test_multi_index_loses_nothing_within_the_radius():
     draw = np.random.default_rng(0)
     items = draw.integers(0, 2**64, 300, dtype=np.uint64)

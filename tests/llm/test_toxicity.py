@@ -1,4 +1,10 @@
+import collections
+import functools
+import math
+import re
+
 import numpy as np
+import pyarrow as pa
 from conftest import SMALL
 
 from rankflow.llm import toxicity
@@ -28,6 +34,38 @@ def test_held_out_labels(spark):
     assert all(r.grade in (0, 1, 2) and 0 <= r.expected_severity <= 2 for r in got)
 
 
+@functools.cache
+def columns_of(word):
+    return toxicity.word_counts(pa.array([word]))[1].tolist()
+
+
+def severity(model, text):
+    """Expected severity of one text by the formula, word by word; and the chance of grade 1."""
+    counts = collections.Counter()
+    for word in re.findall(r"[^\x20\x09-\x0D]+", (text or "").lower()):
+        counts.update(columns_of(word))
+    total = sum(counts.values())
+    score = 0.0
+    for column, w in zip(model.columns.tolist(), model.weights.tolist(), strict=True):
+        if n := counts[column]:
+            score += w[0] * math.log2(1 + n) + w[1] * math.log2(1 + 256 * n / total)
+    chances = [1 / (1 + math.exp(t - score)) if total else 0.0 for t in model.thresholds]
+    return sum(chances), chances[0] if chances else 0.0
+
+
+def test_the_query_follows_the_formula(spark):
+    folder = SMALL.replace("0.001", "0.01")  # the smallest table has too few toxic texts for telling words
+    documents, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit_toxicity(documents, labels)
+    assert len(model.columns) and len(model.thresholds) == 2
+    texts = {r.doc_id: r.text for r in documents.collect()}
+    got = {r.doc_id: r for r in toxicity.op5_toxicity(spark, folder).collect()}
+    assert got.keys() == texts.keys()
+    for i, text in texts.items():
+        want, chance = severity(model, text)
+        assert abs(got[i].expected_severity - want) < 1e-6 and got[i].rejected == (chance >= toxicity.REJECT_FROM)
+
+
 def test_dropping_agrees_with_scores(spark):
     documents = spark.read.parquet(f"{SMALL}/documents.parquet")
     model = toxicity.fit_toxicity(documents, spark.read.parquet(f"{SMALL}/labels.parquet"))
