@@ -276,7 +276,8 @@ def keep_first(documents: DataFrame, size: int = SHINGLE, radius: int = RADIUS)
     keyed = documents.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_doc"), F.xxhash64("text").alias("_hash"))
     named = F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_text"))
     alone = keyed.join(gone, named, "left_anti")
-    repeated = keyed.join(first.where("_n > 1"), named, "left_semi")
+    again = work.keep(first.where("_n > 1"), "again")  # stored, so that Spark knows its size
+    repeated = keyed.join(again, named, "left_semi")
     one = repeated.groupBy("_doc", "_hash").agg(F.min_by("_row", F.xxhash64(F.to_json("_row", {"ignoreNullFields": "false"}))).alias("_row"))
     return alone.select("_row.*").unionByName(one.select("_row.*"))
 
