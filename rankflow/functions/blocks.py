@@ -91,71 +91,236 @@ def _first_k(value: np.ndarray, k: int):
     return np.nonzero(above | (at & (np.cumsum(at, axis=1) <= room)))
 
 
+def deal_posts(cell_products: int, *, ordered: bool = False, packed: bool = True, at_once: int = 4_000_000):
+    """A function for ``mapInArrow``: posts of an inverted index dealt to cells of users.
+
+    A post has ``found``, its users, with ``n_cells`` and ``largest``, the number of users of the
+    largest post.  It goes to each cell that has a user of it: who ``asks`` there, and all ``others``.
+    A user whose posts may give more than ``cell_products`` products has a cell of its own, in
+    parts that deal whom it meets by hash.  With ``ordered`` only others of a greater id than the
+    least that asks are met, and where entries say so, only those ``indexed``.  Rows of a batch
+    for one part of a cell leave as one compressed Arrow stream, or one by one if not ``packed``.
+    """
+
+    def deal(batches):
+        for batch in batches:
+            flat, lengths = _flat(batch.column("found"))
+            if len(flat):
+                n_cells, largest = batch.column("n_cells")[0].as_py(), batch.column("largest")[0].as_py()
+                for rows in dealt(flat, lengths, n_cells, largest):
+                    yield _as_streams(*rows) if packed else _as_rows(*rows)
+
+    def dealt(flat, lengths, n_cells, largest):
+        post = np.repeat(np.arange(len(lengths)), lengths)
+        user = flat.field("user_id").to_numpy(zero_copy_only=False)
+        by_user = np.lexsort((user, post))
+        flat, user = flat.take(pa.array(by_user)), user[by_user]
+        names = [f.name for f in flat.type if f.name not in ("n_posts", "indexed")]
+        entry = pa.StructArray.from_arrays([flat.field(n) for n in names], names)
+        n_posts = flat.field("n_posts").to_numpy(zero_copy_only=False)
+        parts = np.maximum(-(-n_posts * largest // cell_products), 1)
+        cell = np.where(parts > 1, n_cells + (_mixed(user, 1) >> 4), _mixed(user, 0) % n_cells)
+        met = np.ones(len(user), bool)
+        if "indexed" in {f.name for f in flat.type}:
+            met = flat.field("indexed").to_numpy(zero_copy_only=False)
+        of_met, met_before = np.flatnonzero(met), np.cumsum(met)
+        # Those of one post that ask in one cell, with where the others they meet begin and end.
+        asking = np.lexsort((parts, cell, post))
+        same = (np.diff(post[asking]) == 0) & (np.diff(cell[asking]) == 0) & (np.diff(parts[asking]) == 0)
+        first = np.concatenate([[0], np.flatnonzero(~same) + 1])
+        n_asking, head = np.diff(first, append=len(asking)), asking[first]
+        ends = np.cumsum(lengths)
+        met_until = np.concatenate([[0], met_before])
+        begin = met_before[head] if ordered else met_until[ends - lengths][post[head]]
+        size = met_until[ends][post[head]] - begin
+        total = np.cumsum(size)
+        start = 0
+        while start < len(size):
+            before = total[start - 1] if start else 0
+            stop = max(int(np.searchsorted(total, before + at_once, "right")), start + 1)
+            number = np.repeat(np.arange(start, stop), size[start:stop])
+            others = of_met[_ranges(begin[start:stop], size[start:stop])]
+            part = np.zeros(len(others), np.int64)
+            large = parts[head[number]] > 1
+            if large.any():
+                part[large] = _mixed(user[others[large]], 2) % parts[head[number[large]]]
+                order = np.lexsort((part, number))
+                number, others, part = number[order], others[order], part[order]
+            start = stop
+            if not len(others):
+                continue
+            row = np.flatnonzero((np.diff(number, prepend=-1) != 0) | (np.diff(part, prepend=-1) != 0))
+            n_others, group, part = np.diff(row, append=len(others)), number[row], part[row]
+            order = np.lexsort((part, cell[head[group]]))
+            row, n_others, group, part = row[order], n_others[order], group[order], part[order]
+            asks = asking[_ranges(first[group], n_asking[group])]
+            yield (
+                cell[head[group]],
+                part,
+                _lists(n_asking[group], entry, asks),
+                _lists(n_others, entry, others[_ranges(row, n_others)]),
+            )
+
+    return deal
+
+
+def _flat(column):
+    """The entries of all lists end to end, and how many each list has."""
+    lists = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    lengths = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    return lists.flatten(), lengths.astype(np.int64)
+
+
+def _mixed(ids: np.ndarray, seed: int) -> np.ndarray:
+    """Ids spread over 63 bits, differently for each seed."""
+    x = ids.astype(np.int64).view(np.uint64) + np.uint64((seed + 1) * 0x9E3779B97F4A7C15 % 2**64)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return ((x ^ (x >> np.uint64(31))) >> np.uint64(1)).view(np.int64)
+
+
+def _ranges(begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The numbers from each ``begin`` on, ``length`` of them, end to end."""
+    return np.arange(length.sum()) + np.repeat(begin - (np.cumsum(length) - length), length)
+
+
+def _lists(lengths: np.ndarray, entry: pa.StructArray, at: np.ndarray) -> pa.ListArray:
+    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), entry.take(pa.array(at)))
+
+
+def _as_rows(cell, part, asks, others) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(cell), pa.array(part), asks, others], ["cell", "part", "asks", "others"])
+
+
+def _as_streams(cell, part, asks, others) -> pa.RecordBatch:
+    """One row per part of a cell, its posts as a compressed Arrow stream."""
+    rows = pa.record_batch([asks, others], ["asks", "others"])
+    options = pa.ipc.IpcWriteOptions(compression="zstd", use_threads=False)
+    first = np.flatnonzero((np.diff(cell, prepend=-1) != 0) | (np.diff(part, prepend=-1) != 0))
+    streams = []
+    for start, stop in zip(first, first + np.diff(first, append=len(cell)), strict=True):
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, rows.schema, options=options) as stream:
+            stream.write_batch(rows.slice(start, stop - start))
+        streams.append(sink.getvalue().to_pybytes())
+    return pa.record_batch([pa.array(cell[first]), pa.array(part[first]), pa.array(streams, pa.binary())], ["cell", "part", "posts"])
+
+
+def _cell_entries(cell: pa.Table) -> tuple[dict[str, np.ndarray], dict[str, np.ndarray]]:
+    """Who asks at the posts of a part of a cell, and the others."""
+    posts = pa.concat_tables(pa.ipc.open_stream(one.as_buffer()).read_all() for one in cell["posts"])
+    return _entries(posts["asks"]), _entries(posts["others"])
+
+
 def index_neighbours(k: int, at_once: int = 4_000_000):
     """A function for ``applyInArrow``: the K closest users of every user that asks in a cell.
 
-    A row of the cell is a post: who ``asks`` there, and all ``others`` met.  Pairs in which both
-    have a heavy vector come out unranked, with their dot product as it stands.
+    Pairs in which both have a heavy vector come out unranked, with their dot product as it stands.
     """
 
     def neighbours(cell: pa.Table) -> pa.Table:
-        asks, others = _entries(cell["asks"]), _entries(cell["others"])
+        asks, others = _cell_entries(cell)
         users, asking = np.unique(asks["user_id"], return_index=True)
-        met, meeting = np.unique(others["user_id"], return_index=True)
-        pair, dot = _pair_sums(asks, others, users, met, at_once)
-        u, v = pair // max(len(met), 1), pair % max(len(met), 1)
-        apart = users[u] != met[v]
+        u, v, dot, _ = _pair_sums(asks, others, users, at_once)
+        apart = users[u] != others["user_id"][v]
         u, v, dot = u[apart], v[apart], dot[apart]
-        norm2, other_norm2 = asks["norm2"][asking][u], others["norm2"][meeting][v]
+        norm2 = asks["norm2"][asking][u].astype(np.float64)
+        other_norm2 = others["norm2"][v].astype(np.float64)
         value = dot / (np.sqrt(norm2) * np.sqrt(other_norm2))
-        whole = ~(asks["has_vector"][asking][u] & others["has_vector"][meeting][v])
+        whole = ~(asks["has_vector"][asking][u] & others["has_vector"][v])
         # Pairs are in order of user, then other user; a stable sort leaves ties so.
         order = np.flatnonzero(whole)
+        order = order[_near_first_k(u[order], value[order], k)]
         order = order[np.lexsort((-value[order], u[order]))]
         first = np.flatnonzero(np.diff(u[order], prepend=-1))
         place = np.arange(len(order)) - np.repeat(first, np.diff(first, append=len(order)))
         taken = np.concatenate([order[place < k], np.flatnonzero(~whole)])
-        columns = (users[u], met[v], value, norm2, other_norm2, dot, whole)
+        columns = (users[u], others["user_id"][v], value, norm2, other_norm2, dot, whole)
         names = ("user_id", "similar_user", "cosine_similarity", "norm2", "similar_norm2", "dot", "whole")
         return pa.table({n: c[taken] for n, c in zip(names, columns, strict=True)})
 
     return neighbours
 
 
+def _near_first_k(group: np.ndarray, value: np.ndarray, k: int) -> np.ndarray:
+    """Whether a value is not below the K-th largest of its group; groups are in order."""
+    kept = np.ones(len(value), bool)
+    first = np.flatnonzero(np.diff(group, prepend=-1))
+    for start, stop in zip(first, first + np.diff(first, append=len(group)), strict=True):
+        if stop - start > k:
+            part = value[start:stop]
+            kept[start:stop] = part >= np.partition(part, len(part) - k)[len(part) - k]
+    return kept
+
+
+def index_pairs(at_once: int = 4_000_000):
+    """A function for ``applyInArrow``: all pairs of a cell, the lesser id asking, with sum and number of their products.
+
+    ``rest_b`` is what entries say that the greater id has outside of the index.
+    """
+
+    def pairs(cell: pa.Table) -> pa.Table:
+        asks, others = _cell_entries(cell)
+        users, asking = np.unique(asks["user_id"], return_index=True)
+        u, v, dot, shared = _pair_sums(asks, others, users, at_once)
+        ahead = users[u] < others["user_id"][v]
+        u, v = u[ahead], v[ahead]
+        columns = {"user_a": users[u], "user_b": others["user_id"][v]}
+        columns |= {"norm2_a": asks["norm2"][asking][u], "norm2_b": others["norm2"][v]}
+        columns |= {"dot_product": dot[ahead], "shared_posts": shared[ahead], "rest_b": others["rest"][v]}
+        return pa.table(columns)
+
+    return pairs
+
+
 def _entries(column: pa.ChunkedArray) -> dict[str, np.ndarray]:
-    """The entries of all lists end to end, and under ``lengths`` how many each list has."""
-    lists = column.combine_chunks()
-    flat = lists.flatten()
-    out = {"lengths": lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)}
-    for name in ("user_id", "total_score", "norm2", "has_vector"):
+    """The fields of the entries of all lists end to end, and under ``lengths`` how many each list has."""
+    flat, lengths = _flat(column)
+    out = {"lengths": lengths}
+    for name in (f.name for f in flat.type):
         values = flat.field(name)
         if pa.types.is_decimal(values.type):
             values = values.cast(pa.float64())
         out[name] = values.to_numpy(zero_copy_only=False)
-    out["norm2"] = out["norm2"].astype(np.float64)
     return out
 
 
-def _pair_sums(asks, others, users, met, at_once):
-    """Sum of products for every pair that shares a post, as sorted pair numbers and sums."""
+def _pair_sums(asks, others, users, at_once):
+    """For every pair that shares a post: the numbers of who asks and of an entry of the other, sum and number of products.
+
+    Pairs go by who asks, then by the id of the other.
+    """
     meets = np.repeat(others["lengths"], asks["lengths"])
     begin = np.repeat(np.cumsum(others["lengths"]) - others["lengths"], asks["lengths"])
-    who = np.searchsorted(users, asks["user_id"]) * len(met)
-    whom = np.searchsorted(met, others["user_id"])
+    whom, low = others["user_id"], int(others["user_id"].min(initial=0))
+    span = int(whom.max(initial=0)) - low + 1
+    if span * max(len(users), 1) < 2**62:
+        whom = whom - low
+    else:
+        met, whom = np.unique(whom, return_inverse=True)
+        span = len(met)
+    who = np.searchsorted(users, asks["user_id"]) * span
     ends = np.cumsum(meets)
-    pair, total = np.zeros(0, np.int64), np.zeros(0, np.result_type(asks["total_score"]))
+    pair, seen, count = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    total = np.zeros(0, np.result_type(asks["total_score"]))
+    # Sums of integers are the same in any order.
+    kind = None if total.dtype.kind == "i" else "stable"
     start = 0
     while start < len(meets):
         before = ends[start - 1] if start else 0
         stop = max(int(np.searchsorted(ends, before + at_once, "right")), start + 1)
         part = slice(start, stop)
         number = np.repeat(np.arange(start, stop), meets[part])
-        entry = np.arange(len(number)) - np.repeat(ends[part] - meets[part] - before, meets[part]) + begin[number]
+        entry = _ranges(begin[part], meets[part])
         pairs = np.concatenate([pair, who[number] + whom[entry]])
         sums = np.concatenate([total, asks["total_score"][number] * others["total_score"][entry]])
-        order = np.argsort(pairs, kind="stable")
-        pairs, sums = pairs[order], sums[order]
+        order = np.argsort(pairs, kind=kind)
+        pairs = pairs[order]
         first = np.flatnonzero(np.diff(pairs, prepend=-1))
-        pair, total = pairs[first], np.add.reduceat(sums, first) if len(first) else sums
+        if len(first):
+            count = np.add.reduceat(np.concatenate([count, np.ones(len(entry), np.int64)])[order], first)
+            total = np.add.reduceat(sums[order], first)
+            pair, seen = pairs[first], np.concatenate([seen, entry])[order[first]]
         start = stop
-    return pair, total
+    return pair // max(span, 1), seen, total, count

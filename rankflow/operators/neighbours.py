@@ -38,8 +38,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
-from rankflow.functions import cosine, top_per_group
-from rankflow.functions.blocks import cell_neighbours, index_neighbours
+from rankflow.functions import cosine, spread, top_per_group
+from rankflow.functions.blocks import cell_neighbours, deal_posts, index_neighbours
 from rankflow.operators.similarity import bidirectional, post_audience, with_norms
 
 # Room for the last bits in which a floor and a cosine are rounded differently.
@@ -157,35 +157,34 @@ def _index(rows: DataFrame) -> DataFrame:
     )
 
 
+def _sized(index: DataFrame, cell_products: int) -> DataFrame:
+    """The index with the number of cells and the size of the largest post on every row."""
+    total = index.agg(F.sum(F.col("n_users") * F.col("n_users"))).scalar()
+    largest = index.agg(F.max("n_users")).scalar()
+    n_cells = F.greatest(F.ceil(total / cell_products), F.lit(1)).cast("bigint")
+    return index.select("found", n_cells.alias("n_cells"), largest.alias("largest"))
+
+
 def _cells(index: DataFrame, cell_products: int) -> DataFrame:
     """``cell, part, asks, others``: for each post and cell, the users of the cell and whom they meet.
 
-    A user whose posts may give more than ``cell_products`` products has cells of its own, which
-    deal whom it meets by hash.
+    What :func:`packed_cells` packs.
     """
-    total = index.agg(F.sum(F.col("n_users") * F.col("n_users"))).scalar()
-    largest = index.agg(F.max("n_users")).scalar()
-    n_cells = F.greatest(F.ceil(total / cell_products), F.lit(1)).cast("bigint")
-    sized = index.withColumns({"n_cells": n_cells, "largest": largest})
-
-    def placed(e):
-        parts = F.ceil(e["n_posts"] * F.col("largest") / cell_products).cast("int")
-        home = F.pmod(F.xxhash64(e["user_id"]), F.col("n_cells"))
-        own = F.col("n_cells") + F.pmod(F.xxhash64(e["user_id"], F.lit(1)), F.lit(2**60))
-        return F.struct(
-            F.when(parts > 1, own).otherwise(home).alias("cell"),
-            F.greatest(parts, F.lit(1)).alias("parts"),
-        )
+    entry = index.schema["found"].dataType.elementType
+    fields = ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in entry if f.name not in ("n_posts", "indexed"))
+    kind = f"array<struct<{fields}>>"
+    deal = deal_posts(cell_products, packed=False)
+    return _sized(index, cell_products).mapInArrow(deal, f"cell bigint, part bigint, asks {kind}, others {kind}")
 
-    fields = ("user_id", "total_score", "norm2", "has_vector")
-    entry = lambda e: F.struct(*(e[f].alias(f) for f in fields))
-    keyed = sized.select(F.transform("found", entry).alias("found"), F.transform("found", placed).alias("places"))
-    each = keyed.select("*", F.explode(F.array_distinct("places")).alias("at"))
-    parted = each.select("*", F.explode(F.sequence(F.lit(0), F.col("at.parts") - 1)).alias("part"))
-    asks = F.filter("found", lambda e, i: F.get("places", i) == F.col("at"))
-    met = F.filter("found", lambda e: F.pmod(F.xxhash64(e["user_id"]), F.col("at.parts")) == F.col("part"))
-    others = F.when(F.col("at.parts") == 1, F.col("found")).otherwise(met)
-    return parted.select(F.col("at.cell").alias("cell"), "part", asks.alias("asks"), others.alias("others"))
+
+def packed_cells(index: DataFrame, cell_products: int, *, ordered: bool = False) -> DataFrame:
+    """``cell, part, posts``: each task's posts for a part of a cell as one compressed stream, dealt by cell.
+
+    All products of an index go through this shuffle, some five bytes each.
+    """
+    deal = deal_posts(cell_products, ordered=ordered)
+    dealt = _sized(index, cell_products).mapInArrow(deal, "cell bigint, part bigint, posts binary")
+    return spread(dealt, "cell", "part")
 
 
 def _light_edges(
@@ -207,7 +206,7 @@ def _light_edges(
     kind = "bigint" if isinstance(rows.schema["total_score"].dataType, IntegralType) else "double"
     schema = f"{_CANDIDATES}, norm2 double, similar_norm2 double, dot {kind}, whole boolean"
     found = keep(
-        _cells(keep(_index(marked), "light_posts"), cell_products)
+        packed_cells(keep(_index(marked), "light_posts"), cell_products)
         .groupBy("cell", "part")
         .applyInArrow(index_neighbours(k), schema),
         "light_edges",

@@ -225,3 +225,13 @@ def test_a_cell_holds_a_bounded_number_of_products(table):
     sizes = [r.n for r in each.collect()]
     assert sum(sizes) == sum(r.n_users**2 for r in index.collect())
     assert len(sizes) > 20 and max(sizes) < 4 * 4_000
+
+
+def test_products_are_shuffled_in_a_few_bytes_each(table):
+    draw = random.Random(15)
+    triples = [(u, p, draw.randint(1, 5)) for p in range(60) for u in draw.sample(range(3000), 300)]
+    scores = similarity.with_norms(table(triples, USER_POST_SCORES)).withColumn("has_vector", F.lit(False))
+    index = neighbours._index(scores).coalesce(1).cache()
+    cells = neighbours.packed_cells(index, 1_000_000)
+    entries = neighbours._cells(index, 1_000_000).agg(F.sum(F.size("others"))).first()[0]
+    assert cells.agg(F.sum(F.length("posts"))).first()[0] < 8 * entries
