@@ -70,3 +70,19 @@ def test_bounds_that_bound_nothing_are_refused(table):
 def test_pairs_meet_by_post(table):
     text = plan(similarity.similar_pairs(table([(1, 2, 3)], USER_POST_SCORES), 0.5))
     assert "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+def test_no_row_of_a_pair_is_shuffled(table):
+    """Pairs come whole out of their cell: nothing is dealt by user after that."""
+    scores = table([(1, 2, 3), (2, 2, 1)], USER_POST_SCORES)
+    text = plan(similarity.pair_dot_products(scores, 500))
+    assert "hashpartitioning(cell" in text and "hashpartitioning(user_a" not in text
+
+
+def test_pairs_of_a_post_left_out_are_completed(table):
+    """The greater of two ids lacks the popular post in the index, and the pair needs it to reach the bound."""
+    triples = [(u, 0, 3) for u in range(30)] + [(u, 1 + u // 2, 4) for u in range(30)]
+    scores = table(triples, USER_POST_SCORES)
+    pairs = [(2 * i, 2 * i + 1) for i in range(15)]
+    assert rows(similarity.similar_pairs(scores, 0.99, 10), "user_a", "user_b", "dot_product") == [(*p, 25) for p in sorted(pairs, key=repr)]
+    assert rows(similarity.pairs_sharing(scores, 2, 10)) == [(*p, 2) for p in sorted(pairs, key=repr)]
