@@ -15,14 +15,21 @@ from pyspark import cloudpickle
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _COLUMNS_AT_ONCE = 1024
+_PAIRS_AT_ONCE = 8_000_000
 
 
 def cell_neighbours(k: int):
     """A function for ``applyInArrow``: the K closest of ``others`` per user."""
 
     def neighbours(users: pa.Table, others: pa.Table) -> pa.Table:
+        unpacked = _unpack(others.sort_by("user_id"))
+        strip = max(_PAIRS_AT_ONCE // max(others.num_rows, 1), 1)
+        parts = [strip_neighbours(users.slice(at, strip), unpacked) for at in range(0, max(users.num_rows, 1), strip)]
+        return pa.concat_tables(parts)
+
+    def strip_neighbours(users: pa.Table, unpacked) -> pa.Table:
         ids, norms, *entries = _unpack(users)
-        other_ids, other_norms, *other_entries = _unpack(others.sort_by("user_id"))
+        other_ids, other_norms, *other_entries = unpacked
         dot, shared = _products(len(ids), entries, len(other_ids), other_entries)
         lengths = np.outer(np.sqrt(norms), np.sqrt(other_norms))
         # Ranked out: users who share nothing, and the user itself.

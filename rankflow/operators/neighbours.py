@@ -2,7 +2,7 @@
 
 Posts fall into two classes by audience.
 
-*Light* posts (at most ``heavy_post_users`` users) form an inverted index: one row per
+*Light* posts (at most ``heavy_post_users`` users, and larger ones that are cheaper so) form an inverted index: one row per
 post with all its users.  Users are dealt into *cells*, and a post's row goes to each cell
 that has a user of it, so a cell holds every product of its users over light posts.  It sums
 them and hands on K rows per user; no row per pair of users is ever shuffled or sorted.
@@ -32,20 +32,23 @@ then whole and the second class is exact alone.  Without heavy posts the first i
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
-from rankflow.functions import cosine, spread, top_per_group
-from rankflow.functions.blocks import cell_neighbours, deal_posts, index_neighbours
+from rankflow.config import DEFAULT_NEIGHBOURS
+from rankflow.functions import cosine, top_per_group
+from rankflow.functions.blocks import cell_neighbours, index_neighbours
+from rankflow.operators.cells import CELL_PRODUCTS, _cells, packed_cells  # noqa: F401
 from rankflow.operators.similarity import bidirectional, post_audience, with_norms
 
 # Room for the last bits in which a floor and a cosine are rounded differently.
 _ROUNDING_SLACK = 1.0 - 1e-9
-#: Products of two scores that a task sums at a time, about.
-CELL_PRODUCTS = 1_000_000
+#: Blocks of users that vectors are dealt to, at most: each block of one side meets each of the other.
+MOST_BLOCKS = 32
 _CANDIDATES = "user_id bigint, similar_user bigint, cosine_similarity double"
 
 
@@ -59,13 +62,37 @@ def top_similar_users(similarity: DataFrame, k: int) -> DataFrame:
     return top_per_group(bidirectional(similarity), ["user_id"], closest_first(), k)
 
 
-def vector_posts(scores: DataFrame, heavy_post_users: int) -> DataFrame:
-    """Posts of more than ``heavy_post_users`` users; all of them where there are such and a score is negative."""
+def vector_posts(scores: DataFrame, heavy_post_users: int, k: int = DEFAULT_NEIGHBOURS) -> DataFrame:
+    """Posts to compare as vectors, among those of more than ``heavy_post_users`` users; all posts where there are such and a score is negative.
+
+    Large posts go by tiers of four times the audience.  From that tier on they are vectors where
+    the work is least: the products of an index of the rest, and the users of the tier times those
+    who can stand for them, each pair costing more the more posts there are.
+    """
     signed = scores.agg((F.min("total_score") < 0).alias("signed")).scalar()
     audience = post_audience(scores)
-    any_large = audience.agg((F.max("n_users") > heavy_post_users).alias("large")).scalar()
-    large = F.col("n_users") > heavy_post_users
-    return audience.where(large | (F.coalesce(signed, F.lit(False)) & any_large))
+    is_large = F.col("n_users") > heavy_post_users
+    tier = F.floor(F.log(F.col("n_users") / heavy_post_users) / math.log(4)).cast("int")
+    large = audience.where(is_large).withColumn("tier", tier)
+    upward = F.explode(F.sequence(F.lit(0), F.col("tier")))
+    posts = large.withColumn("products", F.col("n_users") * F.col("n_users").cast("double"))
+    indexed = posts.select("products", upward.alias("tier")).groupBy("tier")
+    work = indexed.agg(F.sum("products").alias("products"), F.count(F.lit(1)).alias("n_posts"))
+    touched = scores.join(large.select("post_id", "tier"), "post_id").select(
+        "user_id", F.xxhash64("post_id", "total_score").alias("entry"), upward.alias("tier")
+    )
+    vectors = touched.groupBy("tier", "user_id").agg(F.bit_xor("entry").alias("vector"))
+    counted = vectors.groupBy("tier").agg(
+        F.count(F.lit(1)).cast("double").alias("n_users"),
+        F.approx_count_distinct("vector").alias("kinds"),
+    )
+    stand_ins = F.least(F.col("n_users"), 2.0 * (k + 1) * F.col("kinds"))
+    spared = F.col("products") - F.col("n_users") * stand_ins * (0.1 + F.col("n_posts") / 1024)
+    best = work.join(counted, "tier").select("tier", spared.alias("spared")).where("spared > 0")
+    from_tier = best.agg(F.min_by("tier", F.struct(-F.col("spared"), "tier"))).scalar()
+    chosen = is_large & (tier >= from_tier)
+    signed_and_any = F.coalesce(signed, F.lit(False)) & from_tier.isNotNull()
+    return audience.where(F.coalesce(chosen, F.lit(False)) | signed_and_any)
 
 
 def nearest_users(
@@ -111,7 +138,7 @@ def nearest_users_any(
     cell_products: int = CELL_PRODUCTS,
 ) -> DataFrame:
     """:func:`nearest_users` with the heavy posts found in the same lazy plan."""
-    heavy = vector_posts(scores, heavy_post_users)
+    heavy = vector_posts(scores, heavy_post_users, k)
     return nearest_users(scores, k, heavy=heavy, block_users=block_users, cell_products=cell_products)
 
 
@@ -157,36 +184,6 @@ def _index(rows: DataFrame) -> DataFrame:
     )
 
 
-def _sized(index: DataFrame, cell_products: int) -> DataFrame:
-    """The index with the number of cells and the size of the largest post on every row."""
-    total = index.agg(F.sum(F.col("n_users") * F.col("n_users"))).scalar()
-    largest = index.agg(F.max("n_users")).scalar()
-    n_cells = F.greatest(F.ceil(total / cell_products), F.lit(1)).cast("bigint")
-    return index.select("found", n_cells.alias("n_cells"), largest.alias("largest"))
-
-
-def _cells(index: DataFrame, cell_products: int) -> DataFrame:
-    """``cell, part, asks, others``: for each post and cell, the users of the cell and whom they meet.
-
-    What :func:`packed_cells` packs.
-    """
-    entry = index.schema["found"].dataType.elementType
-    fields = ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in entry if f.name not in ("n_posts", "indexed"))
-    kind = f"array<struct<{fields}>>"
-    deal = deal_posts(cell_products, packed=False)
-    return _sized(index, cell_products).mapInArrow(deal, f"cell bigint, part bigint, asks {kind}, others {kind}")
-
-
-def packed_cells(index: DataFrame, cell_products: int, *, ordered: bool = False) -> DataFrame:
-    """``cell, part, posts``: each task's posts for a part of a cell as one compressed stream, dealt by cell.
-
-    All products of an index go through this shuffle, some five bytes each.
-    """
-    deal = deal_posts(cell_products, ordered=ordered)
-    dealt = _sized(index, cell_products).mapInArrow(deal, "cell bigint, part bigint, posts binary")
-    return spread(dealt, "cell", "part")
-
-
 def _light_edges(
     rows: DataFrame,
     floors: DataFrame,
@@ -281,11 +278,16 @@ def _representatives(vectors: DataFrame, k: int) -> DataFrame:
 def _blockwise_neighbours(
     vectors: DataFrame, chosen: DataFrame, k: int, block_users: int
 ) -> DataFrame:
-    """K candidates per user and block of representatives."""
+    """K candidates per user and block of representatives.
+
+    A vector is shuffled once per block of the other side, so blocks of ``block_users`` users grow
+    where there would be more than ``MOST_BLOCKS`` of them; a task goes through a block in strips.
+    """
 
     def n_blocks(df: DataFrame):
         count = df.agg(F.count(F.lit(1))).scalar()
-        return F.greatest(F.ceil(count / block_users).cast("int"), F.lit(1))
+        blocks = F.least(F.ceil(count / block_users), F.lit(MOST_BLOCKS))
+        return F.greatest(blocks.cast("int"), F.lit(1))
 
     def in_cells(df: DataFrame, own: str, other: str, n_own, n_other) -> DataFrame:
         return df.select(

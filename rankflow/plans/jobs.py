@@ -102,7 +102,8 @@ class FeedRun:
     @cached_property
     def heavy_posts(self) -> DataFrame:
         """Posts compared as vectors, stored."""
-        heavy = neighbour_ops.vector_posts(self.scores, self.config.heavy_post_users)
+        c = self.config
+        heavy = neighbour_ops.vector_posts(self.scores, c.heavy_post_users, c.neighbours)
         return self._workspace.keep(heavy, "heavy_posts")
 
     @cached_property

@@ -89,3 +89,23 @@ def test_floors_cut_edges_but_no_neighbour(table):
         neighbours.top_similar_users(similar, 2)
     )
     similar.unpersist()
+
+
+def test_posts_that_an_index_does_cheaper_are_no_vectors(table):
+    """Many posts just above the limit stay in the index; a post of all users does not."""
+    tail = [(u, 1 + (u * 7 + i) % 400, 2) for u in range(400) for i in range(5)]
+    assert neighbours.vector_posts(table(tail, USER_POST_SCORES), 2).count() == 0
+    both = table(tail + [(u, 0, 1) for u in range(400)], USER_POST_SCORES)
+    assert [r.post_id for r in neighbours.vector_posts(both, 2).collect()] == [0]
+    assert rows(neighbours.nearest_users_any(both, 3, heavy_post_users=2)) == rows(
+        neighbours.nearest_users_any(both, 3, heavy_post_users=1000)
+    )
+
+
+def test_blocks_grow_with_the_users(table):
+    """However small the blocks asked for, a user meets a bounded number of them."""
+    draw = random.Random(9)
+    scores = table([(u, p, draw.randint(1, 5)) for u in range(150) for p in range(6)], USER_POST_SCORES)
+    vectors = vectors_of(scores, 50)
+    handed_on = neighbours._blockwise_neighbours(vectors, vectors, 1, block_users=1)
+    assert handed_on.groupBy("user_id").count().agg({"count": "max"}).first()[0] <= neighbours.MOST_BLOCKS
