@@ -109,3 +109,10 @@ def test_blocks_grow_with_the_users(table):
     vectors = vectors_of(scores, 50)
     handed_on = neighbours._blockwise_neighbours(vectors, vectors, 1, block_users=1)
     assert handed_on.groupBy("user_id").count().agg({"count": "max"}).first()[0] <= neighbours.MOST_BLOCKS
+
+
+def test_a_limit_of_no_users_is_a_limit(table):
+    scores = table([(u, 0, 1 + u % 3) for u in range(60)], USER_POST_SCORES)
+    assert rows(neighbours.nearest_users_any(scores, 2, heavy_post_users=0)) == rows(
+        neighbours.nearest_users_any(scores, 2, heavy_post_users=1000)
+    )
