@@ -86,3 +86,41 @@ def test_pairs_of_a_post_left_out_are_completed(table):
     pairs = [(2 * i, 2 * i + 1) for i in range(15)]
     assert rows(similarity.similar_pairs(scores, 0.99, 10), "user_a", "user_b", "dot_product") == [(*p, 25) for p in sorted(pairs, key=repr)]
     assert rows(similarity.pairs_sharing(scores, 2, 10)) == [(*p, 2) for p in sorted(pairs, key=repr)]
+
+
+def crowded_triples():
+    """Some 30 posts that most users touched: an index has far more products than there are pairs."""
+    draw = random.Random(8)
+    return [(u, p, draw.randint(-2, 5)) for u in range(70) for p in draw.sample(range(30), 20)]
+
+
+@pytest.mark.parametrize("block_users", [16, 500])
+def test_users_who_share_most_posts_are_multiplied_as_blocks(table, monkeypatch, block_users):
+    monkeypatch.setattr(similarity, "BLOCK_USERS", block_users)
+    scores = table(crowded_triples(), USER_POST_SCORES)
+    want = brute_force(crowded_triples())
+    pairs = similarity.pair_dot_products(scores, 500)
+    assert rows(similarity.user_similarity(pairs), "user_a", "user_b", "cosine_similarity") == sorted(((a, b, v) for (a, b), v in want.items()), key=repr)
+    got = similarity.similar_pairs(scores, 0.5)
+    assert rows(got, "user_a", "user_b", "cosine_similarity") == sorted(((a, b, v) for (a, b), v in want.items() if v >= 0.5), key=repr)
+    touched = {}
+    for u, p, _ in crowded_triples():
+        touched.setdefault(u, set()).add(p)
+    shared = [(a, b, n) for a in touched for b in touched if a < b and (n := len(touched[a] & touched[b])) >= 14]
+    assert rows(similarity.pairs_sharing(scores, 14)) == sorted(shared, key=repr)
+
+
+def test_no_product_of_crowded_posts_is_dealt(table):
+    """What moves are the scores, once per block: the index is empty."""
+    known = similarity.with_norms(table(crowded_triples(), USER_POST_SCORES))
+    assert known.where(~similarity._few_users_for_their_products(known)).isEmpty()
+    sparse = similarity.with_norms(table([(u, u // 2, 1) for u in range(60)], USER_POST_SCORES))
+    assert sparse.where(similarity._few_users_for_their_products(sparse)).isEmpty()
+
+
+def test_scores_beyond_the_doubles_are_summed_as_integers(table):
+    triples = [(u, p, 2**30 + u * 7 + p) for u in range(6) for p in range(4)]
+    got = similarity.pair_dot_products(table(triples, USER_POST_SCORES), 500)
+    value = {(u, p): s for u, p, s in triples}
+    want = [(a, b, sum(value[a, p] * value[b, p] for p in range(4))) for a in range(6) for b in range(a + 1, 6)]
+    assert rows(got, "user_a", "user_b", "dot_product") == sorted(want, key=repr)
