@@ -1,6 +1,7 @@
 import random
 
-from conftest import rows
+import pytest
+from conftest import plan, rows
 
 from rankflow.operators import feed, recommend
 from rankflow.sources.schemas import RECOMMENDATIONS, USER_FEED, USER_POST_SCORES
@@ -131,3 +132,20 @@ def test_feed_from_neighbours_equals_feed_from_recommendations(table):
 def test_feed_of_chosen_users(table):
     all_feeds = table([(u, 1, 0.5) for u in range(5)], USER_FEED)
     assert [r[0] for r in rows(feed.feed_for_users(all_feeds, [1, 3]))] == [1, 3]
+
+
+@pytest.mark.parametrize("part_posts", [2, 4096])
+def test_posts_are_recommended_from_arrays(table, monkeypatch, part_posts):
+    """Without a join on the pair, and with the rows of one, missing posts and hot users included."""
+    monkeypatch.setattr(recommend, "PART_POSTS", part_posts)
+    triples = [(u, p, u + p) for u in range(1, 9) for p in range(u % 3, 20, u)]
+    scores = table([*triples, (2, None, 3), (3, None, 4), (None, 5, 1)], "user_id bigint, post_id bigint, total_score bigint")
+    close = [(1, 2, 0.25), (1, 8, 0.5), (3, 1, 0.75), (3, 2, 0.5), (8, 1, 1.0), (9, 2, 0.5)]
+    neighbours = table(close, "user_id bigint, similar_user bigint, cosine_similarity double")
+    candidates = recommend.neighbour_candidates(neighbours, scores)
+    want = recommend.unseen(recommend.merge_candidates(candidates, 4), scores)
+    got = recommend.recommendations(neighbours, scores, 4)
+    assert rows(got) == rows(want, *got.columns) and "LeftAnti" not in plan(got)
+    each = recommend.unseen_candidates(neighbours, scores)
+    assert rows(each) == rows(recommend.unseen(candidates, scores), *each.columns)
+    assert "LeftAnti" not in plan(each)
