@@ -106,3 +106,34 @@ def test_pairwise_on_odd_rows(odd, docs, labels):
         assert len(got) == documents.count()
         assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in got)
         assert not any(r.held_out for r in got if r.doc_id is None)
+
+
+def test_pairwise_fits_all_labelled_documents(spark, docs, labels, monkeypatch):
+    """In buckets as in one place: no labelled document is left out, and any one of them may change the model."""
+    monkeypatch.setattr(pairwise_quality, "BUCKET_ROWS", 50)
+    fold = docs([(i, "t") for i in range(400)])
+    learnt = sorted(r.doc_id for r in fold.where(~held_out(fold.doc_id)).collect())
+    text = lambda i: "clean words here, " * (3 + i % 11) if i % 3 else "| $ % 7 | A " * (3 + i % 7) + "word " * (i % 13)
+    some = docs([(i, text(i)) for i in range(400)])
+    seen = []
+
+    def keep(df, name):
+        seen.append((name, df.collect()))
+        return df
+
+    model = pairwise_quality.fit_features(pairwise_quality.document_features(some), labels([(i, min(i % 3, 1), 0) for i in range(400)]), keep)
+    stored, buckets = (dict(seen)[name] for name in ("labelled", "buckets"))
+    assert sorted(r.doc_id for r in stored) == learnt
+    assert len(buckets) > 1 and sum(len(r.y) for r in buckets) == len(learnt)
+    score = model.score(np.array([r.x for r in stored]))
+    assert ((score >= pairwise_quality.CUT) == (np.array([r.label for r in stored]) == 1)).mean() > 0.99
+
+
+def test_pairwise_curvature_and_gradient():
+    draw = np.random.default_rng(3)
+    z, y, w = draw.normal(size=(40, 3)), draw.integers(0, 2, 40), draw.normal(size=3)
+    pairs = np.array([a - b for a in z[y == 1] for b in z[y == 0]])
+    wrong = 1 / (1 + np.exp(pairs @ w))
+    curvature = (pairs * (wrong * (1 - wrong))[:, None]).T @ pairs
+    want = np.concatenate([[-np.log1p(-wrong).sum()], -wrong @ pairs, curvature.ravel()]) * 40 / len(pairs)
+    assert np.allclose(pairwise_quality._bucket_sums(z, y, w) * pairwise_quality._UNIT, want, atol=1e-4)
