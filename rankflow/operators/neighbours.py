@@ -43,7 +43,7 @@ from rankflow.config import DEFAULT_NEIGHBOURS
 from rankflow.functions import cosine, top_per_group
 from rankflow.functions.blocks import cell_neighbours, index_neighbours
 from rankflow.operators.cells import CELL_PRODUCTS, _cells, packed_cells  # noqa: F401
-from rankflow.operators.similarity import bidirectional, post_audience, with_norms
+from rankflow.operators.similarity import bidirectional, post_audience
 
 # Room for the last bits in which a floor and a cosine are rounded differently.
 _ROUNDING_SLACK = 1.0 - 1e-9
@@ -110,8 +110,12 @@ def nearest_users(
     :func:`vector_posts` finds them.  ``keep`` may store an intermediate table that
     is read more than once.
     """
-    # A user without length has no similarity to anybody.
-    normed = with_norms(scores).where("norm2 > 0")
+    # A user without length has no similarity to anybody.  Stored, since both classes of posts read it.
+    counts = scores.groupBy("user_id").agg(
+        F.sum(F.col("total_score") * F.col("total_score")).alias("norm2"), F.count(F.lit(1)).alias("n_posts")
+    )
+    rows = scores.select("user_id", "post_id", "total_score").join(counts.where("norm2 > 0"), "user_id")
+    normed = keep(rows, "normed")
     heavy = heavy.select("post_id")
     vectors = keep(_heavy_vectors(normed.join(heavy, "post_id", "left_semi")), "heavy_vectors")
     chosen = keep(_representatives(vectors, k), "representatives")
@@ -173,12 +177,12 @@ def _light_users(rows: DataFrame, k: int) -> DataFrame:
 
 
 def _index(rows: DataFrame) -> DataFrame:
-    """One row per light post: its users with score, squared norm, number of light posts, and whether they have a heavy vector."""
-    counts = rows.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_posts"))
+    """One row per light post: its users with score, squared norm, number of posts, and whether they have a heavy vector."""
+    if "n_posts" not in rows.columns:
+        rows = rows.join(rows.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_posts")), "user_id")
     entry = F.struct("user_id", "total_score", "norm2", "n_posts", "has_vector")
     return (
-        rows.join(counts, "user_id")
-        .groupBy("post_id")
+        rows.groupBy("post_id")
         .agg(F.collect_list(entry).alias("found"))
         .withColumn("n_users", F.size("found").cast("bigint"))
     )
@@ -194,7 +198,7 @@ def _light_edges(
 ) -> DataFrame:
     """Edges over light posts that may be among a user's K best, cosines exact.
 
-    ``rows`` are light scores with ``norm2``.  What a pair has in common in heavy posts is added.
+    ``rows`` are light scores with ``norm2``, and ``n_posts`` where it is known.  What a pair has in common in heavy posts is added.
     Only where both users have a vector is there anything to add, so only those pairs leave
     their cell before they are ranked, and only from the user's floor on.
     """

@@ -116,3 +116,17 @@ def test_a_limit_of_no_users_is_a_limit(table):
     assert rows(neighbours.nearest_users_any(scores, 2, heavy_post_users=0)) == rows(
         neighbours.nearest_users_any(scores, 2, heavy_post_users=1000)
     )
+
+
+def test_scores_meet_their_norms_once(table):
+    """Heavy and light posts read one stored table, so scores are not shuffled by user for each of them."""
+    kept = {}
+
+    def keep(df, name):
+        kept[name] = df
+        return df.localCheckpoint()
+
+    scores = table([(u, p, 1 + (u + p) % 4) for u in range(30) for p in range(u % 3, 12, 3)], USER_POST_SCORES)
+    heavy = table([(0,)], "post_id bigint")
+    neighbours.nearest_users(scores, 3, heavy=heavy, keep=keep)
+    assert {"user_id", "post_id", "total_score", "norm2", "n_posts"} == set(kept["normed"].columns)
