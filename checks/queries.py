@@ -342,7 +342,7 @@ def feed_scores(spark, folder):
 
 @_query
 def feed_best_scores(spark, folder):
-    return feed_ops.best_scores(_run(OrdersInputs(spark, folder)).scored)
+    return _run(OrdersInputs(spark, folder)).best
 
 
 @_query

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegralType
 
 from rankflow.functions import spread
+from rankflow.functions.unseen import unseen_posts
 
 _PAIR = ["user_id", "recommended_post_id"]
 #: Posts of a user in one array, about, and parts that all users' posts are dealt to, at most.
@@ -42,8 +44,8 @@ def merge_candidates(candidates: DataFrame, decimals: int) -> DataFrame:
     )
 
 
-def packed_posts(scores: DataFrame) -> DataFrame:
-    """``user_id, part, posts, strengths``: the posts of a user as arrays, in order of the post.
+def packed_posts(scores: DataFrame, **values: str) -> DataFrame:
+    """``user_id, part, posts`` and a column per name in ``values``: what a user has of each as arrays, in order of the post.
 
     A user with very many posts has them in parts, dealt by the post and alike for all users.  Rows
     without a user are left out: they are nobody's neighbours.
@@ -53,7 +55,7 @@ def packed_posts(scores: DataFrame) -> DataFrame:
     largest = scores.groupBy("user_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).scalar()
     parts = F.greatest(F.least(F.ceil(largest / PART_POSTS), F.lit(MOST_PARTS)), F.lit(1))
     part = F.pmod(F.xxhash64("post_id"), parts).cast("int")
-    entries = F.array_sort(F.collect_list(F.struct("post_id", "total_score")))
+    entries = F.array_sort(F.collect_list(F.struct("post_id", *values.values())))
     return (
         scores.groupBy("user_id", part.alias("part"))
         .agg(entries.alias("entries"))
@@ -61,60 +63,67 @@ def packed_posts(scores: DataFrame) -> DataFrame:
             "user_id",
             "part",
             F.col("entries.post_id").alias("posts"),
-            F.col("entries.total_score").alias("strengths"),
+            *(F.col(f"entries.{column}").alias(name) for name, column in values.items()),
         )
     )
 
 
-def _met(neighbours: DataFrame, scores: DataFrame) -> DataFrame:
-    """Every post of every neighbour and, ``own``, of the user, all rows of a (user, part) in one task.
+def _met(neighbours: DataFrame, scores: DataFrame, **values: str) -> DataFrame:
+    """The posts of every neighbour and, ``own``, of the user, all rows of a (user, part) one after the other in one task.
 
-    Posts are shuffled as arrays, a row per neighbour, and unpacked only there.
+    Posts are shuffled and sorted as arrays, a row per neighbour, and never unpacked before they are merged.
     """
-    packed = packed_posts(scores)
+    packed = packed_posts(scores, **values)
     liked = packed.withColumnRenamed("user_id", "similar_user")
-    columns = ["user_id", "part", "posts", "strengths", "cosine_similarity", "own"]
+    columns = ["user_id", "part", "posts", *values, "cosine_similarity", "own"]
     asked = neighbours.join(liked, "similar_user").withColumn("own", F.lit(False))
     own = packed.withColumns({"cosine_similarity": F.lit(None).cast("double"), "own": F.lit(True)})
     dealt = spread(asked.select(*columns).unionByName(own.select(*columns)), "user_id", "part")
-    return dealt.select(
-        "user_id",
-        "part",
-        "cosine_similarity",
-        "own",
-        F.inline(F.arrays_zip("posts", "strengths")).alias("recommended_post_id", "sim_user_score"),
-    )
-
+    return dealt.sortWithinPartitions("user_id", "part", "cosine_similarity")
 
-def _of_others(value: str) -> Column:
-    return F.when(~F.col("own"), F.col(value))
 
-
-def _unseen_groups(rows: DataFrame, *aggregates: Column) -> DataFrame:
-    """``aggregates`` per (user, post) that a neighbour has and the user has not; a missing id equals none."""
-    grouped = rows.groupBy("user_id", "part", "recommended_post_id").agg(
-        *aggregates, F.bool_or("own").alias("_seen"), F.bool_and("own").alias("_alone")
-    )
-    return grouped.where(
-        ~F.col("_alone") & (~F.col("_seen") | F.col("recommended_post_id").isNull())
-    ).drop("part", "_seen", "_alone")
+def _unseen(met: DataFrame, kind: str, **columns: str) -> DataFrame:
+    """Pairs of user and unseen post with further ``columns`` of the types given, as :func:`unseen_posts` finds them."""
+    types = {"user_id": met.schema["user_id"].dataType.simpleString()}
+    types["recommended_post_id"] = met.schema["posts"].dataType.elementType.simpleString()
+    schema = ", ".join(f"`{name}` {kind_}" for name, kind_ in (types | columns).items())
+    return met.mapInArrow(unseen_posts(kind, [*types, *columns]), schema)
 
 
 def recommendations(neighbours: DataFrame, scores: DataFrame, decimals: int) -> DataFrame:
     """All unseen posts of a user's neighbours, merged as in :func:`merge_candidates`.
 
     A user's own posts are dealt with those of its neighbours, so merging and dropping what is
-    seen take one shuffle, of arrays.
+    seen take one shuffle, of arrays, which a task merges user by user: it holds no table of pairs.
     """
-    return _unseen_groups(
-        _met(neighbours, scores),
-        F.round(F.avg(_of_others("cosine_similarity")), decimals).alias("avg_similarity"),
-        F.sum(_of_others("sim_user_score")).alias("recommendation_strength"),
+    kind = scores.schema["total_score"].dataType
+    if not isinstance(kind, (IntegralType, DoubleType)):
+        return merge_candidates(unseen_candidates(neighbours, scores), decimals)
+    total = "bigint" if isinstance(kind, IntegralType) else "double"
+    scores = scores.withColumn("total_score", F.col("total_score").cast(total))
+    met = _met(neighbours, scores, strengths="total_score")
+    merged = _unseen(met, "merged", similarity="double", recommendation_strength=total)
+    return merged.select(
+        *_PAIR, F.round("similarity", decimals).alias("avg_similarity"), "recommendation_strength"
     )
 
 
 def unseen_candidates(neighbours: DataFrame, scores: DataFrame) -> DataFrame:
     """:func:`unseen` of :func:`neighbour_candidates`, with one shuffle as in :func:`recommendations`."""
-    each = F.when(~F.col("own"), F.struct("cosine_similarity", "sim_user_score"))
-    groups = _unseen_groups(_met(neighbours, scores), F.collect_list(each).alias("candidates"))
-    return groups.select(*_PAIR, F.inline("candidates"))
+    total = scores.schema["total_score"].dataType.simpleString()
+    met = _met(neighbours, scores, strengths="total_score")
+    return _unseen(met, "each", cosine_similarity="double", sim_user_score=total)
+
+
+def unseen_with(neighbours: DataFrame, liked: DataFrame, *values: str) -> DataFrame:
+    """The posts of :func:`recommendations` with columns of ``liked`` that a post has alike for all users.
+
+    ``liked`` lists what users have touched; its ``values`` travel with the posts, so that a join
+    on the post takes the rows of ``liked`` and not the many more of the result.
+    """
+    found = _unseen(
+        _met(neighbours, liked, **{name: name for name in values}),
+        "any",
+        **{name: liked.schema[name].dataType.simpleString() for name in values},
+    )
+    return found.withColumnRenamed("recommended_post_id", "post_id")

@@ -6,9 +6,10 @@ A job writes the tables it reads again to the shared work folder (see
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankflow.config import FeedConfig
@@ -158,11 +159,9 @@ class FeedRun:
     def _touched(self) -> DataFrame:
         return feed_ops.touched(self.interaction_scores)
 
-    @cached_property
-    def _recommended_rows(self) -> DataFrame | None:
-        if not self._with_recommendations:
-            return None
-        return feed_ops.recommended(self.recommendations, self.config.recommended_base_score)
+    @property
+    def _recommended_rows(self) -> DataFrame:
+        return feed_ops.recommended(self._recommended, self.config.recommended_base_score)
 
     def _score(self, rows: DataFrame) -> DataFrame:
         c = self.config
@@ -170,20 +169,54 @@ class FeedRun:
         candidates = feed_ops.feed_candidates(rows, self.post_signals)
         return feed_ops.feed_scores(candidates, weights, c.decimals)
 
-    @cached_property
-    def _candidate_rows(self) -> DataFrame:
-        extra = self._recommended_rows
-        return self._touched if extra is None else self._touched.unionByName(extra)
+    def _liked(self, score: Callable[[DataFrame], DataFrame], among: Column | bool = True) -> DataFrame:
+        """What users have touched, as ``score`` makes it of a recommended post."""
+        base = F.lit(self.config.recommended_base_score).alias("interaction_score")
+        return score(self.scores.where(F.lit(True) & among).select("user_id", "post_id", base))
+
+    def _signalled(self, rows: DataFrame) -> DataFrame:
+        return feed_ops.feed_candidates(rows, self.post_signals)
 
     @cached_property
     def candidates(self) -> DataFrame:
         """All candidates of all users with their signals."""
-        return feed_ops.feed_candidates(self._candidate_rows, self.post_signals)
+        own = self._signalled(self._touched)
+        if not self._with_recommendations:
+            return own
+        if self._recommended is not None:
+            return own.unionByName(self._signalled(self._recommended_rows))
+        liked = self._liked(self._signalled)
+        extra = recommend.unseen_with(self.neighbours, liked, "popularity_score", "recency_score")
+        base = F.lit(self.config.recommended_base_score)
+        return own.unionByName(extra.withColumn("interaction_score", base))
+
+    def _unseen_scored(self, among: Column | bool = True) -> DataFrame:
+        """Recommended posts with their blended score, which they get where they are liked."""
+        return recommend.unseen_with(self.neighbours, self._liked(self._score, among), "feed_score")
 
     @cached_property
     def scored(self) -> DataFrame:
         """All candidates with their blended score."""
-        return self._score(self._candidate_rows)
+        own = self._score(self._touched)
+        if not self._with_recommendations:
+            return own
+        if self._recommended is not None:
+            return own.unionByName(self._score(self._recommended_rows))
+        return own.unionByName(self._unseen_scored())
+
+    @cached_property
+    def best(self) -> DataFrame:
+        """The best score of each (user, post).
+
+        What is recommended here has one row per pair and was not touched, so only rows without a
+        post can meet, and only they are grouped.
+        """
+        if self._recommended is not None or not self._with_recommendations:
+            return feed_ops.best_scores(self.scored)
+        own, no_post = self._score(self._touched), F.col("post_id").isNull()
+        met = own.where(no_post).unionByName(self._unseen_scored(no_post))
+        known = own.where(~no_post).unionByName(self._unseen_scored(~no_post))
+        return known.unionByName(feed_ops.best_scores(met))
 
     @cached_property
     def touched_feed(self) -> DataFrame:
@@ -200,8 +233,6 @@ class FeedRun:
         if self._recommended is not None:
             extra = self._score(self._recommended_rows)
             return feed_ops.user_feed(self.touched_feed, extra, length)
-        base = F.lit(self.config.recommended_base_score).alias("interaction_score")
-        liked = self._score(self.scores.select("user_id", "post_id", base))
         return feed_ops.user_feed_of_neighbours(
-            self.touched_feed, self.neighbours, liked, self.scores, length
+            self.touched_feed, self.neighbours, self._liked(self._score), self.scores, length
         )
