@@ -12,7 +12,7 @@ from rankflow.operators import feed as feed_ops
 from rankflow.operators import neighbours as neighbour_ops
 from rankflow.operators import recommend, scoring, serving, signals, similarity, trending
 from rankflow.plans.jobs import FeedRun
-from rankflow.sources import files, schemas
+from rankflow.sources import files, layout, schemas
 from rankflow.sources.mappings import EventsInputs, Inputs, OrdersInputs
 from rankflow.sources.workspace import Workspace
 from rankflow.streaming.activity import ActivityStore
@@ -395,12 +395,14 @@ def user_feed_bucketed(spark, folder):
 
 @_query
 def unseen_candidates_bucketed(spark, folder):
-    """Saved candidates without the posts of a saved matrix; neither is shuffled."""
-    run = _run(OrdersInputs(spark, folder), pair_buckets=BUCKETS)
-    candidates = recommend.neighbour_candidates(run.neighbours, run.scores)
-    pair = ["user_id", "recommended_post_id"]
-    stored = Workspace(spark).keep_bucketed(candidates, "candidates", pair, BUCKETS)
-    return recommend.unseen(stored, run.scores)
+    """Saved candidates without the posts of a saved matrix, both as arrays in buckets of the user; neither is shuffled."""
+    run, saved = _run(OrdersInputs(spark, folder)), Workspace(spark)
+    buckets = layout.enough_buckets(run.scores.count() * run.config.neighbours, BUCKETS)
+    packed = recommend.packed_posts(run.scores, strengths="total_score")
+    posts = saved.keep_bucketed(packed, "posts", recommend.PART, buckets)
+    candidates = recommend.packed_candidates(run.neighbours, posts)
+    stored = saved.keep_bucketed(candidates, "candidates", recommend.PART, buckets)
+    return recommend.unseen_packed(stored, posts)
 
 
 @_query

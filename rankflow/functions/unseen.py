@@ -58,6 +58,41 @@ def unseen_posts(kind: str, names: list[str], at_once: int = 1_000_000):
     return found
 
 
+def unseen_beside(names: list[str], at_once: int = 1_000_000):
+    """A function for ``mapInArrow`` over rows that have the ``posts`` of a neighbour and, beside them, those ``seen``.
+
+    Every entry not ``seen`` comes out, with the user, the similarity and its value, under ``names``.
+    A missing post equals none.  Some ``at_once`` entries are in hand at a time, or one row's.
+    """
+
+    def found(batches):
+        for batch in batches:
+            entries = np.cumsum(_lengths(batch["posts"]) + _lengths(batch["seen"]))
+            at = 0
+            while at < batch.num_rows:
+                before = entries[at - 1] if at else 0
+                until = max(int(np.searchsorted(entries, before + at_once, "right")), at + 1)
+                part = pa.Table.from_batches([batch.slice(at, until - at)])
+                yield from _not_seen(part).rename_columns(names).to_batches()
+                at = until
+
+    return found
+
+
+def _not_seen(table: pa.Table) -> pa.Table:
+    lists = ("posts", "strengths", "seen")
+    flat = {name: pc.list_flatten(table[name]).combine_chunks() for name in lists}
+    rows = {name: np.repeat(np.arange(table.num_rows), _lengths(table[name])) for name in ("posts", "seen")}
+    key, missing = _entry_keys(np.concatenate([rows["posts"], rows["seen"]]), pa.concat_arrays([flat["posts"], flat["seen"]]))
+    n = len(rows["posts"])
+    asked, seen = key[:n], np.sort(key[n:], kind="stable")
+    place = np.searchsorted(seen, asked)
+    known = place < len(seen)
+    known[known] = seen[place[known]] == asked[known]
+    del flat["seen"]
+    return _chosen(table, flat, rows["posts"], np.flatnonzero(~known | missing[:n]), {}, ["cosine_similarity"])
+
+
 def _key(batch: pa.RecordBatch) -> tuple:
     return tuple(batch.column(name)[0].as_py() for name in _KEY)
 
@@ -81,8 +116,8 @@ def _changes(rows) -> np.ndarray:
     return changed
 
 
-def _lengths(column: pa.ChunkedArray) -> np.ndarray:
-    return pc.fill_null(pc.list_value_length(column), 0).to_numpy().astype(np.int64)
+def _lengths(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    return np.asarray(pc.fill_null(pc.list_value_length(column), 0)).astype(np.int64)
 
 
 def _entry_keys(group: np.ndarray, posts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

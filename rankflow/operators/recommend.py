@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegralType
 
 from rankflow.functions import spread
-from rankflow.functions.unseen import unseen_posts
+from rankflow.functions.unseen import unseen_beside, unseen_posts
 
 _PAIR = ["user_id", "recommended_post_id"]
+#: Key of tables of posts as arrays.
+PART = ["user_id", "part"]
 #: Posts of a user in one array, about, and parts that all users' posts are dealt to, at most.
 PART_POSTS = 4096
 MOST_PARTS = 64
@@ -84,10 +86,17 @@ def _met(neighbours: DataFrame, scores: DataFrame, **values: str) -> DataFrame:
 
 def _unseen(met: DataFrame, kind: str, **columns: str) -> DataFrame:
     """Pairs of user and unseen post with further ``columns`` of the types given, as :func:`unseen_posts` finds them."""
-    types = {"user_id": met.schema["user_id"].dataType.simpleString()}
-    types["recommended_post_id"] = met.schema["posts"].dataType.elementType.simpleString()
-    schema = ", ".join(f"`{name}` {kind_}" for name, kind_ in (types | columns).items())
-    return met.mapInArrow(unseen_posts(kind, [*types, *columns]), schema)
+    types = _pair_types(met) | columns
+    return met.mapInArrow(unseen_posts(kind, [*types]), _listed(types))
+
+
+def _pair_types(met: DataFrame) -> dict[str, str]:
+    post = met.schema["posts"].dataType.elementType
+    return dict(zip(_PAIR, (met.schema["user_id"].dataType.simpleString(), post.simpleString()), strict=True))
+
+
+def _listed(types: dict[str, str]) -> str:
+    return ", ".join(f"`{name}` {kind}" for name, kind in types.items())
 
 
 def recommendations(neighbours: DataFrame, scores: DataFrame, decimals: int) -> DataFrame:
@@ -115,6 +124,24 @@ def unseen_candidates(neighbours: DataFrame, scores: DataFrame) -> DataFrame:
     return _unseen(met, "each", cosine_similarity="double", sim_user_score=total)
 
 
+def packed_candidates(neighbours: DataFrame, packed: DataFrame) -> DataFrame:
+    """:func:`neighbour_candidates` as arrays: a row per neighbour and part of its posts, from :func:`packed_posts`."""
+    liked = packed.withColumnRenamed("user_id", "similar_user")
+    return neighbours.join(liked, "similar_user").select(*PART, "cosine_similarity", "posts", "strengths")
+
+
+def unseen_packed(candidates: DataFrame, packed: DataFrame) -> DataFrame:
+    """:func:`unseen` of :func:`packed_candidates`: a user's own posts are joined as an array, and tasks drop them.
+
+    Where both tables are stored in as many buckets of :data:`PART`, neither is shuffled or sorted.
+    """
+    seen = packed.select(*PART, F.col("posts").alias("seen")).hint("shuffle_hash")
+    met = candidates.join(seen, PART, "left")
+    total = met.schema["strengths"].dataType.elementType.simpleString()
+    types = _pair_types(met) | {"cosine_similarity": "double", "sim_user_score": total}
+    return met.mapInArrow(unseen_beside([*types]), _listed(types))
+
+
 def unseen_with(neighbours: DataFrame, liked: DataFrame, *values: str) -> DataFrame:
     """The posts of :func:`recommendations` with columns of ``liked`` that a post has alike for all users.
 
