@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankflow.llm.bytesarrays import pieces
@@ -33,6 +33,8 @@ RADIUS = 4
 SAMPLE = 2_048
 #: Rows of one bucket that are compared within one tile; larger buckets are cut into tiles.
 TILE = 2_048
+#: Bits (as a power of two, from 6) that tell rows that surely stay from those that may go; a broadcast of some MB at most.
+MARK_BITS = 24
 #: Estimated seconds to make, ship and sort a row of the index, and to compare a pair.
 _ROW_S, _PAIR_S = 2e-6, 1e-8
 
@@ -254,15 +256,37 @@ def near_duplicates(documents: DataFrame, size: int = SHINGLE, radius: int = RAD
     )
 
 
+def _word_and_bit(doc_id: str, text_hash: str) -> tuple[Column, Column]:
+    slot = F.pmod(F.xxhash64(doc_id, text_hash), F.lit(1 << MARK_BITS))
+    return F.shiftright(slot, 6), F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(63).cast("int"))
+
+
+def marks(gone: DataFrame) -> DataFrame:
+    """``word, bits``: a bit for every ``_id, _text``, by their hash, in words of 64; ``2 ** (MARK_BITS - 6)`` rows at most."""
+    word, bit = _word_and_bit("_id", "_text")
+    return gone.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits"))
+
+
+def by_marks(keyed: DataFrame, marked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows whose ``_doc, _hash`` has no bit in :func:`marks`, and the others.
+
+    The marks are few by themselves, so they are broadcast whatever their size: no row is shuffled.
+    """
+    word, bit = _word_and_bit("_doc", "_hash")
+    met = keyed.join(F.broadcast(marked), word == F.col("word"), "left")
+    is_marked = F.coalesce("bits", F.lit(0)).bitwiseAND(bit) != 0
+    return met.where(~is_marked).select(keyed.columns), met.where(is_marked).select(keyed.columns)
+
+
 def keep_first(documents: DataFrame, size: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """One row of each component, with all its columns: that of the smallest ``doc_id``.
 
     A row without id stays only where no row of its component has one.  Of rows with the same
     id the one of least text hash stays, then that of least hash over all columns, as JSON.
 
-    What stays is decided on ids.  The rows that go are taken out of the table as it is read, so
-    Spark moves no text where their ids are few enough for it to broadcast.  Only rows that repeat
-    both id and text are grouped.
+    What stays is decided on ids.  The rows that go are taken out of the table as it is read: of
+    the texts only theirs and the few that share a mark with them are moved, and none where the ids
+    are few enough for Spark to broadcast.  Only rows that repeat both id and text are grouped.
     """
     work = Workspace(documents.sparkSession)
     found = near_duplicates(documents, size, radius, work)
@@ -275,9 +299,10 @@ def keep_first(documents: DataFrame, size: int = SHINGLE, radius: int = RADIUS)
 
     keyed = documents.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_doc"), F.xxhash64("text").alias("_hash"))
     named = F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_text"))
-    alone = keyed.join(gone, named, "left_anti")
+    sure, unsure = by_marks(keyed, work.keep(marks(gone), "marks"))
+    alone = sure.unionByName(unsure.join(gone, named, "left_anti"))
     again = work.keep(first.where("_n > 1"), "again")  # stored, so that Spark knows its size
-    repeated = keyed.join(again, named, "left_semi")
+    repeated = unsure.join(again, named, "left_semi")
     one = repeated.groupBy("_doc", "_hash").agg(F.min_by("_row", F.xxhash64(F.to_json("_row", {"ignoreNullFields": "false"}))).alias("_row"))
     return alone.select("_row.*").unionByName(one.select("_row.*"))
 

@@ -147,5 +147,36 @@ def test_few_rows_that_go_move_no_text(spark):
     assert steps.count("hashpartitioning") == 1  # of rows that repeat both id and text
 
 
+@pytest.mark.parametrize("bits", [6, 24])
+def test_many_rows_that_go_move_only_marked_texts(spark, odd, monkeypatch, bits):
+    """The pipeline's shuffle of all texts: only rows that share a mark with one that goes are joined."""
+    monkeypatch.setattr(sim, "MARK_BITS", bits)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    documents = spark.read.parquet(f"{SMALL}/documents.parquet")
+    tables = (odd.unionByName(odd.limit(3)), documents.unionByName(documents))
+    want = [sorted(map(repr, sim.keep_first(t).collect())) for t in tables]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = [sim.keep_first(t) for t in tables]
+        steps = [plan(k) for k in kept]
+        assert [sorted(map(repr, k.collect())) for k in kept] == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert all("LeftAnti" in s and "BroadcastHashJoin" in s.split("LeftAnti")[0] for s in steps)
+    assert [len(w) for w in want] == [5, len(classes_of(documents))]
+
+
+def test_marks_part_the_rows(spark):
+    """All rows that go are marked, missing ids too, few others are, and no row is shuffled for it."""
+    keyed = spark.range(20_000).selectExpr("if(id < 9, null, id) as _doc", "id * 7 as _hash", "'text' as _row")
+    gone = keyed.where("_hash % 10 = 0").selectExpr("_doc as _id", "_hash as _text")
+    marked = sim.marks(gone)
+    sure, unsure = sim.by_marks(keyed, marked)
+    assert sure.columns == unsure.columns == keyed.columns
+    assert sure.count() + unsure.count() == 20_000 and marked.count() <= 2_000
+    assert sure.where("_hash % 10 = 0").isEmpty() and 2_000 <= unsure.count() < 2_050
+    assert "Exchange" not in plan(sure).split("BroadcastExchange")[0] and "SortMergeJoin" not in plan(sure)
+
+
 def classes_of(documents):
     return set(classes([fingerprint(r.text) for r in documents.collect()]).values())
