@@ -1,12 +1,14 @@
 import math
 import random
 
+import pyarrow as pa
 import pytest
 from conftest import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from rankflow.functions import blocks
 from rankflow.operators import neighbours, similarity
 from rankflow.sources.schemas import SIMILARITY, USER_POST_SCORES
 
@@ -235,3 +237,44 @@ def test_products_are_shuffled_in_a_few_bytes_each(table):
     cells = neighbours.packed_cells(index, 1_000_000)
     entries = neighbours._cells(index, 1_000_000).agg(F.sum(F.size("others"))).first()[0]
     assert cells.agg(F.sum(F.length("posts"))).first()[0] < 8 * entries
+
+
+@pytest.mark.parametrize("top", [2**7 - 1, 2**15, 2**40, 2**63 - 1])
+def test_blocks_of_a_cell_give_back_what_was_dealt(top):
+    """Ids far apart and near, of any sign, and scores that are whole or fractional."""
+    ids = [-(2**63), -5, 0, 3, 2**40, 2**63 - 1]
+    found = [
+        [{"user_id": u, "total_score": s, "norm2": n, "n_posts": 1, "has_vector": u < 0} for u, s, n in post]
+        for post in ([(u, top, 7) for u in ids], [(3, -top, 1), (4, 0, top)], [(9, 1, 2)])
+    ]
+    for kind in (pa.int64(), pa.float64()):
+        entry = pa.struct([("user_id", pa.int64()), ("total_score", kind), ("norm2", pa.int64()), ("n_posts", pa.int64()), ("has_vector", pa.bool_())])
+        whole = [[e | {"total_score": float(e["total_score"]) / 3} if kind == pa.float64() else e for e in post] for post in found]
+        lists = pa.array(whole, pa.list_(entry))
+        batch = pa.record_batch([lists, pa.array([3] * 3), pa.array([6] * 3)], ["found", "n_cells", "largest"])
+        [packed] = blocks.deal_posts(1000)(iter([batch]))
+        [listed] = blocks.deal_posts(1000, packed=False)(iter([batch]))
+        assert sorted(set(listed["cell"].to_pylist())) == packed["cell"].to_pylist()
+        for row in packed.to_pylist():
+            sides = blocks._cell_entries(pa.table({"posts": [row["posts"]]}))
+            of_cell = [r for r in listed.to_pylist() if r["cell"] == row["cell"]]
+            for side, entries in zip(("asks", "others"), sides, strict=True):
+                assert entries.pop("lengths").tolist() == [len(r[side]) for r in of_cell]
+                expected = [e for r in of_cell for e in r[side]]
+                assert {n: v.tolist() for n, v in entries.items()} == {n: [e[n] for e in expected] for n in entries}
+
+
+def test_numbers_of_a_cell_take_few_bytes():
+    """A product takes the step from the id before, a small score and a small norm."""
+    draw = random.Random(5)
+    norms = [draw.randint(100, 900) for _ in range(60_000)]
+    found = [
+        [
+            {"user_id": u, "total_score": draw.randint(1, 9), "norm2": norms[u], "n_posts": 1, "has_vector": False}
+            for u in draw.sample(range(60_000), 30)
+        ]
+        for _ in range(400)
+    ]
+    batch = pa.record_batch([pa.array(found), pa.array([20] * 400), pa.array([30] * 400)], ["found", "n_cells", "largest"])
+    size = sum(len(row.as_py()) for dealt in blocks.deal_posts(10**6)(iter([batch])) for row in dealt["posts"])
+    assert size < 2.2 * 400 * 30 * 30
