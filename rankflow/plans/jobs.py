@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankflow.config import FeedConfig
+from rankflow.functions import weighted_feed_score
 from rankflow.operators import feed as feed_ops
 from rankflow.operators import neighbours as neighbour_ops
 from rankflow.operators import recommend, scoring, serving, signals, trending
@@ -185,6 +186,21 @@ class FeedRun:
     def _signalled(self, rows: DataFrame) -> DataFrame:
         return feed_ops.feed_candidates(rows, self.post_signals)
 
+    @property
+    def _scores_of_posts(self) -> tuple[DataFrame, Column]:
+        """The score of each post with signals as a recommended one, and that of a post without."""
+        c, nothing = self.config, F.lit(0.0)
+        weights = (c.interaction_weight, c.popularity_weight, c.recency_weight)
+        base = F.lit(c.recommended_base_score)
+        known = self.post_signals.select(
+            F.lit(None).cast("bigint").alias("user_id"),
+            "post_id",
+            base.alias("interaction_score"),
+            *(F.coalesce(name, nothing).alias(name) for name in ("popularity_score", "recency_score")),
+        )
+        least = weighted_feed_score(base, nothing, nothing, weights=weights, decimals=c.decimals)
+        return feed_ops.feed_scores(known, weights, c.decimals), least
+
     @cached_property
     def candidates(self) -> DataFrame:
         """All candidates of all users with their signals."""
@@ -239,7 +255,10 @@ class FeedRun:
         if not self._with_recommendations:
             return self.touched_feed
         if self._recommended is not None:
-            extra = self._score(self._recommended_rows, self.post_signals.hint("shuffle_hash"))
+            rows = feed_ops.maybe_in_reach(
+                self._recommended_rows, *self._scores_of_posts, self.touched_feed, length
+            )
+            extra = self._score(rows, self.post_signals.hint("shuffle_hash"))
             return feed_ops.user_feed(self.touched_feed, extra, length)
         return feed_ops.user_feed_of_neighbours(
             self.touched_feed, self.neighbours, self._liked(self._score), self.scores, length

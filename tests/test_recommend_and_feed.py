@@ -1,9 +1,12 @@
 import random
 
 import pytest
-from conftest import plan, rows
+from conftest import SMALL, plan, rows
+from pyspark.sql import functions as F
 
 from rankflow.operators import feed, recommend
+from rankflow.plans.jobs import FeedRun
+from rankflow.sources.mappings import OrdersInputs
 from rankflow.sources.schemas import RECOMMENDATIONS, USER_FEED, USER_POST_SCORES
 
 NEIGHBOURS = "user_id bigint, similar_user bigint, cosine_similarity double"
@@ -149,3 +152,34 @@ def test_posts_are_recommended_from_arrays(table, monkeypatch, part_posts):
     each = recommend.unseen_candidates(neighbours, scores)
     assert rows(each) == rows(recommend.unseen(candidates, scores), *each.columns)
     assert "LeftAnti" not in plan(each)
+
+
+@pytest.mark.parametrize("bits", [3, 5, 22])
+def test_recommendations_out_of_reach_go_by_the_levels_of_cells(table, monkeypatch, bits):
+    """Whatever shares a cell, no row in reach goes; users without a full feed and missing keys are among them."""
+    monkeypatch.setattr(feed, "LEVEL_BITS", bits)
+    draw = random.Random(bits)
+    signals = table([(p, draw.random(), draw.random()) for p in range(60)], SIGNALS)
+    own = [(u, p, round(draw.random(), 4)) for u in [*range(20), None] for p in draw.sample(range(60), 3 + (u or 0) % 4)]
+    best = feed.touched_feed(score(table(own, INTERACTION), signals), 4)
+    asked = [(u, p, 0.5) for u in [*range(25), None] for p in [*draw.sample(range(80), 40), None]]
+    recommended = table(asked, INTERACTION)
+    posts = score(table([(None, p, 0.5) for p in range(60)], INTERACTION), signals)
+    kept = feed.maybe_in_reach(recommended, posts, F.lit(0.25), best, 4)
+    assert rows(feed.user_feed(best, score(kept, signals), 4)) == rows(feed.user_feed(best, score(recommended, signals), 4))
+    assert rows(kept.where("user_id >= 20 or user_id is null")) == rows(recommended.where("user_id >= 20 or user_id is null"))
+    if bits == 22:
+        in_reach = feed.in_reach(score(recommended, signals).join(feed.last_scores(best, 4), "user_id", "left"))
+        assert in_reach.count() <= kept.count() < 0.8 * recommended.count()
+
+
+def test_saved_recommendations_out_of_reach_are_not_shuffled(spark):
+    """They meet the bounds of users and posts where they are read, however small a table must be for a broadcast."""
+    i = OrdersInputs(spark, SMALL)
+    first = FeedRun(i.interactions, i.posts, i.config)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        given = FeedRun(i.interactions, i.posts, i.config, scores=first.scores, recommended=first.recommendations)
+        assert plan(given.feed).count("BroadcastHashJoin") >= 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
