@@ -197,8 +197,11 @@ def top_similar_users_heavy_posts_events(spark, folder):
 
 @_query
 def top_similar_users_of_table(spark, folder):
-    table = similarity.user_similarity(_orders_pairs(spark, folder))
-    return neighbour_ops.top_similar_users(table, OrdersInputs(spark, folder).config.neighbours)
+    config = OrdersInputs(spark, folder).config
+    scores = Workspace(spark).keep(_orders_scores(spark, folder), "scores")
+    table = similarity.user_similarity(similarity.pair_dot_products(scores, config.heavy_post_users))
+    floors = neighbour_ops.least_cosines(scores, config.neighbours)
+    return neighbour_ops.top_similar_users(table, config.neighbours, floors)
 
 
 @_query

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankflow.functions import top_per_group, weighted_feed_score
-
-#: Cells of :func:`levels`: two to this.
-LEVEL_BITS = 22
+from rankflow.operators.levels import level, levels, with_level
 
 
 def touched(interaction: DataFrame) -> DataFrame:
@@ -93,27 +91,6 @@ def in_reach(scored: DataFrame) -> DataFrame:
     return scored.where(last.isNull() | (F.col("feed_score") >= last)).drop("last_score")
 
 
-def _cell(key: Column) -> tuple[Column, Column]:
-    """The word of a key's cell in :func:`levels`, and where the cell's byte begins."""
-    cell = F.pmod(F.xxhash64(key), F.lit(1 << LEVEL_BITS))
-    return F.shiftright(cell, 3).alias("word"), (cell.bitwiseAND(F.lit(7)) * 8).cast("int")
-
-
-def _level(score: Column) -> Column:
-    """A score as one of 256 levels.  A score that is not below another has no lower level."""
-    return F.floor(F.greatest(F.least(score, F.lit(1.0)), F.lit(0.0)) * 255)
-
-
-def levels(scored: DataFrame, key: str, of_cell: Callable[[Column], Column]) -> DataFrame:
-    """``word, bits``: the ``of_cell`` (greatest or least) ``level`` of the keys of each cell, eight cells in a word.
-
-    Cells are by hash of the key, so there are ``2 ** (LEVEL_BITS - 3)`` words at most, however many the keys.
-    """
-    word, at = _cell(F.col(key))
-    cells = scored.groupBy(word, at.alias("at")).agg(of_cell(F.col("level")).alias("level"))
-    return cells.groupBy("word").agg(F.bit_or(F.expr("shiftleft(level, at)")).alias("bits"))
-
-
 def maybe_in_reach(recommended: DataFrame, posts_scored: DataFrame, least_score: Column, own: DataFrame, length: int) -> DataFrame:
     """``recommended`` without most of the rows whose score is out of their user's reach; it is not shuffled.
 
@@ -122,22 +99,16 @@ def maybe_in_reach(recommended: DataFrame, posts_scored: DataFrame, least_score:
     :func:`last_scores` down to the least; users without a last score are in their cells with
     the lowest level.  The levels are few by themselves, so they are broadcast whatever their size.
     """
-    of_posts = posts_scored.select("post_id", _level(F.col("feed_score")).alias("level"))
+    of_posts = posts_scored.select("post_id", level(F.col("feed_score")).alias("level"))
     last = last_scores(own, length)
     free = recommended.select("user_id").distinct().join(last, "user_id", "left_anti")
-    of_users = last.select("user_id", _level(F.col("last_score")).alias("level")).unionByName(
+    of_users = last.select("user_id", level(F.col("last_score")).alias("level")).unionByName(
         free.select("user_id", F.lit(0).cast("bigint").alias("level"))
     )
-
-    def joined(rows: DataFrame, found: DataFrame, key: str, name: str) -> DataFrame:
-        word, at = _cell(F.col(key))
-        table = F.broadcast(found.withColumnRenamed("word", f"word_{name}").withColumnRenamed("bits", f"bits_{name}"))
-        met = rows.withColumn(f"at_{name}", at).join(table, word == F.col(f"word_{name}"), "left")
-        return met.withColumn(name, F.expr(f"shiftrightunsigned(bits_{name}, at_{name}) & 255"))
-
-    met = joined(joined(recommended, levels(of_users, "user_id", F.min), "user_id", "needed"), levels(of_posts, "post_id", F.max), "post_id", "level")
-    reached = F.greatest(F.coalesce("level", F.lit(0)), _level(least_score)) >= F.coalesce("needed", F.lit(0))
-    return met.where(reached).select(recommended.columns)
+    met = with_level(recommended, levels(of_users, "user_id", F.min), "user_id", "needed")
+    met = with_level(met, levels(of_posts, "post_id", F.max), "post_id", "level")
+    greatest = F.greatest(F.coalesce("level", F.lit(0)), level(least_score))
+    return met.where(greatest >= F.coalesce("needed", F.lit(0))).select(recommended.columns)
 
 
 def user_feed(own: DataFrame, recommended_scored: DataFrame, length: int) -> DataFrame:

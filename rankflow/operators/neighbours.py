@@ -35,7 +35,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
@@ -43,7 +43,8 @@ from rankflow.config import DEFAULT_NEIGHBOURS
 from rankflow.functions import cosine, top_per_group
 from rankflow.functions.blocks import cell_neighbours, index_neighbours
 from rankflow.operators.cells import CELL_PRODUCTS, _cells, packed_cells  # noqa: F401
-from rankflow.operators.similarity import bidirectional, post_audience
+from rankflow.operators.levels import level, levels, with_level
+from rankflow.operators.similarity import bidirectional, post_audience, with_norms
 
 # Room for the last bits in which a floor and a cosine are rounded differently.
 _ROUNDING_SLACK = 1.0 - 1e-9
@@ -57,9 +58,34 @@ def closest_first() -> list:
     return [F.desc("cosine_similarity"), F.asc("similar_user")]
 
 
-def top_similar_users(similarity: DataFrame, k: int) -> DataFrame:
-    """The K closest users per user from a similarity table."""
-    return top_per_group(bidirectional(similarity), ["user_id"], closest_first(), k)
+def top_similar_users(similarity: DataFrame, k: int, floors: DataFrame | None = None) -> DataFrame:
+    """The K closest users per user from a similarity table.
+
+    ``floors``, if given, has a ``floor`` for every user of the table, as :func:`least_cosines` finds
+    it.  Edges below go where the table is read, by levels of hashed cells of users: only the others
+    are sorted and shuffled.
+    """
+    edges = bidirectional(similarity)
+    if floors is not None:
+        of_users = levels(floors.select("user_id", _cosine_level("floor").alias("level")), "user_id", F.min)
+        reached = _cosine_level("cosine_similarity") >= F.coalesce("needed", F.lit(0))
+        edges = with_level(edges, of_users, "user_id", "needed").where(reached).drop("needed")
+    return top_per_group(edges, ["user_id"], closest_first(), k)
+
+
+def _cosine_level(name: str) -> Column:
+    """The level of a cosine; roots tell small ones apart."""
+    return level(F.sqrt(F.greatest(F.col(name), F.lit(0.0))))
+
+
+def least_cosines(scores: DataFrame, k: int) -> DataFrame:
+    """``user_id, floor``: a value that the K-th best cosine of a user with any cosine is not below, from the scores alone.
+
+    As in :func:`_light_users`, and 0 for all where a score is negative.  Scores have one row per pair.
+    """
+    signed = F.coalesce(scores.agg((F.min("total_score") < 0).alias("signed")).scalar(), F.lit(False))
+    rows = with_norms(scores).where("norm2 > 0 and post_id is not null")
+    return _light_users(rows, k).select("user_id", F.when(signed, F.lit(0.0)).otherwise(F.col("floor")).alias("floor"))
 
 
 def vector_posts(

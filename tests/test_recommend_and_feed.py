@@ -4,7 +4,7 @@ import pytest
 from conftest import SMALL, plan, rows
 from pyspark.sql import functions as F
 
-from rankflow.operators import feed, recommend
+from rankflow.operators import feed, levels, recommend
 from rankflow.plans.jobs import FeedRun
 from rankflow.sources.mappings import OrdersInputs
 from rankflow.sources.schemas import RECOMMENDATIONS, USER_FEED, USER_POST_SCORES
@@ -157,7 +157,7 @@ def test_posts_are_recommended_from_arrays(table, monkeypatch, part_posts):
 @pytest.mark.parametrize("bits", [3, 5, 22])
 def test_recommendations_out_of_reach_go_by_the_levels_of_cells(table, monkeypatch, bits):
     """Whatever shares a cell, no row in reach goes; users without a full feed and missing keys are among them."""
-    monkeypatch.setattr(feed, "LEVEL_BITS", bits)
+    monkeypatch.setattr(levels, "LEVEL_BITS", bits)
     draw = random.Random(bits)
     signals = table([(p, draw.random(), draw.random()) for p in range(60)], SIGNALS)
     own = [(u, p, round(draw.random(), 4)) for u in [*range(20), None] for p in draw.sample(range(60), 3 + (u or 0) % 4)]
